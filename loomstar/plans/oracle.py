@@ -132,3 +132,306 @@ SELECT year,
 FROM cte
 GROUP BY year
 """
+
+
+# --- cleaning operators ---------------------------------------------------------
+# Small SQL text helpers: each returns a DuckDB expression for one column.
+
+_JUNK = r"[A-Z0-9]{10}\n?"
+_TOKENS = ", ".join("'" + t.replace("'", "''") + "'" for t in (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
+    "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"))
+_DATE_FORMATS = ("%Y-%m-%d %H:%M:%S", "%Y-%m-%d", "%Y/%m/%d", "%m/%d/%Y", "%d/%m/%Y",
+                 "%Y %B %d", "%B %Y %d", "%Y")
+
+
+def _junk(c: str) -> str:
+    return f"CASE WHEN regexp_full_match(CAST({c} AS VARCHAR), '{_JUNK}') THEN NULL ELSE {c} END"
+
+
+def _mixed_date(c: str) -> str:
+    t = "COALESCE(" + ", ".join(f"try_strptime(trim({c}), '{f}')" for f in _DATE_FORMATS) + ")"
+    return f"CASE WHEN year({t}) BETWEEN 1677 AND 2262 THEN CAST({t} AS DATE) END"
+
+
+def _weight_kg(c: str) -> str:
+    t = f"replace(replace({c}, ' ', ''), 'x', '*')"
+    unit = f"NULLIF(regexp_extract({t}, '([a-zA-Z]+)', 1), '')"
+    num = f"NULLIF(regexp_extract({t}, '([0-9]+\\.[0-9]+|[0-9]+\\*[0-9]+|[0-9]+)', 1), '')"
+    factor = (f"CASE {unit} WHEN 'g' THEN CAST(0.001 AS DOUBLE) WHEN 'ml' THEN CAST(0.001 AS DOUBLE) "
+              f"WHEN 'oz' THEN CAST(0.028349523125 AS DOUBLE) WHEN 'kg' THEN CAST(1 AS DOUBLE) END")
+    return f"({factor}) * ({_multipack(num)})"
+
+
+def _multipack(num: str) -> str:
+    return (f"CASE WHEN strpos({num}, '*') > 0 THEN CAST(split_part({num}, '*', 1) AS DOUBLE) "
+            f"* CAST(split_part({num}, '*', 2) AS DOUBLE) ELSE CAST({num} AS DOUBLE) END")
+
+
+def _na(c: str) -> str:
+    return f"CASE WHEN {c} IN ({_TOKENS}) THEN NULL ELSE {c} END AS {c}"
+
+
+ORACLE["na_tokens_to_null"] = oracle_cte("dirty_products") + f"""
+SELECT product_code, {_na('product_name')}, {_na('product_price')}, {_na('weight')},
+       {_na('removed')}, {_na('date_added')}
+FROM dirty_products
+"""
+
+_URL = r"^(s3|http|https)://([-a-zA-Z]+)\.?[a-zA-Z0-9.-]*/(.+)"
+ORACLE["url_parts"] = f"""
+SELECT page_id, url,
+       NULLIF(regexp_extract(url, '{_URL}', 1), '') AS scheme,
+       NULLIF(regexp_extract(url, '{_URL}', 2), '') AS bucket,
+       NULLIF(regexp_extract(url, '{_URL}', 3), '') AS path
+FROM pages
+"""
+
+ORACLE["reindex_columns"] = oracle_cte("dirty_stores") + """
+SELECT index, store_code, store_type, staff_numbers, address, longitude, latitude,
+       CAST(NULL AS VARCHAR) AS locality, CAST(NULL AS VARCHAR) AS country_code,
+       continent, opening_date
+FROM dirty_stores
+"""
+
+ORACLE["drop_index_column"] = oracle_cte("dirty_users") + """
+SELECT first_name, last_name, date_of_birth, address, country_code FROM dirty_users
+"""
+
+ORACLE["dropna_subset"] = oracle_cte("dirty_users") + """
+SELECT * FROM dirty_users WHERE address IS NOT NULL
+"""
+
+ORACLE["dropna_any"] = oracle_cte("dirty_cards") + """
+SELECT * FROM dirty_cards
+WHERE card_number IS NOT NULL AND expiry_date IS NOT NULL AND date_payment_confirmed IS NOT NULL
+"""
+
+ORACLE["null_unknown_codes"] = oracle_cte("dirty_users") + f"""
+SELECT {_junk('index')} AS index, {_junk('first_name')} AS first_name,
+       {_junk('last_name')} AS last_name, {_junk('date_of_birth')} AS date_of_birth,
+       {_junk('address')} AS address, {_junk('country_code')} AS country_code
+FROM dirty_users
+"""
+
+ORACLE["null_literal"] = oracle_cte("dirty_dates") + """
+SELECT date_key, NULLIF(year, 'NULL') AS year, NULLIF(month, 'NULL') AS month,
+       NULLIF(day, 'NULL') AS day, NULLIF(timestamp, 'NULL') AS timestamp,
+       NULLIF(time_period, 'NULL') AS time_period
+FROM dirty_dates
+"""
+
+ORACLE["parse_mixed_dates"] = oracle_cte("dirty_users") + f"""
+SELECT index, first_name, last_name, CAST(dob AS VARCHAR) AS date_of_birth, address, country_code
+FROM (SELECT *, {_mixed_date('date_of_birth')} AS dob FROM dirty_users) t
+WHERE dob IS NOT NULL
+"""
+
+ORACLE["clean_address"] = oracle_cte("dirty_users") + """
+SELECT index, first_name, last_name, date_of_birth, replace(address, chr(10), ', ') AS address, country_code
+FROM dirty_users WHERE address IS NOT NULL
+"""
+
+ORACLE["strip_currency"] = oracle_cte("dirty_products") + """
+SELECT product_code, replace(product_price, '£', '') AS product_price FROM dirty_products
+"""
+
+ORACLE["strip_question_marks"] = oracle_cte("dirty_cards") + """
+SELECT date_payment_confirmed, regexp_replace(card_number, '[?]+', '', 'g') AS card_number FROM dirty_cards
+"""
+
+ORACLE["digits_only_staff"] = oracle_cte("dirty_stores") + """
+SELECT index, regexp_replace(staff_numbers, '[A-Za-z]+', '', 'g') AS staff_numbers FROM dirty_stores
+"""
+
+ORACLE["fix_continent"] = oracle_cte("dirty_stores") + """
+SELECT index, regexp_replace(continent, '^[a-z]+', '') AS continent FROM dirty_stores
+"""
+
+ORACLE["weights_to_kg"] = oracle_cte("dirty_products") + f"""
+SELECT product_code, {_weight_kg('weight')} AS weight FROM dirty_products WHERE weight IS NOT NULL
+"""
+
+_NUM = ("NULLIF(regexp_extract(replace(replace(weight, ' ', ''), 'x', '*'), "
+        "'([0-9]+\\.[0-9]+|[0-9]+\\*[0-9]+|[0-9]+)', 1), '')")
+ORACLE["multipack_weight"] = oracle_cte("dirty_products") + f"""
+SELECT product_code, weight, {_multipack(_NUM)} AS amount FROM dirty_products
+"""
+
+ORACLE["removed_flag"] = oracle_cte("dirty_products") + """
+SELECT product_code, COALESCE(removed = 'Removed', false) AS removed FROM dirty_products
+"""
+
+_WEIGHT_CLASS = """CASE WHEN weight < 2 THEN 'Light'
+            WHEN weight >= 2 AND weight < 40 THEN 'Mid_Sized'
+            WHEN weight >= 40 AND weight < 140 THEN 'Heavy'
+            WHEN weight >= 140 THEN 'Truck_Required' END"""
+ORACLE["weight_class"] = oracle_cte("product") + f"""
+SELECT product_code, weight, {_WEIGHT_CLASS} AS weight_class FROM product
+"""
+
+
+def _nul(c: str) -> str:
+    return f"CASE WHEN regexp_full_match(CAST({c} AS VARCHAR), '{_JUNK}') OR {c} = 'NULL' THEN NULL ELSE {c} END AS {c}"
+
+
+_DATES_CLEAN = f"""
+dates_clean AS (
+  SELECT date_key, year, month, day, time_period,
+         strptime(year || '-' || month || '-' || day || ' ' || timestamp, '%Y-%m-%d %H:%M:%S') AS datetime
+  FROM (SELECT {_junk('date_key')} AS date_key, {_nul('year')}, {_nul('month')}, {_nul('day')},
+               {_nul('timestamp')}, {_nul('time_period')} FROM dirty_dates) j
+  WHERE date_key IS NOT NULL AND year IS NOT NULL AND month IS NOT NULL AND day IS NOT NULL
+    AND timestamp IS NOT NULL AND time_period IS NOT NULL
+)"""
+ORACLE["build_datetime"] = oracle_cte("dirty_dates") + "," + _DATES_CLEAN + """
+SELECT * FROM dates_clean
+"""
+
+ORACLE["dedupe_exact"] = oracle_cte("fact") + """
+SELECT DISTINCT * FROM fact
+"""
+
+_USERS_CLEAN = f"""
+users_clean AS (
+  SELECT first_name, last_name, dob AS date_of_birth, replace(address, chr(10), ', ') AS address,
+         CASE WHEN country_code = 'GGB' THEN 'GB' ELSE country_code END AS country_code
+  FROM (SELECT {_junk('first_name')} AS first_name, {_junk('last_name')} AS last_name, dob,
+               {_junk('address')} AS address, {_junk('country_code')} AS country_code
+        FROM (SELECT *, {_mixed_date('date_of_birth')} AS dob FROM dirty_users) p
+        WHERE dob IS NOT NULL) j
+  WHERE address IS NOT NULL
+)"""
+ORACLE["clean_users"] = oracle_cte("dirty_users") + "," + _USERS_CLEAN + """
+SELECT first_name, last_name, CAST(date_of_birth AS VARCHAR) AS date_of_birth, address, country_code
+FROM users_clean
+"""
+
+
+def _hdr(c: str) -> str:
+    return f"CASE WHEN regexp_full_match({c}, '{_JUNK}') OR {c} = '{c}' THEN NULL ELSE {c} END AS {c}"
+
+
+_CARDS_CLEAN = f"""
+cards_clean AS (
+  SELECT regexp_replace(card_number, '[?]+', '', 'g') AS card_number, expiry_date, date_payment_confirmed
+  FROM (SELECT {_hdr('card_number')}, {_hdr('expiry_date')}, {_hdr('date_payment_confirmed')}
+        FROM dirty_cards) h
+  WHERE card_number IS NOT NULL AND expiry_date IS NOT NULL AND date_payment_confirmed IS NOT NULL
+)"""
+ORACLE["clean_cards"] = oracle_cte("dirty_cards") + "," + _CARDS_CLEAN + """
+SELECT * FROM cards_clean
+"""
+
+_WEB = "store_type = 'Web Portal'"
+_STORES_CLEAN = f"""
+stores_clean AS (
+  SELECT store_code, store_type,
+         regexp_replace(staff_numbers, '[A-Za-z]+', '', 'g') AS staff_numbers,
+         CASE WHEN {_WEB} THEN 'N/A' ELSE address END AS address,
+         CASE WHEN {_WEB} THEN NULL ELSE longitude END AS longitude,
+         CASE WHEN {_WEB} THEN NULL ELSE latitude END AS latitude,
+         locality, country_code,
+         regexp_replace(CASE WHEN {_WEB} THEN 'N/A' ELSE continent END, '^[a-z]+', '') AS continent,
+         opening_date
+  FROM (SELECT store_code, store_type, staff_numbers, replace(address, chr(10), ', ') AS address,
+               longitude, latitude, locality, country_code, continent,
+               {_mixed_date('opening_date')} AS opening_date
+        FROM (SELECT {_junk('store_code')} AS store_code, {_junk('store_type')} AS store_type,
+                     {_junk('staff_numbers')} AS staff_numbers, {_junk('address')} AS address,
+                     {_junk('longitude')} AS longitude, {_junk('latitude')} AS latitude,
+                     CAST(NULL AS VARCHAR) AS locality, CAST(NULL AS VARCHAR) AS country_code,
+                     {_junk('continent')} AS continent, {_junk('opening_date')} AS opening_date
+              FROM dirty_stores) j
+        WHERE address IS NOT NULL) a
+  WHERE opening_date IS NOT NULL
+)"""
+ORACLE["clean_stores"] = oracle_cte("dirty_stores") + "," + _STORES_CLEAN + """
+SELECT * REPLACE (CAST(opening_date AS VARCHAR) AS opening_date) FROM stores_clean
+"""
+
+_PRODUCTS_CLEAN = f"""
+products_clean AS (
+  SELECT product_name, replace(product_price, '£', '') AS product_price,
+         round_even(weight, 3) AS weight, category, EAN, date_added, uuid,
+         COALESCE(removed = 'Removed', false) AS removed, product_code
+  FROM (SELECT product_name, product_price, {_weight_kg('weight')} AS weight, category, EAN,
+               {_mixed_date('date_added')} AS date_added, uuid, removed, product_code
+        FROM (SELECT {_junk('product_name')} AS product_name, {_junk('product_price')} AS product_price,
+                     {_junk('weight')} AS weight, CAST(NULL AS VARCHAR) AS category,
+                     CAST(NULL AS VARCHAR) AS EAN, {_junk('date_added')} AS date_added,
+                     CAST(NULL AS VARCHAR) AS uuid, {_junk('removed')} AS removed,
+                     {_junk('product_code')} AS product_code
+              FROM dirty_products) j
+        WHERE weight IS NOT NULL) w
+  WHERE date_added IS NOT NULL
+)"""
+ORACLE["clean_products"] = oracle_cte("dirty_products") + "," + _PRODUCTS_CLEAN + """
+SELECT * REPLACE (CAST(date_added AS VARCHAR) AS date_added) FROM products_clean
+"""
+
+ORACLE["clean_orders"] = oracle_cte("dirty_orders") + """
+SELECT date_key, store_code, product_code, product_quantity FROM dirty_orders
+"""
+
+# --- conformance and constraints --------------------------------------------------
+
+ORACLE["conform_fact"] = oracle_cte("dirty_orders") + """
+SELECT date_key, CAST(store_code AS VARCHAR) AS store_code, CAST(product_code AS VARCHAR) AS product_code,
+       CAST(product_quantity AS SMALLINT) AS product_quantity
+FROM dirty_orders
+"""
+
+ORACLE["conform_users"] = ORACLE["clean_users"]
+
+ORACLE["conform_stores"] = oracle_cte("dirty_stores") + "," + _STORES_CLEAN + """
+SELECT store_code, store_type, CAST(staff_numbers AS SMALLINT) AS staff_numbers, address,
+       CAST(longitude AS FLOAT) AS longitude, CAST(latitude AS FLOAT) AS latitude,
+       locality, country_code, continent, CAST(opening_date AS VARCHAR) AS opening_date
+FROM stores_clean
+"""
+
+ORACLE["conform_products"] = oracle_cte("dirty_products") + "," + _PRODUCTS_CLEAN + f"""
+SELECT product_name, CAST(CAST(product_price AS DECIMAL(12,2)) AS DOUBLE) AS product_price,
+       CAST(weight AS FLOAT) AS weight, category, EAN, CAST(date_added AS VARCHAR) AS date_added,
+       uuid, NOT removed AS still_available, CAST(product_code AS VARCHAR) AS product_code,
+       {_WEIGHT_CLASS} AS weight_class
+FROM products_clean
+"""
+
+ORACLE["conform_dates"] = ORACLE["build_datetime"]
+
+ORACLE["conform_cards"] = oracle_cte("dirty_cards") + "," + _CARDS_CLEAN + """
+SELECT card_number, expiry_date, CAST(CAST(date_payment_confirmed AS DATE) AS VARCHAR) AS date_payment_confirmed
+FROM cards_clean
+"""
+
+_UUID = r"\{?[0-9a-fA-F]{8}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{12}\}?"
+ORACLE["conform_violations"] = oracle_cte("bad_uuid") + f"""
+SELECT 'bad_uuid' AS "table", 'user_uuid' AS "column", 'uuid' AS rule, CAST(id AS VARCHAR) AS key, user_uuid AS value
+FROM bad_uuid WHERE user_uuid IS NOT NULL AND NOT regexp_full_match(user_uuid, '{_UUID}')
+UNION ALL
+SELECT 'bad_uuid', 'small_text', 'int2', CAST(id AS VARCHAR), small_text
+FROM bad_uuid WHERE small_text IS NOT NULL AND TRY_CAST(small_text AS SMALLINT) IS NULL
+UNION ALL
+SELECT 'bad_uuid', 'country_code', 'varchar(2)', CAST(id AS VARCHAR), country_code
+FROM bad_uuid WHERE length(country_code) > 2
+"""
+
+ORACLE["pk_violations"] = oracle_cte("dirty_orders") + """
+SELECT date_key, level_0, CAST(COUNT(*) AS BIGINT) AS n_rows
+FROM dirty_orders
+GROUP BY date_key, level_0
+HAVING COUNT(*) > 1 OR date_key IS NULL OR level_0 IS NULL
+"""
+
+ORACLE["fk_violations"] = oracle_cte("dangling_fact", "store") + """
+SELECT f.* FROM dangling_fact f
+WHERE f.store_code IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM store s WHERE s.store_code = f.store_code)
+"""
+
+ORACLE["preview_limit"] = oracle_cte("dirty_products") + "," + _PRODUCTS_CLEAN + """
+SELECT * REPLACE (CAST(date_added AS VARCHAR) AS date_added) FROM products_clean
+ORDER BY product_code LIMIT 2000
+"""

@@ -108,3 +108,242 @@ def q_avg_gap_by_year_top5(spark, sf_dir):
 @register("avg_gap_telescoped")
 def q_avg_gap_telescoped(spark, sf_dir):
     return gaps.avg_gap_telescoped(view(spark, sf_dir, "date_dim"))
+
+
+# --- scalar, filter and cleaning operators over the dirty views --------------
+
+from loomstar.functions.text import (  # noqa: E402
+    equals_flag,
+    strip_leading_lower,
+    strip_letters,
+    strip_literal,
+    strip_question_marks,
+)
+from loomstar.functions.urls import url_parts  # noqa: E402
+from loomstar.functions.weights import (  # noqa: E402
+    eval_multipack,
+    normalise_weight_text,
+    weight_number_text,
+)
+from loomstar.operators import cleaning as C  # noqa: E402
+from loomstar.operators import conform as D  # noqa: E402
+from loomstar.operators import constraints as K  # noqa: E402
+from loomstar.operators import nulls as N  # noqa: E402
+from loomstar.operators import reshape as R  # noqa: E402
+
+STORE_COLUMNS = ["index", "store_code", "store_type", "staff_numbers", "address", "longitude",
+                 "latitude", "locality", "country_code", "continent", "opening_date"]
+PRODUCT_COLUMNS = ["product_name", "product_price", "weight", "category", "EAN", "date_added",
+                   "uuid", "removed", "product_code"]
+
+
+def _orders_with_one(spark, sf_dir):
+    # the fixture's ``one`` stands for the column literally named ``1``
+    return view(spark, sf_dir, "dirty_orders").withColumnRenamed("one", "1")
+
+
+@register("na_tokens_to_null")
+def q_na_tokens_to_null(spark, sf_dir):
+    return N.na_tokens_to_null(view(spark, sf_dir, "dirty_products"))
+
+
+@register("url_parts")
+def q_url_parts(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return pages.select("page_id", "url", *url_parts("url"))
+
+
+@register("reindex_columns")
+def q_reindex_columns(spark, sf_dir):
+    return R.reindex_columns(view(spark, sf_dir, "dirty_stores"), STORE_COLUMNS)
+
+
+@register("drop_index_column")
+def q_drop_index_column(spark, sf_dir):
+    return R.drop_index_column(view(spark, sf_dir, "dirty_users"), "index")
+
+
+@register("dropna_subset")
+def q_dropna_subset(spark, sf_dir):
+    return N.dropna_subset(view(spark, sf_dir, "dirty_users"), ["address"])
+
+
+@register("dropna_any")
+def q_dropna_any(spark, sf_dir):
+    return N.dropna_any(view(spark, sf_dir, "dirty_cards"))
+
+
+@register("null_unknown_codes")
+def q_null_unknown_codes(spark, sf_dir):
+    return N.null_unknown_codes(view(spark, sf_dir, "dirty_users"))
+
+
+@register("null_literal")
+def q_null_literal(spark, sf_dir):
+    return N.null_literal(view(spark, sf_dir, "dirty_dates"))
+
+
+@register("parse_mixed_dates")
+def q_parse_mixed_dates(spark, sf_dir):
+    return present(C.parse_mixed_dates(view(spark, sf_dir, "dirty_users")))
+
+
+@register("clean_address")
+def q_clean_address(spark, sf_dir):
+    return C.clean_address(view(spark, sf_dir, "dirty_users"))
+
+
+@register("strip_currency")
+def q_strip_currency(spark, sf_dir):
+    p = view(spark, sf_dir, "dirty_products")
+    return p.select("product_code", strip_literal("product_price", C.CURRENCY_SIGN).alias("product_price"))
+
+
+@register("strip_question_marks")
+def q_strip_question_marks(spark, sf_dir):
+    cards = view(spark, sf_dir, "dirty_cards")
+    return cards.select("date_payment_confirmed", strip_question_marks("card_number").alias("card_number"))
+
+
+@register("digits_only_staff")
+def q_digits_only_staff(spark, sf_dir):
+    s = view(spark, sf_dir, "dirty_stores")
+    return s.select("index", strip_letters("staff_numbers").alias("staff_numbers"))
+
+
+@register("fix_continent")
+def q_fix_continent(spark, sf_dir):
+    s = view(spark, sf_dir, "dirty_stores")
+    return s.select("index", strip_leading_lower("continent").alias("continent"))
+
+
+@register("weights_to_kg")
+def q_weights_to_kg(spark, sf_dir):
+    p = view(spark, sf_dir, "dirty_products").select("product_code", "weight")
+    return C.weights_to_kg(p)
+
+
+@register("multipack_weight")
+def q_multipack_weight(spark, sf_dir):
+    p = view(spark, sf_dir, "dirty_products")
+    number = weight_number_text(normalise_weight_text("weight"))
+    return p.select("product_code", "weight", eval_multipack(number).alias("amount"))
+
+
+@register("removed_flag")
+def q_removed_flag(spark, sf_dir):
+    p = view(spark, sf_dir, "dirty_products")
+    return p.select("product_code", equals_flag("removed", "Removed").alias("removed"))
+
+
+@register("weight_class")
+def q_weight_class(spark, sf_dir):
+    p = view(spark, sf_dir, "product")
+    return p.select("product_code", "weight", D.weight_class("weight").alias("weight_class"))
+
+
+@register("build_datetime")
+def q_build_datetime(spark, sf_dir):
+    return C.build_datetime(view(spark, sf_dir, "dirty_dates"))
+
+
+@register("dedupe_exact")
+def q_dedupe_exact(spark, sf_dir):
+    return C.dedupe_exact(view(spark, sf_dir, "fact"))
+
+
+@register("clean_users")
+def q_clean_users(spark, sf_dir):
+    return present(C.clean_users(view(spark, sf_dir, "dirty_users")))
+
+
+@register("clean_cards")
+def q_clean_cards(spark, sf_dir):
+    return C.clean_cards(view(spark, sf_dir, "dirty_cards"))
+
+
+def _clean_stores_df(spark, sf_dir):
+    raw = R.reindex_columns(view(spark, sf_dir, "dirty_stores"), STORE_COLUMNS)
+    return C.clean_stores(raw)
+
+
+def _clean_products_df(spark, sf_dir):
+    raw = R.reindex_columns(view(spark, sf_dir, "dirty_products"), PRODUCT_COLUMNS)
+    return C.clean_products(raw)
+
+
+@register("clean_stores")
+def q_clean_stores(spark, sf_dir):
+    return present(_clean_stores_df(spark, sf_dir))
+
+
+@register("clean_products")
+def q_clean_products(spark, sf_dir):
+    return present(_clean_products_df(spark, sf_dir))
+
+
+@register("clean_orders")
+def q_clean_orders(spark, sf_dir):
+    return C.clean_orders(_orders_with_one(spark, sf_dir))
+
+
+# --- conformance and constraints ----------------------------------------------
+
+@register("conform_fact")
+def q_conform_fact(spark, sf_dir):
+    return D.conform(C.clean_orders(_orders_with_one(spark, sf_dir)), D.SPECS["orders_table"])
+
+
+@register("conform_users")
+def q_conform_users(spark, sf_dir):
+    users = C.clean_users(view(spark, sf_dir, "dirty_users"))
+    return present(D.conform(users, D.SPECS["dim_users_table"]))
+
+
+@register("conform_stores")
+def q_conform_stores(spark, sf_dir):
+    return present(D.conform(_clean_stores_df(spark, sf_dir), D.SPECS["dim_store_details"]))
+
+
+@register("conform_products")
+def q_conform_products(spark, sf_dir):
+    out = D.conform_products(_clean_products_df(spark, sf_dir))
+    return present(out.withColumn("product_price", F.col("product_price").cast("double")))
+
+
+@register("conform_dates")
+def q_conform_dates(spark, sf_dir):
+    return D.conform(C.build_datetime(view(spark, sf_dir, "dirty_dates")), D.SPECS["dim_date_times"])
+
+
+@register("conform_cards")
+def q_conform_cards(spark, sf_dir):
+    cards = C.clean_cards(view(spark, sf_dir, "dirty_cards"))
+    return present(D.conform(cards, D.SPECS["dim_card_details"]))
+
+
+# Declared types for the bad_uuid fixture: a uuid, a small integer and a 2-letter code.
+BAD_UUID_SPEC = {"user_uuid": "uuid", "small_text": "int2", "country_code": "varchar(2)"}
+
+
+@register("conform_violations")
+def q_conform_violations(spark, sf_dir):
+    return D.conform_violations(view(spark, sf_dir, "bad_uuid"), BAD_UUID_SPEC, "id", "bad_uuid")
+
+
+@register("pk_violations")
+def q_pk_violations(spark, sf_dir):
+    lines = view(spark, sf_dir, "dirty_orders")
+    return K.pk_violations(lines, ["date_key", "level_0"])
+
+
+@register("fk_violations")
+def q_fk_violations(spark, sf_dir):
+    fact, store = views(spark, sf_dir, "dangling_fact", "store")
+    return K.fk_violations(fact, store, "store_code")
+
+
+@register("preview_limit")
+def q_preview_limit(spark, sf_dir):
+    out = _clean_products_df(spark, sf_dir)
+    return present(out.orderBy(F.col("product_code").asc_nulls_last()).limit(2000))
