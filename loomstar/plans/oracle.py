@@ -435,3 +435,38 @@ ORACLE["preview_limit"] = oracle_cte("dirty_products") + "," + _PRODUCTS_CLEAN +
 SELECT * REPLACE (CAST(date_added AS VARCHAR) AS date_added) FROM products_clean
 ORDER BY product_code LIMIT 2000
 """
+
+
+# --- sources ---------------------------------------------------------------------
+
+ORACLE["scan_table"] = "SELECT * FROM customer"
+
+ORACLE["scan_csv_products"] = oracle_cte("dirty_products") + f"""
+SELECT CAST(product_code AS VARCHAR) AS _c0, CAST(product_code AS VARCHAR) AS product_code,
+       {_na('product_name')}, {_na('product_price')}, {_na('weight')}, {_na('removed')}, {_na('date_added')}
+FROM dirty_products
+"""
+
+ORACLE["scan_columnar_json"] = oracle_cte("dirty_dates") + """
+SELECT * FROM dirty_dates
+"""
+
+ORACLE["missing_document_ids"] = """
+SELECT CAST(id AS BIGINT) AS id
+FROM (SELECT unnest(range(0, (SELECT COUNT(*) FROM supplier))) AS id) r
+WHERE id NOT IN (SELECT s_suppkey FROM supplier)
+"""
+
+ORACLE["json_flatten_props"] = """
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS "props.k" FROM events
+"""
+
+ORACLE["drop_repeated_headers"] = oracle_cte("dirty_cards") + """
+SELECT * FROM dirty_cards
+WHERE NOT COALESCE(card_number = 'card_number' AND expiry_date = 'expiry_date'
+                   AND date_payment_confirmed = 'date_payment_confirmed', false)
+"""
+
+ORACLE["union_pages"] = oracle_cte("dirty_cards") + """
+SELECT * FROM dirty_cards
+"""

@@ -347,3 +347,80 @@ def q_fk_violations(spark, sf_dir):
 def q_preview_limit(spark, sf_dir):
     out = _clean_products_df(spark, sf_dir)
     return present(out.orderBy(F.col("product_code").asc_nulls_last()).limit(2000))
+
+
+# --- sources: each file-format key writes its input with Spark to a fresh folder
+# under the shared checkpoint directory and reads it back -----------------------
+
+from loomstar.session import scratch_path  # noqa: E402
+from loomstar.sources import readers as S  # noqa: E402
+
+DATE_PARTS = ["year", "month", "day", "timestamp", "time_period"]
+CARD_COLUMNS = ["card_number", "expiry_date", "date_payment_confirmed"]
+ROWS_PER_PAGE = 5_000
+
+
+@register("scan_table")
+def q_scan_table(spark, sf_dir):
+    return S.scan_table(spark, f"{sf_dir}/customer.parquet")
+
+
+@register("scan_csv_products")
+def q_scan_csv_products(spark, sf_dir):
+    src = view(spark, sf_dir, "dirty_products")
+    # a leading column with an empty header, as written by a frame's row index
+    out = src.select(F.col("product_code").cast("string").alias(""), *src.columns)
+    path = scratch_path(spark, "products-csv")
+    out.write.option("header", "true").mode("errorifexists").csv(path)
+    return S.read_csv_strings(spark, path)
+
+
+@register("scan_columnar_json")
+def q_scan_columnar_json(spark, sf_dir):
+    src = view(spark, sf_dir, "dirty_dates")
+    path = scratch_path(spark, "dates-json")
+    S.write_columnar_json(src, path, key="date_key", rows_per_doc=4_000)
+    rows = S.read_columnar_json(spark, path, DATE_PARTS, key="date_key")
+    return rows.withColumn("date_key", F.col("date_key").cast("bigint"))
+
+
+def _store_documents(spark, sf_dir):
+    s = view(spark, sf_dir, "dirty_stores")
+    return s.select("index", "store_code", "store_type", "staff_numbers", "address",
+                    F.struct("longitude", "latitude").alias("geo"), "continent", "opening_date")
+
+
+@register("missing_document_ids")
+def q_missing_document_ids(spark, sf_dir):
+    path = scratch_path(spark, "store-docs")
+    _store_documents(spark, sf_dir).write.mode("errorifexists").json(path)
+    docs = S.flatten(S.read_json_documents(spark, path))
+    expected = spark.read.parquet(f"{sf_dir}/supplier.parquet").count()  # the count endpoint
+    return S.missing_document_ids(docs, "index", expected)
+
+
+@register("json_flatten_props")
+def q_json_flatten_props(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "props")
+    return S.flatten_json_column(events, "props", "k BIGINT")
+
+
+def _write_card_pages(spark, sf_dir) -> str:
+    cards = view(spark, sf_dir, "dirty_cards")
+    pages = max(1, -(-cards.count() // ROWS_PER_PAGE))
+    path = scratch_path(spark, "card-pages")
+    # every page file starts with the column names, as pages extracted from a document do
+    cards.repartition(pages).write.option("header", "true").mode("errorifexists").csv(path)
+    return path
+
+
+@register("drop_repeated_headers")
+def q_drop_repeated_headers(spark, sf_dir):
+    path = _write_card_pages(spark, sf_dir)
+    return S.drop_repeated_headers(S.read_pages(spark, path, CARD_COLUMNS))
+
+
+@register("union_pages")
+def q_union_pages(spark, sf_dir):
+    path = _write_card_pages(spark, sf_dir)
+    return spark.read.option("header", "true").csv(path)
