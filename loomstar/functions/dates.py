@@ -24,6 +24,20 @@ MIXED_DATE_FORMATS = (
     "MMMM yyyy d",
     "yyyy",
 )
+
+# The shape each layout can accept.  A failed parse costs an exception inside
+# the executor, so a parse is only attempted when the text has the right shape.
+_D1_2, _D4 = r"[0-9]{1,2}", r"[0-9]{4}"
+_SHAPES = {
+    "yyyy-M-d H:m:s": rf"^{_D4}-{_D1_2}-{_D1_2} {_D1_2}:{_D1_2}:{_D1_2}$",
+    "yyyy-M-d": rf"^{_D4}-{_D1_2}-{_D1_2}$",
+    "yyyy/M/d": rf"^{_D4}/{_D1_2}/{_D1_2}$",
+    "M/d/yyyy": rf"^{_D1_2}/{_D1_2}/{_D4}$",
+    "d/M/yyyy": rf"^{_D1_2}/{_D1_2}/{_D4}$",
+    "yyyy MMMM d": rf"^{_D4} [A-Za-z]+ {_D1_2}$",
+    "MMMM yyyy d": rf"^[A-Za-z]+ {_D4} {_D1_2}$",
+    "yyyy": rf"^{_D4}$",
+}
 MIN_YEAR, MAX_YEAR = 1677, 2262
 
 # Fixed value: layout of the date-dimension parts joined as text.
@@ -37,7 +51,12 @@ def _c(c: str | Column) -> Column:
 def parse_mixed_timestamp(c: str | Column, formats: tuple[str, ...] = MIXED_DATE_FORMATS) -> Column:
     """X-16: mixed text -> TIMESTAMP_NTZ, NULL when no format fits or out of range."""
     text = F.trim(_c(c).cast("string"))
-    parsed = F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+    attempts = []
+    for f in formats:
+        attempt = F.try_to_timestamp(text, F.lit(f))
+        shape = _SHAPES.get(f)
+        attempts.append(F.when(text.rlike(shape), attempt) if shape else attempt)
+    parsed = F.coalesce(*attempts)
     parsed = parsed.cast("timestamp_ntz")
     yr = F.year(parsed)
     return F.when((yr >= MIN_YEAR) & (yr <= MAX_YEAR), parsed)

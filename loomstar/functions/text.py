@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: a junk cell is exactly ten upper-case letters or digits.  The
 # optional final newline mirrors ``$`` in the original pattern, which also
@@ -19,15 +20,28 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def is_junk_code(c: str | Column) -> Column:
-    """X-01: the text form of the cell is a junk code (NULL -> false)."""
-    return F.coalesce(_c(c).cast("string").rlike(JUNK_CODE), F.lit(False))
+def is_junk_code(c: str | Column, dtype: T.DataType | None = None) -> Column:
+    """X-01: the text form of the cell is a junk code (NULL -> false).
+
+    With the column's type known the test is cheaper: an integer's text is a
+    code exactly when it has ten digits, and fractional, temporal and boolean
+    values never print as ten letters or digits.  Text is length-checked
+    before the regular expression runs.
+    """
+    col = _c(c)
+    if isinstance(dtype, T.IntegralType):
+        return F.coalesce(col.between(1_000_000_000, 9_999_999_999), F.lit(False))
+    if isinstance(dtype, (T.FloatType, T.DoubleType, T.DateType, T.TimestampType,
+                          T.TimestampNTZType, T.BooleanType)):
+        return F.lit(False)
+    text = col.cast("string")
+    return F.coalesce(F.length(text).between(10, 11) & text.rlike(JUNK_CODE), F.lit(False))
 
 
-def null_if_junk(c: str | Column) -> Column:
+def null_if_junk(c: str | Column, dtype: T.DataType | None = None) -> Column:
     """F-03 for one cell: NULL when the cell is a junk code, else unchanged (type kept)."""
     col = _c(c)
-    return F.when(~is_junk_code(col), col)
+    return F.when(~is_junk_code(col, dtype), col)
 
 
 def newlines_to_commas(c: str | Column) -> Column:

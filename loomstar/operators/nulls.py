@@ -35,8 +35,9 @@ def null_unknown_codes(df: DataFrame, exclude: tuple[str, ...] = ()) -> DataFram
     Only cells change; no row is removed here (Q-01).  ``exclude`` protects
     columns whose legitimate values look like codes (Q-02).
     """
-    return df.select(*[F.col(c) if c in exclude else null_if_junk(c).alias(c)
-                       for c in df.columns])
+    return df.select(*[F.col(f.name) if f.name in exclude
+                       else null_if_junk(f.name, f.dataType).alias(f.name)
+                       for f in df.schema.fields])
 
 
 def null_header_cells(df: DataFrame) -> DataFrame:

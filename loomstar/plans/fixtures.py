@@ -15,6 +15,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loomstar.session import scratch_path
+
 # The derived-view definitions (deterministic, no randomness).
 VIEWS: dict[str, str] = {
     "fact": """
@@ -124,15 +126,47 @@ def tables_of(view: str) -> list[str]:
     return seen
 
 
+# Resolved (lazy) DataFrames per session and location.  Resolving a Parquet
+# source lists its files and reads a footer, and binding a view parses and
+# analyses its SQL; both are plan-time costs worth paying once.  Only plans are
+# kept here, never data.
+_RESOLVED: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
+
+
+def _resolved(spark: SparkSession, key: str, build) -> DataFrame:
+    hit = _RESOLVED.get((id(spark), key))
+    if hit is not None and hit[0] is spark:
+        return hit[1]
+    df = build()
+    _RESOLVED[(id(spark), key)] = (spark, df)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One supplied table; Parquet gives column pruning and filter pushdown."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return _resolved(spark, path, lambda: spark.read.parquet(path))
+
+
+# Dirty inputs stand for files that land from outside (CSV, JSON, PDF pages,
+# database extracts).  They are landed once per session as Parquet in the
+# shared checkpoint folder and read back, so operators see scanned columns as
+# they would in production rather than the CASE expressions that fake the dirt.
+LANDED = frozenset({"dirty_users", "dirty_cards", "dirty_stores", "dirty_products",
+                    "dirty_orders", "dirty_dates", "dangling_fact", "bad_uuid"})
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A derived view as a lazy DataFrame over the supplied tables."""
-    sources = {t: table(spark, sf_dir, t) for t in tables_of(name)}
-    return spark.sql(VIEWS[name], **sources)
+    """A derived view as a DataFrame over the supplied tables (landed if dirty)."""
+    def build() -> DataFrame:
+        sources = {t: table(spark, sf_dir, t) for t in tables_of(name)}
+        df = spark.sql(VIEWS[name], **sources)
+        if name not in LANDED:
+            return df
+        path = scratch_path(spark, f"landed-{name}")
+        df.write.mode("errorifexists").parquet(path)
+        return spark.read.parquet(path)
+    return _resolved(spark, f"{sf_dir.rstrip('/')}#view:{name}", build)
 
 
 def views(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from loomstar.operators import gaps
 from loomstar.plans import analytics as A
-from loomstar.plans.fixtures import view, views
+from loomstar.plans.fixtures import table, view, views
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -149,7 +149,7 @@ def q_na_tokens_to_null(spark, sf_dir):
 
 @register("url_parts")
 def q_url_parts(spark, sf_dir):
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    pages = table(spark, sf_dir, "pages")
     return pages.select("page_id", "url", *url_parts("url"))
 
 
@@ -362,7 +362,7 @@ ROWS_PER_PAGE = 5_000
 
 @register("scan_table")
 def q_scan_table(spark, sf_dir):
-    return S.scan_table(spark, f"{sf_dir}/customer.parquet")
+    return S.scan_table(spark, f"{sf_dir.rstrip('/')}/customer.parquet")
 
 
 @register("scan_csv_products")
@@ -395,13 +395,13 @@ def q_missing_document_ids(spark, sf_dir):
     path = scratch_path(spark, "store-docs")
     _store_documents(spark, sf_dir).write.mode("errorifexists").json(path)
     docs = S.flatten(S.read_json_documents(spark, path))
-    expected = spark.read.parquet(f"{sf_dir}/supplier.parquet").count()  # the count endpoint
+    expected = table(spark, sf_dir, "supplier").count()  # the count endpoint
     return S.missing_document_ids(docs, "index", expected)
 
 
 @register("json_flatten_props")
 def q_json_flatten_props(spark, sf_dir):
-    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "props")
+    events = table(spark, sf_dir, "events").select("event_id", "props")
     return S.flatten_json_column(events, "props", "k BIGINT")
 
 

@@ -19,6 +19,9 @@ DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.ui.enabled": "false",
+    # Generated methods above 8 KB of bytecode are not JIT-compiled by the JVM;
+    # such stages run faster on Spark's expression interpreter.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
