@@ -102,7 +102,7 @@ def q_next_event_gap(spark, sf_dir):
 
 @register("avg_gap_by_year_top5")
 def q_avg_gap_by_year_top5(spark, sf_dir):
-    return A.avg_gap_by_year_top(view(spark, sf_dir, "date_dim"), 5, telescoped=False)
+    return A.avg_gap_by_year_top(view(spark, sf_dir, "date_dim"), 5)
 
 
 @register("avg_gap_telescoped")
