@@ -2,11 +2,11 @@
 
 ``next_event_gap`` is ``LEAD(ts) OVER (PARTITION BY part ORDER BY ts, key)``.
 A plain window would send each partition (a year: only a handful exist) to a
-single task.  Instead the window runs per (part, time slice), and the last row
-of every slice takes the first time of the next non-empty slice, found with a
-small window over one row per slice.  The slice table holds one row per
-(part, slice), so its size is bounded by the calendar, not by the row count,
-and the planner broadcasts it when its measured size allows.
+single task, and equal timestamps (day-precision dates) would pile up in it.
+Instead rows are counted per (part, ts, key), only the distinct times are
+ordered, and the window over them runs per (part, time slice); the last time
+of a slice takes the first time of the next non-empty slice from a table of
+one row per slice, bounded by the calendar rather than the row count.
 
 ``avg_gap_telescoped`` gives the same yearly mean without any ordering: for the
 non-null times of a group the successor differences telescope,
@@ -27,38 +27,58 @@ def micros_between(start: Column, end: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", start, end)
 
 
+def _next_distinct(times: DataFrame, part: str, ts: str, slice_unit: str) -> DataFrame:
+    """For unique (part, ts) rows: the next larger ts in the same part (``_next``).
+
+    The window runs per (part, time slice); the last time of a slice takes the
+    first time of the next non-empty slice from a table of one row per slice.
+    """
+    rows = times.withColumn("_slice", F.date_trunc(slice_unit, F.col(ts)))
+    local = rows.withColumn(
+        "_next", F.lead(ts).over(Window.partitionBy(part, "_slice").orderBy(F.col(ts))))
+    heads = (rows.groupBy(part, "_slice").agg(F.min(ts).alias("_head"))
+             .withColumn("_next_head",
+                         F.lead("_head").over(Window.partitionBy(part).orderBy("_slice")))
+             .select(F.col(part).alias("_h_part"), F.col("_slice").alias("_h_slice"), "_next_head"))
+    joined = local.join(
+        heads, local[part].eqNullSafe(heads["_h_part"]) & (local["_slice"] == heads["_h_slice"]), "left")
+    return joined.select(*[c for c in times.columns],
+                         F.coalesce(F.col("_next"), F.col("_next_head")).alias("_next"))
+
+
 def next_event_gap(df: DataFrame, key: str = "date_key", part: str = "year",
                    ts: str = "datetime", slice_unit: str = "day") -> DataFrame:
     """Each row with the next time in its ``part`` and the gap in microseconds.
 
-    Rows are ordered by ``ts`` ascending with NULLs last, ties broken by ``key``.
+    Same rows as ``LEAD(ts) OVER (PARTITION BY part ORDER BY ts NULLS LAST, key)``.
+    Rows are first counted per (part, ts, key): a hot timestamp or key becomes
+    one row per task before any shuffle.  Within a group of equal times every
+    row's successor is that same time, except the row with the largest key,
+    whose successor is the next distinct time; only distinct times are ordered.
+    The counted groups are expanded back, so every input row appears once.
     Output: key, part, ts, ``next_<ts>``, ``gap_us``.
     """
     nxt = f"next_{ts}"
-    rows = (df.select(key, part, ts)
-            .withColumn("_slice", F.date_trunc(slice_unit, F.col(ts))))
-    in_slice = Window.partitionBy(part, "_slice").orderBy(
-        F.col(ts).asc_nulls_last(), F.col(key).asc_nulls_last())
-    local = rows.withColumn("_next", F.lead(ts).over(in_slice))
-
-    heads = (rows.where(F.col(ts).isNotNull())
-             .groupBy(part, "_slice")
-             .agg(F.min(ts).alias("_head")))
-    following = heads.withColumn(
-        "_next_head",
-        F.lead("_head").over(Window.partitionBy(part).orderBy("_slice")))
-    following = following.select(F.col(part).alias("_h_part"),
-                                 F.col("_slice").alias("_h_slice"), "_next_head")
-
-    joined = local.join(
-        following,
-        local[part].eqNullSafe(following["_h_part"]) & (local["_slice"] == following["_h_slice"]),
-        "left")
-    next_ts = F.coalesce(F.col("_next"), F.col("_next_head"))
-    return joined.select(
-        key, part, ts,
-        next_ts.alias(nxt),
-        micros_between(F.col(ts), next_ts).alias("gap_us"))
+    groups = df.groupBy(part, ts, key).agg(F.count(F.lit(1)).alias("_n"))
+    times = (groups.where(F.col(ts).isNotNull())
+             .groupBy(part, ts)
+             .agg(F.max(key).alias("_last_key"),
+                  F.max(F.col(key).isNull().cast("int")).alias("_null_key")))
+    succ = _next_distinct(times, part, ts, slice_unit).select(
+        F.col(part).alias("_s_part"), F.col(ts).alias("_s_ts"), "_last_key", "_null_key", "_next")
+    joined = groups.join(
+        succ, groups[part].eqNullSafe(succ["_s_part"]) & (groups[ts] == succ["_s_ts"]), "left")
+    # within the group: n-1 copies followed by the same time, the last by key by the next time
+    # NULL keys sort last among equal times, so they take the next time when present
+    is_last = F.when(F.col("_null_key") == 1, F.col(key).isNull()).otherwise(
+        F.col(key).eqNullSafe(F.col("_last_key")))
+    same = F.array_repeat(F.col(ts), (F.col("_n") - F.when(is_last, 1).otherwise(0)).cast("int"))
+    successors = F.when(F.col(ts).isNull(), F.array_repeat(F.lit(None).cast(df.schema[ts].dataType),
+                                                           F.col("_n").cast("int"))) \
+        .when(is_last, F.concat(same, F.array(F.col("_next")))) \
+        .otherwise(same)
+    out = joined.select(key, part, ts, F.explode(successors).alias(nxt))
+    return out.select(key, part, ts, nxt, micros_between(F.col(ts), F.col(nxt)).alias("gap_us"))
 
 
 def avg_gap_by_year(df: DataFrame, part: str = "year", ts: str = "datetime",

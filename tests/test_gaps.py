@@ -7,15 +7,15 @@ from loomstar.operators.gaps import avg_gap_by_year, avg_gap_telescoped, next_ev
 
 
 def brute_next(rows):
-    out = {}
+    out = []
     by_year = {}
     for key, year, ts in rows:
         by_year.setdefault(year, []).append((key, ts))
-    for items in by_year.values():
-        items.sort(key=lambda kt: (kt[1] is None, kt[1] or dt.datetime.min, kt[0]))
+    for year, items in by_year.items():
+        items.sort(key=lambda kt: (kt[1] is None, kt[1] or dt.datetime.min, kt[0] is None, kt[0] or 0))
         for i, (key, ts) in enumerate(items):
-            out[key] = items[i + 1][1] if i + 1 < len(items) else None
-    return out
+            out.append((key, year, ts, items[i + 1][1] if i + 1 < len(items) else None))
+    return sorted(out, key=str)
 
 
 def fixture_rows():
@@ -27,13 +27,16 @@ def fixture_rows():
         ts = None if key % 37 == 0 else base + dt.timedelta(days=rnd.randint(0, 40), hours=rnd.choice([0, 6]))
         rows.append((key, year, ts))
     rows.append((1000, 2022, base))                                # single-row year
+    rows += [(5, 2020, rows[5][2]), (5, 2020, rows[5][2])]          # exact duplicate rows
+    rows += [(None, 2020, rows[6][2]), (None, 2021, None)]           # NULL keys
     return rows
 
 
 def test_next_event_gap_matches_brute_force(spark):
     rows = fixture_rows()
     df = spark.createDataFrame(rows, "date_key long, year int, datetime timestamp_ntz")
-    got = {r.date_key: r.next_datetime for r in next_event_gap(df).collect()}
+    got = sorted(((r.date_key, r.year, r.datetime, r.next_datetime)
+                  for r in next_event_gap(df).collect()), key=str)
     assert got == brute_next(rows)
 
 
