@@ -19,9 +19,17 @@ def _exists_error(err: Exception) -> bool:
 
 
 def create_table(df: DataFrame, table: str, fmt: str = "parquet",
-                 path: str | None = None) -> bool:
-    """K-01 for catalog tables: write ``df`` as a new table; False if it already exists."""
+                 path: str | None = None, bucket_by: str | None = None,
+                 buckets: int | None = None) -> bool:
+    """K-01 for catalog tables: write ``df`` as a new table; False if it already exists.
+
+    With ``bucket_by`` the table is hash-bucketed (and sorted) on that column,
+    so later joins and aggregations on it between tables bucketed the same way
+    need no shuffle.
+    """
     writer = df.write.format(fmt).mode("errorifexists")
+    if bucket_by:
+        writer = writer.bucketBy(buckets or 64, bucket_by).sortBy(bucket_by)
     if path:
         writer = writer.option("path", path)
     try:

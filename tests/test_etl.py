@@ -2,6 +2,7 @@
 
 import os
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomstar.plans.etl import key_report, load_star
@@ -34,3 +35,24 @@ def test_load_star_and_key_report(spark, tmp_dir):
     # are supplier numbers while the store dimension uses "ST-" codes
     assert ("primary_key", "dim_products", "product_code") not in checks
     assert ("foreign_key", "orders_table", "store_code") in checks
+
+
+def test_bucketed_star_joins_without_fact_shuffle(spark):
+    from loomstar.plans import analytics as A
+    from loomstar.plans.etl import load_star_tables
+
+    sources = {
+        "orders_table": view(spark, SF_SMALL, "dirty_orders").withColumnRenamed("one", "1"),
+        "dim_date_times": view(spark, SF_SMALL, "dirty_dates"),
+    }
+    created = load_star_tables(spark, sources, "bkt_", buckets=8)
+    assert created == {"orders_table": True, "dim_date_times": True}
+    fact, dates = spark.table("bkt_orders_table"), spark.table("bkt_dim_date_times")
+    # conformed fact product codes are text
+    product = view(spark, SF_SMALL, "product").withColumn("product_code", F.col("product_code").cast("string"))
+    out = A.sales_by_month_top(fact, dates, product, 6)
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # the roll-up to the date key and the date join reuse the bucketing: no hash exchange on date_key
+    assert "hashpartitioning(date_key" not in plan
+    assert out.count() == 6
