@@ -1,9 +1,17 @@
 """Exact money arithmetic (X-12, X-20, P-08).
 
-Prices are ``DECIMAL(12,2)`` and quantities are whole numbers, so every sum of
-``quantity * price`` is exact and independent of summation order or of how the
-work is split across tasks.  Results are rounded half away from zero and only
-then turned into ``DOUBLE`` for presentation.
+Prices have two decimals and quantities are whole numbers, so every amount is
+a whole number of cents.  Prices are turned into BIGINT cents once, on the
+(small) product side; line amounts and their sums are then long arithmetic:
+exact, independent of summation order and of how work is split across tasks,
+and far cheaper than wide decimals (whose sums fall back to big-number
+objects).  ANSI mode turns a long overflow into an error, never a wrong sum;
+a BIGINT of cents reaches about 9.2e16 currency units.
+
+Presentation: ``double(cents) / 100`` is the nearest DOUBLE to the exact
+amount (while the cents fit a double exactly, below 2**53), i.e. the amount
+rounded to two places and then converted, as ``ROUND(x::NUMERIC, 2)``
+followed by a float conversion.
 """
 
 from __future__ import annotations
@@ -14,21 +22,25 @@ from pyspark.sql import functions as F
 MONEY = "decimal(12,2)"
 
 
-def line_amount(quantity: str | Column, price: str | Column) -> Column:
-    """``quantity * price`` for one fact line, as an exact decimal."""
-    q = F.col(quantity) if isinstance(quantity, str) else quantity
-    p = F.col(price) if isinstance(price, str) else price
-    return q.cast(MONEY) * p.cast(MONEY)
+def _c(c: str | Column) -> Column:
+    return F.col(c) if isinstance(c, str) else c
 
 
-def money_out(total: str | Column, scale: int = 2) -> Column:
-    """Round an exact decimal total to ``scale`` places, then present it as DOUBLE."""
-    t = F.col(total) if isinstance(total, str) else total
-    return F.round(t, scale).cast("double")
+def price_cents(price: str | Column) -> Column:
+    """A price as exact BIGINT cents (the price is taken as DECIMAL(12,2))."""
+    return (_c(price).cast(MONEY) * F.lit(100)).cast("long")
 
 
-def share_pct(part: str | Column, whole: str | Column) -> Column:
-    """``round(part * 100 / whole, 2)`` as DOUBLE; a zero whole raises under ANSI."""
-    p = F.col(part) if isinstance(part, str) else part
-    w = F.col(whole) if isinstance(whole, str) else whole
-    return F.round(p.cast("double") * 100 / w.cast("double"), 2)
+def line_cents(quantity: str | Column, cents: str | Column) -> Column:
+    """``quantity * price`` for one fact line, in cents."""
+    return _c(quantity).cast("long") * _c(cents)
+
+
+def money_from_cents(cents: str | Column) -> Column:
+    """Cents -> currency units as DOUBLE (exact cents, one correctly rounded division)."""
+    return _c(cents).cast("double") / F.lit(100.0)
+
+
+def share_pct(part_cents: str | Column, whole_cents: str | Column) -> Column:
+    """``round(part * 100 / whole, 2)`` on the DOUBLE amounts; a zero whole raises under ANSI."""
+    return F.round(money_from_cents(part_cents) * 100 / money_from_cents(whole_cents), 2)

@@ -13,9 +13,10 @@ Scale notes (each plan was read with ``explain("formatted")``):
   choice is left to the planner's size check (``autoBroadcastJoinThreshold``)
   and to AQE, which re-plans from the real shuffle sizes at run time.
 * Sales are rolled up to the grain of the next join key *before* that join
-  (eager aggregation).  With exact decimals ``sum(q) * p == sum(q * p)``, so the
-  answer is unchanged while the rows crossing each exchange shrink, and the
-  partial (map-side) aggregate collapses hot keys before any shuffle.
+  (eager aggregation).  Amounts are exact integer cents, so the answer does
+  not depend on where partial sums are formed, while the rows crossing each
+  exchange shrink and the partial (map-side) aggregate collapses hot keys
+  before any shuffle.
 * Distinct store counts are a semi join against the de-duplicated fact key,
   so the fact contributes at most one row per store per task to the shuffle.
 * Every top-k has a total order (group keys break ties) and explicit null
@@ -27,17 +28,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomstar.functions.money import line_amount, money_out, share_pct
+from loomstar.functions.money import line_cents, money_from_cents, price_cents, share_pct
 from loomstar.operators.gaps import avg_gap_by_year, avg_gap_telescoped  # noqa: F401
 
 ONLINE_TYPE = "Web Portal"
 
 
+def _prices(product: DataFrame) -> DataFrame:
+    """Product prices as BIGINT cents, computed on the dimension side."""
+    return product.select("product_code", price_cents("product_price").alias("price_cents"))
+
+
 def _priced(fact: DataFrame, product: DataFrame) -> DataFrame:
-    """Fact lines with their exact amount (J-02, P-08)."""
+    """Fact lines with their exact amount in cents (J-02, P-08)."""
     return (fact.select("date_key", "store_code", "product_code", "product_quantity")
-            .join(product.select("product_code", "product_price"), "product_code")
-            .withColumn("amount", line_amount("product_quantity", "product_price")))
+            .join(_prices(product), "product_code")
+            .withColumn("amount", line_cents("product_quantity", "price_cents")))
 
 
 def _stores_with_orders(fact: DataFrame, store: DataFrame) -> DataFrame:
@@ -66,7 +72,7 @@ def sales_total(fact: DataFrame, product: DataFrame) -> DataFrame:
     """A-05: one-row global sales total."""
     return (_priced(fact, product)
             .agg(F.sum("amount").alias("total"))
-            .select(money_out("total").alias("total_sales")))
+            .select(money_from_cents("total").alias("total_sales")))
 
 
 def _sales_per_date(fact: DataFrame, product: DataFrame,
@@ -85,7 +91,7 @@ def sales_by_month_top(fact: DataFrame, date_dim: DataFrame, product: DataFrame,
     return (per_date.join(date_dim.select("date_key", "month"), "date_key")
             .groupBy("month")
             .agg(F.sum("amount").alias("amount"))
-            .select(money_out("amount").alias("total_sales"), "month")
+            .select(money_from_cents("amount").alias("total_sales"), "month")
             .orderBy(F.col("total_sales").desc_nulls_first(), F.col("month").asc_nulls_last())
             .limit(k))
 
@@ -97,7 +103,7 @@ def sales_by_year_month_top(fact: DataFrame, store: DataFrame, product: DataFram
     return (per_date.join(date_dim.select("date_key", "year", "month"), "date_key")
             .groupBy("year", "month")
             .agg(F.sum("amount").alias("amount"))
-            .select(money_out("amount").alias("total_sales"), "year", "month")
+            .select(money_from_cents("amount").alias("total_sales"), "year", "month")
             .orderBy(F.col("total_sales").desc_nulls_first(),
                      F.col("year").asc_nulls_last(), F.col("month").asc_nulls_last())
             .limit(k))
@@ -143,7 +149,7 @@ def sales_share_by_type(fact: DataFrame, store: DataFrame, product: DataFrame) -
             .groupBy("store_type")
             .agg(F.sum("amount").alias("amount"))
             .select("store_type",
-                    money_out("amount").alias("total_sales"),
+                    money_from_cents("amount").alias("total_sales"),
                     share_pct("amount", total).alias("percentage_total"))
             .orderBy(F.col("total_sales").desc_nulls_first(), F.col("store_type").asc_nulls_last()))
 
@@ -168,10 +174,10 @@ def sales_by_type_one_country(fact: DataFrame, store: DataFrame, product: DataFr
               .select("store_code", "store_type", "country_code"))
     return (fact.select("store_code", "product_code", "product_quantity")
             .join(stores, "store_code")
-            .join(product.select("product_code", "product_price"), "product_code")
+            .join(_prices(product), "product_code")
             .groupBy("country_code", "store_type")
-            .agg(F.sum(line_amount("product_quantity", "product_price")).alias("amount"))
-            .select(money_out("amount").alias("total_sales"), "store_type", "country_code")
+            .agg(F.sum(line_cents("product_quantity", "price_cents")).alias("amount"))
+            .select(money_from_cents("amount").alias("total_sales"), "store_type", "country_code")
             .orderBy(F.col("total_sales").asc_nulls_last(), F.col("store_type").asc_nulls_last())
             .limit(k))
 
