@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from loomstar.functions.sql import ident, text
+
 # Accepted layouts of mixed date text, in order of preference.
 MIXED_DATE_FORMATS = (
     "yyyy-M-d H:m:s",
@@ -24,6 +26,7 @@ MIXED_DATE_FORMATS = (
     "MMMM yyyy d",
     "yyyy",
 )
+MIN_YEAR, MAX_YEAR = 1677, 2262
 
 # The shape each layout can accept.  A failed parse costs an exception inside
 # the executor, so a parse is only attempted when the text has the right shape.
@@ -38,44 +41,50 @@ _SHAPES = {
     "MMMM yyyy d": rf"^[A-Za-z]+ {_D4} {_D1_2}$",
     "yyyy": rf"^{_D4}$",
 }
-MIN_YEAR, MAX_YEAR = 1677, 2262
 
 # Fixed value: layout of the date-dimension parts joined as text.
 DATETIME_PARTS_FORMAT = "yyyy-M-d H:m:s"
 
 
-def _c(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def parse_mixed_timestamp(c: str | Column, formats: tuple[str, ...] = MIXED_DATE_FORMATS) -> Column:
-    """X-16: mixed text -> TIMESTAMP_NTZ, NULL when no format fits or out of range."""
-    text = F.trim(_c(c).cast("string"))
+def mixed_timestamp_sql(name: str, formats: tuple[str, ...] = MIXED_DATE_FORMATS) -> str:
+    """X-16 as SQL: mixed text -> TIMESTAMP_NTZ, NULL when no format fits or out of range."""
+    t = f"trim(CAST({ident(name)} AS STRING))"
     attempts = []
     for f in formats:
-        attempt = F.try_to_timestamp(text, F.lit(f))
+        attempt = f"try_to_timestamp({t}, {text(f)})"
         shape = _SHAPES.get(f)
-        attempts.append(F.when(text.rlike(shape), attempt) if shape else attempt)
-    parsed = F.coalesce(*attempts)
-    parsed = parsed.cast("timestamp_ntz")
-    yr = F.year(parsed)
-    return F.when((yr >= MIN_YEAR) & (yr <= MAX_YEAR), parsed)
+        attempts.append(f"CASE WHEN {t} RLIKE {text(shape)} THEN {attempt} END" if shape else attempt)
+    parsed = f"CAST(coalesce({', '.join(attempts)}) AS TIMESTAMP_NTZ)"
+    return f"CASE WHEN year({parsed}) BETWEEN {MIN_YEAR} AND {MAX_YEAR} THEN {parsed} END"
 
 
-def parse_mixed_date(c: str | Column, formats: tuple[str, ...] = MIXED_DATE_FORMATS) -> Column:
+def mixed_date_sql(name: str, formats: tuple[str, ...] = MIXED_DATE_FORMATS) -> str:
     """X-16 then truncation to DATE (the conformed type of every ``*date*`` column)."""
-    return parse_mixed_timestamp(c, formats).cast("date")
+    return f"CAST({mixed_timestamp_sql(name, formats)} AS DATE)"
+
 
+def parse_mixed_timestamp(name: str, formats: tuple[str, ...] = MIXED_DATE_FORMATS) -> Column:
+    return F.expr(mixed_timestamp_sql(name, formats))
 
-def datetime_from_parts(year: str | Column, month: str | Column, day: str | Column,
-                        time_of_day: str | Column, strict: bool = True) -> Column:
+
+def parse_mixed_date(name: str, formats: tuple[str, ...] = MIXED_DATE_FORMATS) -> Column:
+    return F.expr(mixed_date_sql(name, formats))
+
+
+def datetime_from_parts_sql(year: str, month: str, day: str, time_of_day: str,
+                            strict: bool = True) -> str:
     """X-17 / X-18: ``"{year}-{month}-{day} {time}"`` parsed as TIMESTAMP_NTZ.
 
     ``strict=True`` fails the job on the first unparsable row (ANSI parse);
     ``strict=False`` yields NULL for it instead.
     """
-    text = F.concat(_c(year).cast("string"), F.lit("-"), _c(month).cast("string"), F.lit("-"),
-                    _c(day).cast("string"), F.lit(" "), _c(time_of_day).cast("string"))
+    parts = [f"CAST({ident(c)} AS STRING)" for c in (year, month, day, time_of_day)]
+    joined = f"concat({parts[0]}, '-', {parts[1]}, '-', {parts[2]}, ' ', {parts[3]})"
     if strict:
-        return F.to_timestamp_ntz(text, F.lit(DATETIME_PARTS_FORMAT))
-    return F.try_to_timestamp(text, F.lit(DATETIME_PARTS_FORMAT)).cast("timestamp_ntz")
+        return f"to_timestamp_ntz({joined}, {text(DATETIME_PARTS_FORMAT)})"
+    return f"CAST(try_to_timestamp({joined}, {text(DATETIME_PARTS_FORMAT)}) AS TIMESTAMP_NTZ)"
+
+
+def datetime_from_parts(year: str, month: str, day: str, time_of_day: str,
+                        strict: bool = True) -> Column:
+    return F.expr(datetime_from_parts_sql(year, month, day, time_of_day, strict))

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from loomstar.functions.sql import ident, text
+
 # Unit factors to kilograms (case-sensitive).
 UNIT_TO_KG = {"g": 0.001, "ml": 0.001, "oz": 0.028349523125, "kg": 1.0}
 
@@ -22,43 +24,46 @@ NUMBER_PATTERN = r"([0-9]+\.[0-9]+|[0-9]+\*[0-9]+|[0-9]+)"
 NUMBER_PATTERN_STRICT = r"([0-9]+(?:\.[0-9]+)?\*[0-9]+(?:\.[0-9]+)?|[0-9]+\.[0-9]+|[0-9]+)"
 
 
-def _c(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def normalise_weight_text(c: str | Column) -> Column:
+def normalised_text_sql(name: str) -> str:
     """Remove spaces and turn the multipack ``x`` into ``*``."""
-    return F.replace(F.replace(_c(c), F.lit(" "), F.lit("")), F.lit("x"), F.lit("*"))
+    return f"replace(replace({ident(name)}, ' ', ''), 'x', '*')"
 
 
-def weight_unit(text: Column) -> Column:
-    """X-06: first run of letters; NULL when there is none."""
-    return F.nullif(F.regexp_extract(text, UNIT_PATTERN, 1), F.lit(""))
+def weight_unit_sql(t: str) -> str:
+    """X-06: first run of letters in SQL text ``t``; NULL when there is none."""
+    return f"nullif(regexp_extract({t}, {text(UNIT_PATTERN)}, 1), '')"
 
 
-def weight_number_text(text: Column, strict_multipack: bool = False) -> Column:
+def weight_number_sql(t: str, strict_multipack: bool = False) -> str:
     """X-07: the number part as text; NULL when there are no digits (Q-06)."""
     pattern = NUMBER_PATTERN_STRICT if strict_multipack else NUMBER_PATTERN
-    return F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
+    return f"nullif(regexp_extract({t}, {text(pattern)}, 1), '')"
 
 
-def eval_multipack(number_text: Column) -> Column:
+def multipack_sql(n: str) -> str:
     """X-08 / X-09: ``a*b`` -> a times b, plain numbers -> DOUBLE."""
-    parts = F.split(number_text, r"\*")
-    product = parts.getItem(0).cast("double") * parts.getItem(1).cast("double")
-    return F.when(number_text.contains("*"), product).otherwise(number_text.cast("double"))
+    return (f"CASE WHEN instr({n}, '*') > 0 "
+            f"THEN CAST(split_part({n}, '*', 1) AS DOUBLE) * CAST(split_part({n}, '*', 2) AS DOUBLE) "
+            f"ELSE CAST({n} AS DOUBLE) END")
 
 
-def unit_factor(unit: Column) -> Column:
+def unit_factor_sql(unit: str) -> str:
     """X-10: literal map lookup; a missing key gives NULL (even under ANSI)."""
-    pairs = []
-    for name, factor in UNIT_TO_KG.items():
-        pairs += [F.lit(name), F.lit(factor)]
-    return F.try_element_at(F.create_map(*pairs), unit)
+    pairs = ", ".join(f"{text(k)}, CAST({v!r} AS DOUBLE)" for k, v in UNIT_TO_KG.items())
+    return f"try_element_at(map({pairs}), {unit})"
 
 
-def weight_kg(c: str | Column, strict_multipack: bool = False) -> Column:
+def weight_kg_sql(name: str, strict_multipack: bool = False) -> str:
     """C-06 for one cell: weight text -> kilograms (DOUBLE) or NULL."""
-    text = normalise_weight_text(c)
-    number = eval_multipack(weight_number_text(text, strict_multipack))
-    return unit_factor(weight_unit(text)) * number
+    t = normalised_text_sql(name)
+    number = multipack_sql(weight_number_sql(t, strict_multipack))
+    return f"{unit_factor_sql(weight_unit_sql(t))} * ({number})"
+
+
+def multipack_amount(name: str) -> Column:
+    """The number of a weight text with packs multiplied out (no unit applied)."""
+    return F.expr(multipack_sql(weight_number_sql(normalised_text_sql(name))))
+
+
+def weight_kg(name: str, strict_multipack: bool = False) -> Column:
+    return F.expr(weight_kg_sql(name, strict_multipack))

@@ -11,16 +11,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomstar.functions.dates import datetime_from_parts, parse_mixed_date
+from loomstar.functions.dates import datetime_from_parts_sql, mixed_date_sql
+from loomstar.functions.sql import as_col, ident, text
 from loomstar.functions.text import (
-    equals_flag,
-    newlines_to_commas,
-    strip_leading_lower,
-    strip_letters,
-    strip_literal,
-    strip_question_marks,
+    equals_flag_sql,
+    newlines_to_commas_sql,
+    strip_leading_lower_sql,
+    strip_letters_sql,
+    strip_literal_sql,
+    strip_question_marks_sql,
 )
-from loomstar.functions.weights import weight_kg
+from loomstar.functions.weights import weight_kg_sql
 from loomstar.operators.nulls import (
     dropna_any,
     null_header_cells,
@@ -45,15 +46,15 @@ def parse_mixed_dates(df: DataFrame, columns: list[str] | None = None) -> DataFr
     cols = date_columns(df) if columns is None else columns
     if not cols:
         return df
-    parsed = df.select(*[parse_mixed_date(c).alias(c) if c in cols else F.col(c)
-                         for c in df.columns])
+    parsed = df.selectExpr(*[as_col(mixed_date_sql(c), c) if c in cols else ident(c)
+                             for c in df.columns])
     return parsed.na.drop(how="any", subset=cols)
 
 
 def clean_address(df: DataFrame, column: str = "address") -> DataFrame:
     """C-02: drop rows without an address; newlines become ``", "``."""
     return (df.na.drop(how="any", subset=[column])
-            .withColumn(column, newlines_to_commas(column)))
+            .withColumn(column, F.expr(newlines_to_commas_sql(column))))
 
 
 def clean_users(df: DataFrame, index_col: str | None = "index") -> DataFrame:
@@ -64,7 +65,7 @@ def clean_users(df: DataFrame, index_col: str | None = "index") -> DataFrame:
            .transform(lambda d: drop_index_column(d, index_col)))
     return out.withColumn(
         "country_code",
-        F.when(F.col("country_code") == F.lit("GGB"), F.lit("GB")).otherwise(F.col("country_code")))
+        F.expr("CASE WHEN country_code = 'GGB' THEN 'GB' ELSE country_code END"))
 
 
 def clean_cards(df: DataFrame) -> DataFrame:
@@ -76,22 +77,19 @@ def clean_cards(df: DataFrame) -> DataFrame:
     out = (df.transform(null_unknown_codes)
            .transform(null_header_cells)
            .transform(dropna_any))
-    return out.withColumn("card_number", strip_question_marks("card_number"))
+    return out.withColumn("card_number", F.expr(strip_question_marks_sql("card_number")))
 
 
 def web_store_overrides(df: DataFrame) -> DataFrame:
     """F-06 for web stores: no place, so continent/address ``N/A`` and no coordinates."""
-    web = F.col("store_type") == F.lit(WEB_STORE_TYPE)
-    overrides = {
-        "continent": F.lit(NOT_APPLICABLE),
-        "longitude": F.lit(None),
-        "latitude": F.lit(None),
-        "address": F.lit(NOT_APPLICABLE),
-    }
-    return df.select(*[
-        F.when(web, overrides[c].cast(df.schema[c].dataType)).otherwise(F.col(c)).alias(c)
-        if c in overrides else F.col(c)
-        for c in df.columns])
+    web = f"store_type = {text(WEB_STORE_TYPE)}"
+    overrides = {"continent": text(NOT_APPLICABLE), "longitude": "NULL",
+                 "latitude": "NULL", "address": text(NOT_APPLICABLE)}
+    return df.selectExpr(*[
+        as_col(f"CASE WHEN {web} THEN CAST({overrides[f.name]} AS {f.dataType.simpleString()}) "
+               f"ELSE {ident(f.name)} END", f.name)
+        if f.name in overrides else ident(f.name)
+        for f in df.schema.fields])
 
 
 def clean_stores(df: DataFrame, index_col: str | None = "index") -> DataFrame:
@@ -100,15 +98,15 @@ def clean_stores(df: DataFrame, index_col: str | None = "index") -> DataFrame:
            .transform(clean_address)
            .transform(parse_mixed_dates)
            .transform(web_store_overrides))
-    out = (out.withColumn("staff_numbers", strip_letters("staff_numbers"))
-           .withColumn("continent", strip_leading_lower("continent")))
+    out = out.withColumns({"staff_numbers": F.expr(strip_letters_sql("staff_numbers")),
+                           "continent": F.expr(strip_leading_lower_sql("continent"))})
     return drop_index_column(out, index_col)
 
 
 def weights_to_kg(df: DataFrame, column: str = "weight", strict_multipack: bool = False) -> DataFrame:
     """C-06: drop rows without a weight, then weight text -> kilograms (DOUBLE)."""
     return (df.na.drop(how="any", subset=[column])
-            .withColumn(column, weight_kg(column, strict_multipack)))
+            .withColumn(column, F.expr(weight_kg_sql(column, strict_multipack))))
 
 
 def clean_products(df: DataFrame) -> DataFrame:
@@ -120,9 +118,11 @@ def clean_products(df: DataFrame) -> DataFrame:
     out = (df.transform(null_unknown_codes)
            .transform(weights_to_kg)
            .transform(parse_mixed_dates))
-    return (out.withColumn("removed", equals_flag("removed", "Removed"))
-            .withColumn("weight", F.bround("weight", 3))
-            .withColumn("product_price", strip_literal("product_price", CURRENCY_SIGN)))
+    return out.withColumns({
+        "removed": F.expr(equals_flag_sql("removed", "Removed")),
+        "weight": F.expr("bround(weight, 3)"),
+        "product_price": F.expr(strip_literal_sql("product_price", CURRENCY_SIGN)),
+    })
 
 
 def clean_orders(df: DataFrame) -> DataFrame:
@@ -139,7 +139,7 @@ def build_datetime(df: DataFrame, strict: bool = True) -> DataFrame:
     out = (df.transform(null_unknown_codes)
            .transform(null_literal)
            .transform(dropna_any))
-    out = out.withColumn("datetime", datetime_from_parts("year", "month", "day", "timestamp", strict))
+    out = out.withColumn("datetime", F.expr(datetime_from_parts_sql("year", "month", "day", "timestamp", strict)))
     if not strict:
         out = out.na.drop(how="any", subset=["datetime"])
     return out.drop("timestamp")

@@ -22,6 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomstar.functions.sql import as_col, ident, text
 from loomstar.operators.reshape import add_column_if_absent, rename_column
 
 # Fixed value: textual UUID forms accepted on input (hyphens optional, braces
@@ -72,51 +73,42 @@ def spark_type(declared: str) -> str:
     raise ValueError(f"unknown declared type {declared!r}")
 
 
-def _text(c: str) -> Column:
-    return F.col(c).cast("string")
-
-
-def _conform_strict(c: str, declared: str) -> Column:
-    col = F.col(c)
+def _conform_sql(c: str, declared: str) -> str:
+    """Strict conformance of one column as SQL: ANSI cast, or ``raise_error``."""
+    col, txt = ident(c), f"CAST({ident(c)} AS STRING)"
     if declared == "uuid":
-        txt = _text(c)
-        hex32 = F.lower(F.regexp_replace(txt, r"[{}-]", ""))
-        return (F.when(txt.isNull(), F.lit(None).cast("string"))
-                .when(txt.rlike(UUID_PATTERN), _hyphenate(hex32))
-                .otherwise(F.raise_error(F.concat(F.lit(f"invalid uuid in {c}: "), txt))))
+        hex32 = f"lower(regexp_replace({txt}, '[{{}}-]', ''))"
+        canonical = (f"concat_ws('-', substr({hex32}, 1, 8), substr({hex32}, 9, 4), "
+                     f"substr({hex32}, 13, 4), substr({hex32}, 17, 4), substr({hex32}, 21, 12))")
+        return (f"CASE WHEN {txt} IS NULL THEN CAST(NULL AS STRING) "
+                f"WHEN {txt} RLIKE {text(UUID_PATTERN)} THEN {canonical} "
+                f"ELSE raise_error(concat({text(f'invalid uuid in {c}: ')}, {txt})) END")
     m = _VARCHAR.fullmatch(declared)
     if m:
         n = int(m.group(1))
-        txt = _text(c)
-        return F.when(F.length(txt) <= n, txt).when(txt.isNull(), txt).otherwise(
-            F.raise_error(F.concat(F.lit(f"value too long for varchar({n}) in {c}: "), txt)))
-    return col.cast(spark_type(declared))
-
-
-def _hyphenate(hex32: Column) -> Column:
-    return F.concat_ws("-", F.substring(hex32, 1, 8), F.substring(hex32, 9, 4),
-                       F.substring(hex32, 13, 4), F.substring(hex32, 17, 4),
-                       F.substring(hex32, 21, 12))
+        return (f"CASE WHEN {txt} IS NULL OR length({txt}) <= {n} THEN {txt} "
+                f"ELSE raise_error(concat({text(f'value too long for varchar({n}) in {c}: ')}, {txt})) END")
+    return f"CAST({col} AS {spark_type(declared)})"
 
 
 def conform(df: DataFrame, spec: dict[str, str]) -> DataFrame:
     """Strict conformance: cast spec columns in one projection; bad values fail the job."""
-    return df.select(*[_conform_strict(c, spec[c]).alias(c) if c in spec else F.col(c)
-                       for c in df.columns])
+    return df.selectExpr(*[as_col(_conform_sql(c, spec[c]), c) if c in spec else ident(c)
+                           for c in df.columns])
 
 
-def violation_checks(c: str, declared: str) -> list[tuple[str, Column]]:
-    """(rule, predicate) pairs that are true for a bad non-NULL cell."""
-    txt = _text(c)
-    present = F.col(c).isNotNull()
+def violation_checks_sql(c: str, declared: str) -> list[tuple[str, str]]:
+    """(rule, SQL predicate) pairs that are true for a bad non-NULL cell."""
+    txt = f"CAST({ident(c)} AS STRING)"
+    present = f"{ident(c)} IS NOT NULL"
     m = _VARCHAR.fullmatch(declared)
     if m:
-        return [(f"varchar({m.group(1)})", present & (F.length(txt) > int(m.group(1))))]
+        return [(f"varchar({m.group(1)})", f"{present} AND length({txt}) > {int(m.group(1))}")]
     if declared == "uuid":
-        return [("uuid", present & ~txt.rlike(UUID_PATTERN))]
-    if declared in ("text",):
+        return [("uuid", f"{present} AND NOT ({txt} RLIKE {text(UUID_PATTERN)})")]
+    if declared == "text":
         return []
-    return [(declared, present & F.col(c).try_cast(spark_type(declared)).isNull())]
+    return [(declared, f"{present} AND try_cast({ident(c)} AS {spark_type(declared)}) IS NULL")]
 
 
 def conform_violations(df: DataFrame, spec: dict[str, str], key: str, table: str) -> DataFrame:
@@ -126,16 +118,18 @@ def conform_violations(df: DataFrame, spec: dict[str, str], key: str, table: str
     exploded; no shuffle, no collect.
     """
     checks = [(c, rule, pred) for c, declared in spec.items() if c in df.columns
-              for rule, pred in violation_checks(c, declared)]
+              for rule, pred in violation_checks_sql(c, declared)]
     if not checks:
         return df.sparkSession.createDataFrame(
             [], "table string, column string, rule string, key string, value string")
-    found = F.filter(F.array(*[
-        F.when(pred, F.struct(F.lit(c).alias("column"), F.lit(rule).alias("rule"),
-                              _text(c).alias("value")))
-        for c, rule, pred in checks]), lambda x: x.isNotNull())
-    return (df.select(_text(key).alias("key"), F.explode(found).alias("v"))
-            .select(F.lit(table).alias("table"), "v.column", "v.rule", "key", "v.value"))
+    items = ", ".join(
+        f"CASE WHEN {pred} THEN named_struct('column', {text(c)}, 'rule', {text(rule)}, "
+        f"'value', CAST({ident(c)} AS STRING)) END"
+        for c, rule, pred in checks)
+    found = f"filter(array({items}), x -> x IS NOT NULL)"
+    return (df.selectExpr(f"CAST({ident(key)} AS STRING) AS key", f"explode({found}) AS v")
+            .selectExpr(f"{text(table)} AS `table`", "v.column AS `column`", "v.rule AS rule",
+                        "key", "v.value AS value"))
 
 
 def weight_class(c: str = "weight") -> Column:

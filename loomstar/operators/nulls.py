@@ -1,16 +1,16 @@
 """Missing-value operators (F-01 .. F-05, S-04).
 
-Each is one ``select`` (a single Project node) over all columns, never a loop
-of ``withColumn`` calls, so plans stay flat however wide the table is.
+Each is one projection over all columns (a single ``selectExpr``), never a
+loop of ``withColumn`` calls, so plans stay flat however wide the table is.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomstar.functions.text import null_if_junk
+from loomstar.functions.sql import as_col, ident, text
+from loomstar.functions.text import null_if_junk_sql
 
 # Text the original CSV reader treats as missing (pandas defaults).
 NA_TOKENS = (
@@ -35,29 +35,30 @@ def null_unknown_codes(df: DataFrame, exclude: tuple[str, ...] = ()) -> DataFram
     Only cells change; no row is removed here (Q-01).  ``exclude`` protects
     columns whose legitimate values look like codes (Q-02).
     """
-    return df.select(*[F.col(f.name) if f.name in exclude
-                       else null_if_junk(f.name, f.dataType).alias(f.name)
-                       for f in df.schema.fields])
+    return df.selectExpr(*[
+        ident(f.name) if f.name in exclude else as_col(null_if_junk_sql(f.name, f.dataType), f.name)
+        for f in df.schema.fields])
 
 
 def null_header_cells(df: DataFrame) -> DataFrame:
     """F-04: a cell equal to its own column name becomes NULL (repeated headers)."""
-    return df.select(*[
-        F.when(~F.col(c).cast("string").eqNullSafe(F.lit(c)), F.col(c)).alias(c)
+    return df.selectExpr(*[
+        as_col(f"CASE WHEN NOT (CAST({ident(c)} AS STRING) <=> {text(c)}) THEN {ident(c)} END", c)
         for c in df.columns])
 
 
 def null_literal(df: DataFrame, token: str = "NULL") -> DataFrame:
     """F-05: the exact text ``token`` becomes NULL in every string column."""
-    return df.select(*[
-        F.nullif(F.col(f.name), F.lit(token)).alias(f.name)
-        if isinstance(f.dataType, T.StringType) else F.col(f.name)
+    return df.selectExpr(*[
+        as_col(f"nullif({ident(f.name)}, {text(token)})", f.name)
+        if isinstance(f.dataType, T.StringType) else ident(f.name)
         for f in df.schema.fields])
 
 
 def na_tokens_to_null(df: DataFrame, tokens: tuple[str, ...] = NA_TOKENS) -> DataFrame:
     """S-04: NA tokens in string columns become NULL (what a CSV reader implies)."""
-    return df.select(*[
-        F.when(~F.col(f.name).isin(*tokens), F.col(f.name)).alias(f.name)
-        if isinstance(f.dataType, T.StringType) else F.col(f.name)
+    listed = ", ".join(text(t) for t in tokens)
+    return df.selectExpr(*[
+        as_col(f"CASE WHEN NOT ({ident(f.name)} IN ({listed})) THEN {ident(f.name)} END", f.name)
+        if isinstance(f.dataType, T.StringType) else ident(f.name)
         for f in df.schema.fields])

@@ -35,9 +35,10 @@ def register(name: str) -> Callable[[QueryFn], QueryFn]:
 
 def present(df: DataFrame) -> DataFrame:
     """DATE columns as ``yyyy-MM-dd`` text; everything else unchanged."""
-    cols = [F.col(f.name).cast("string").alias(f.name) if isinstance(f.dataType, T.DateType)
-            else F.col(f.name) for f in df.schema.fields]
-    return df.select(*cols)
+    dates = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DateType)]
+    if not dates:
+        return df
+    return df.withColumns({c: F.col(c).cast("string") for c in dates})
 
 
 # --- Q4.x analytics ---------------------------------------------------------
@@ -120,11 +121,7 @@ from loomstar.functions.text import (  # noqa: E402
     strip_question_marks,
 )
 from loomstar.functions.urls import url_parts  # noqa: E402
-from loomstar.functions.weights import (  # noqa: E402
-    eval_multipack,
-    normalise_weight_text,
-    weight_number_text,
-)
+from loomstar.functions.weights import multipack_amount  # noqa: E402
 from loomstar.operators import cleaning as C  # noqa: E402
 from loomstar.operators import conform as D  # noqa: E402
 from loomstar.operators import constraints as K  # noqa: E402
@@ -226,8 +223,7 @@ def q_weights_to_kg(spark, sf_dir):
 @register("multipack_weight")
 def q_multipack_weight(spark, sf_dir):
     p = view(spark, sf_dir, "dirty_products")
-    number = weight_number_text(normalise_weight_text("weight"))
-    return p.select("product_code", "weight", eval_multipack(number).alias("amount"))
+    return p.select("product_code", "weight", multipack_amount("weight").alias("amount"))
 
 
 @register("removed_flag")

@@ -21,7 +21,7 @@ from loomstar.operators.conform import weight_class
 
 def col_values(spark, values, expr, dtype="string"):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {dtype}")
-    return [r[0] for r in df.orderBy("i").select(expr(F.col("v"))).collect()]
+    return [r[0] for r in df.orderBy("i").select(expr("v")).collect()]
 
 
 def test_junk_code_matches_ten_upper_alnum(spark):
