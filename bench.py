@@ -8,10 +8,12 @@ driver.  Prints ONE JSON line.
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -35,13 +37,43 @@ def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def shuffle_bytes_by_group(log_dir: str) -> dict[str, int]:
+    """Shuffle bytes written per job group, read from Spark's event log."""
+    stage_group: dict[int, str] = {}
+    written: dict[str, int] = {}
+    for path in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True):
+        if os.path.isdir(path):
+            continue
+        with open(path) as f:
+            for line in f:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (ev.get("Properties") or {}).get("spark.jobGroup.id")
+                    if group:
+                        for sid in ev.get("Stage IDs", []):
+                            stage_group[sid] = group
+                elif kind == "SparkListenerStageCompleted":
+                    info = ev["Stage Info"]
+                    group = stage_group.get(info["Stage ID"])
+                    if not group:
+                        continue
+                    for acc in info.get("Accumulables", []):
+                        if acc.get("Name") == "internal.metrics.shuffle.write.bytesWritten":
+                            written[group] = written.get(group, 0) + int(acc.get("Value", 0))
+    return written
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     reps = int(os.environ.get("BENCH_REPS", "3"))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
+    log_dir = tempfile.mkdtemp(prefix="loomstar-eventlog-")
     spark = get_session(f"local[{cpus}]", app="loomstar-bench", shuffle_partitions=2 * cpus,
-                        extra={"spark.driver.memory": "16g"})
+                        extra={"spark.driver.memory": "16g", "spark.eventLog.enabled": "true",
+                               "spark.eventLog.dir": log_dir, "spark.eventLog.compress": "false",
+                               "spark.eventLog.rolling.enabled": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     warm, cold = {}, {}
     for name in names:
@@ -49,12 +81,18 @@ def main() -> None:
         run(QUERIES[name](spark, sf_dir))
         cold[name] = round(time.perf_counter() - t0, 3)
         times = []
-        for _ in range(reps):
+        for rep in range(reps):
+            # the last warm run is tagged so its shuffle volume can be read back
+            spark.sparkContext.setJobGroup(name if rep == reps - 1 else f"_{name}", name)
             t0 = time.perf_counter()
             run(QUERIES[name](spark, sf_dir))
             times.append(time.perf_counter() - t0)
+        spark.sparkContext.setJobGroup("_idle", "idle")
         warm[name] = round(statistics.median(times), 3)
     sf = os.path.basename(sf_dir).removeprefix("sf")
+    version = spark.version
+    spark.stop()  # flushes the event log
+    shuffled = shuffle_bytes_by_group(log_dir)
     print(json.dumps({
         "metric": "sum_of_median_warm_query_seconds",
         "value": round(sum(warm.values()), 3),
@@ -62,11 +100,11 @@ def main() -> None:
         "queries": warm,
         "cold": cold,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
-        "spark": spark.version,
+        "spark": version,
         "master": f"local[{cpus}]",
         "reps": reps,
+        "shuffle_bytes": {n: shuffled.get(n, 0) for n in names},
     }))
-    spark.stop()
 
 
 if __name__ == "__main__":
