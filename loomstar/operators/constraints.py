@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomstar.operators.joins import broadcast_if_small
+
 
 def pk_violations(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that are NULL or appear more than once, with their row count.
@@ -30,10 +32,12 @@ def fk_violations(fact: DataFrame, dim: DataFrame, fact_key: str,
     """Fact rows whose non-NULL key has no match in the dimension (NULLs are allowed).
 
     A left anti join on the key only: the dimension side is reduced to its
-    distinct keys, and the planner broadcasts it when its measured size is
-    under the threshold (else sort-merge, with AQE splitting skewed keys).
+    distinct keys and broadcast when a bounded count proves it small, so the
+    fact is checked where it is read; beyond the bound it is a sort-merge anti
+    join, with AQE splitting skewed keys.
     """
     dim_key = dim_key or fact_key
-    keys = dim.select(F.col(dim_key).alias("_dim_key")).where(F.col("_dim_key").isNotNull()).distinct()
+    keys = broadcast_if_small(
+        dim.select(F.col(dim_key).alias("_dim_key")).where(F.col("_dim_key").isNotNull()).distinct())
     return (fact.where(F.col(fact_key).isNotNull())
             .join(keys, F.col(fact_key) == F.col("_dim_key"), "left_anti"))

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from loomstar.functions.money import line_cents, money_from_cents, price_cents, share_pct
 from loomstar.operators.gaps import avg_gap_by_year, avg_gap_telescoped  # noqa: F401
+from loomstar.operators.joins import broadcast_if_small
 
 ONLINE_TYPE = "Web Portal"
 
@@ -80,7 +81,9 @@ def _sales_per_date(fact: DataFrame, product: DataFrame,
     """Sales rolled up to the date key; optional filter-only store join (Q-26)."""
     priced = _priced(fact, product)
     if store is not None:
-        priced = priced.join(store.select("store_code"), "store_code")
+        # filter-only join: the store keys are broadcast when a bounded count
+        # proves them small, so the fact is not shuffled for it
+        priced = priced.join(broadcast_if_small(store.select("store_code")), "store_code")
     return priced.groupBy("date_key").agg(F.sum("amount").alias("amount"))
 
 
