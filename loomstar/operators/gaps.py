@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomstar.operators.joins import broadcast_if_small
+
 
 def micros_between(start: Column, end: Column) -> Column:
     """Whole microseconds from ``start`` to ``end`` (BIGINT)."""
@@ -60,12 +62,14 @@ def next_event_gap(df: DataFrame, key: str = "date_key", part: str = "year",
     """
     nxt = f"next_{ts}"
     groups = df.groupBy(part, ts, key).agg(F.count(F.lit(1)).alias("_n"))
-    times = (groups.where(F.col(ts).isNotNull())
+    times = (df.where(F.col(ts).isNotNull())
              .groupBy(part, ts)
              .agg(F.max(key).alias("_last_key"),
                   F.max(F.col(key).isNull().cast("int")).alias("_null_key")))
     succ = _next_distinct(times, part, ts, slice_unit).select(
         F.col(part).alias("_s_part"), F.col(ts).alias("_s_ts"), "_last_key", "_null_key", "_next")
+    # one row per distinct time: broadcast when a bounded count proves it small
+    succ = broadcast_if_small(succ)
     joined = groups.join(
         succ, groups[part].eqNullSafe(succ["_s_part"]) & (groups[ts] == succ["_s_ts"]), "left")
     # within the group: n-1 copies followed by the same time, the last by key by the next time
