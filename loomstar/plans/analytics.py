@@ -53,18 +53,26 @@ def _stores_with_orders(fact: DataFrame, store: DataFrame) -> DataFrame:
     return store.join(keys, "store_code", "left_semi")
 
 
-def stores_per_country(fact: DataFrame, store: DataFrame) -> DataFrame:
+def _distinct_stores(approximate: bool):
+    """A-01: exact distinct count, or a HyperLogLog estimate when opted in."""
+    if approximate:
+        return F.approx_count_distinct("store_code").alias("num_stores")
+    return F.countDistinct("store_code").alias("num_stores")
+
+
+def stores_per_country(fact: DataFrame, store: DataFrame, approximate: bool = False) -> DataFrame:
     """Q4.1: distinct stores (with orders) per country."""
     return (_stores_with_orders(fact, store)
             .groupBy("country_code")
-            .agg(F.countDistinct("store_code").alias("num_stores")))
+            .agg(_distinct_stores(approximate)))
 
 
-def stores_per_locality_top(fact: DataFrame, store: DataFrame, k: int = 7) -> DataFrame:
+def stores_per_locality_top(fact: DataFrame, store: DataFrame, k: int = 7,
+                            approximate: bool = False) -> DataFrame:
     """Q4.2: top-k localities by distinct stores with orders."""
     return (_stores_with_orders(fact, store)
             .groupBy("locality")
-            .agg(F.countDistinct("store_code").alias("num_stores"))
+            .agg(_distinct_stores(approximate))
             .orderBy(F.col("num_stores").desc_nulls_first(), F.col("locality").asc_nulls_last())
             .limit(k))
 
