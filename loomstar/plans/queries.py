@@ -2,8 +2,8 @@
 
 Every query reads the supplied tables under ``sf_dir`` (or views Spark derives
 from them) in full.  Outputs are presented with oracle-friendly types: money
-as DOUBLE (after exact decimal sums), counts as BIGINT, and DATE columns as
-ISO text, because engines convert DATE values to different client types.
+as DOUBLE (after exact integer-cent sums), counts as BIGINT, and DATE columns
+as ISO text, because engines convert DATE values to different client types.
 The library functions themselves return the real types.
 """
 
@@ -15,9 +15,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomstar.functions.text import (
+    equals_flag,
+    strip_leading_lower,
+    strip_letters,
+    strip_literal,
+    strip_question_marks,
+)
+from loomstar.functions.urls import url_parts
+from loomstar.functions.weights import multipack_amount
+from loomstar.operators import cleaning as C
+from loomstar.operators import conform as D
+from loomstar.operators import constraints as K
 from loomstar.operators import gaps
+from loomstar.operators import nulls as N
+from loomstar.operators import reshape as R
 from loomstar.plans import analytics as A
+from loomstar.plans.etl import PRODUCT_COLUMNS, STORE_COLUMNS
 from loomstar.plans.fixtures import table, view, views
+from loomstar.session import scratch_path
+from loomstar.sources import readers as S
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -113,26 +130,6 @@ def q_avg_gap_telescoped(spark, sf_dir):
 
 # --- scalar, filter and cleaning operators over the dirty views --------------
 
-from loomstar.functions.text import (  # noqa: E402
-    equals_flag,
-    strip_leading_lower,
-    strip_letters,
-    strip_literal,
-    strip_question_marks,
-)
-from loomstar.functions.urls import url_parts  # noqa: E402
-from loomstar.functions.weights import multipack_amount  # noqa: E402
-from loomstar.operators import cleaning as C  # noqa: E402
-from loomstar.operators import conform as D  # noqa: E402
-from loomstar.operators import constraints as K  # noqa: E402
-from loomstar.operators import nulls as N  # noqa: E402
-from loomstar.operators import reshape as R  # noqa: E402
-
-STORE_COLUMNS = ["index", "store_code", "store_type", "staff_numbers", "address", "longitude",
-                 "latitude", "locality", "country_code", "continent", "opening_date"]
-PRODUCT_COLUMNS = ["product_name", "product_price", "weight", "category", "EAN", "date_added",
-                   "uuid", "removed", "product_code"]
-
 
 def _orders_with_one(spark, sf_dir):
     # the fixture's ``one`` stands for the column literally named ``1``
@@ -348,8 +345,6 @@ def q_preview_limit(spark, sf_dir):
 # --- sources: each file-format key writes its input with Spark to a fresh folder
 # under the shared checkpoint directory and reads it back -----------------------
 
-from loomstar.session import scratch_path  # noqa: E402
-from loomstar.sources import readers as S  # noqa: E402
 
 DATE_PARTS = ["year", "month", "day", "timestamp", "time_period"]
 CARD_COLUMNS = ["card_number", "expiry_date", "date_payment_confirmed"]
