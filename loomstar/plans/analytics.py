@@ -9,9 +9,12 @@ Inputs are the conformed star tables:
 
 Scale notes (each plan was read with ``explain("formatted")``):
 
-* Joins carry no broadcast hints: dimension sizes grow with the data, so the
-  choice is left to the planner's size check (``autoBroadcastJoinThreshold``)
-  and to AQE, which re-plans from the real shuffle sizes at run time.
+* No unconditional broadcast hints: dimension sizes grow with the data.  Base
+  dimensions are broadcast by the planner's size check
+  (``autoBroadcastJoinThreshold``, re-checked by AQE from real shuffle sizes);
+  where a derived dimension's estimate is useless and the fact would be
+  shuffled for it, ``broadcast_if_small`` proves the size with a bounded
+  count first.
 * Sales are rolled up to the grain of the next join key *before* that join
   (eager aggregation).  Amounts are exact integer cents, so the answer does
   not depend on where partial sums are formed, while the rows crossing each
