@@ -4,9 +4,8 @@
 A plain window would send each partition (a year: only a handful exist) to a
 single task, and equal timestamps (day-precision dates) would pile up in it.
 Instead rows are counted per (part, ts, key), only the distinct times are
-ordered, and the window over them runs per (part, time slice); the last time
-of a slice takes the first time of the next non-empty slice from a table of
-one row per slice, bounded by the calendar rather than the row count.
+ordered, and they are ordered in balanced range buckets whose boundaries are
+stitched through a table of one row per bucket.
 
 ``avg_gap_telescoped`` gives the same yearly mean without any ordering: for the
 non-null times of a group the successor differences telescope,
@@ -22,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomstar.operators.joins import broadcast_if_small
+from loomstar.session import ensure_checkpoint_dir
 
 
 def micros_between(start: Column, end: Column) -> Column:
@@ -29,59 +29,76 @@ def micros_between(start: Column, end: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", start, end)
 
 
-def _next_distinct(times: DataFrame, part: str, ts: str, slice_unit: str) -> DataFrame:
+def _next_distinct(times: DataFrame, part: str, ts: str, buckets: int | None = None) -> DataFrame:
     """For unique (part, ts) rows: the next larger ts in the same part (``_next``).
 
-    The window runs per (part, time slice); the last time of a slice takes the
-    first time of the next non-empty slice from a table of one row per slice.
+    The rows are range-partitioned on (part, ts) into ``buckets`` contiguous
+    ranges; the keys are unique, so the sampled range bounds balance the
+    buckets even when one part or one day holds most of the times.  The
+    successor is taken inside each bucket, and the last time of a bucket is
+    stitched to the first time of the next non-empty bucket through a table
+    of one row per bucket (bounded by the bucket count, so broadcast).
     """
-    rows = times.withColumn("_slice", F.date_trunc(slice_unit, F.col(ts)))
-    local = rows.withColumn(
-        "_next", F.lead(ts).over(Window.partitionBy(part, "_slice").orderBy(F.col(ts))))
-    heads = (rows.groupBy(part, "_slice").agg(F.min(ts).alias("_head"))
-             .withColumn("_next_head",
-                         F.lead("_head").over(Window.partitionBy(part).orderBy("_slice")))
-             .select(F.col(part).alias("_h_part"), F.col("_slice").alias("_h_slice"), "_next_head"))
-    joined = local.join(
-        heads, local[part].eqNullSafe(heads["_h_part"]) & (local["_slice"] == heads["_h_slice"]), "left")
-    return joined.select(*[c for c in times.columns],
-                         F.coalesce(F.col("_next"), F.col("_next_head")).alias("_next"))
+    spark = times.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (times.repartitionByRange(n, F.col(part).asc_nulls_first(), F.col(ts).asc())
+              .withColumn("_b", F.spark_partition_id()))
+    local = ranged.withColumn(
+        "_next", F.lead(ts).over(Window.partitionBy("_b", part).orderBy(F.col(ts))))
+    key = F.struct(F.col(part).alias("p"), F.col(ts).alias("t"))
+    ends = ranged.groupBy("_b").agg(F.min(key).alias("_first"), F.max(key).alias("_last"))
+    # one row per non-empty bucket: a single ordered pass over at most n rows
+    follow = ends.withColumn("_nf", F.lead("_first").over(Window.orderBy("_b")))
+    stitch = follow.select(
+        F.col("_b").alias("_sb"), F.col("_last.p").alias("_lp"), F.col("_last.t").alias("_lt"),
+        F.when(F.col("_nf.p").eqNullSafe(F.col("_last.p")), F.col("_nf.t")).alias("_stitch"))
+    joined = local.join(F.broadcast(stitch), local["_b"] == stitch["_sb"], "left")
+    is_bucket_last = F.col(part).eqNullSafe(F.col("_lp")) & (F.col(ts) == F.col("_lt"))
+    nxt = F.coalesce(F.col("_next"), F.when(is_bucket_last, F.col("_stitch")))
+    return joined.select(*times.columns, nxt.alias("_next"))
 
 
 def next_event_gap(df: DataFrame, key: str = "date_key", part: str = "year",
-                   ts: str = "datetime", slice_unit: str = "day") -> DataFrame:
+                   ts: str = "datetime", buckets: int | None = None) -> DataFrame:
     """Each row with the next time in its ``part`` and the gap in microseconds.
 
     Same rows as ``LEAD(ts) OVER (PARTITION BY part ORDER BY ts NULLS LAST, key)``.
-    Rows are first counted per (part, ts, key): a hot timestamp or key becomes
-    one row per task before any shuffle.  Within a group of equal times every
-    row's successor is that same time, except the row with the largest key,
-    whose successor is the next distinct time; only distinct times are ordered.
-    The counted groups are expanded back, so every input row appears once.
+    Within a group of equal times every row's successor is that same time,
+    except the row with the largest key (NULL keys sort last), whose successor
+    is the next distinct time.  So only distinct times are ordered (in
+    balanced range buckets, see ``_next_distinct``); their table is
+    checkpointed, joined back to the rows (broadcast when a bounded count
+    proves it small), and only
+    the last-key rows are aggregated (collapsing exact duplicates, of which
+    exactly one takes the next time).  The rows themselves are never shuffled
+    when the distinct times are few.
     Output: key, part, ts, ``next_<ts>``, ``gap_us``.
     """
     nxt = f"next_{ts}"
-    groups = df.groupBy(part, ts, key).agg(F.count(F.lit(1)).alias("_n"))
-    times = (df.where(F.col(ts).isNotNull())
+    rows = df.select(key, part, ts)
+    times = (rows.where(F.col(ts).isNotNull())
              .groupBy(part, ts)
              .agg(F.max(key).alias("_last_key"),
                   F.max(F.col(key).isNull().cast("int")).alias("_null_key")))
-    succ = _next_distinct(times, part, ts, slice_unit).select(
+    succ = _next_distinct(times, part, ts, buckets).select(
         F.col(part).alias("_s_part"), F.col(ts).alias("_s_ts"), "_last_key", "_null_key", "_next")
-    # one row per distinct time: broadcast when a bounded count proves it small
-    succ = broadcast_if_small(succ)
-    joined = groups.join(
-        succ, groups[part].eqNullSafe(succ["_s_part"]) & (groups[ts] == succ["_s_ts"]), "left")
-    # within the group: n-1 copies followed by the same time, the last by key by the next time
+    # materialised once (reliable checkpoint in the shared folder), so the size
+    # check and the join read it instead of recomputing the ordering
+    ensure_checkpoint_dir(df.sparkSession)
+    succ = broadcast_if_small(succ.checkpoint(eager=True))
+    joined = rows.join(
+        succ, rows[part].eqNullSafe(succ["_s_part"]) & (rows[ts] == succ["_s_ts"]), "left")
     # NULL keys sort last among equal times, so they take the next time when present
-    is_last = F.when(F.col("_null_key") == 1, F.col(key).isNull()).otherwise(
-        F.col(key).eqNullSafe(F.col("_last_key")))
-    same = F.array_repeat(F.col(ts), (F.col("_n") - F.when(is_last, 1).otherwise(0)).cast("int"))
-    successors = F.when(F.col(ts).isNull(), F.array_repeat(F.lit(None).cast(df.schema[ts].dataType),
-                                                           F.col("_n").cast("int"))) \
-        .when(is_last, F.concat(same, F.array(F.col("_next")))) \
-        .otherwise(same)
-    out = joined.select(key, part, ts, F.explode(successors).alias(nxt))
+    is_last = F.coalesce(
+        F.when(F.col("_null_key") == 1, F.col(key).isNull())
+         .otherwise(F.col(key).eqNullSafe(F.col("_last_key"))), F.lit(False))
+    others = joined.where(~is_last).select(key, part, ts, F.col(ts).alias(nxt))
+    lasts = (joined.where(is_last)
+             .groupBy(key, part, ts, "_next").agg(F.count(F.lit(1)).alias("_n"))
+             .select(key, part, ts, F.explode(F.concat(
+                 F.array_repeat(F.col(ts), (F.col("_n") - 1).cast("int")),
+                 F.array(F.col("_next")))).alias(nxt)))
+    out = others.unionByName(lasts)
     return out.select(key, part, ts, nxt, micros_between(F.col(ts), F.col(nxt)).alias("gap_us"))
 
 

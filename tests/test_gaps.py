@@ -3,6 +3,8 @@
 import datetime as dt
 import random
 
+import pytest
+
 from loomstar.operators.gaps import avg_gap_by_year, avg_gap_telescoped, next_event_gap
 
 
@@ -32,11 +34,12 @@ def fixture_rows():
     return rows
 
 
-def test_next_event_gap_matches_brute_force(spark):
+@pytest.mark.parametrize("buckets", [None, 1, 3, 50])
+def test_next_event_gap_matches_brute_force(spark, buckets):
     rows = fixture_rows()
     df = spark.createDataFrame(rows, "date_key long, year int, datetime timestamp_ntz")
     got = sorted(((r.date_key, r.year, r.datetime, r.next_datetime)
-                  for r in next_event_gap(df).collect()), key=str)
+                  for r in next_event_gap(df, buckets=buckets).collect()), key=str)
     assert got == brute_next(rows)
 
 
