@@ -470,3 +470,37 @@ WHERE NOT COALESCE(card_number = 'card_number' AND expiry_date = 'expiry_date'
 ORACLE["union_pages"] = oracle_cte("dirty_cards") + """
 SELECT * FROM dirty_cards
 """
+
+
+# --- end-to-end: keys of the loaded star ------------------------------------------
+
+ORACLE["etl_key_report"] = (
+    oracle_cte("dirty_orders", "dirty_stores", "dirty_products", "dirty_cards")
+    + "," + _STORES_CLEAN + "," + _PRODUCTS_CLEAN + "," + _CARDS_CLEAN + """,
+fact_keys AS (SELECT CAST(store_code AS VARCHAR) AS store_code,
+                     CAST(product_code AS VARCHAR) AS product_code FROM dirty_orders),
+product_keys AS (SELECT CAST(product_code AS VARCHAR) AS product_code FROM products_clean),
+store_keys AS (SELECT store_code FROM stores_clean),
+card_keys AS (SELECT card_number FROM cards_clean)
+SELECT 'primary_key' AS "check", 'dim_card_details' AS "table", 'card_number' AS "column",
+       card_number AS key, COUNT(*) AS n_rows
+FROM card_keys GROUP BY card_number HAVING COUNT(*) > 1 OR card_number IS NULL
+UNION ALL
+SELECT 'primary_key', 'dim_products', 'product_code', product_code, COUNT(*)
+FROM product_keys GROUP BY product_code HAVING COUNT(*) > 1 OR product_code IS NULL
+UNION ALL
+SELECT 'primary_key', 'dim_store_details', 'store_code', store_code, COUNT(*)
+FROM store_keys GROUP BY store_code HAVING COUNT(*) > 1 OR store_code IS NULL
+UNION ALL
+SELECT 'foreign_key', 'orders_table', 'product_code', f.product_code, COUNT(*)
+FROM fact_keys f
+WHERE f.product_code IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM product_keys d WHERE d.product_code = f.product_code)
+GROUP BY f.product_code
+UNION ALL
+SELECT 'foreign_key', 'orders_table', 'store_code', f.store_code, COUNT(*)
+FROM fact_keys f
+WHERE f.store_code IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM store_keys d WHERE d.store_code = f.store_code)
+GROUP BY f.store_code
+""")

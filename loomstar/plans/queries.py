@@ -31,6 +31,7 @@ from loomstar.operators import gaps
 from loomstar.operators import nulls as N
 from loomstar.operators import reshape as R
 from loomstar.plans import analytics as A
+from loomstar.plans import etl as E
 from loomstar.plans.etl import PRODUCT_COLUMNS, STORE_COLUMNS
 from loomstar.plans.fixtures import table, view, views
 from loomstar.session import scratch_path
@@ -415,3 +416,20 @@ def q_drop_repeated_headers(spark, sf_dir):
 def q_union_pages(spark, sf_dir):
     path = _write_card_pages(spark, sf_dir)
     return spark.read.option("header", "true").csv(path)
+
+
+# --- end-to-end: the ETL job and the key checks over what it loaded ------------
+
+
+@register("etl_key_report")
+def q_etl_key_report(spark, sf_dir):
+    sources = {
+        "dim_users_table": view(spark, sf_dir, "dirty_users"),
+        "dim_card_details": view(spark, sf_dir, "dirty_cards"),
+        "dim_store_details": view(spark, sf_dir, "dirty_stores"),
+        "dim_products": view(spark, sf_dir, "dirty_products"),
+        "orders_table": _orders_with_one(spark, sf_dir),
+        "dim_date_times": view(spark, sf_dir, "dirty_dates"),
+    }
+    tables = E.load_star(spark, sources, scratch_path(spark, "star"))
+    return E.key_report(spark, tables)
