@@ -10,6 +10,7 @@ instead of re-running the cleaning.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,13 +53,17 @@ PIPELINES: dict[str, Pipeline] = {
 def load_star(spark: SparkSession, sources: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
     """Clean, conform and write every dataset present in ``sources``; returns table -> path.
 
+    The datasets are independent, so their write jobs are submitted together
+    (one driver thread each) and the cluster works on all of them at once.
     Each write is create-only: an existing folder is an error, never replaced.
     """
-    written = {}
-    for name, pipeline in PIPELINES.items():
-        if name in sources:
-            written[name] = write_files(pipeline(sources[name]), f"{out_dir.rstrip('/')}/{name}")
-    return written
+    todo = {name: (pipeline(sources[name]), f"{out_dir.rstrip('/')}/{name}")
+            for name, pipeline in PIPELINES.items() if name in sources}
+    if not todo:
+        return {}
+    with ThreadPoolExecutor(max_workers=len(todo)) as pool:
+        futures = {name: pool.submit(write_files, df, path) for name, (df, path) in todo.items()}
+        return {name: f.result() for name, f in futures.items()}
 
 
 # The fact and the date dimension share the order-level key; bucketing both on
