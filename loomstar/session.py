@@ -50,11 +50,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared file system folder and is used as
-    is.  Only when it is unset (local runs, tests) is a private one created.
+    is (and must be set).  Only for a local master with the setting unset
+    (tests) is a private folder created.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
+        if not sc.master.startswith("local"):
+            # a machine-local folder is not visible to other executors
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         base = tempfile.mkdtemp(prefix="loomstar-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
