@@ -47,3 +47,55 @@ def test_weights_match_model(spark, items):
             expect.append(UNIT_TO_KG[unit] * float(n))
     df = spark.createDataFrame([(t,) for t in texts], "w string")
     assert [r[0] for r in df.select(weight_kg("w")).collect()] == expect
+
+
+# --- regular expressions: Spark (Java) against Python's engine ---------------------
+
+import re  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from loomstar.functions.text import is_junk_code  # noqa: E402
+from loomstar.functions.urls import URL_PATTERN, url_parts  # noqa: E402
+from loomstar.functions.weights import NUMBER_PATTERN  # noqa: E402
+
+# Python's form of the junk test: ``$`` also matches before one final newline.
+PY_JUNK = re.compile(r"^[A-Z0-9]{10}$")
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.text(alphabet="AZ09az \n\r", min_size=8, max_size=12), min_size=1, max_size=30))
+def test_junk_code_matches_python_semantics(spark, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    got = [r[0] for r in df.orderBy("i").select(is_junk_code("v")).collect()]
+    assert got == [PY_JUNK.search(v) is not None for v in values]
+
+
+hosts = st.text(alphabet="abz09-._", min_size=1, max_size=12)
+urls = st.builds(lambda scheme, host, path: f"{scheme}://{host}/{path}",
+                 st.sampled_from(["s3", "http", "https", "ftp"]), hosts,
+                 st.text(alphabet="abc/._-", min_size=0, max_size=8))
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(urls, min_size=1, max_size=30))
+def test_url_parts_match_python(spark, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, u string")
+    got = [tuple(r) for r in df.orderBy("i").select(*url_parts("u")).collect()]
+    expect = []
+    for v in values:
+        m = re.match(URL_PATTERN, v)
+        expect.append(tuple(g or None for g in m.groups()) if m else (None, None, None))
+    assert got == expect
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.text(alphabet="0123456789.*gk", min_size=0, max_size=10), min_size=1, max_size=30))
+def test_weight_number_extraction_matches_python(spark, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, w string")
+    got = [r[0] for r in df.orderBy("i").select(F.regexp_extract("w", NUMBER_PATTERN, 1)).collect()]
+    expect = []
+    for v in values:
+        m = re.search(NUMBER_PATTERN, v)
+        expect.append(m.group(1) if m else "")
+    assert got == expect
