@@ -50,3 +50,30 @@ def test_telescoped_equals_window(spark):
     b = {r.year: r.actual_time_taken for r in avg_gap_telescoped(df).collect()}
     assert a == b
     assert a[2022] is None
+
+
+def test_hot_timestamp_and_hot_year(spark):
+    # one timestamp holds a third of all rows, and one year nearly all of them
+    base = dt.datetime(2021, 3, 1)
+    rows = [(k, 2021, base) for k in range(300)]
+    rows += [(1000 + k, 2021, base + dt.timedelta(minutes=k)) for k in range(580)]
+    rows += [(5000 + k, 2022, dt.datetime(2022, 1, 1) + dt.timedelta(days=k)) for k in range(20)]
+    df = spark.createDataFrame(rows, "date_key long, year int, datetime timestamp_ntz")
+    got = sorted(((r.date_key, r.year, r.datetime, r.next_datetime)
+                  for r in next_event_gap(df, buckets=16).collect()), key=str)
+    assert got == brute_next(rows)
+
+
+def test_successor_plan_never_windows_by_year_alone(spark):
+    from loomstar.operators.gaps import _next_distinct
+
+    rows = fixture_rows()
+    df = spark.createDataFrame(rows, "date_key long, year int, datetime timestamp_ntz")
+    times = df.where("datetime IS NOT NULL").groupBy("year", "datetime").count()
+    out = _next_distinct(times, "year", "datetime")
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if "windowspecdefinition(" in line]
+    assert windows, "the successor is a window over range buckets"
+    # every window is keyed by the range bucket (or is the one-row-per-bucket stitch)
+    assert all("windowspecdefinition(_b" in w for w in windows)
