@@ -80,10 +80,12 @@ def main() -> None:
                                "spark.eventLog.rolling.enabled": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     warm, cold = {}, {}
-    for name in names:
+    errors = {}
+
+    def measure(name: str) -> tuple[float, float]:
         t0 = time.perf_counter()
         run(QUERIES[name](spark, sf_dir))
-        cold[name] = round(time.perf_counter() - t0, 3)
+        first = time.perf_counter() - t0
         times = []
         for rep in range(reps):
             # the last warm run is tagged so its shuffle volume can be read back
@@ -92,20 +94,19 @@ def main() -> None:
             run(QUERIES[name](spark, sf_dir))
             times.append(time.perf_counter() - t0)
         spark.sparkContext.setJobGroup("_idle", "idle")
-        warm[name] = round(statistics.median(times), 3)
+        return round(first, 3), round(statistics.median(times), 3)
+
+    for name in names:
+        try:
+            cold[name], warm[name] = measure(name)
+        except Exception as err:  # noqa: BLE001 - one failure must not lose the others
+            errors[name] = f"{type(err).__name__}: {str(err)[:200]}"
     etl = {}
     if not os.environ.get("BENCH_QUERIES"):
-        t0 = time.perf_counter()
-        run(QUERIES[ETL](spark, sf_dir))
-        etl["cold"] = round(time.perf_counter() - t0, 3)
-        times = []
-        for rep in range(reps):
-            spark.sparkContext.setJobGroup(ETL if rep == reps - 1 else f"_{ETL}", ETL)
-            t0 = time.perf_counter()
-            run(QUERIES[ETL](spark, sf_dir))
-            times.append(time.perf_counter() - t0)
-        spark.sparkContext.setJobGroup("_idle", "idle")
-        etl["warm"] = round(statistics.median(times), 3)
+        try:
+            etl["cold"], etl["warm"] = measure(ETL)
+        except Exception as err:  # noqa: BLE001
+            errors[ETL] = f"{type(err).__name__}: {str(err)[:200]}"
     sf = os.path.basename(sf_dir).removeprefix("sf")
     version = spark.version
     spark.stop()  # flushes the event log
@@ -122,6 +123,7 @@ def main() -> None:
         "reps": reps,
         "shuffle_bytes": {n: shuffled.get(n, 0) for n in names},
         "etl": {**etl, "shuffle_bytes": shuffled.get(ETL, 0)} if etl else {},
+        "errors": errors,
     }))
 
 
