@@ -85,9 +85,14 @@ def load_star_tables(spark: SparkSession, sources: dict[str, DataFrame], prefix:
     return created
 
 
-def key_report(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
-    """PK and FK violations over the written tables: (check, table, column, key, n_rows)."""
-    read = {name: spark.read.parquet(path) for name, path in tables.items()}
+def key_report(spark: SparkSession, tables: dict[str, str | DataFrame]) -> DataFrame:
+    """PK and FK violations over the loaded tables: (check, table, column, key, n_rows).
+
+    ``tables`` maps table names to written Parquet folders or to DataFrames
+    (for example catalog tables from ``load_star_tables``).
+    """
+    read = {name: t if isinstance(t, DataFrame) else spark.read.parquet(t)
+            for name, t in tables.items()}
     parts = []
     for table, key in PRIMARY_KEYS.items():
         if table in read and key in read[table].columns:

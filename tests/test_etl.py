@@ -56,3 +56,6 @@ def test_bucketed_star_joins_without_fact_shuffle(spark):
     # the roll-up to the date key and the date join reuse the bucketing: no hash exchange on date_key
     assert "hashpartitioning(date_key" not in plan
     assert out.count() == 6
+    from loomstar.plans.etl import key_report
+    report = key_report(spark, {"orders_table": fact, "dim_date_times": dates})
+    assert report.count() == 0   # no PK on date_uuid or FK columns in this reduced star
