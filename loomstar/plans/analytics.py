@@ -181,11 +181,11 @@ def sales_by_type_one_country(fact: DataFrame, store: DataFrame, product: DataFr
     """Q4.8: sales per store type within one country, smallest first.
 
     The country filter is applied to the store dimension first, so it reaches
-    the store scan and the (small) filtered side prunes fact lines in the scan
-    stage before the product join.
+    the store scan; the filtered stores are broadcast behind a bounded count
+    and prune fact lines in the scan stage, before the product join.
     """
-    stores = (store.where(F.col("country_code") == F.lit(country))
-              .select("store_code", "store_type", "country_code"))
+    stores = broadcast_if_small(store.where(F.col("country_code") == F.lit(country))
+                                .select("store_code", "store_type", "country_code"))
     return (fact.select("store_code", "product_code", "product_quantity")
             .join(stores, "store_code")
             .join(_prices(product), "product_code")
