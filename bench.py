@@ -1,7 +1,7 @@
 """Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query runs once to warm caches and the JIT, then is timed ``$BENCH_REPS``
-times (default 3); the median warm time is reported.  Execution goes through
+times (default 5); the median warm time is reported.  Execution goes through
 the ``noop`` sink, so every row is computed but nothing is collected to the
 driver.  Prints ONE JSON line.
 """
@@ -71,7 +71,7 @@ def shuffle_bytes_by_group(log_dir: str) -> dict[str, int]:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    reps = int(os.environ.get("BENCH_REPS", "3"))
+    reps = int(os.environ.get("BENCH_REPS", "5"))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
     log_dir = tempfile.mkdtemp(prefix="loomstar-eventlog-")
     spark = get_session(f"local[{cpus}]", app="loomstar-bench", shuffle_partitions=2 * cpus,
