@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomstar.operators.joins import broadcast_if_small
-from loomstar.session import ensure_checkpoint_dir
+from loomstar.session import scratch_path
 
 
 def micros_between(start: Column, end: Column) -> Column:
@@ -66,9 +66,9 @@ def next_event_gap(df: DataFrame, key: str = "date_key", part: str = "year",
     Within a group of equal times every row's successor is that same time,
     except the row with the largest key (NULL keys sort last), whose successor
     is the next distinct time.  So only distinct times are ordered (in
-    balanced range buckets, see ``_next_distinct``); their table is
-    checkpointed, joined back to the rows (broadcast when a bounded count
-    proves it small), and only
+    balanced range buckets, see ``_next_distinct``); their table is written
+    once to the shared checkpoint folder, joined back to the rows (broadcast
+    when a bounded count proves it small), and only
     the last-key rows are aggregated (collapsing exact duplicates, of which
     exactly one takes the next time).  The rows themselves are never shuffled
     when the distinct times are few.
@@ -82,10 +82,12 @@ def next_event_gap(df: DataFrame, key: str = "date_key", part: str = "year",
                   F.max(F.col(key).isNull().cast("int")).alias("_null_key")))
     succ = _next_distinct(times, part, ts, buckets).select(
         F.col(part).alias("_s_part"), F.col(ts).alias("_s_ts"), "_last_key", "_null_key", "_next")
-    # materialised once (reliable checkpoint in the shared folder), so the size
-    # check and the join read it instead of recomputing the ordering
-    ensure_checkpoint_dir(df.sparkSession)
-    succ = broadcast_if_small(succ.checkpoint(eager=True))
+    # written once as a table in the shared checkpoint folder, so the size check
+    # and the join read it instead of recomputing the ordering
+    spark = df.sparkSession
+    path = scratch_path(spark, "successors")
+    succ.write.mode("errorifexists").parquet(path)
+    succ = broadcast_if_small(spark.read.parquet(path))
     joined = rows.join(
         succ, rows[part].eqNullSafe(succ["_s_part"]) & (rows[ts] == succ["_s_ts"]), "left")
     # NULL keys sort last among equal times, so they take the next time when present
