@@ -51,6 +51,25 @@ def parse_mixed_dates(df: DataFrame, columns: list[str] | None = None) -> DataFr
     return parsed.na.drop(how="any", subset=cols)
 
 
+def unparsed_date_values(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """C-01's companion report: non-NULL date texts that no layout accepts.
+
+    One row per (column, value) with its row count, so the layout list can be
+    extended from evidence.  A hash aggregation (partial counts before the
+    shuffle); nothing is collected.
+    """
+    cols = date_columns(df) if columns is None else columns
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column string, value string, n_rows long")
+    items = ", ".join(
+        f"named_struct('column', {text(c)}, 'value', CAST({ident(c)} AS STRING), "
+        f"'bad', {ident(c)} IS NOT NULL AND {mixed_date_sql(c)} IS NULL)"
+        for c in cols)
+    return (df.selectExpr(f"explode(filter(array({items}), x -> x.bad)) AS u")
+            .groupBy(F.col("u.column").alias("column"), F.col("u.value").alias("value"))
+            .agg(F.count(F.lit(1)).alias("n_rows")))
+
+
 def clean_address(df: DataFrame, column: str = "address") -> DataFrame:
     """C-02: drop rows without an address; newlines become ``", "``."""
     return (df.na.drop(how="any", subset=[column])

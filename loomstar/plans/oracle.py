@@ -504,3 +504,11 @@ WHERE f.store_code IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM store_keys d WHERE d.store_code = f.store_code)
 GROUP BY f.store_code
 """)
+
+
+ORACLE["unparsed_dates"] = oracle_cte("dirty_users") + f"""
+SELECT 'date_of_birth' AS "column", date_of_birth AS value, COUNT(*) AS n_rows
+FROM dirty_users
+WHERE date_of_birth IS NOT NULL AND ({_mixed_date('date_of_birth')}) IS NULL
+GROUP BY date_of_birth
+"""

@@ -183,6 +183,11 @@ def q_parse_mixed_dates(spark, sf_dir):
     return present(C.parse_mixed_dates(view(spark, sf_dir, "dirty_users")))
 
 
+@register("unparsed_dates")
+def q_unparsed_dates(spark, sf_dir):
+    return C.unparsed_date_values(view(spark, sf_dir, "dirty_users"))
+
+
 @register("clean_address")
 def q_clean_address(spark, sf_dir):
     return C.clean_address(view(spark, sf_dir, "dirty_users"))

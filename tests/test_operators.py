@@ -163,3 +163,10 @@ def test_pk_and_fk(spark):
     assert [r.id for r in K.fk_violations(fact, dim, "k").collect()] == [3]
     pk = {(r.k, r.n_rows) for r in K.pk_violations(dim, ["k"]).collect()}
     assert pk == {(11, 2), (None, 1)}
+
+
+def test_unparsed_date_values_report(spark):
+    df = spark.createDataFrame([("1999-01-02", "soon"), ("bad", "2001/2/3"), ("bad", None), (None, "soon")],
+                               "join_date string, date_added string")
+    got = {(r.column, r.value, r.n_rows) for r in C.unparsed_date_values(df).collect()}
+    assert got == {("join_date", "bad", 2), ("date_added", "soon", 2)}
