@@ -43,3 +43,26 @@ def test_share_query_reuses_the_per_store_exchange(spark):
 def test_telescoped_gap_has_no_window(spark):
     plan = executed(queries()["avg_gap_by_year_top5"](spark, SF_SMALL))
     assert "Window" not in plan
+
+
+def test_broadcast_only_below_the_bound(spark):
+    from loomstar.operators.joins import broadcast_if_small
+
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")   # only the explicit check decides
+    try:
+        fact = spark.range(1000).withColumnRenamed("id", "k")
+        dim = spark.range(50).withColumnRenamed("id", "k")
+        small = fact.join(broadcast_if_small(dim, max_rows=100), "k")
+        large = fact.join(broadcast_if_small(dim, max_rows=10), "k")
+        assert small.count() == large.count() == 50
+        assert "BroadcastHashJoin" in executed(small)
+        assert "BroadcastHashJoin" not in executed(large)
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
