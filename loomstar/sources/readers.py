@@ -87,8 +87,10 @@ def write_columnar_json(df: DataFrame, path: str, key: str, rows_per_doc: int =
     """Write ``df`` as column-oriented JSON documents, one document per line.
 
     Rows are hashed into ``ceil(rows / rows_per_doc)`` documents, so no
-    document (one aggregation group) grows with the table.  Returns the number
-    of documents.
+    document (one aggregation group) grows with the table.  ``key`` must be
+    unique, as the row keys of a JSON object are (a repeated key fails the
+    write instead of silently keeping one value).  Returns the number of
+    documents.
     """
     n_rows = df.count()
     n_docs = max(1, -(-n_rows // rows_per_doc))

@@ -103,3 +103,9 @@ def test_jdbc_round_trip_in_process_derby(spark):
 def test_preview_is_ordered(spark):
     df = spark.range(100).withColumn("v", F.col("id") * 2)
     assert [r.id for r in K.preview(df, 3, order_by=["id"]).collect()] == [0, 1, 2]
+
+
+def test_columnar_json_writer_rejects_repeated_keys(spark, tmp_dir):
+    dup = spark.createDataFrame([(1, "a"), (1, "b")], "k long, v string")
+    with pytest.raises(Exception):
+        S.write_columnar_json(dup, os.path.join(tmp_dir, "dup"), "k")
