@@ -458,7 +458,7 @@ WHERE id NOT IN (SELECT s_suppkey FROM supplier)
 """
 
 ORACLE["json_flatten_props"] = """
-SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS "props.k" FROM events
+SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS props_k FROM events
 """
 
 ORACLE["drop_repeated_headers"] = oracle_cte("dirty_cards") + """

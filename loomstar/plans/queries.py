@@ -399,7 +399,8 @@ def q_missing_document_ids(spark, sf_dir):
 @register("json_flatten_props")
 def q_json_flatten_props(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "props")
-    return S.flatten_json_column(events, "props", "k BIGINT")
+    # "_" joins the path so the output names are plain identifiers for any client
+    return S.flatten_json_column(events, "props", "k BIGINT", sep="_")
 
 
 def _write_card_pages(spark, sf_dir) -> str:

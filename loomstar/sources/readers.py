@@ -158,10 +158,11 @@ def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
     return df.select(*cols)
 
 
-def flatten_json_column(df: DataFrame, column: str, schema: T.StructType | str) -> DataFrame:
+def flatten_json_column(df: DataFrame, column: str, schema: T.StructType | str,
+                        sep: str = ".") -> DataFrame:
     """S-08 for a JSON text column: parse it with ``schema``, then flatten."""
     parsed = df.withColumn(column, F.from_json(F.col(column), schema))
-    return flatten(parsed)
+    return flatten(parsed, sep)
 
 
 # --- S-09 / O-06: paged tables --------------------------------------------------------------
