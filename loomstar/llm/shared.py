@@ -21,7 +21,10 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 
 def ship(module: str) -> None:
-    """Send this module's functions to executors by value, so they need no copy of the package."""
+    """Send this module's functions to executors by value, so they need no copy of the package.
+
+    Functions must refer to others by name (``from m import f``), not through a module.
+    """
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 

@@ -31,10 +31,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, dtype=np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+    """``base ** 0 .. base ** (n - 1)`` modulo 2^64, kept for the next piece."""
+    if len(_POWERS.get(base, ())) < n:
+        out = np.full(n, base, dtype=np.uint64)
+        out[0] = 1
+        _POWERS[base] = np.cumprod(out, dtype=np.uint64)
+    return _POWERS[base][:n]
 
 
 BYTE_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASE))
@@ -132,7 +138,7 @@ def shingles(hash_: np.ndarray, q: int) -> np.ndarray:
     n = len(hash_) - q + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    out = np.full(n, np.uint64(q) * np.uint64(BASE), dtype=np.uint64)
+    out = np.full(n, (q * BASE) % (1 << 64), dtype=np.uint64)
     for i in range(q):
         out *= np.uint64(0xA0761D6478BD642F)
         out += mix(hash_[i:i + n] + np.uint64(i))
