@@ -4,16 +4,54 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomstar.llm import near_dedup
+from loomstar.llm import decontaminate, line_dedup, mixing, near_dedup, pii, quality_rules, token_counts
 from loomstar.llm.shared import table
 
 
+def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
+    """The vocabulary file of a public tokenizer; the files are installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return rows.selectExpr("doc_id", "_n_lines AS n_lines", "_n_dropped AS n_dropped", "text")
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_decontamination": op3_decontamination,
+    "op4_quality_rules": op4_quality_rules,
+    "op6_personal_data": op6_personal_data,
+    "op7_source_mixing": op7_source_mixing,
+    "op8_token_counts": op8_token_counts,
 }
 
 ORACLE: dict[str, str] = {}

@@ -135,6 +135,7 @@ def words(col: pa.Array, is_word: np.ndarray, lower: bool = True) -> Words:
 
 def shingles(hash_: np.ndarray, q: int) -> np.ndarray:
     """Hashes of all runs of ``q`` words; entry ``i`` starts at word ``i``."""
+    q = int(q)
     n = len(hash_) - q + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
