@@ -64,14 +64,15 @@ def _repeated_words(w: Column) -> Column:
     return F.when(n < 4, F.lit(0)).otherwise(let(windows, covered))
 
 
-def statistics(text: Column) -> Column:
-    """One struct of counts and ratios of a text."""
+def statistics(text: Column, repeats: bool = True) -> Column:
+    """One struct of counts of a text; ``repeats=False`` leaves repeated words at 0."""
     t = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(t, "\n", -1), lambda x: F.translate(x, SPACES, "") != "")
 
     def of(w: Column) -> Column:
         return F.struct(
-            F.size(w).cast("long").alias("n_words"), _repeated_words(w).cast("long").alias("n_repeat_words"),
+            F.size(w).cast("long").alias("n_words"),
+            (_repeated_words(w) if repeats else F.lit(0)).cast("long").alias("n_repeat_words"),
             F.size(F.array_distinct(w)).cast("long").alias("n_distinct"))
 
     return F.struct(
