@@ -33,13 +33,13 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """``(doc, comp)`` for every node of ``edges (a, b)``; ``comp`` is the smallest node reachable."""
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    now, before = saved(edges.distinct(), "edges"), None
+    now, before = saved(edges.distinct(), "edges", narrow=True), None
     while True:
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before or not state[0]:
             break
         before = state
-        now = saved(_star(_star(now, True), False), "edges")
+        now = saved(_star(_star(now, True), False), "edges", narrow=True)
     # settled: every node but the smallest of its component links to that smallest
     return now.select(F.col("a").alias("doc"), F.col("b").alias("comp")).unionByName(
         now.select(F.col("b").alias("doc"), F.col("b").alias("comp")).distinct())

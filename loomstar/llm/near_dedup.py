@@ -15,7 +15,8 @@
    tested against the best centre among its lists (the one with the fewest
    unique values: the text its copies were made from); then, while a list still
    holds several components, documents outside its largest component become
-   centres in turn (1, 16, 256 ... a round) for the list's other components.
+   centres for the list's other components (``CENTRES`` of a list at a time as
+   long as that merges components, then all).
    A pair in one component needs no test, every other possible one gets it, so no
    list is cut short and no link is lost.
 5. A pair must pass an estimate from the union of both sketches, then the exact
@@ -49,7 +50,9 @@ from loomstar.llm.wordhash import BASE, NOT_SPACE, doc_shingles, mix, shingles,
 ship(__name__)
 
 K = 64                      # retained values of a sketch
-K_FINE = 256                # the same for documents that meet another one
+K_FINE = 1024               # the same for documents that meet another one
+MAX_AT_ONCE = 20_000_000    # looks at members of lists below which all that remains is tested in one round
+CENTRES = 16                # of each list in a round, else
 SHINGLE = 5                 # words of a shingle
 SIM_NUM, SIM_DEN = 75, 100  # link when 100 * intersection >= 75 * union
 MISS = 1e-9                 # chance that the overlap bound loses one linked pair
@@ -171,7 +174,7 @@ def _verified(pairs: DataFrame, store: DataFrame) -> DataFrame:
     left = store.select(F.col("doc").alias("a"), F.col("sketch").alias("sa"), F.col("n").alias("na"))
     right = store.select(F.col("doc").alias("b"), F.col("sketch").alias("sb"), F.col("n").alias("nb"))
     likely = saved(pairs.join(left, "a").join(right, "b").where(
-        _may_link(F.col("sa"), F.col("sb"), F.col("na"), F.col("nb"))).select("a", "b"), "likely")
+        _may_link(F.col("sa"), F.col("sb"), F.col("na"), F.col("nb"))).select("a", "b"), "likely", narrow=True)
     texts = likely.join(store.select(F.col("doc").alias("a"), F.col("text").alias("ta")), "a") \
         .join(store.select(F.col("doc").alias("b"), F.col("text").alias("tb")), "b")
     return texts.select("a", "b", "ta", "tb").mapInArrow(_linked, "a long, b long")
@@ -181,7 +184,7 @@ def link_components(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str
     """``(doc, comp)`` of the distinct sets that are linked with another one."""
     spark = docs.sparkSession
     first = _met(inverted_lists(reps.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "sketch"), K), K)
-    ids = broadcast_bounded(saved(first.select("s.doc").distinct(), "ids"), MAX_BROADCAST_IDS)
+    ids = broadcast_bounded(saved(first.select("s.doc").distinct(), "ids", narrow=True), MAX_BROADCAST_IDS)
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")) \
         .join(ids, "doc", "left_semi").dropDuplicates(["doc"])
     store = saved(texts.join(reps.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "sketch")
@@ -194,31 +197,35 @@ def link_components(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str
     best = lists.groupBy("value").agg(F.min("s").alias("c"))
     tried = lists.join(best, "value").where(_possible("s", "c", K_FINE)).groupBy("doc").agg(F.min("c").alias("c")) \
         .select(F.col("c.doc").alias("a"), F.col("doc").alias("b")).where("a <> b")
-    tested = saved(tried, "pairs")
-    edges = saved(_verified(tested, store), "links")
-    centres = 1
-    used = spark.createDataFrame([], "value long, doc long")
+    tested = saved(tried, "pairs", narrow=True)
+    edges = saved(_verified(tested, store), "links", narrow=True)
+    comp, at_once = components(edges), False
     while True:
-        comp = components(edges)
         named = lists.join(comp, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
-        many = named.groupBy("value", "comp").agg(F.count(F.lit(1)).alias("n")) \
-            .groupBy("value").agg(F.max(F.struct("n", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")) \
-            .where("comps > 1").select("value", F.col("top.comp").alias("main"))
-        open_ = saved(named.join(many, "value"), "open")
-        waiting = open_.where("comp <> main").join(used, ["value", "doc"], "left_anti")
-        chosen = saved(waiting.groupBy("value", F.pmod(F.xxhash64("doc"), F.lit(centres)).alias("salt"))
-                       .agg(F.min(F.struct("s", "comp")).alias("c"))
-                       .select("value", F.col("c.s").alias("c"), F.col("c.comp").alias("of")), "centres")
-        if chosen.isEmpty():
-            return comp
+        sizes = named.groupBy("value", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("value").agg(
+            F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+        sizes = saved(sizes.select("value", F.col("top.comp").alias("main"), (F.col("n") * (F.col("n") - F.col("top.n"))).alias("pairs")),
+                      "lists", narrow=True)
+        # all documents outside the main component become centres, or some of each list, to merge components first
+        at_once = at_once or (sizes.agg(F.sum("pairs")).first()[0] or 0) <= MAX_AT_ONCE
+        open_ = saved(named.join(sizes.select("value", "main"), "value"), "open", narrow=True)
+        chosen = open_.where("comp <> main").select("value", F.col("s").alias("c"), F.col("comp").alias("of"))
+        if not at_once:
+            chosen = chosen.groupBy("value", F.pmod(F.xxhash64("c.doc"), F.lit(CENTRES)).alias("salt")) \
+                .agg(F.min(F.struct("c", "of")).alias("x")).select("value", "x.c", "x.of")
         pairs = open_.join(chosen, "value").where((F.col("comp") != F.col("of")) & _possible("s", "c", K_FINE)) \
             .select(F.least("c.doc", "doc").alias("a"), F.greatest("c.doc", "doc").alias("b")).distinct() \
             .join(tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-        pairs = saved(pairs, "pairs")
+        pairs = saved(pairs, "pairs", narrow=True)
         tested = tested.unionByName(pairs)
-        used = used.unionByName(chosen.select("value", F.col("c.doc").alias("doc")))
-        edges = edges.unionByName(saved(_verified(pairs, store), "links"))
-        centres *= 16
+        more = saved(_verified(pairs, store), "links", narrow=True)
+        found = not more.isEmpty()
+        if found:
+            edges = edges.unionByName(more)
+            comp = components(edges)
+        if at_once:
+            return comp
+        at_once = not found  # some centres merged nothing: all the rest is tested
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -28,9 +28,14 @@ def ship(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: its lineage ends here."""
+def saved(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: its lineage ends here.
+
+    ``narrow`` tables (a few numbers a row) come in two files per core at most.
+    """
     spark = df.sparkSession
+    if narrow:
+        df = df.coalesce(2 * spark.sparkContext.defaultParallelism)
     path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
