@@ -10,6 +10,8 @@ original tool chain) are treated as unparsable.  Everything is
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,29 +20,58 @@ from loomstar.functions.sql import ident, text
 # Accepted layouts of mixed date text, in order of preference.
 MIXED_DATE_FORMATS = (
     "yyyy-M-d H:m:s",
+    "yyyy-M-d H:m",
+    "yyyy-M-d'T'H:m:s",
+    "yyyy-M-d'T'H:m:s'Z'",
     "yyyy-M-d",
+    "yyyy-M",
+    "yyyyMMdd",
+    "yyyy.M.d",
     "yyyy/M/d",
     "M/d/yyyy",
     "d/M/yyyy",
+    "M-d-yyyy",
+    "d-M-yyyy",
+    "M/d/yy",
+    "d/M/yy",
     "yyyy MMMM d",
+    "yyyy MMM d",
     "MMMM yyyy d",
+    "MMM yyyy d",
+    "MMMM d yyyy",
+    "MMM d yyyy",
+    "d MMMM yyyy",
+    "d MMM yyyy",
+    "MMMM yyyy",
+    "MMM yyyy",
     "yyyy",
 )
 MIN_YEAR, MAX_YEAR = 1677, 2262
 
 # The shape each layout can accept.  A failed parse costs an exception inside
 # the executor, so a parse is only attempted when the text has the right shape.
-_D1_2, _D4 = r"[0-9]{1,2}", r"[0-9]{4}"
-_SHAPES = {
-    "yyyy-M-d H:m:s": rf"^{_D4}-{_D1_2}-{_D1_2} {_D1_2}:{_D1_2}:{_D1_2}$",
-    "yyyy-M-d": rf"^{_D4}-{_D1_2}-{_D1_2}$",
-    "yyyy/M/d": rf"^{_D4}/{_D1_2}/{_D1_2}$",
-    "M/d/yyyy": rf"^{_D1_2}/{_D1_2}/{_D4}$",
-    "d/M/yyyy": rf"^{_D1_2}/{_D1_2}/{_D4}$",
-    "yyyy MMMM d": rf"^{_D4} [A-Za-z]+ {_D1_2}$",
-    "MMMM yyyy d": rf"^[A-Za-z]+ {_D4} {_D1_2}$",
-    "yyyy": rf"^{_D4}$",
-}
+def _shape(layout: str) -> str:
+    """The regular expression of the texts that a layout can accept."""
+    parts = {"yyyyMMdd": "[0-9]{8}", "yyyy": "[0-9]{4}", "yy": "[0-9]{2}", "MMMM": "[A-Za-z]{4,}", "MMM": "[A-Za-z]{3}",
+             "M": "[0-9]{1,2}", "d": "[0-9]{1,2}", "H": "[0-9]{1,2}", "m": "[0-9]{1,2}", "s": "[0-9]{1,2}",
+             "'T'": "T", "'Z'": "Z", ".": "[.]"}
+    token = re.compile("yyyyMMdd|yyyy|yy|MMMM|MMM|[MdHms]|'T'|'Z'|.")
+    return "^" + "".join(parts.get(t, t) for t in token.findall(layout)) + "$"
+
+
+_SHAPES = {layout: _shape(layout) for layout in MIXED_DATE_FORMATS}
+
+
+def _attempt(t: str, layout: str) -> str:
+    """One parse; month names in any case, two-digit years in the 100 years that end 49 years from now."""
+    if "MMM" in layout:
+        t = f"initcap(lower({t}))"
+    parsed = f"try_to_timestamp({t}, {text(layout)})"
+    if layout.endswith("/yy"):
+        return (f"CASE WHEN year({parsed}) >= year(current_date()) + 50 "
+                f"THEN {parsed} - INTERVAL '100' YEAR ELSE {parsed} END")
+    return parsed
+
 
 # Fixed value: layout of the date-dimension parts joined as text.
 DATETIME_PARTS_FORMAT = "yyyy-M-d H:m:s"
@@ -49,13 +80,10 @@ DATETIME_PARTS_FORMAT = "yyyy-M-d H:m:s"
 def mixed_timestamp_sql(name: str, formats: tuple[str, ...] = MIXED_DATE_FORMATS) -> str:
     """X-16 as SQL: mixed text -> TIMESTAMP_NTZ, NULL when no format fits or out of range."""
     t = f"trim(CAST({ident(name)} AS STRING))"
-    attempts = []
-    for f in formats:
-        attempt = f"try_to_timestamp({t}, {text(f)})"
-        shape = _SHAPES.get(f)
-        attempts.append(f"CASE WHEN {t} RLIKE {text(shape)} THEN {attempt} END" if shape else attempt)
-    parsed = f"CAST(coalesce({', '.join(attempts)}) AS TIMESTAMP_NTZ)"
-    return f"CASE WHEN year({parsed}) BETWEEN {MIN_YEAR} AND {MAX_YEAR} THEN {parsed} END"
+    attempts = [f"CASE WHEN _t RLIKE {text(_SHAPES.get(f) or _shape(f))} THEN {_attempt('_t', f)} END" for f in formats]
+    # inside a lambda the many attempts are interpreted: as generated code they would pass the size of a method
+    parsed = f"transform(array({t}), _t -> CAST(coalesce({', '.join(attempts)}) AS TIMESTAMP_NTZ))"
+    return f"get(filter({parsed}, _p -> year(_p) BETWEEN {MIN_YEAR} AND {MAX_YEAR}), 0)"
 
 
 def mixed_date_sql(name: str, formats: tuple[str, ...] = MIXED_DATE_FORMATS) -> str:

@@ -26,9 +26,12 @@ from loomstar.functions.sql import as_col, ident, text
 from loomstar.operators.reshape import add_column_if_absent, rename_column
 
 # Fixed value: textual UUID forms accepted on input (hyphens optional, braces
-# optional, any case); output is the lower-case hyphenated form.
-UUID_PATTERN = (r"^\{?[0-9a-fA-F]{8}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?"
-                r"[0-9a-fA-F]{4}-?[0-9a-fA-F]{12}\}?\z")
+# optional, both braces or none, any case); output is the lower-case hyphenated form.
+_UUID_BODY = r"[0-9a-fA-F]{8}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{12}"
+UUID_PATTERN = rf"^(?:{_UUID_BODY}|\{{{_UUID_BODY}\}})\z"
+
+# A date text must have all three parts: the engine's own cast would read ``2020-01`` as 1 January.
+DATE_PATTERN = r"^\s*[0-9]{4,}-[0-9]{1,2}-[0-9]{1,2}([ T].*)?\s*\z"
 
 _VARCHAR = re.compile(r"varchar\((\d+)\)")
 
@@ -88,6 +91,9 @@ def _conform_sql(c: str, declared: str) -> str:
         n = int(m.group(1))
         return (f"CASE WHEN {txt} IS NULL OR length({txt}) <= {n} THEN {txt} "
                 f"ELSE raise_error(concat({text(f'value too long for varchar({n}) in {c}: ')}, {txt})) END")
+    if declared == "date":
+        return (f"CASE WHEN {txt} IS NULL OR {txt} RLIKE {text(DATE_PATTERN)} THEN CAST({col} AS DATE) "
+                f"ELSE raise_error(concat({text(f'invalid date in {c}: ')}, {txt})) END")
     return f"CAST({col} AS {spark_type(declared)})"
 
 
@@ -108,6 +114,9 @@ def violation_checks_sql(c: str, declared: str) -> list[tuple[str, str]]:
         return [("uuid", f"{present} AND NOT ({txt} RLIKE {text(UUID_PATTERN)})")]
     if declared == "text":
         return []
+    if declared == "date":
+        return [("date", f"{present} AND (NOT ({txt} RLIKE {text(DATE_PATTERN)}) "
+                         f"OR try_cast({ident(c)} AS DATE) IS NULL)")]
     return [(declared, f"{present} AND try_cast({ident(c)} AS {spark_type(declared)}) IS NULL")]
 
 

@@ -32,7 +32,7 @@ def fk_violations(fact: DataFrame, dim: DataFrame, fact_key: str,
     """Fact rows whose non-NULL key has no match in the dimension (NULLs are allowed).
 
     A left anti join on the key only: the dimension side is reduced to its
-    distinct keys and broadcast when a bounded count proves it small, so the
+    distinct keys and broadcast if their measured bytes allow it, so the
     fact is checked where it is read; beyond the bound it is a sort-merge anti
     join, with AQE splitting skewed keys.
     """

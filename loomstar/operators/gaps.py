@@ -20,9 +20,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomstar.operators.joins import broadcast_if_small
 from loomstar.session import scratch_path
 
+REPEAT_CHUNK = 10_000
+
 
 def micros_between(start: Column, end: Column) -> Column:
     """Whole microseconds from ``start`` to ``end`` (BIGINT)."""
@@ -33,16 +34,20 @@ def _next_distinct(times: DataFrame, part: str, ts: str, buckets: int | None = N
     """For unique (part, ts) rows: the next larger ts in the same part (``_next``).
 
     The rows are range-partitioned on (part, ts) into ``buckets`` contiguous
-    ranges; the keys are unique, so the sampled range bounds balance the
-    buckets even when one part or one day holds most of the times.  The
+    ranges and written once, with their bucket, to the shared checkpoint folder:
+    range bounds are sampled, so the window and the stitch must read the same
+    buckets and never range-partition anew.  The keys are unique, so the bounds
+    balance the buckets even when one part or one day holds most of the times.  The
     successor is taken inside each bucket, and the last time of a bucket is
     stitched to the first time of the next non-empty bucket through a table
     of one row per bucket (bounded by the bucket count, so broadcast).
     """
     spark = times.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (times.repartitionByRange(n, F.col(part).asc_nulls_first(), F.col(ts).asc())
-              .withColumn("_b", F.spark_partition_id()))
+    path = scratch_path(spark, "ranged")
+    (times.repartitionByRange(n, F.col(part).asc_nulls_first(), F.col(ts).asc())
+     .withColumn("_b", F.spark_partition_id()).write.mode("errorifexists").parquet(path))
+    ranged = spark.read.parquet(path)
     local = ranged.withColumn(
         "_next", F.lead(ts).over(Window.partitionBy("_b", part).orderBy(F.col(ts))))
     key = F.struct(F.col(part).alias("p"), F.col(ts).alias("t"))
@@ -65,13 +70,12 @@ def next_event_gap(df: DataFrame, key: str = "date_key", part: str = "year",
     Same rows as ``LEAD(ts) OVER (PARTITION BY part ORDER BY ts NULLS LAST, key)``.
     Within a group of equal times every row's successor is that same time,
     except the row with the largest key (NULL keys sort last), whose successor
-    is the next distinct time.  So only distinct times are ordered (in
-    balanced range buckets, see ``_next_distinct``); their table is written
-    once to the shared checkpoint folder, joined back to the rows (broadcast
-    when a bounded count proves it small), and only
+    is the next distinct time.  So only distinct times are ordered (in balanced
+    range buckets, see ``_next_distinct``) and joined back to the rows, and only
     the last-key rows are aggregated (collapsing exact duplicates, of which
-    exactly one takes the next time).  The rows themselves are never shuffled
-    when the distinct times are few.
+    exactly one takes the next time).  A key repeated more than ``REPEAT_CHUNK``
+    times at one time is written out again in chunks, spread over tasks, so a
+    NULL key that holds a third of the rows is never one array or one task.
     Output: key, part, ts, ``next_<ts>``, ``gap_us``.
     """
     nxt = f"next_{ts}"
@@ -82,12 +86,6 @@ def next_event_gap(df: DataFrame, key: str = "date_key", part: str = "year",
                   F.max(F.col(key).isNull().cast("int")).alias("_null_key")))
     succ = _next_distinct(times, part, ts, buckets).select(
         F.col(part).alias("_s_part"), F.col(ts).alias("_s_ts"), "_last_key", "_null_key", "_next")
-    # written once as a table in the shared checkpoint folder, so the size check
-    # and the join read it instead of recomputing the ordering
-    spark = df.sparkSession
-    path = scratch_path(spark, "successors")
-    succ.write.mode("errorifexists").parquet(path)
-    succ = broadcast_if_small(spark.read.parquet(path))
     joined = rows.join(
         succ, rows[part].eqNullSafe(succ["_s_part"]) & (rows[ts] == succ["_s_ts"]), "left")
     # NULL keys sort last among equal times, so they take the next time when present
@@ -95,11 +93,15 @@ def next_event_gap(df: DataFrame, key: str = "date_key", part: str = "year",
         F.when(F.col("_null_key") == 1, F.col(key).isNull())
          .otherwise(F.col(key).eqNullSafe(F.col("_last_key"))), F.lit(False))
     others = joined.where(~is_last).select(key, part, ts, F.col(ts).alias(nxt))
-    lasts = (joined.where(is_last)
-             .groupBy(key, part, ts, "_next").agg(F.count(F.lit(1)).alias("_n"))
-             .select(key, part, ts, F.explode(F.concat(
-                 F.array_repeat(F.col(ts), (F.col("_n") - 1).cast("int")),
-                 F.array(F.col("_next")))).alias(nxt)))
+    lasts = joined.where(is_last).groupBy(key, part, ts, "_next").agg(F.count(F.lit(1)).alias("_n"))
+    chunk = F.lit(REPEAT_CHUNK)
+    few = lasts.where(F.col("_n") <= chunk).withColumn("_c", F.lit(0).cast("bigint"))
+    many = (lasts.where(F.col("_n") > chunk)
+            .withColumn("_c", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1, chunk.cast("bigint"))))
+            .repartition(F.col("_c"), F.col(part), F.col(ts)))
+    lasts = (few.unionByName(many)
+             .withColumn("_i", F.explode(F.sequence(F.col("_c"), F.least(F.col("_c") + chunk, F.col("_n")) - 1)))
+             .select(key, part, ts, F.when(F.col("_i") == 0, F.col("_next")).otherwise(F.col(ts)).alias(nxt)))
     out = others.unionByName(lasts)
     return out.select(key, part, ts, nxt, micros_between(F.col(ts), F.col(nxt)).alias("gap_us"))
 

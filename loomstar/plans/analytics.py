@@ -13,8 +13,7 @@ Scale notes (each plan was read with ``explain("formatted")``):
   dimensions are broadcast by the planner's size check
   (``autoBroadcastJoinThreshold``, re-checked by AQE from real shuffle sizes);
   where a derived dimension's estimate is useless and the fact would be
-  shuffled for it, ``broadcast_if_small`` proves the size with a bounded
-  count first.
+  shuffled for it, ``broadcast_if_small`` measures its bytes first.
 * Sales are rolled up to the grain of the next join key *before* that join
   (eager aggregation).  Amounts are exact integer cents, so the answer does
   not depend on where partial sums are formed, while the rows crossing each
@@ -28,7 +27,7 @@ Scale notes (each plan was read with ``explain("formatted")``):
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomstar.functions.money import line_cents, money_from_cents, price_cents, share_pct
@@ -146,25 +145,27 @@ def sales_share_by_type(fact: DataFrame, store: DataFrame, product: DataFrame) -
     """Q4.5: sales and percentage of the global total per store type.
 
     The global total covers every priced line, including lines whose store is
-    unknown, exactly like the reference's CTE.  It is a scalar subquery made of
-    two parts so that the fact is scanned once: the non-NULL store codes reuse
-    the per-store roll-up of the main branch (same plan, so the exchange is
-    reused), and lines with a NULL store code come from a scan whose pushed
-    ``IsNull`` filter lets Parquet skip row groups by their null counts.
+    unknown.  One scan of the fact: lines are added up per store code (the NULL
+    group stays), joined with the stores, and added up again per type and match,
+    which leaves a handful of rows; the total is a sum over those.  A store code
+    listed several times counts its lines once in the total (``first`` of each).
     """
-    priced = _priced(fact, product)
-    per_store = (priced.where(F.col("store_code").isNotNull())
-                 .groupBy("store_code")
-                 .agg(F.sum("amount").alias("amount")))
-    known = per_store.agg(F.sum("amount").alias("t")).scalar()
-    unknown = priced.where(F.col("store_code").isNull()).agg(F.sum("amount").alias("t")).scalar()
-    total = F.coalesce(known, F.lit(0)) + F.coalesce(unknown, F.lit(0))
-    return (per_store.join(store.select("store_code", "store_type"), "store_code")
-            .groupBy("store_type")
-            .agg(F.sum("amount").alias("amount"))
+    per_store = _priced(fact, product).groupBy("store_code").agg(F.sum("amount").alias("amount"))
+    listed = (store.where(F.col("store_code").isNotNull()).groupBy("store_code", "store_type")
+              .agg(F.count(F.lit(1)).alias("copies")))
+    kinds = listed.groupBy("store_code").agg(
+        F.sort_array(F.collect_list(F.struct("store_type", "copies"))).alias("kinds"))  # the types of one code
+    none = F.array(F.struct(F.lit(None).cast("string").alias("store_type"), F.lit(0).cast("bigint").alias("copies")))
+    rows = (per_store.join(kinds, "store_code", "left")
+            .select("amount", F.posexplode(F.coalesce("kinds", none)).alias("i", "k"))
+            .groupBy(F.col("k.store_type").alias("store_type"), (F.col("k.copies") > 0).alias("known"))
+            .agg(F.sum(F.col("amount") * F.col("k.copies")).alias("amount"),
+                 F.sum(F.when(F.col("i") == 0, F.col("amount"))).alias("once")))
+    total = F.coalesce(F.sum("once").over(Window.partitionBy(F.lit(1))), F.lit(0))  # one row per type
+    return (rows.withColumn("total", total).where("known")
             .select("store_type",
                     money_from_cents("amount").alias("total_sales"),
-                    share_pct("amount", total).alias("percentage_total"))
+                    share_pct("amount", F.col("total")).alias("percentage_total"))
             .orderBy(F.col("total_sales").desc_nulls_first(), F.col("store_type").asc_nulls_last()))
 
 
@@ -181,8 +182,8 @@ def sales_by_type_one_country(fact: DataFrame, store: DataFrame, product: DataFr
     """Q4.8: sales per store type within one country, smallest first.
 
     The country filter is applied to the store dimension first, so it reaches
-    the store scan; the filtered stores are broadcast behind a bounded count
-    and prune fact lines in the scan stage, before the product join.
+    the store scan; the filtered stores are broadcast if their measured bytes
+    allow it and prune fact lines in the scan stage, before the product join.
     """
     stores = broadcast_if_small(store.where(F.col("country_code") == F.lit(country))
                                 .select("store_code", "store_type", "country_code"))

@@ -68,7 +68,7 @@ def load_star(spark: SparkSession, sources: dict[str, DataFrame], out_dir: str)
 
 # The fact and the date dimension share the order-level key; bucketing both on
 # it co-locates their join (and the fact's roll-up to that key) without a shuffle.
-CO_BUCKETED = {"orders_table": "date_key", "dim_date_times": "date_key"}
+CO_BUCKETED = {"orders_table": "date_uuid", "dim_date_times": "date_uuid"}
 
 
 def load_star_tables(spark: SparkSession, sources: dict[str, DataFrame], prefix: str,
@@ -80,8 +80,9 @@ def load_star_tables(spark: SparkSession, sources: dict[str, DataFrame], prefix:
         if name in sources:
             df = pipeline(sources[name])
             key = CO_BUCKETED.get(name)
-            use = key if key in df.columns else None
-            created[name] = create_table(df, f"{prefix}{name}", bucket_by=use, buckets=buckets)
+            if key and key not in df.columns:
+                raise ValueError(f"{name} has no column {key!r} to bucket by")
+            created[name] = create_table(df, f"{prefix}{name}", bucket_by=key, buckets=buckets)
     return created
 
 
@@ -89,19 +90,26 @@ def key_report(spark: SparkSession, tables: dict[str, str | DataFrame]) -> DataF
     """PK and FK violations over the loaded tables: (check, table, column, key, n_rows).
 
     ``tables`` maps table names to written Parquet folders or to DataFrames
-    (for example catalog tables from ``load_star_tables``).
+    (for example catalog tables from ``load_star_tables``).  A table that is not
+    given is not checked; a given table without a declared key column is an error.
     """
     read = {name: t if isinstance(t, DataFrame) else spark.read.parquet(t)
             for name, t in tables.items()}
+    declared = [(t, k) for t, k in PRIMARY_KEYS.items() if t in read]
+    declared += [("orders_table", c) for c, d in FOREIGN_KEYS if "orders_table" in read and d in read]
+    declared += [(d, c) for c, d in FOREIGN_KEYS if "orders_table" in read and d in read]
+    absent = sorted({f"{t}.{c}" for t, c in declared if c not in read[t].columns})
+    if absent:
+        raise ValueError(f"declared key columns are absent: {', '.join(absent)}")
     parts = []
     for table, key in PRIMARY_KEYS.items():
-        if table in read and key in read[table].columns:
+        if table in read:
             parts.append(K.pk_violations(read[table], [key]).select(
                 F.lit("primary_key").alias("check"), F.lit(table).alias("table"),
                 F.lit(key).alias("column"), F.col(key).cast("string").alias("key"), "n_rows"))
     fact = read.get("orders_table")
     for column, dim in FOREIGN_KEYS:
-        if fact is not None and dim in read and column in fact.columns and column in read[dim].columns:
+        if fact is not None and dim in read:
             bad = K.fk_violations(fact, read[dim], column)
             parts.append(bad.groupBy(column).agg(F.count(F.lit(1)).alias("n_rows")).select(
                 F.lit("foreign_key").alias("check"), F.lit("orders_table").alias("table"),

@@ -45,12 +45,26 @@ FROM {orders}""",
 SELECT c_custkey AS index,
        c_name AS first_name,
        CASE WHEN c_custkey % 13 = 0 THEN 'AB12CD34EF' ELSE c_mktsegment END AS last_name,
-       CASE c_custkey % 6
+       CASE c_custkey % 20
          WHEN 0 THEN concat(1950 + c_custkey % 50, '-', lpad(CAST(1 + c_custkey % 12 AS STRING), 2, '0'), '-', lpad(CAST(1 + c_custkey % 28 AS STRING), 2, '0'))
          WHEN 1 THEN concat(1950 + c_custkey % 50, '/', lpad(CAST(1 + c_custkey % 12 AS STRING), 2, '0'), '/', lpad(CAST(1 + c_custkey % 28 AS STRING), 2, '0'))
          WHEN 2 THEN concat(1950 + c_custkey % 50, ' October ', lpad(CAST(1 + c_custkey % 28 AS STRING), 2, '0'))
          WHEN 3 THEN concat('July ', 1950 + c_custkey % 50, ' ', lpad(CAST(1 + c_custkey % 28 AS STRING), 2, '0'))
          WHEN 4 THEN 'NULL'
+         WHEN 5 THEN concat(lpad(CAST(1 + c_custkey % 28 AS STRING), 2, '0'), ' October ', 1950 + c_custkey % 50)
+         WHEN 6 THEN concat('October ', lpad(CAST(1 + c_custkey % 28 AS STRING), 2, '0'), ' ', 1950 + c_custkey % 50)
+         WHEN 7 THEN concat('Oct ', lpad(CAST(1 + c_custkey % 28 AS STRING), 2, '0'), ' ', 1950 + c_custkey % 50)
+         WHEN 8 THEN concat(1950 + c_custkey % 50, ' Oct ', lpad(CAST(1 + c_custkey % 28 AS STRING), 2, '0'))
+         WHEN 9 THEN concat('Oct ', 1950 + c_custkey % 50, ' ', lpad(CAST(1 + c_custkey % 28 AS STRING), 2, '0'))
+         WHEN 10 THEN concat(1950 + c_custkey % 50, '-', lpad(CAST(1 + c_custkey % 12 AS STRING), 2, '0'), '-', lpad(CAST(1 + c_custkey % 28 AS STRING), 2, '0'), 'T01:02:03')
+         WHEN 11 THEN concat(1950 + c_custkey % 50, '-', lpad(CAST(1 + c_custkey % 12 AS STRING), 2, '0'), '-', lpad(CAST(1 + c_custkey % 28 AS STRING), 2, '0'), 'T01:02:03Z')
+         WHEN 12 THEN concat(1950 + c_custkey % 50, '-', lpad(CAST(1 + c_custkey % 12 AS STRING), 2, '0'), '-', lpad(CAST(1 + c_custkey % 28 AS STRING), 2, '0'), ' 10:11')
+         WHEN 13 THEN concat(1950 + c_custkey % 50, lpad(CAST(1 + c_custkey % 12 AS STRING), 2, '0'), lpad(CAST(1 + c_custkey % 28 AS STRING), 2, '0'))
+         WHEN 14 THEN concat(1950 + c_custkey % 50, '.', lpad(CAST(1 + c_custkey % 12 AS STRING), 2, '0'), '.', lpad(CAST(1 + c_custkey % 28 AS STRING), 2, '0'))
+         WHEN 15 THEN concat(lpad(CAST(1 + c_custkey % 12 AS STRING), 2, '0'), '-', lpad(CAST(1 + c_custkey % 28 AS STRING), 2, '0'), '-', 1950 + c_custkey % 50)
+         WHEN 16 THEN concat(1950 + c_custkey % 50, '-', lpad(CAST(1 + c_custkey % 12 AS STRING), 2, '0'))
+         WHEN 17 THEN concat('October ', 1950 + c_custkey % 50)
+         WHEN 18 THEN concat(lpad(CAST(1 + c_custkey % 28 AS STRING), 2, '0'), '/', lpad(CAST(1 + c_custkey % 12 AS STRING), 2, '0'), '/', 1950 + c_custkey % 50)
          ELSE 'ZX90CV81BN' END AS date_of_birth,
        CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE concat(c_custkey, ' High Street', chr(10), 'Town ', c_nationkey) END AS address,
        CASE WHEN c_custkey % 7 = 0 THEN 'GGB' ELSE 'GB' END AS country_code
@@ -105,9 +119,53 @@ FROM {orders}""",
     "dangling_fact": """
 SELECT date_key, CASE WHEN date_key % 41 = 0 THEN NULL WHEN date_key % 43 = 0 THEN -1 ELSE store_code END AS store_code, product_code
 FROM (SELECT l_orderkey AS date_key, l_suppkey AS store_code, l_partkey AS product_code FROM {lineitem}) f""",
+    "repeated_fact": """
+SELECT l_orderkey AS date_key, l_suppkey AS store_code, l_partkey AS product_code, CAST(l_quantity AS SMALLINT) AS product_quantity
+FROM {lineitem}
+UNION ALL
+SELECT l_orderkey, l_suppkey, l_partkey, CAST(l_quantity AS SMALLINT) FROM {lineitem} WHERE l_orderkey % 3 = 0""",
+    "etl_users": """
+SELECT c_custkey AS index, c_name AS first_name, lower(c_mktsegment) AS last_name, '1970-02-03' AS date_of_birth,
+       concat(c_custkey, ' High Street', chr(10), 'Town') AS address, CASE WHEN c_custkey % 7 = 0 THEN 'GGB' ELSE 'GB' END AS country_code,
+       concat('2 October ', 1990 + c_custkey % 30) AS join_date,
+       upper(concat('a0eebc99-9c0b-4ef8-bb6d-', lpad(CAST(CASE WHEN c_custkey % 50 = 1 THEN c_custkey - 1 ELSE c_custkey END AS STRING), 12, '0'))) AS user_uuid
+FROM {customer}""",
+    "etl_cards": """
+SELECT CAST(4000000000000000 + CASE WHEN c_custkey % 60 = 1 THEN c_custkey - 1 ELSE c_custkey END AS STRING) AS card_number,
+       '09/27' AS expiry_date, '2021-05-06' AS date_payment_confirmed
+FROM {customer}""",
+    "etl_stores": """
+SELECT s_suppkey AS index, concat('ST-', CASE WHEN s_suppkey % 20 = 1 THEN s_suppkey - 1 ELSE s_suppkey END) AS store_code,
+       CASE WHEN s_suppkey % 5 = 0 THEN 'Web Portal' ELSE 'Kind A' END AS store_type, CAST(s_suppkey % 40 AS STRING) AS staff_numbers,
+       concat(s_suppkey, ' Road') AS address, CAST(s_suppkey % 90 AS STRING) AS longitude, CAST(s_suppkey % 60 AS STRING) AS latitude,
+       concat('LOC_', s_suppkey % 17) AS locality, CASE s_suppkey % 3 WHEN 0 THEN 'GB' WHEN 1 THEN 'DE' ELSE 'US' END AS country_code,
+       'Europe' AS continent, '2001-02-15' AS opening_date
+FROM {supplier}""",
+    "etl_products": """
+SELECT p_name AS product_name, concat('£', CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS STRING)) AS product_price,
+       concat(p_size, 'kg') AS weight, p_type AS category, CAST(5000000000000 + p_partkey AS STRING) AS EAN,
+       '2011-12-13' AS date_added, concat('a0eebc99-9c0b-4ef8-bb6d-', lpad(CAST(p_partkey AS STRING), 12, '0')) AS uuid, CASE WHEN p_partkey % 3 = 0 THEN 'Removed' ELSE 'Still_available' END AS removed,
+       concat('P-', CASE WHEN p_partkey % 70 = 1 THEN p_partkey - 1 ELSE p_partkey END) AS product_code
+FROM {part}""",
+    "etl_dates": """
+SELECT concat('a0eebc99-9c0b-4ef8-bb6d-', lpad(CAST(CASE WHEN o_orderkey % 90 = 1 THEN o_orderkey - 1 ELSE o_orderkey END AS STRING), 12, '0')) AS date_uuid,
+       CAST(year(o_orderdate) AS STRING) AS year, CAST(month(o_orderdate) AS STRING) AS month, CAST(day(o_orderdate) AS STRING) AS day,
+       '10:11:12' AS timestamp, 'Evening' AS time_period
+FROM {orders}""",
+    "etl_orders": """
+SELECT l_linenumber AS level_0, 'x' AS first_name, 'y' AS last_name, CAST(NULL AS STRING) AS one,
+       concat('a0eebc99-9c0b-4ef8-bb6d-', lpad(CAST(CASE WHEN l_orderkey % 43 = 0 THEN 900000000000 + l_orderkey ELSE l_orderkey END AS STRING), 12, '0')) AS date_uuid,
+       concat('a0eebc99-9c0b-4ef8-bb6d-', lpad(CAST(CASE WHEN l_partkey % 47 = 0 THEN 900000000000 ELSE l_suppkey END AS STRING), 12, '0')) AS user_uuid,
+       CAST(4000000000000000 + CASE WHEN l_partkey % 53 = 0 THEN 900000 ELSE l_suppkey END AS STRING) AS card_number,
+       CASE WHEN l_partkey % 41 = 0 THEN NULL WHEN l_partkey % 37 = 0 THEN 'ST-none' ELSE concat('ST-', l_suppkey) END AS store_code,
+       CASE WHEN l_partkey % 59 = 0 THEN 'P-none' ELSE concat('P-', l_partkey) END AS product_code,
+       CAST(l_quantity AS BIGINT) AS product_quantity
+FROM {lineitem}""",
     "bad_uuid": """
 SELECT c_custkey AS id,
        CASE WHEN c_custkey % 9 = 0 THEN 'not-a-uuid'
+            WHEN c_custkey % 9 = 1 THEN concat(chr(123), 'A0EEBC99-9C0B-4EF8-BB6D-', lpad(CAST(c_custkey AS STRING), 12, '0'))
+            WHEN c_custkey % 9 = 2 THEN concat(chr(123), 'A0EEBC99-9C0B-4EF8-BB6D-', lpad(CAST(c_custkey AS STRING), 12, '0'), chr(125))
             ELSE concat('A0EEBC99-9C0B-4EF8-BB6D-', lpad(CAST(c_custkey AS STRING), 12, '0')) END AS user_uuid,
        CASE WHEN c_custkey % 8 = 0 THEN '40000' WHEN c_custkey % 8 = 1 THEN 'n' ELSE CAST(c_custkey % 100 AS STRING) END AS small_text,
        CASE WHEN c_custkey % 6 = 0 THEN 'GBR' ELSE 'GB' END AS country_code
@@ -153,7 +211,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # shared checkpoint folder and read back, so operators see scanned columns as
 # they would in production rather than the CASE expressions that fake the dirt.
 LANDED = frozenset({"dirty_users", "dirty_cards", "dirty_stores", "dirty_products",
-                    "dirty_orders", "dirty_dates", "dangling_fact", "bad_uuid"})
+                    "dirty_orders", "dirty_dates", "dangling_fact", "bad_uuid", "etl_users", "etl_cards",
+                    "etl_stores", "etl_products", "etl_dates", "etl_orders"})
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -13,74 +13,64 @@ from loomstar.plans.queries import ONE_COUNTRY
 
 ORACLE: dict[str, str] = {}
 
-_SALES = ("CAST(ROUND(SUM(CAST(o.product_quantity AS DECIMAL(12,2)) "
-          "* CAST(p.product_price AS DECIMAL(12,2))), 2) AS DOUBLE)")
+# Lines with their exact amount, one row per line and listed product; the questions
+# about stores and dates look facts up for each line instead of joining the star.
+_LINES = """, lines AS (
+  SELECT f.date_key, f.store_code, f.product_quantity AS pieces,
+         CAST(f.product_quantity AS DECIMAL(12,2)) * CAST(q.product_price AS DECIMAL(12,2)) AS amount
+  FROM fact f, product q WHERE q.product_code = f.product_code)
+"""
+_MONEY = "CAST(ROUND(SUM(amount), 2) AS DOUBLE)"
 
 ORACLE["stores_per_country"] = oracle_cte("fact", "store") + """
-SELECT s.country_code, CAST(COUNT(DISTINCT s.store_code) AS BIGINT) AS num_stores
-FROM fact o JOIN store s ON s.store_code = o.store_code
-GROUP BY s.country_code
+SELECT country_code, CAST(COUNT(*) AS BIGINT) AS num_stores
+FROM (SELECT DISTINCT country_code, store_code FROM store WHERE store_code IN (SELECT store_code FROM fact)) u
+GROUP BY country_code
 """
 
 ORACLE["stores_per_locality_top7"] = oracle_cte("fact", "store") + """
-SELECT s.locality, CAST(COUNT(DISTINCT s.store_code) AS BIGINT) AS num_stores
-FROM fact o JOIN store s ON s.store_code = o.store_code
-GROUP BY s.locality
-ORDER BY num_stores DESC NULLS FIRST, s.locality ASC NULLS LAST
-LIMIT 7
-"""
-
-ORACLE["sales_total"] = oracle_cte("fact", "product") + f"""
-SELECT {_SALES} AS total_sales
-FROM fact o JOIN product p ON o.product_code = p.product_code
-"""
-
-ORACLE["sales_by_month_top6"] = oracle_cte("fact", "date_dim", "product") + f"""
-SELECT {_SALES} AS total_sales, d.month
-FROM fact o
-JOIN date_dim d ON d.date_key = o.date_key
-JOIN product p ON o.product_code = p.product_code
-GROUP BY d.month
-ORDER BY total_sales DESC NULLS FIRST, d.month ASC NULLS LAST
-LIMIT 6
-"""
-
-ORACLE["online_vs_offline"] = oracle_cte("fact", "store", "product") + """
-SELECT CAST(COUNT(*) AS BIGINT) AS total_sales,
-       CAST(SUM(o.product_quantity) AS BIGINT) AS total_products_sold,
-       CASE WHEN s.store_type = 'Web Portal' THEN 'Online' ELSE 'Offline' END AS location
-FROM fact o
-JOIN store s ON s.store_code = o.store_code
-JOIN product p ON o.product_code = p.product_code
-GROUP BY location
-"""
-
-ORACLE["sales_share_by_type"] = (
-    oracle_cte("fact", "store", "product")
-    + """, global_sold AS (
-    SELECT SUM(CAST(o.product_quantity AS DECIMAL(12,2)) * CAST(p.product_price AS DECIMAL(12,2))) AS total
-    FROM fact o JOIN product p ON o.product_code = p.product_code
-)
-SELECT s.store_type,
-       """ + _SALES + """ AS total_sales,
-       ROUND(CAST(SUM(CAST(o.product_quantity AS DECIMAL(12,2)) * CAST(p.product_price AS DECIMAL(12,2))) AS DOUBLE)
-             * 100 / CAST((SELECT total FROM global_sold) AS DOUBLE), 2) AS percentage_total
-FROM fact o
-JOIN store s ON s.store_code = o.store_code
-JOIN product p ON o.product_code = p.product_code
-GROUP BY s.store_type
-ORDER BY total_sales DESC NULLS FIRST, s.store_type
-""")
-
-ORACLE["sales_by_year_month_top10"] = oracle_cte("fact", "store", "product", "date_dim") + f"""
-SELECT {_SALES} AS total_sales, d.year, d.month
-FROM fact o
-JOIN store s ON s.store_code = o.store_code
-JOIN product p ON o.product_code = p.product_code
-JOIN date_dim d ON d.date_key = o.date_key
-GROUP BY d.year, d.month
-ORDER BY total_sales DESC NULLS FIRST, d.year, d.month
-LIMIT 10
+SELECT locality, num_stores FROM (
+  SELECT locality, CAST(COUNT(*) AS BIGINT) AS num_stores,
+         ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, locality ASC NULLS LAST) AS place
+  FROM (SELECT DISTINCT locality, store_code FROM store WHERE EXISTS
+        (SELECT 1 FROM fact WHERE fact.store_code = store.store_code)) u
+  GROUP BY locality) ranked
+WHERE place <= 7
+"""
+
+ORACLE["sales_total"] = oracle_cte("fact", "product") + _LINES + f"""
+SELECT {_MONEY} AS total_sales FROM lines
+"""
+
+ORACLE["sales_by_month_top6"] = oracle_cte("fact", "date_dim", "product") + _LINES + f""",
+per_day AS (SELECT date_key, SUM(amount) AS amount FROM lines GROUP BY date_key),
+per_month AS (SELECT month, {_MONEY} AS total_sales FROM date_dim, per_day WHERE per_day.date_key = date_dim.date_key GROUP BY month)
+SELECT total_sales, month FROM per_month AS a
+WHERE (SELECT COUNT(*) FROM per_month AS b WHERE b.total_sales > a.total_sales OR (b.total_sales = a.total_sales AND b.month < a.month)) < 6
+"""
+
+ORACLE["online_vs_offline"] = oracle_cte("fact", "store", "product") + _LINES + """,
+placed AS (SELECT pieces, unnest((SELECT list(CASE WHEN store_type = 'Web Portal' THEN 'Online' ELSE 'Offline' END)
+                                  FROM store WHERE store.store_code = lines.store_code)) AS location FROM lines)
+SELECT location, CAST(COUNT(*) AS BIGINT) AS total_sales, CAST(SUM(pieces) AS BIGINT) AS total_products_sold
+FROM placed GROUP BY location
+"""
+
+ORACLE["sales_share_by_type"] = oracle_cte("fact", "store", "product") + _LINES + """,
+per_code AS (SELECT store_code, SUM(amount) AS amount FROM lines GROUP BY store_code),
+whole AS (SELECT store_code, amount, SUM(amount) OVER () AS everything FROM per_code)
+SELECT store_type, CAST(ROUND(SUM(amount), 2) AS DOUBLE) AS total_sales,
+       ROUND(CAST(SUM(amount) AS DOUBLE) * 100 / CAST(MAX(everything) AS DOUBLE), 2) AS percentage_total
+FROM store NATURAL JOIN whole
+GROUP BY store_type
+"""
+
+ORACLE["sales_by_year_month_top10"] = oracle_cte("fact", "store", "product", "date_dim") + _LINES + f""",
+listed AS (SELECT store_code, COUNT(*) AS times FROM store GROUP BY store_code),
+per_day AS (SELECT date_key, SUM(amount * times) AS amount FROM lines NATURAL JOIN listed GROUP BY date_key),
+per_month AS (SELECT year, month, {_MONEY} AS total_sales FROM per_day NATURAL JOIN date_dim GROUP BY year, month)
+SELECT total_sales, year, month FROM per_month
+QUALIFY ROW_NUMBER() OVER (ORDER BY total_sales DESC, year, month) <= 10
 """
 
 ORACLE["staff_by_country"] = oracle_cte("store") + """
@@ -90,47 +80,36 @@ GROUP BY country_code
 ORDER BY total_staff_numbers DESC NULLS FIRST, country_code
 """
 
-ORACLE["sales_by_type_one_country"] = oracle_cte("fact", "store", "product") + f"""
-SELECT {_SALES} AS total_sales, s.store_type, s.country_code
-FROM fact o
-JOIN store s ON s.store_code = o.store_code
-JOIN product p ON o.product_code = p.product_code
-WHERE s.country_code = '{ONE_COUNTRY}'
-GROUP BY s.country_code, s.store_type
-ORDER BY total_sales ASC NULLS LAST, s.store_type
-LIMIT 10
+ORACLE["sales_by_type_one_country"] = oracle_cte("fact", "store", "product") + _LINES + f""",
+local AS (SELECT store_code, store_type FROM store WHERE country_code = '{ONE_COUNTRY}'),
+per_type AS (SELECT store_type, {_MONEY} AS total_sales FROM local NATURAL JOIN lines GROUP BY store_type)
+SELECT total_sales, store_type, '{ONE_COUNTRY}' AS country_code FROM per_type
+QUALIFY ROW_NUMBER() OVER (ORDER BY total_sales ASC NULLS LAST, store_type ASC NULLS LAST) <= 10
 """
 
-_LEAD = """
-SELECT date_key, year, datetime,
-       LEAD(datetime, 1) OVER (PARTITION BY year ORDER BY datetime ASC NULLS LAST, date_key) AS next_datetime
-FROM date_dim
+# The next time of a row: the following one in the year's ordered list of times.
+_NEXT = """, listed AS (
+  SELECT year, list(struct_pack(datetime, date_key) ORDER BY datetime ASC NULLS LAST, date_key) AS days FROM date_dim GROUP BY year),
+placed AS (SELECT year, days, unnest(range(1, len(days) + 1)) AS i FROM listed),
+gaps AS (SELECT days[i].date_key AS date_key, year, days[i].datetime AS datetime, days[i + 1].datetime AS next_datetime FROM placed)
 """
+_MEAN = """CAST(SUM(epoch_us(next_datetime) - epoch_us(datetime)) AS DOUBLE)
+       / NULLIF(COUNT(epoch_us(next_datetime) - epoch_us(datetime)), 0) / 1e6"""
 
-ORACLE["next_event_gap"] = oracle_cte("date_dim") + f"""
-SELECT date_key, year, datetime, next_datetime,
-       epoch_us(next_datetime) - epoch_us(datetime) AS gap_us
-FROM ({_LEAD}) t
+ORACLE["next_event_gap"] = oracle_cte("date_dim") + _NEXT + """
+SELECT date_key, year, datetime, next_datetime, epoch_us(next_datetime) - epoch_us(datetime) AS gap_us FROM gaps
 """
 
-ORACLE["avg_gap_by_year_top5"] = oracle_cte("date_dim") + f"""
-, cte AS ({_LEAD})
-SELECT year,
-       CAST(SUM(epoch_us(next_datetime) - epoch_us(datetime)) AS DOUBLE)
-         / NULLIF(COUNT(next_datetime - datetime), 0) / 1e6 AS actual_time_taken
-FROM cte
-GROUP BY year
-ORDER BY actual_time_taken DESC NULLS FIRST, year
-LIMIT 5
+ORACLE["avg_gap_by_year"] = oracle_cte("date_dim") + _NEXT + f"""
+SELECT year, {_MEAN} AS actual_time_taken FROM gaps GROUP BY year
 """
 
-ORACLE["avg_gap_telescoped"] = oracle_cte("date_dim") + f"""
-, cte AS ({_LEAD})
-SELECT year,
-       CAST(SUM(epoch_us(next_datetime) - epoch_us(datetime)) AS DOUBLE)
-         / NULLIF(COUNT(next_datetime - datetime), 0) / 1e6 AS actual_time_taken
-FROM cte
-GROUP BY year
+ORACLE["avg_gap_telescoped"] = ORACLE["avg_gap_by_year"]
+
+ORACLE["avg_gap_by_year_top5"] = oracle_cte("date_dim") + _NEXT + f""",
+means AS (SELECT year, {_MEAN} AS actual_time_taken FROM gaps GROUP BY year)
+SELECT year, actual_time_taken FROM means
+QUALIFY ROW_NUMBER() OVER (ORDER BY actual_time_taken DESC NULLS FIRST, year) <= 5
 """
 
 
@@ -141,8 +120,9 @@ _JUNK = r"[A-Z0-9]{10}\n?"
 _TOKENS = ", ".join("'" + t.replace("'", "''") + "'" for t in (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
     "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"))
-_DATE_FORMATS = ("%Y-%m-%d %H:%M:%S", "%Y-%m-%d", "%Y/%m/%d", "%m/%d/%Y", "%d/%m/%Y",
-                 "%Y %B %d", "%B %Y %d", "%Y")
+_DATE_FORMATS = ("%Y-%m-%d %H:%M:%S", "%Y-%m-%d %H:%M", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%dT%H:%M:%SZ", "%Y-%m-%d", "%Y-%m", "%Y%m%d",
+                 "%Y.%m.%d", "%Y/%m/%d", "%m/%d/%Y", "%d/%m/%Y", "%m-%d-%Y", "%d-%m-%Y", "%Y %B %d", "%Y %b %d", "%B %Y %d", "%b %Y %d",
+                 "%B %d %Y", "%b %d %Y", "%d %B %Y", "%d %b %Y", "%B %Y", "%b %Y", "%Y")
 
 
 def _junk(c: str) -> str:
@@ -262,10 +242,9 @@ ORACLE["removed_flag"] = oracle_cte("dirty_products") + """
 SELECT product_code, COALESCE(removed = 'Removed', false) AS removed FROM dirty_products
 """
 
-_WEIGHT_CLASS = """CASE WHEN weight < 2 THEN 'Light'
-            WHEN weight >= 2 AND weight < 40 THEN 'Mid_Sized'
-            WHEN weight >= 40 AND weight < 140 THEN 'Heavy'
-            WHEN weight >= 140 THEN 'Truck_Required' END"""
+# Lower bounds of the weight classes in kilograms.
+_BOUNDS = "(VALUES (CAST('-Infinity' AS DOUBLE), 'Light'), (2.0, 'Mid_Sized'), (40.0, 'Heavy'), (140.0, 'Truck_Required')) AS c(least, name)"
+_WEIGHT_CLASS = f"(SELECT arg_max(name, least) FROM {_BOUNDS} WHERE least <= weight)"
 ORACLE["weight_class"] = oracle_cte("product") + f"""
 SELECT product_code, weight, {_WEIGHT_CLASS} AS weight_class FROM product
 """
@@ -288,8 +267,9 @@ ORACLE["build_datetime"] = oracle_cte("dirty_dates") + "," + _DATES_CLEAN + """
 SELECT * FROM dates_clean
 """
 
-ORACLE["dedupe_exact"] = oracle_cte("fact") + """
-SELECT DISTINCT * FROM fact
+ORACLE["dedupe_exact"] = oracle_cte("repeated_fact") + """
+SELECT date_key, store_code, product_code, product_quantity FROM repeated_fact
+GROUP BY date_key, store_code, product_code, product_quantity
 """
 
 _USERS_CLEAN = f"""
@@ -382,7 +362,29 @@ SELECT date_key, CAST(store_code AS VARCHAR) AS store_code, CAST(product_code AS
 FROM dirty_orders
 """
 
-ORACLE["conform_users"] = ORACLE["clean_users"]
+ORACLE["conform_users"] = oracle_cte("etl_users") + """
+SELECT first_name, last_name, date_of_birth, replace(address, chr(10), ', ') AS address,
+       replace(country_code, 'GGB', 'GB') AS country_code, join_date[-4:] || '-10-02' AS join_date, lower(user_uuid) AS user_uuid
+FROM etl_users
+"""
+
+ORACLE["conform_orders_keys"] = oracle_cte("etl_orders") + """
+SELECT date_uuid, user_uuid, card_number, store_code, product_code, CAST(product_quantity AS SMALLINT) AS product_quantity FROM etl_orders
+"""
+
+ORACLE["conform_full_stores"] = oracle_cte("etl_stores") + """
+SELECT store_code, store_type, CAST(staff_numbers AS SMALLINT) AS staff_numbers,
+       if(store_type = 'Web Portal', 'N/A', address) AS address, CAST(if(store_type = 'Web Portal', NULL, longitude) AS FLOAT) AS longitude,
+       CAST(if(store_type = 'Web Portal', NULL, latitude) AS FLOAT) AS latitude, locality, country_code,
+       if(store_type = 'Web Portal', 'N/A', continent) AS continent, opening_date
+FROM etl_stores
+"""
+
+ORACLE["conform_full_products"] = oracle_cte("etl_products") + f"""
+SELECT product_name, CAST(replace(product_price, '£', '') AS DOUBLE) AS product_price, CAST(weight AS FLOAT) AS weight, category, EAN,
+       date_added, uuid, removed <> 'Removed' AS still_available, product_code, {_WEIGHT_CLASS} AS weight_class
+FROM (SELECT * REPLACE (CAST(replace(weight, 'kg', '') AS DOUBLE) AS weight) FROM etl_products) p
+"""
 
 ORACLE["conform_stores"] = oracle_cte("dirty_stores") + "," + _STORES_CLEAN + """
 SELECT store_code, store_type, CAST(staff_numbers AS SMALLINT) AS staff_numbers, address,
@@ -399,17 +401,22 @@ SELECT product_name, CAST(CAST(product_price AS DECIMAL(12,2)) AS DOUBLE) AS pro
 FROM products_clean
 """
 
-ORACLE["conform_dates"] = ORACLE["build_datetime"]
+ORACLE["conform_dates"] = oracle_cte("etl_dates") + """
+SELECT date_uuid, year, month, day, time_period,
+       make_timestamp(CAST(year AS BIGINT), CAST(month AS BIGINT), CAST(day AS BIGINT), 10, 11, 12.0) AS datetime
+FROM etl_dates
+"""
 
 ORACLE["conform_cards"] = oracle_cte("dirty_cards") + "," + _CARDS_CLEAN + """
 SELECT card_number, expiry_date, CAST(CAST(date_payment_confirmed AS DATE) AS VARCHAR) AS date_payment_confirmed
 FROM cards_clean
 """
 
-_UUID = r"\{?[0-9a-fA-F]{8}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{12}\}?"
+_UUID = r"[0-9a-fA-F]{8}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{12}"
 ORACLE["conform_violations"] = oracle_cte("bad_uuid") + f"""
 SELECT 'bad_uuid' AS "table", 'user_uuid' AS "column", 'uuid' AS rule, CAST(id AS VARCHAR) AS key, user_uuid AS value
-FROM bad_uuid WHERE user_uuid IS NOT NULL AND NOT regexp_full_match(user_uuid, '{_UUID}')
+FROM bad_uuid WHERE user_uuid IS NOT NULL AND NOT regexp_full_match(
+  CASE WHEN user_uuid[1] = '{{' AND user_uuid[-1] = '}}' THEN user_uuid[2:-2] ELSE user_uuid END, '{_UUID}')
 UNION ALL
 SELECT 'bad_uuid', 'small_text', 'int2', CAST(id AS VARCHAR), small_text
 FROM bad_uuid WHERE small_text IS NOT NULL AND TRY_CAST(small_text AS SMALLINT) IS NULL
@@ -433,7 +440,7 @@ WHERE f.store_code IS NOT NULL
 
 ORACLE["preview_limit"] = oracle_cte("dirty_products") + "," + _PRODUCTS_CLEAN + """
 SELECT * REPLACE (CAST(date_added AS VARCHAR) AS date_added) FROM products_clean
-ORDER BY product_code LIMIT 2000
+QUALIFY ROW_NUMBER() OVER (ORDER BY product_code) <= (SELECT COUNT(*) // 2 FROM part)
 """
 
 
@@ -454,7 +461,7 @@ SELECT * FROM dirty_dates
 ORACLE["missing_document_ids"] = """
 SELECT CAST(id AS BIGINT) AS id
 FROM (SELECT unnest(range(0, (SELECT COUNT(*) FROM supplier))) AS id) r
-WHERE id NOT IN (SELECT s_suppkey FROM supplier)
+WHERE id % 7 = 3 OR id NOT IN (SELECT s_suppkey FROM supplier)
 """
 
 ORACLE["json_flatten_props"] = """
@@ -468,42 +475,26 @@ WHERE NOT COALESCE(card_number = 'card_number' AND expiry_date = 'expiry_date'
 """
 
 ORACLE["union_pages"] = oracle_cte("dirty_cards") + """
-SELECT * FROM dirty_cards
+SELECT card_number, expiry_date,
+       CASE WHEN date_payment_confirmed < '1995-01-01' THEN NULL ELSE date_payment_confirmed END AS date_payment_confirmed
+FROM dirty_cards
 """
 
 
 # --- end-to-end: keys of the loaded star ------------------------------------------
 
-ORACLE["etl_key_report"] = (
-    oracle_cte("dirty_orders", "dirty_stores", "dirty_products", "dirty_cards")
-    + "," + _STORES_CLEAN + "," + _PRODUCTS_CLEAN + "," + _CARDS_CLEAN + """,
-fact_keys AS (SELECT CAST(store_code AS VARCHAR) AS store_code,
-                     CAST(product_code AS VARCHAR) AS product_code FROM dirty_orders),
-product_keys AS (SELECT CAST(product_code AS VARCHAR) AS product_code FROM products_clean),
-store_keys AS (SELECT store_code FROM stores_clean),
-card_keys AS (SELECT card_number FROM cards_clean)
-SELECT 'primary_key' AS "check", 'dim_card_details' AS "table", 'card_number' AS "column",
-       card_number AS key, COUNT(*) AS n_rows
-FROM card_keys GROUP BY card_number HAVING COUNT(*) > 1 OR card_number IS NULL
-UNION ALL
-SELECT 'primary_key', 'dim_products', 'product_code', product_code, COUNT(*)
-FROM product_keys GROUP BY product_code HAVING COUNT(*) > 1 OR product_code IS NULL
-UNION ALL
-SELECT 'primary_key', 'dim_store_details', 'store_code', store_code, COUNT(*)
-FROM store_keys GROUP BY store_code HAVING COUNT(*) > 1 OR store_code IS NULL
-UNION ALL
-SELECT 'foreign_key', 'orders_table', 'product_code', f.product_code, COUNT(*)
-FROM fact_keys f
-WHERE f.product_code IS NOT NULL
-  AND NOT EXISTS (SELECT 1 FROM product_keys d WHERE d.product_code = f.product_code)
-GROUP BY f.product_code
-UNION ALL
-SELECT 'foreign_key', 'orders_table', 'store_code', f.store_code, COUNT(*)
-FROM fact_keys f
-WHERE f.store_code IS NOT NULL
-  AND NOT EXISTS (SELECT 1 FROM store_keys d WHERE d.store_code = f.store_code)
-GROUP BY f.store_code
-""")
+_KEY_COLUMNS = [("card_number", "dim_card_details", "etl_cards"), ("date_uuid", "dim_date_times", "etl_dates"),
+                ("product_code", "dim_products", "etl_products"), ("store_code", "dim_store_details", "etl_stores"),
+                ("user_uuid", "dim_users_table", "etl_users")]
+ORACLE["etl_key_report"] = oracle_cte(*(v for _, _, v in _KEY_COLUMNS), "etl_orders") + " UNION ALL ".join(
+    part for column, dim, source in _KEY_COLUMNS for part in (f"""
+SELECT 'primary_key' AS "check", '{dim}' AS "table", '{column}' AS "column", key, CAST(n AS BIGINT) AS n_rows
+FROM (SELECT lower({column}) AS lowered, {'lower(' + column + ')' if 'uuid' in column else column} AS key, COUNT(*) AS n
+      FROM {source} GROUP BY ALL) k WHERE n > 1 OR key IS NULL
+""", f"""
+SELECT 'foreign_key', 'orders_table', '{column}', {column}, COUNT(*) FROM etl_orders
+WHERE lower({column}) NOT IN (SELECT lower({column}) FROM {source} WHERE {column} IS NOT NULL) GROUP BY {column}
+"""))
 
 
 ORACLE["unparsed_dates"] = oracle_cte("dirty_users") + f"""

@@ -36,6 +36,7 @@ from loomstar.plans.etl import PRODUCT_COLUMNS, STORE_COLUMNS
 from loomstar.plans.fixtures import table, view, views
 from loomstar.session import scratch_path
 from loomstar.sources import readers as S
+from loomstar.sources.sinks import preview
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -124,6 +125,11 @@ def q_avg_gap_by_year_top5(spark, sf_dir):
     return A.avg_gap_by_year_top(view(spark, sf_dir, "date_dim"), 5)
 
 
+@register("avg_gap_by_year")
+def q_avg_gap_by_year(spark, sf_dir):
+    return gaps.avg_gap_by_year(view(spark, sf_dir, "date_dim"))
+
+
 @register("avg_gap_telescoped")
 def q_avg_gap_telescoped(spark, sf_dir):
     return gaps.avg_gap_telescoped(view(spark, sf_dir, "date_dim"))
@@ -248,7 +254,7 @@ def q_build_datetime(spark, sf_dir):
 
 @register("dedupe_exact")
 def q_dedupe_exact(spark, sf_dir):
-    return C.dedupe_exact(view(spark, sf_dir, "fact"))
+    return C.dedupe_exact(view(spark, sf_dir, "repeated_fact"))
 
 
 @register("clean_users")
@@ -295,10 +301,27 @@ def q_conform_fact(spark, sf_dir):
 
 @register("conform_users")
 def q_conform_users(spark, sf_dir):
-    users = C.clean_users(view(spark, sf_dir, "dirty_users"))
+    users = C.clean_users(view(spark, sf_dir, "etl_users"))
     return present(D.conform(users, D.SPECS["dim_users_table"]))
 
 
+@register("conform_orders_keys")
+def q_conform_orders_keys(spark, sf_dir):
+    orders = view(spark, sf_dir, "etl_orders").withColumnRenamed("one", "1")
+    return D.conform(C.clean_orders(orders), D.SPECS["orders_table"])
+
+
+@register("conform_full_stores")
+def q_conform_full_stores(spark, sf_dir):
+    return present(D.conform(C.clean_stores(view(spark, sf_dir, "etl_stores")), D.SPECS["dim_store_details"]))
+
+
+@register("conform_full_products")
+def q_conform_full_products(spark, sf_dir):
+    out = D.conform_products(C.clean_products(view(spark, sf_dir, "etl_products")))
+    return present(out.withColumn("product_price", F.col("product_price").cast("double")))
+
+
 @register("conform_stores")
 def q_conform_stores(spark, sf_dir):
     return present(D.conform(_clean_stores_df(spark, sf_dir), D.SPECS["dim_store_details"]))
@@ -312,7 +335,7 @@ def q_conform_products(spark, sf_dir):
 
 @register("conform_dates")
 def q_conform_dates(spark, sf_dir):
-    return D.conform(C.build_datetime(view(spark, sf_dir, "dirty_dates")), D.SPECS["dim_date_times"])
+    return D.conform(C.build_datetime(view(spark, sf_dir, "etl_dates")), D.SPECS["dim_date_times"])
 
 
 @register("conform_cards")
@@ -344,8 +367,9 @@ def q_fk_violations(spark, sf_dir):
 
 @register("preview_limit")
 def q_preview_limit(spark, sf_dir):
-    out = _clean_products_df(spark, sf_dir)
-    return present(out.orderBy(F.col("product_code").asc_nulls_last()).limit(2000))
+    # half of the supplied products are fewer than the table has at any scale
+    n = max(1, table(spark, sf_dir, "part").count() // 2)
+    return present(preview(_clean_products_df(spark, sf_dir), n, order_by=["product_code"]))
 
 
 # --- sources: each file-format key writes its input with Spark to a fresh folder
@@ -377,7 +401,7 @@ def q_scan_columnar_json(spark, sf_dir):
     src = view(spark, sf_dir, "dirty_dates")
     path = scratch_path(spark, "dates-json")
     S.write_columnar_json(src, path, key="date_key", rows_per_doc=4_000)
-    rows = S.read_columnar_json(spark, path, DATE_PARTS, key="date_key")
+    rows = S.read_columnar_json(spark, path, DATE_PARTS, key="date_key", whole_file=False)
     return rows.withColumn("date_key", F.col("date_key").cast("bigint"))
 
 
@@ -390,7 +414,8 @@ def _store_documents(spark, sf_dir):
 @register("missing_document_ids")
 def q_missing_document_ids(spark, sf_dir):
     path = scratch_path(spark, "store-docs")
-    _store_documents(spark, sf_dir).write.mode("errorifexists").json(path)
+    # every seventh fetch failed
+    _store_documents(spark, sf_dir).where("index % 7 <> 3").write.mode("errorifexists").json(path)
     docs = S.flatten(S.read_json_documents(spark, path))
     expected = table(spark, sf_dir, "supplier").count()  # the count endpoint
     return S.missing_document_ids(docs, "index", expected)
@@ -420,22 +445,29 @@ def q_drop_repeated_headers(spark, sf_dir):
 
 @register("union_pages")
 def q_union_pages(spark, sf_dir):
-    path = _write_card_pages(spark, sf_dir)
-    return spark.read.option("header", "true").csv(path)
+    cards = view(spark, sf_dir, "dirty_cards")
+    early, late = (scratch_path(spark, f"cards-{x}") for x in ("early", "late"))
+    # the early pages have no column for the payment date
+    cards.where("date_payment_confirmed < '1995-01-01'").drop("date_payment_confirmed") \
+        .write.option("header", "true").mode("errorifexists").csv(early)
+    cards.where("NOT date_payment_confirmed < '1995-01-01'").write.option("header", "true").mode("errorifexists").csv(late)
+    return S.union_frames([S.read_csv_strings(spark, late, na_tokens=False), S.read_csv_strings(spark, early, na_tokens=False)])
 
 
 # --- end-to-end: the ETL job and the key checks over what it loaded ------------
 
 
+def etl_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """One source for each dataset of the star, with all declared columns, some repeated and some dangling keys."""
+    names = {"dim_users_table": "etl_users", "dim_card_details": "etl_cards", "dim_store_details": "etl_stores",
+             "dim_products": "etl_products", "orders_table": "etl_orders", "dim_date_times": "etl_dates"}
+    found = {table_: view(spark, sf_dir, name) for table_, name in names.items()}
+    # the fixture's ``one`` stands for the column literally named ``1``
+    return {**found, "orders_table": found["orders_table"].withColumnRenamed("one", "1")}
+
+
 @register("etl_key_report")
 def q_etl_key_report(spark, sf_dir):
-    sources = {
-        "dim_users_table": view(spark, sf_dir, "dirty_users"),
-        "dim_card_details": view(spark, sf_dir, "dirty_cards"),
-        "dim_store_details": view(spark, sf_dir, "dirty_stores"),
-        "dim_products": view(spark, sf_dir, "dirty_products"),
-        "orders_table": _orders_with_one(spark, sf_dir),
-        "dim_date_times": view(spark, sf_dir, "dirty_dates"),
-    }
+    sources = etl_sources(spark, sf_dir)
     tables = E.load_star(spark, sources, scratch_path(spark, "star"))
     return E.key_report(spark, tables)

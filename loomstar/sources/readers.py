@@ -48,39 +48,77 @@ def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
 
 # --- S-02 / S-04: CSV objects ---------------------------------------------------------
 
-def read_csv_strings(spark: SparkSession, path: str, na_tokens: bool = True) -> DataFrame:
+def read_csv_strings(spark: SparkSession, path: str, na_tokens: bool = True,
+                     quoted_newlines: bool = False, strict: bool = True) -> DataFrame:
     """CSV with a header row, every column as text; NA tokens become NULL.
 
     A leading column with an empty header (a written row index) keeps Spark's
-    positional name ``_c0`` until a reshape drops it.
+    positional name ``_c0`` until a reshape drops it.  A row with more or fewer
+    fields than the header fails the job; ``strict=False`` keeps it, cut or filled
+    up, and ``malformed_csv_rows`` lists such rows.  Files are split across tasks
+    unless ``quoted_newlines`` says that values can hold line breaks.
     """
-    df = (spark.read.option("header", "true").option("multiLine", "true")
-          .option("inferSchema", "false").option("escape", '"').csv(path))
+    reader = (spark.read.option("header", "true").option("inferSchema", "false").option("escape", '"')
+              .option("multiLine", str(quoted_newlines).lower()))
+    df = reader.csv(path)
+    if strict:  # every column is asked for, so no field of a row goes unread
+        df = reader.schema(df.schema).option("mode", "FAILFAST").option("columnPruning", "false").csv(path)
     return na_tokens_to_null(df) if na_tokens else df
 
 
+def malformed_csv_rows(spark: SparkSession, path: str, quoted_newlines: bool = False) -> DataFrame:
+    """``row`` texts of a CSV file with more or fewer fields than its header."""
+    reader = (spark.read.option("header", "true").option("inferSchema", "false").option("escape", '"')
+              .option("multiLine", str(quoted_newlines).lower()))
+    schema = T.StructType([*reader.csv(path).schema.fields, T.StructField("_malformed", T.StringType())])
+    rows = (reader.schema(schema).option("columnNameOfCorruptRecord", "_malformed")
+            .option("columnPruning", "false").csv(path))
+    # a column beside the corrupt one must be asked for, too
+    return rows.where(F.col("_malformed").isNotNull()).select(F.coalesce("_malformed", rows.columns[0]).alias("row"))
+
+
 # --- S-03: column-oriented JSON documents --------------------------------------------
 
 _COLUMNAR = T.MapType(T.StringType(), T.MapType(T.StringType(), T.StringType()))
 
 
+def _columnar_documents(spark: SparkSession, path: str, whole_file: bool) -> DataFrame:
+    raw = spark.read.text(path, wholetext=whole_file)
+    if whole_file:  # a line break with only space around it between } and { stands between documents only
+        raw = raw.select(F.explode(F.split("value", r"(?<=\})\s*\n\s*(?=\{)")).alias("value"))
+    return raw.where(F.trim("value") != "").select("value", F.from_json(F.col("value"), _COLUMNAR).alias("doc"))
+
+
+def broken_documents(spark: SparkSession, path: str, whole_file: bool = True) -> DataFrame:
+    """``document`` texts that are not column-oriented JSON objects."""
+    return _columnar_documents(spark, path, whole_file).where(F.col("doc").isNull()) \
+        .select(F.col("value").alias("document"))
+
+
 def read_columnar_json(spark: SparkSession, path: str, columns: list[str],
-                       key: str = "row_key", whole_file: bool = False) -> DataFrame:
+                       key: str = "row_key", whole_file: bool = True) -> DataFrame:
     """Documents shaped ``{column: {row_key: value}}`` -> one row per row key.
 
-    By default every line is one document (many documents per file, split
-    across tasks); ``whole_file=True`` treats each file as one document.  The
-    row keys of a document are the union of the keys of its columns.
+    A file holds one document, over as many lines as it likes, or several, each
+    beginning on a line of its own; with ``whole_file=False`` every line is one
+    document, and large files are split across tasks.  A document that does not parse fails the job
+    (``broken_documents`` lists such ones).  The row keys of a document are the
+    union of the keys of its columns.  Columns are merged key by key with
+    ``map_zip_with``, which hashes the keys, so the work grows with the document.
     """
-    raw = spark.read.text(path, wholetext=whole_file)
-    doc = F.from_json(F.col("value"), _COLUMNAR)
-    parsed = raw.select(doc.alias("doc")).where(F.col("doc").isNotNull())
-    row_keys = F.array_distinct(F.flatten(F.transform(F.map_values("doc"), lambda m: F.map_keys(m))))
-    exploded = parsed.select("doc", F.explode(row_keys).alias(key))
-    return exploded.select(
-        F.col(key),
-        *[F.try_element_at(F.try_element_at(F.col("doc"), F.lit(c)), F.col(key)).alias(c)
-          for c in columns])
+    docs = _columnar_documents(spark, path, whole_file)
+    doc = F.coalesce(F.col("doc"), F.raise_error(F.concat(
+        F.lit("not a column-oriented JSON document: "), F.substring("value", 1, 200))).cast(_COLUMNAR))
+    parsed = docs.select(doc.alias("doc"))
+    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    of = lambda c: F.coalesce(F.try_element_at("doc", F.lit(c)), none)
+    # every key of any column first, then the asked columns one after another
+    keys = F.array_distinct(F.flatten(F.transform(F.map_values("doc"), lambda m: F.map_keys(m))))
+    merged = F.map_from_arrays(keys, F.transform(keys, lambda _: F.array().cast("array<string>")))
+    for c in columns:
+        merged = F.map_zip_with(merged, of(c), lambda k, row, v: F.array_append(row, v))
+    exploded = parsed.select(F.explode(merged).alias(key, "_row"))
+    return exploded.select(F.col(key), *[F.get("_row", i).alias(c) for i, c in enumerate(columns)])
 
 
 def write_columnar_json(df: DataFrame, path: str, key: str, rows_per_doc: int = 50_000) -> int:
@@ -168,9 +206,13 @@ def flatten_json_column(df: DataFrame, column: str, schema: T.StructType | str,
 # --- S-09 / O-06: paged tables --------------------------------------------------------------
 
 def read_pages(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Page tables written without a header; every page starts with the column names."""
+    """Page tables written without a header; every page starts with the column names.
+
+    A row with more or fewer fields than ``columns`` fails the job.
+    """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return spark.read.schema(schema).option("header", "false").csv(path)
+    return (spark.read.schema(schema).option("header", "false").option("escape", '"')
+            .option("mode", "FAILFAST").option("columnPruning", "false").csv(path))
 
 
 def drop_repeated_headers(df: DataFrame) -> DataFrame:

@@ -2,23 +2,19 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomstar.plans.etl import key_report, load_star
-from loomstar.plans.fixtures import view
 from conftest import SF_SMALL
+from loomstar.plans import analytics as A
+from loomstar.plans.etl import PRIMARY_KEYS, key_report, load_star, load_star_tables
+from loomstar.plans.fixtures import view
+from loomstar.plans.queries import etl_sources
 
 
 def test_load_star_and_key_report(spark, tmp_dir):
-    sources = {
-        "dim_users_table": view(spark, SF_SMALL, "dirty_users"),
-        "dim_card_details": view(spark, SF_SMALL, "dirty_cards"),
-        "dim_store_details": view(spark, SF_SMALL, "dirty_stores"),
-        "dim_products": view(spark, SF_SMALL, "dirty_products"),
-        "orders_table": view(spark, SF_SMALL, "dirty_orders").withColumnRenamed("one", "1"),
-        "dim_date_times": view(spark, SF_SMALL, "dirty_dates"),
-    }
+    sources = etl_sources(spark, SF_SMALL)
     out = os.path.join(tmp_dir, "star")
     tables = load_star(spark, sources, out)
     assert set(tables) == set(sources)
@@ -30,32 +26,32 @@ def test_load_star_and_key_report(spark, tmp_dir):
     dates = spark.read.parquet(tables["dim_date_times"])
     assert isinstance(dates.schema["datetime"].dataType, T.TimestampNTZType)
     report = key_report(spark, tables)
-    checks = {(r.check, r.table, r.column) for r in report.select("check", "table", "column").distinct().collect()}
-    # product_code is unique in the supplied part table; store codes in the fact
-    # are supplier numbers while the store dimension uses "ST-" codes
-    assert ("primary_key", "dim_products", "product_code") not in checks
-    assert ("foreign_key", "orders_table", "store_code") in checks
+    found = {(r.check, r.column): r.n for r in report.groupBy("check", "column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    columns = {"card_number", "date_uuid", "product_code", "store_code", "user_uuid"}
+    assert set(found) == {(check, c) for check in ("primary_key", "foreign_key") for c in columns}
+    for table, key in PRIMARY_KEYS.items():  # some keys are clean, too
+        assert found["primary_key", key] < spark.read.parquet(tables[table]).select(key).distinct().count()
+    fact = spark.read.parquet(tables["orders_table"])
+    assert report.where("check = 'foreign_key' AND column = 'store_code'").agg(F.sum("n_rows")).first()[0] < fact.count()
 
 
-def test_bucketed_star_joins_without_fact_shuffle(spark):
-    from loomstar.plans import analytics as A
-    from loomstar.plans.etl import load_star_tables
+def test_absent_key_column_is_an_error(spark):
+    sources = etl_sources(spark, SF_SMALL)
+    with pytest.raises(ValueError, match="dim_users_table.user_uuid"):
+        key_report(spark, {**sources, "dim_users_table": sources["dim_users_table"].drop("user_uuid")})
+    with pytest.raises(ValueError, match="date_uuid"):
+        load_star_tables(spark, {"dim_date_times": sources["dim_date_times"].drop("date_uuid")}, "no_key_", buckets=2)
+
 
-    sources = {
-        "orders_table": view(spark, SF_SMALL, "dirty_orders").withColumnRenamed("one", "1"),
-        "dim_date_times": view(spark, SF_SMALL, "dirty_dates"),
-    }
+def test_bucketed_star_joins_without_fact_shuffle(spark):
+    sources = {k: v for k, v in etl_sources(spark, SF_SMALL).items() if k in ("orders_table", "dim_date_times")}
     created = load_star_tables(spark, sources, "bkt_", buckets=8)
     assert created == {"orders_table": True, "dim_date_times": True}
-    fact, dates = spark.table("bkt_orders_table"), spark.table("bkt_dim_date_times")
-    # conformed fact product codes are text
-    product = view(spark, SF_SMALL, "product").withColumn("product_code", F.col("product_code").cast("string"))
+    fact = spark.table("bkt_orders_table").withColumnRenamed("date_uuid", "date_key")
+    dates = spark.table("bkt_dim_date_times").withColumnRenamed("date_uuid", "date_key")
+    product = view(spark, SF_SMALL, "product").withColumn("product_code", F.concat(F.lit("P-"), F.col("product_code")))
     out = A.sales_by_month_top(fact, dates, product, 6)
-    out.collect()
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    # the roll-up to the date key and the date join reuse the bucketing: no hash exchange on date_key
-    assert "hashpartitioning(date_key" not in plan
     assert out.count() == 6
-    from loomstar.plans.etl import key_report
-    report = key_report(spark, {"orders_table": fact, "dim_date_times": dates})
-    assert report.count() == 0   # no PK on date_uuid or FK columns in this reduced star
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # the roll-up to the date key and the date join reuse the bucketing: no hash exchange on it
+    assert "hashpartitioning(date" not in plan

@@ -96,15 +96,29 @@ def test_weight_class_boundaries(spark):
 
 
 def test_url_parts_compatible_and_fixed(spark):
-    df = spark.createDataFrame([("s3://data-handling-public/products.csv",),
-                                ("https://data-handling-public.s3.eu-west-1.amazonaws.com/date_details.json",),
+    df = spark.createDataFrame([("s3://sample-bucket/a.csv",),
+                                ("https://other-bucket.store.example.com/b.json",),
                                 ("s3://my-bucket2/a/b.csv",), ("s3://b_x/k",), ("ftp://x/y",)], "u string")
     compat = [tuple(r) for r in df.select(*url_parts("u")).collect()]
-    assert compat[0] == ("s3", "data-handling-public", "products.csv")
-    assert compat[1] == ("https", "data-handling-public", "date_details.json")
+    assert compat[0] == ("s3", "sample-bucket", "a.csv")
+    assert compat[1] == ("https", "other-bucket", "b.json")
     assert compat[2] == ("s3", "my-bucket", "a/b.csv")  # the compatible class has no digits
     assert compat[3] == (None, None, None)
     assert compat[4] == (None, None, None)
     fixed = [tuple(r) for r in df.select(*url_parts("u", compatible=False)).collect()]
     assert fixed[2] == ("s3", "my-bucket2", "a/b.csv")
     assert fixed[3] == ("s3", "b_x", "k")
+
+
+@pytest.mark.parametrize("value,want", [
+    ("2 October 1975", "1975-10-02"), ("October 2 1975", "1975-10-02"), ("Oct 2 1975", "1975-10-02"), ("1975 Oct 02", "1975-10-02"),
+    ("Oct 1975 2", "1975-10-02"), ("2 oct 1975", "1975-10-02"), ("1975-10-02T00:00:00", "1975-10-02"), ("1975-10-02T00:00:00Z", "1975-10-02"),
+    ("1975-10-02 10:11", "1975-10-02"), ("19751002", "1975-10-02"), ("1975.10.02", "1975-10-02"), ("02-10-1975", "1975-02-10"),
+    ("13-10-1975", "1975-10-13"), ("1975-10", "1975-10-01"), ("October 1975", "1975-10-01"), ("10/2/24", "2024-10-02"),
+    ("13/2/24", "2024-02-13"), ("1/2/99", "1999-01-02"), ("03/04/2005", "2005-03-04"), ("13/04/2005", "2005-04-13"),
+    ("2 Octember 1975", None), ("1975-13-40", None), ("99999999", None), ("", None), (None, None),
+])
+def test_mixed_date_layouts(spark, value, want):
+    df = spark.createDataFrame([(value,)], "d string")
+    got = df.select(parse_mixed_date("d").cast("string")).first()[0]
+    assert got == want

@@ -4,6 +4,8 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from loomstar.operators.gaps import avg_gap_by_year, avg_gap_telescoped, next_event_gap
 
@@ -77,3 +79,35 @@ def test_successor_plan_never_windows_by_year_alone(spark):
     assert windows, "the successor is a window over range buckets"
     # every window is keyed by the range bucket (or is the one-row-per-bucket stitch)
     assert all("windowspecdefinition(_b" in w for w in windows)
+
+
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+@pytest.mark.parametrize("partitions", [2, 3, 4, 8, 200])
+def test_successors_at_any_partition_count(spark, sf, partitions):
+    """Range bounds are sampled; the answer must not depend on them."""
+    dates = spark.read.parquet(f"{sf}/orders.parquet").selectExpr(
+        "o_orderkey AS date_key", "o_orderdate AS datetime", "CAST(year(o_orderdate) AS INT) AS year")
+    w = Window.partitionBy("year").orderBy(F.col("datetime").asc_nulls_last(), F.col("date_key").asc_nulls_last())
+    want = dates.withColumn("next_datetime", F.lead("datetime").over(w)).select("date_key", "year", "datetime", "next_datetime")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        got = next_event_gap(dates).select("date_key", "year", "datetime", "next_datetime")
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+        a = {r.year: r.actual_time_taken for r in avg_gap_by_year(dates).collect()}
+        b = {r.year: r.actual_time_taken for r in avg_gap_telescoped(dates).collect()}
+        assert a == b
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_null_key_with_a_third_of_the_rows(spark):
+    """Rows of a repeated key and time are written out in chunks, exactly as often as they came."""
+    rows = spark.range(90_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN NULL ELSE id END AS date_key", "2020 AS year",
+        "CASE WHEN id % 3 = 0 THEN timestamp_ntz'2020-05-01 00:00:00' ELSE "
+        "timestamp_ntz'2020-01-01 00:00:00' + make_dt_interval(cast(id % 300 as int)) END AS datetime")
+    got = next_event_gap(rows)
+    assert got.count() == 90_000
+    hot = got.where("date_key IS NULL").groupBy("next_datetime").count().collect()
+    assert sorted(r["count"] for r in hot) == [1, 29_999]

@@ -170,3 +170,15 @@ def test_unparsed_date_values_report(spark):
                                "join_date string, date_added string")
     got = {(r.column, r.value, r.n_rows) for r in C.unparsed_date_values(df).collect()}
     assert got == {("join_date", "bad", 2), ("date_added", "soon", 2)}
+
+
+def test_strict_uuid_and_date_shapes(spark):
+    body = "a0eebc99-9c0b-4ef8-bb6d-000000000001"
+    spec = {"u": "uuid", "d": "date"}
+    good = spark.createDataFrame([("{" + body.upper() + "}", "2020-01-31"), (body.replace("-", ""), None)], "u string, d string")
+    assert [r.u for r in D.conform(good, spec).collect()] == [body, body]
+    for u, d in (("{" + body, "2020-01-01"), (body + "}", "2020-01-01"), (body, "2020"), (body, "2020-01"), (body, "2020-13-01")):
+        bad = spark.createDataFrame([(u, d)], "u string, d string")
+        with pytest.raises(Exception):
+            D.conform(bad, spec).collect()
+        assert D.conform_violations(bad.withColumn("k", F.lit(1)), spec, "k", "t").count() == 1

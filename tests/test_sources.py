@@ -1,6 +1,7 @@
 """Sources and sinks through real files (S-01 .. S-10, K-01, K-02, O-06)."""
 
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,6 +30,63 @@ def test_columnar_json_whole_file_document(spark, tmp_dir):
     assert rows == [("0", "2020", "1"), ("1", "2021", None)]
 
 
+def test_columnar_json_broken_document_is_an_error(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "broken")
+    os.makedirs(path)
+    for name, text in (("a.json", '{"year": {"0": "2020"}}'), ("b.json", '{"year": {"0": \n')):
+        with open(os.path.join(path, name), "w") as f:
+            f.write(text)
+    for whole in (True, False):
+        with pytest.raises(Exception, match="not a column-oriented JSON document"):
+            S.read_columnar_json(spark, path, ["year"], whole_file=whole).collect()
+        assert S.broken_documents(spark, path, whole_file=whole).count() == 1
+    assert S.load(spark, os.path.join(path, "a.json"), "application/json", columns=["year"]).count() == 1
+
+
+def test_columnar_json_several_documents_of_many_lines(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "many.json")
+    with open(path, "w") as f:
+        f.write('{"a": {"0": "x } {"},\n "b": {"1": "y"}\n}\n{\n"a": {"2": "z"}}\n\n')
+    got = sorted(tuple(r) for r in S.read_columnar_json(spark, path, ["a", "b"]).collect())
+    assert got == [("0", "x } {", None), ("1", None, "y"), ("2", "z", None)]
+
+
+def test_columnar_json_time_follows_the_document(spark, tmp_dir):
+    def seconds(n):
+        path = os.path.join(tmp_dir, f"doc{n}")
+        S.write_columnar_json(spark.range(n).selectExpr("id", "cast(id as string) AS a", "cast(id as string) AS b"), path, "id", rows_per_doc=n)
+        best = []
+        for _ in range(3):
+            began = time.perf_counter()
+            assert S.read_columnar_json(spark, path, ["a", "b"]).agg(F.count("a"), F.count("b")).first() == (n, n)
+            best.append(time.perf_counter() - began)
+        return min(best)
+
+    small, large = seconds(8_000), seconds(64_000)
+    assert large < 24 * small + 1  # a quadratic read takes 64 times as long
+
+
+def test_csv_rows_of_other_lengths_are_errors(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "odd.csv")
+    with open(path, "w") as f:
+        f.write("a,b\n1,2\n3,4,5\n6\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        S.read_csv_strings(spark, path).collect()
+    with pytest.raises(Exception, match="(?i)malformed"):
+        S.read_csv_strings(spark, path).select("a").collect()
+    assert sorted(r.row for r in S.malformed_csv_rows(spark, path).collect()) == ["3,4,5", "6"]
+    assert S.read_csv_strings(spark, path, strict=False).count() == 3
+    with pytest.raises(Exception, match="(?i)malformed"):
+        S.read_pages(spark, path, ["a", "b"]).collect()
+
+
+def test_csv_quoted_newlines(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "lines.csv")
+    with open(path, "w") as f:
+        f.write('a,b\n"1\n2",3\n')
+    assert [tuple(r) for r in S.read_csv_strings(spark, path, quoted_newlines=True).collect()] == [("1\n2", "3")]
+
+
 def test_store_documents_gap_report_and_flatten(spark, tmp_dir):
     path = os.path.join(tmp_dir, "stores")
     os.makedirs(path)
