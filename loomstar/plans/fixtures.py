@@ -222,7 +222,7 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         df = spark.sql(VIEWS[name], **sources)
         if name not in LANDED:
             return df
-        path = scratch_path(spark, f"landed-{name}")
+        path = scratch_path(spark, f"landed-{name}", keep=True)
         df.write.mode("errorifexists").parquet(path)
         return spark.read.parquet(path)
     return _resolved(spark, f"{sf_dir.rstrip('/')}#view:{name}", build)

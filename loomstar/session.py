@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -65,6 +66,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never-reused folder under the shared checkpoint directory."""
-    return f"{ensure_checkpoint_dir(spark)}/loomstar/{name}-{uuid.uuid4().hex}"
+# Folders handed out inside open ``scratch_scope`` blocks, innermost last.
+_SCOPES: list[list[str]] = []
+
+
+def scratch_path(spark: SparkSession, name: str, keep: bool = False) -> str:
+    """A fresh, never-reused folder under the shared checkpoint directory.
+
+    Inside a ``scratch_scope`` the folder goes when the scope ends, unless ``keep``.
+    """
+    path = f"{ensure_checkpoint_dir(spark)}/loomstar/{name}-{uuid.uuid4().hex}"
+    if _SCOPES and not keep:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Remove the scratch folders made inside the block when it ends.
+
+    DataFrames built inside read these folders, so use up or write out the result
+    before leaving.
+    """
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        for made in _SCOPES.pop():
+            path = hadoop.Path(made)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -11,6 +11,7 @@ from loomstar.plans import analytics as A
 from loomstar.plans.etl import PRIMARY_KEYS, key_report, load_star, load_star_tables
 from loomstar.plans.fixtures import view
 from loomstar.plans.queries import etl_sources
+from loomstar.session import scratch_path, scratch_scope
 
 
 def test_load_star_and_key_report(spark, tmp_dir):
@@ -55,3 +56,12 @@ def test_bucketed_star_joins_without_fact_shuffle(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     # the roll-up to the date key and the date join reuse the bucketing: no hash exchange on it
     assert "hashpartitioning(date" not in plan
+
+
+def test_scratch_scope_removes_its_folders(spark):
+    with scratch_scope(spark):
+        path, kept = scratch_path(spark, "gone"), scratch_path(spark, "kept", keep=True)
+        for p in (path, kept):
+            spark.range(3).write.parquet(p)
+        assert spark.read.parquet(path).count() == 3
+    assert not os.path.exists(path) and spark.read.parquet(kept).count() == 3
