@@ -22,10 +22,11 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomstar.llm.quality_rules import BINS, FEATURES, MAX_LABELLED, feature, labelled_sample, statistics
+from loomstar.llm.quality_rules import FEATURES, MAX_LABELLED, feature, labelled_sample, statistics
 from loomstar.llm.shared import saved
 
 TEMPER = 0.5
+BINS = 24                        # quantile bins of each statistic
 THRESHOLD = 0.5
 USED = tuple(f for f in FEATURES if f not in ("repeat_ratio",))
 LEAST, MOST = 1.0, 10_000.0      # bounds of the prior strengths, in documents

@@ -2,7 +2,7 @@
 
 Every document gets text statistics from built-in expressions.  A bounded,
 hash-chosen sample of the labelled documents (``MAX_LABELLED``) teaches a
-decision list for low quality: thresholds are quantiles of the sample; a rule
+decision list for low quality: thresholds are quantiles of the good and the bad rows and the middles between them; a rule
 grows condition by condition by information gain on one half of the sample and
 is cut back on the other half; it is accepted if it is precise there; the rows
 it covers leave and the next rule is grown.  Each step is one small grouping;
@@ -27,7 +27,7 @@ from loomstar.llm.shared import SPACES, let, saved, words_of
 MAX_LABELLED = 20_000      # labelled documents that the rules are learned from, at most about
 MIN_WORDS = 50             # base rule: fewer words fail
 REPEAT_PERCENT = 50        # base rule: more repeated words than this fail
-BINS = 24                  # thresholds tried for each feature
+BINS = 12                  # quantiles of each class that thresholds are taken from
 MAX_RULES = 8
 MAX_CONDITIONS = 3
 MIN_PRECISION = 0.9        # of a rule on the pruning half (Laplace)
@@ -160,6 +160,17 @@ def _binned(sample: DataFrame, thresholds: list[list[float]]) -> DataFrame:
     return saved(sample.select("bad", "grow", F.array(*map(below, FEATURES, thresholds)).alias("b")).coalesce(4), "binned")
 
 
+def class_thresholds(sample: DataFrame, names: tuple[str, ...], bins: int = BINS) -> list[list[float]]:
+    """Quantiles of each statistic within the good and the bad rows, and the middles between them."""
+    cuts = [i / bins for i in range(bins + 1)]
+    at = sample.groupBy("bad").agg(*[F.percentile_approx(feature(f, "s"), cuts, 10_000).alias(f) for f in names]).collect()  # two rows
+    out = []
+    for f in names:
+        values = sorted({x for r in at for x in r[f] or ()})
+        out.append(sorted({*values, *((a + b) / 2 for a, b in zip(values, values[1:]))}))
+    return out
+
+
 def _covers(rule: tuple[Binned, ...]) -> Column:
     out = F.lit(True)
     for f, above, k in rule:
@@ -182,17 +193,21 @@ def _grow(rows: DataFrame, thresholds: list[list[float]]) -> tuple[Binned, ...]:
         p0, n0 = (sum(v[i] for (f, _), v in counts.items() if f == 0) for i in (0, 1))
         if not p0 or not n0:
             break
-        best = (0.0, None)
+        best, best_gain = None, 0.0
         for f, t in enumerate(thresholds):
             p = n = 0
             for k in range(len(t)):
                 more = counts.get((f, k), (0, 0))
                 p, n = p + more[0], n + more[1]
-                best = max(best, (_gain(p0, n0, p, n), (f, False, k)), (_gain(p0, n0, p0 - p, n0 - n), (f, True, k)),
-                           key=lambda x: x[0])
-        if best[1] is None:
+                below, over = _gain(p0, n0, p, n), _gain(p0, n0, p0 - p, n0 - n)
+                # of conditions that cover the same rows the one that leaves most of the others alone
+                if below > best_gain:
+                    best, best_gain = (f, False, k), below
+                if over > best_gain or over == best_gain > 0 and best[:2] == (f, True):
+                    best, best_gain = (f, True, k), over
+        if best is None:
             break
-        rule += (best[1],)
+        rule += (best,)
     return rule
 
 
@@ -208,9 +223,7 @@ def _prune(rows: DataFrame, rule: tuple[Binned, ...]) -> tuple[tuple[Binned, ...
 
 def learn_rules(sample: DataFrame) -> list[Rule]:
     """The ordered decision list for low quality from ``labelled_sample`` rows."""
-    cuts = [i / BINS for i in range(1, BINS)]
-    at = sample.agg(*[F.percentile_approx(feature(f, "s"), cuts, 10_000).alias(f) for f in FEATURES]).first()
-    thresholds = [sorted(set(at[f] or ())) for f in FEATURES]
+    thresholds = class_thresholds(sample, FEATURES)
     rules: list[Rule] = []
     left = _binned(sample, thresholds)
     while len(rules) < MAX_RULES:
