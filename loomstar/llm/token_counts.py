@@ -37,8 +37,8 @@ ship(__name__)
 
 CHUNK = 1 << 16          # characters of a chunk
 LIMIT = 4096             # tokens; documents beyond are marked
-MAX_STATES = 400_000
-MAX_WORDS = 400_000      # segments whose counts a task remembers
+MAX_STATES = 150_000
+MAX_WORDS = 300_000      # segments whose counts a task remembers
 SPACE = "▁"
 
 
