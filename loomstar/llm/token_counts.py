@@ -25,6 +25,7 @@ rows get equal results (each its own row).
 from __future__ import annotations
 
 import re
+import sys
 from functools import partial
 
 import pyarrow as pa
@@ -38,7 +39,7 @@ ship(__name__)
 CHUNK = 1 << 16          # characters of a chunk
 LIMIT = 4096             # tokens; documents beyond are marked
 MAX_STATES = 150_000
-MAX_WORDS = 300_000      # segments whose counts a task remembers
+MAX_WORDS = 150_000      # segments in each of two generations whose counts a worker remembers
 SPACE = "▁"
 
 
@@ -113,7 +114,8 @@ class Transducer:
     def count(self, segment: str) -> int:
         if len(self.keys) > MAX_STATES:
             self.reset()
-            self.pairs.clear()
+            if len(self.pairs) > MAX_STATES:
+                self.pairs.clear()
         state, total, arcs = 0, 0, self.arcs
         for c in segment:
             arc = arcs[state].get(c)
@@ -152,13 +154,18 @@ class Counter:
         pieces, self.segments = load_pieces(model)
         self.transducer = Transducer(pieces)
         self.known: dict[str, int] = {}
+        self.older: dict[str, int] = {}
 
     def tokens(self, segment: str) -> int:
+        """Remembered in two generations: when the newer one is full, it becomes the older one."""
         n = self.known.get(segment)
         if n is None:
+            n = self.older.get(segment)
+            if n is None:
+                n = self.transducer.count(segment)
             if len(self.known) >= MAX_WORDS:
-                self.known.clear()
-            n = self.known[segment] = self.transducer.count(segment)
+                self.known, self.older = {}, self.known
+            self.known[segment] = n
         return n
 
     def map_of(self, chunk: str) -> StateMap:
@@ -166,9 +173,9 @@ class Counter:
         found = self.segments.findall(chunk)
         if len(found) < 2:
             return chunk, False, 0, ""
-        known, total = self.known, 0
+        total = 0
         for s in found[1:-1]:
-            n = known.get(s)
+            n = self.known.get(s)
             total += self.tokens(s) if n is None else n
         return found[0], True, total, found[-1]
 
@@ -195,6 +202,14 @@ class Counter:
         return (self.tokens(head) if head else 0) + (n + self.tokens(tail) if reset else 0)
 
 
+def worker_counter(model: str) -> Counter:
+    """The counter of this worker process: its next tasks go on with what it has compiled."""
+    kept = sys.__dict__.setdefault("_token_counters", {})
+    if model not in kept:
+        kept[model] = Counter(model)
+    return kept[model]
+
+
 def normalised(chunk: str, first: bool) -> str:
     """Spaces are marked; a text begins with one."""
     return (SPACE if first else "") + chunk.replace(" ", SPACE)
@@ -204,7 +219,7 @@ MAPS = "doc_id long, print long, n_bytes long, n_chunks int, chunk int, head str
 
 
 def _maps(batches, model: str):
-    counter = Counter(model)
+    counter = worker_counter(model)
     for batch in batches:
         no, text = batch.column(4).to_pylist(), batch.column(5).to_pylist()
         maps = [counter.map_of(normalised(t, i == 0)) if t else ("", False, 0, "") for i, t in zip(no, text)]
@@ -219,7 +234,7 @@ def _maps(batches, model: str):
 
 
 def _composed(batches, model: str):
-    counter = Counter(model)
+    counter = worker_counter(model)
     for batch in batches:
         out = [counter.total([(m["head"], m["reset"], m["n"], m["tail"]) for m in row])
                for row in batch.column(3).to_pylist()]
