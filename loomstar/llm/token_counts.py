@@ -10,8 +10,8 @@ may take some away).  States are made when first reached and numbered; only
 ``MAX_STATES`` are kept, then the table starts anew (results don't change).
 
 No piece has a space mark after another character, and characters without a
-piece are bytes that never merge, so a space after a non-space and such a
-character reset the transducer.  A chunk's state map is therefore its head (up
+piece (line breaks are) are bytes that never merge, so a space after a non-space
+and such a character reset the transducer.  A chunk's state map is therefore its head (up
 to its first reset, read from whatever state comes in), the count between its
 resets, and its tail (from the last reset).  Two maps compose into one, which is
 associative: texts are cut into chunks of ``CHUNK`` characters, each chunk gets
@@ -38,7 +38,7 @@ ship(__name__)
 
 CHUNK = 1 << 16          # characters of a chunk
 LIMIT = 4096             # tokens; documents beyond are marked
-MAX_STATES = 150_000
+MAX_STATES = 400_000
 MAX_WORDS = 150_000      # segments in each of two generations whose counts a worker remembers
 SPACE = "▁"
 
@@ -140,7 +140,9 @@ def load_pieces(model: str) -> tuple[dict[str, float], re.Pattern]:
     inner = [p for p in pieces if SPACE in p.lstrip(SPACE)]
     if inner:
         raise ValueError(f"pieces with a space mark after another character: {inner[:3]}")
-    return pieces, re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+    if any("\n" in p for p in pieces):
+        raise ValueError("pieces with a line break")
+    return pieces, re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n+")
 
 
 #: A chunk's state map: (head, has a reset, count between resets, tail); without a reset all is head.
@@ -169,7 +171,7 @@ class Counter:
         return n
 
     def map_of(self, chunk: str) -> StateMap:
-        """Resets lie between a non-space and a space; the outer segments may go on in other chunks."""
+        """Resets lie before a space after a non-space, and around line breaks; the outer segments may go on in other chunks."""
         found = self.segments.findall(chunk)
         if len(found) < 2:
             return chunk, False, 0, ""
@@ -236,9 +238,9 @@ def _maps(batches, model: str):
 def _composed(batches, model: str):
     counter = worker_counter(model)
     for batch in batches:
-        out = [counter.total([(m["head"], m["reset"], m["n"], m["tail"]) for m in row])
-               for row in batch.column(3).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(out, pa.int64()), batch.column(4)],
+        out = [counter.total([(m["head"], m["reset"], m["n"], m["tail"]) for m in maps]) if n is None else n
+               for n, maps in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.int64()), batch.column(4)],
                                          names=["doc_id", "n_bytes", "n_tokens", "copies"])
 
 
@@ -259,14 +261,8 @@ def token_counts(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
     both = maps.groupBy("doc_id", key.alias("print"), "n_bytes", "n_chunks", F.when(one, F.col("n")).alias("n_tokens")).agg(
         F.array_sort(F.collect_set(F.when(~one, part))).alias("maps"),
         F.count_if(F.col("chunk") == 0).cast("int").alias("copies"))
-    out = both.select("doc_id", "print", "n_bytes", "maps", "copies", "n_tokens")
-    return _finish(out, model, limit)
-
-
-def _finish(rows: DataFrame, model: str, limit: int) -> DataFrame:
-    done = rows.where("n_tokens IS NOT NULL").select("doc_id", "n_bytes", "n_tokens", "copies")
-    open_ = rows.where("n_tokens IS NULL").select("doc_id", "print", "n_bytes", "maps", "copies") \
-        .mapInArrow(partial(_composed, model=model), "doc_id long, n_bytes long, n_tokens long, copies int")
-    return done.unionByName(open_).select(
-        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"),
-        F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).drop("copy")
+    # one pass over all groups: a union of the two kinds would read and count every text twice
+    return both.select("doc_id", "n_bytes", "n_tokens", "maps", "copies") \
+        .mapInArrow(partial(_composed, model=model), "doc_id long, n_bytes long, n_tokens long, copies int") \
+        .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"),
+                F.explode(F.sequence(F.lit(1), "copies")).alias("copy")).drop("copy")
