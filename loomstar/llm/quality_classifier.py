@@ -1,8 +1,9 @@
 """Quality classifier (5): hierarchical empirical Bayes over documents, hosts and paths.
 
 Document evidence: a naive Bayes log-likelihood ratio over quantile bins of text
-statistics, learned from a bounded hash sample of the labelled documents and
-shrunk by ``TEMPER`` because the statistics are related.  Hosts and their paths
+statistics and over the presence of learned words, learned from a bounded hash
+sample of the labelled documents (bad: of quality 0, or toxic) and shrunk by
+``TEMPER`` because statistics and words are related.  Hosts and their paths
 have mean rates of good documents: a host's is its documents' expected good
 share, shrunk toward the global rate; a path's is shrunk toward its host's.  How
 strongly comes from the data: the spread of well-filled groups beyond what their
@@ -22,13 +23,13 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomstar.llm.quality_rules import FEATURES, MAX_LABELLED, feature, labelled_sample, statistics
+from loomstar.llm.quality_rules import FEATURES, MAX_LABELLED, feature, labelled_sample, learned_words, statistics, terms_of
 from loomstar.llm.shared import saved
 
 TEMPER = 0.5
 BINS = 24                        # quantile bins of each statistic
 THRESHOLD = 0.5
-USED = tuple(f for f in FEATURES if f not in ("repeat_ratio",))
+USED = tuple(f for f in FEATURES if f != "learned_ratio")  # learned words have ratios of their own
 LEAST, MOST = 1.0, 10_000.0      # bounds of the prior strengths, in documents
 
 
@@ -54,6 +55,14 @@ def learn_evidence(sample: DataFrame) -> tuple[list[list[float]], list[list[floa
     return thresholds, ratios, (good + 1) / (good + bad + 2)
 
 
+def word_evidence(terms: Column, ratios: dict[str, float]) -> Column:
+    """The sum of the ratios of the learned words that a text has."""
+    if not ratios:
+        return F.lit(0.0)
+    own = F.create_map(*[F.lit(x) for w, r in ratios.items() for x in (w, TEMPER * r)])
+    return F.aggregate(F.array_intersect(terms, F.array(*map(F.lit, ratios))), F.lit(0.0), lambda a, w: a + F.element_at(own, w))
+
+
 def _bin(name: str, thresholds: list[float], s: str) -> Column:
     if not thresholds:
         return F.lit(0)
@@ -88,11 +97,13 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """
     host = F.col("source") if host is None else host
     path = F.concat_ws("/", F.coalesce("source", F.lit("")), F.coalesce("lang", F.lit(""))) if path is None else path
-    thresholds, ratios, share = learn_evidence(labelled_sample(docs, labels, id_col, text_col, max_labelled))
+    sample = labelled_sample(docs, labels, id_col, text_col, max_labelled)
+    thresholds, ratios, share = learn_evidence(sample)
+    by_word = learned_words(sample)
     evidence = sum((F.element_at(F.array(*map(F.lit, r)), _bin(f, t, "_s") + 1) for f, t, r in zip(USED, thresholds, ratios)), F.lit(0.0))
     rows = saved(docs.select(F.col(id_col).alias("doc_id"), host.alias("host"), path.alias("path"),
-                             statistics(F.col(text_col), repeats=False).alias("_s"))
-                 .select("doc_id", "host", "path", evidence.alias("evidence")), "evidence")
+                             statistics(F.col(text_col)).alias("_s"), word_evidence(terms_of(F.col(text_col)), by_word).alias("_w"))
+                 .select("doc_id", "host", "path", (evidence + F.col("_w")).alias("evidence")), "evidence")
     rows = rows.withColumn("p", _sigmoid(F.col("evidence") + math.log(share / (1 - share))))
     paths = saved(rows.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("p").alias("good")), "paths")
     hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))

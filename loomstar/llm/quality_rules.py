@@ -6,7 +6,10 @@ decision list for low quality: thresholds are quantiles of the good and the bad
 grows condition by condition by information gain on one half of the sample and
 is cut back on the other half; it is accepted if it is precise there; the rows
 it covers leave and the next rule is grown.  Each step is one small grouping;
-only counts per feature and threshold reach the driver.  The list becomes an
+only counts per feature and threshold reach the driver.  A labelled row is bad if
+its quality is 0 or it is toxic.  Words that stand in bad documents far more
+often than in good ones (``learned_words``, at most ``MAX_WORDS``, from the growing
+half) are learned as well; their share of a text's words is one more statistic.  The list becomes an
 ordered ``CASE WHEN`` over all documents.  No Python runs on executors.
 
 Defined results: NULL texts count as empty; texts without words have all
@@ -17,6 +20,7 @@ rules; repeated rows get equal results; every input row gives one row.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -32,9 +36,12 @@ MAX_RULES = 8
 MAX_CONDITIONS = 3
 MIN_PRECISION = 0.9        # of a rule on the pruning half (Laplace)
 MIN_SUPPORT = 5            # low-quality documents that a rule must find there
+MAX_WORDS = 256            # learned words, at most
+MIN_G = 20.0               # of a learned word: G statistic of its presence against the class
+MIN_LEAN = math.log(3)     # of a learned word: log ratio of its rates in the classes
 SYMBOLS = "#*$%&|<>"
 FEATURES = ("n_words", "mean_word", "symbol_ratio", "dup_line_ratio", "repeat_ratio", "upper_ratio",
-            "mark_ratio", "digit_ratio", "distinct_ratio")
+            "mark_ratio", "digit_ratio", "distinct_ratio", "learned_ratio")
 
 
 def _count_of(text: Column, chars: str) -> Column:
@@ -64,15 +71,26 @@ def _repeated_words(w: Column) -> Column:
     return F.when(n < 4, F.lit(0)).otherwise(let(windows, covered))
 
 
-def statistics(text: Column, repeats: bool = True) -> Column:
-    """One struct of counts of a text; ``repeats=False`` leaves repeated words at 0."""
+def terms_of(text: Column) -> Column:
+    """Lower-case words of letters and digits (anything beyond ASCII counts as a letter), for word evidence."""
+    words = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    return F.filter(words, lambda w: w != "")
+
+
+def n_learned(terms: Column, words: Sequence[str]) -> Column:
+    """How many of the terms are learned words."""
+    return F.size(F.filter(terms, lambda w: w.isin(*words))).cast("long") if words else F.lit(0).cast("long")
+
+
+def statistics(text: Column, words: Sequence[str] = ()) -> Column:
+    """One struct of counts of a text; ``words`` are the learned ones."""
     t = F.coalesce(text, F.lit(""))
     lines = F.filter(F.split(t, "\n", -1), lambda x: F.translate(x, SPACES, "") != "")
 
     def of(w: Column) -> Column:
         return F.struct(
             F.size(w).cast("long").alias("n_words"),
-            (_repeated_words(w) if repeats else F.lit(0)).cast("long").alias("n_repeat_words"),
+            _repeated_words(w).cast("long").alias("n_repeat_words"),
             F.size(F.array_distinct(w)).cast("long").alias("n_distinct"))
 
     return F.struct(
@@ -83,11 +101,12 @@ def statistics(text: Column, repeats: bool = True) -> Column:
         let(lines, F.size).cast("long").alias("n_lines"),
         _count_of(t, "ABCDEFGHIJKLMNOPQRSTUVWXYZ").cast("long").alias("n_upper"),
         _count_of(t, "!?").cast("long").alias("n_marks"),
-        _count_of(t, "0123456789").cast("long").alias("n_digits"))
+        _count_of(t, "0123456789").cast("long").alias("n_digits"),
+        (n_learned(terms_of(t), words) if words else F.lit(0).cast("long")).alias("n_learned"))
 
 
-def with_statistics(docs: DataFrame, text_col: str, out: str) -> DataFrame:
-    return docs.withColumn(out, statistics(F.col(text_col)))
+def with_statistics(docs: DataFrame, text_col: str, out: str, words: Sequence[str] = ()) -> DataFrame:
+    return docs.withColumn(out, statistics(F.col(text_col), words))
 
 
 def feature(name: str, s: str) -> Column:
@@ -103,6 +122,7 @@ def feature(name: str, s: str) -> Column:
         "mark_ratio": ratio("n_marks", "word_chars"),
         "digit_ratio": ratio("n_digits", "word_chars"),
         "distinct_ratio": ratio("w.n_distinct", "w.n_words"),
+        "learned_ratio": ratio("n_learned", "w.n_words"),
     }[name]
 
 
@@ -111,6 +131,7 @@ class Condition:
     feature: str
     above: bool
     threshold: float
+    words: tuple[str, ...] = ()  # the learned ones, of a condition on their share
 
     def column(self, s: str) -> Column:
         f = feature(self.feature, s)
@@ -132,9 +153,10 @@ def _holds(rule: Rule, s: str) -> Column:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
                     max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """``(s, bad, grow)`` of a bounded hash sample of the labelled documents."""
-    marked = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id") \
-        .agg(F.min("quality").alias("quality"))
+    """``(s, terms, bad, grow)`` of a bounded hash sample of the labelled documents; bad: of quality 0, or toxic."""
+    toxic = F.coalesce(F.col("toxic") == 1, F.lit(False)) if "toxic" in labels.columns else F.lit(False)
+    marked = labels.where((F.col("quality").isNotNull() | toxic) & F.col("doc_id").isNotNull()).groupBy("doc_id") \
+        .agg(F.max(F.coalesce(F.col("quality") == 0, F.lit(False)) | toxic).alias("bad"))
     n = marked.count()
     share = min(1.0, max_labelled / max(n, 1))
     point = F.pmod(F.xxhash64("_label_id"), F.lit(1 << 20))
@@ -142,10 +164,33 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")) \
         .join(F.broadcast(marked), F.col("_id") == F.col("_label_id"))  # bounded by max_labelled
     rows = with_statistics(texts, "_text", "s")
-    return saved(rows.select("s", (F.col("quality") == 0).alias("bad"),
+    return saved(rows.select("s", terms_of(F.col("_text")).alias("terms"), "bad",
                              (F.pmod(F.xxhash64(F.col("_id"), F.lit(7)), F.lit(3)) < 2).alias("grow")), "statistics")
 
 
+def learned_words(sample: DataFrame) -> dict[str, float]:
+    """Words whose presence tells the classes apart, with their log-likelihood ratios (good over bad).
+
+    One grouped count of presence per class; ``MAX_WORDS`` words at most reach the driver.
+    """
+    classes = sample.agg(F.count_if("bad").alias("bad"), F.count_if(~F.col("bad")).alias("good")).first()
+    bad, good = classes["bad"], classes["good"]
+    if not bad or not good:
+        return {}
+    found = sample.select("bad", F.explode(F.array_distinct("terms")).alias("word")).groupBy("word").agg(
+        F.count_if("bad").alias("b"), F.count_if(~F.col("bad")).alias("g"))
+    b, g, n = F.col("b"), F.col("g"), F.lit(float(bad + good))
+
+    def part(seen: Column, row: Column, side: int) -> Column:
+        return F.when(seen > 0, seen * F.log(seen * n / (row * side))).otherwise(F.lit(0.0))
+
+    stat = 2 * (part(b, b + g, bad) + part(g, b + g, good) + part(bad - b, n - b - g, bad) + part(good - g, n - b - g, good))
+    ratio = F.log((g + 1) / F.lit(good + 2.0)) - F.log((b + 1) / F.lit(bad + 2.0))
+    rows = found.where(b + g >= MIN_SUPPORT).select("word", stat.alias("stat"), ratio.alias("ratio")) \
+        .where((F.col("stat") >= MIN_G) & (F.abs("ratio") >= MIN_LEAN)).orderBy(F.desc("stat"), "word").limit(MAX_WORDS)
+    return {r["word"]: r["ratio"] for r in rows.collect()}
+
+
 #: While rules are learned, a condition is (feature number, above?, threshold number) on binned rows:
 #: ``b[f]`` is the number of the feature's thresholds below the row's value.
 Binned = tuple[int, bool, int]
@@ -223,6 +268,8 @@ def _prune(rows: DataFrame, rule: tuple[Binned, ...]) -> tuple[tuple[Binned, ...
 
 def learn_rules(sample: DataFrame) -> list[Rule]:
     """The ordered decision list for low quality from ``labelled_sample`` rows."""
+    words = tuple(sorted(w for w, r in learned_words(sample.where("grow")).items() if r < 0))
+    sample = saved(sample.select(F.col("s").withField("n_learned", n_learned(F.col("terms"), words)).alias("s"), "bad", "grow"), "learned")
     thresholds = class_thresholds(sample, FEATURES)
     rules: list[Rule] = []
     left = _binned(sample, thresholds)
@@ -233,7 +280,8 @@ def learn_rules(sample: DataFrame) -> list[Rule]:
         rule, p, n = _prune(left.where("NOT grow"), rule)
         if p < MIN_SUPPORT or (p + 1) / (p + n + 2) < MIN_PRECISION:
             break
-        rules.append(tuple(Condition(FEATURES[f], above, thresholds[f][k]) for f, above, k in rule))
+        rules.append(tuple(Condition(FEATURES[f], above, thresholds[f][k], words if FEATURES[f] == "learned_ratio" else ())
+                           for f, above, k in rule))
         left = left.where(~_covers(rule))
     return rules
 
@@ -254,7 +302,8 @@ def judge(docs: DataFrame, rules: list[Rule], text_col: str = "text", out: str =
     s = f"{out}_s"
     n = F.col(f"{s}.w.n_words")
     failed = (n < MIN_WORDS) | (100 * F.col(f"{s}.w.n_repeat_words") > REPEAT_PERCENT * n)
-    rows = with_statistics(docs, text_col, s).withColumn(f"{out}_v", verdict(rules, s))
+    words = next((c.words for rule in rules for c in rule if c.words), ())
+    rows = with_statistics(docs, text_col, s, words).withColumn(f"{out}_v", verdict(rules, s))
     return rows.withColumn(out, F.struct(
         n.alias("n_words"), F.col(f"{s}.word_chars").alias("word_chars"), F.col(f"{s}.n_symbols").alias("n_symbols"),
         F.col(f"{s}.n_dup_lines").alias("n_dup_lines"), F.col(f"{s}.w.n_repeat_words").alias("n_repeat_words"),

@@ -151,3 +151,18 @@ def test_rules_separate_labelled_rows(spark):
     assert quality_rules.learn_rules(quality_rules.labelled_sample(docs, labels.limit(0), "doc_id", "text")) == []
     plan = quality_rules.judge(docs, rules, out="q")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_rules_find_toxic_rows(spark):
+    """Toxic rows count as bad whatever their quality, and only their words tell them from the others."""
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(60)) + (" Trash, such idiot! they" if i % 4 == 0 else " Fine, such people! they"))
+            for i in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 if i % 8 else None, int(i % 4 == 0)) for i in range(240)], "doc_id long, quality int, toxic int")
+    rules = quality_rules.learn_rules(quality_rules.labelled_sample(docs, labels, "doc_id", "text"))
+    new = [(1000 + i, " ".join(f"z{i}y{k}" for k in range(70)) + (" an IDIOT, trash." if i % 2 else " an uncle, there.")) for i in range(20)]
+    judged = quality_rules.judge(docs.union(spark.createDataFrame(new, docs.schema)), rules, out="q")
+    kept = {r[0] for r in judged.where("q.kept").select("doc_id").collect()}
+    assert kept == {i for i, _ in rows if i % 4} | {i for i, _ in new if i % 2 == 0}
+    plan = judged._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan

@@ -273,6 +273,23 @@ def test_classifier(spark):
     assert [tuple(r) for r in urls.select(host, path).collect()] == [("a.example.com", "a.example.com/x"), ("b.org", "b.org/"), (None, None)]
 
 
+def test_classifier_learns_toxic_words(spark):
+    """Held-out toxic rows of good shape go, by the words that labelled toxic rows have."""
+    random.seed(5)
+    plain, bad = ["alpha", "beta", "gamma", "delta", "word", "text"], ["trash", "idiot", "scum"]
+
+    def text(toxic):
+        w = [random.choice(plain) for _ in range(80)]
+        return " ".join([*w[:40], *(random.sample(bad if toxic else plain, 2)), *w[40:]])
+
+    rows = [(i, text(i % 5 == 0), "host", "en") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    labels = spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i in range(300)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r["kept"] for r in quality_classifier.classify(docs, labels).collect()}
+    assert sum(got[i] == (i % 5 > 0) for i in range(300, 600)) > 295
+    assert "repeat_ratio" in quality_classifier.USED
+
+
 # ---- pipeline ----------------------------------------------------------------
 
 def test_pipeline_stages(spark, docs):
