@@ -44,8 +44,9 @@ que se ser si sin sobre son su sus también te tiene todo un una y ya
 """.split())
 
 # Element names.
-RAW = frozenset(("script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "title", "head",
-                 "audio", "video", "textarea", "select", "button", "datalist"))
+RAW = frozenset(("script", "style", "noscript", "iframe", "title", "textarea"))  # raw text up to the end tag
+#: Elements whose content is no text of the page; one without an end tag of its own is skipped as a tag only.
+MUTE = frozenset(("template", "svg", "math", "object", "canvas", "head", "audio", "video", "select", "button", "datalist"))
 OUTSIDE = frozenset(("nav", "footer", "aside", "form", "dialog", "menu"))
 MAIN = frozenset(("article", "main"))
 BLOCKS = frozenset(("address", "article", "aside", "blockquote", "body", "center", "dd", "details", "dialog", "div", "dl",
@@ -54,7 +55,7 @@ BLOCKS = frozenset(("address", "article", "aside", "blockquote", "body", "center
                     "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"))
 #: Elements whose end matters for what is inside them.
 HOLDERS = frozenset(("article", "aside", "body", "details", "dialog", "div", "fieldset", "figure", "footer", "form", "header",
-                     "main", "menu", "nav", "ol", "section", "table", "ul", "dl", "p", "span", "li", "td", "tr", "tbody"))
+                     "main", "menu", "nav", "ol", "section", "table", "ul", "dl", "p", "span", "li", "td", "tr", "tbody")) | MUTE
 # Words in class, id or role that name parts outside the article.
 NAMES = frozenset("""
 ad ads adsense advert advertisement advertising adverts banner sponsor sponsored promo promotion sidebar menu nav navbar
@@ -67,6 +68,9 @@ HEADER_NAMES = frozenset(("header", "heading", "banner"))
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)
                         |<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)>""", re.S | re.X)
+#: Comments, raw elements, and start, end and empty tags of ``MUTE`` elements.
+_MUTE_TAG = re.compile(rf"""<!--.*?(?:-->|\Z)|<({"|".join(sorted(RAW))})\b.*?(?:</\1\s*>|\Z)
+                           |<(/?)({"|".join(sorted(MUTE))})(?![A-Za-z0-9:-])(?:[^<>]*+(?<=/)(>))?""", re.S | re.X | re.I)
 _UNFINISHED = re.compile(r"<[A-Za-z/!?]")  # a tag that the page's end cuts off: nothing follows it
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 _NAME = re.compile(r"[a-z]+(?:[0-9]+)?")
@@ -89,6 +93,20 @@ def named(attributes: str) -> tuple[set[str], bool]:
     return words, hidden
 
 
+def closed(page: str) -> set[int]:
+    """Where the ``MUTE`` elements start that have an end tag of their own."""
+    open_: dict[str, list[int]] = {}
+    out: set[int] = set()
+    for m in _MUTE_TAG.finditer(page):
+        if m[3] and not m[4]:
+            starts = open_.setdefault(m[3].lower(), [])
+            if not m[2]:
+                starts.append(m.start())
+            elif starts:
+                out.add(starts.pop())
+    return out
+
+
 class Blocks:
     """Blocks of a page: (text, characters inside links, outside?, inside the article?)."""
 
@@ -96,8 +114,12 @@ class Blocks:
         self.out: list[tuple[str, int, bool, bool]] = []
         self.text: list[str] = []
         self.linked = self.links = self.breaks = 0
-        #: open holders: (name, out of the article: 0 no, 1 yes, 2 reader comments; inside the article)
-        self.open: list[tuple[str, int, bool]] = [("", 0, False)]
+        #: open holders: (name, out of the article: 0 no, 1 yes, 2 reader comments; inside the article;
+        #: without text: 0 no, 1 yes, 2 also if an article starts)
+        self.open: list[tuple[str, int, bool, int]] = [("", 0, False, 0)]
+        #: open blocks inside a mute element that are no holders
+        self.inner: list[str] = []
+        mute: set[int] | None = None
         #: how many holders of a name are open
         self.count: dict[str, int] = {}
         at, last = 0, max(page.rfind(">"), page.rfind("<!--"))
@@ -110,8 +132,11 @@ class Blocks:
             closing, attributes = bool(m[1] or m[4]), m[3] or m[6] or ""
             if name in RAW and not closing:
                 if not attributes.endswith("/"):
-                    end = re.compile(rf"</{name}\s*>|\Z" if name != "head" else r"</head\s*>|(?=<body\b)|(?=<article\b)|\Z", re.I).search(page, at)
-                    at = end.end()
+                    at = re.compile(rf"</{name}\s*>|\Z", re.I).search(page, at).end()
+            elif name in MUTE and not closing:
+                mute = closed(page) if mute is None else mute
+                if m.start() in mute:
+                    self.mute(name)
             elif closing:
                 self.end(name)
             else:
@@ -120,7 +145,7 @@ class Blocks:
         self.flush()
 
     def add(self, raw: str) -> None:
-        if not raw:
+        if not raw or self.open[-1][3]:
             return
         text = html_entities.unescape(raw)
         if text.strip():
@@ -132,11 +157,38 @@ class Blocks:
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            _, outside, inside = self.open[-1]
+            _, outside, inside, _ = self.open[-1]
             self.out.append((text, self.linked, bool(outside), inside))
         self.text, self.linked, self.breaks = [], 0, 0
 
+    def push(self, name: str, outside: int, inside: bool, mute: int) -> None:
+        self.open.append((name, outside, inside, mute))
+        self.count[name] = self.count.get(name, 0) + 1
+
+    def cut(self, k: int) -> None:
+        for gone, *_ in self.open[k:]:
+            self.count[gone] -= 1
+        del self.open[k:]
+
+    def mute(self, name: str) -> None:
+        _, outside, inside, mute = self.open[-1]
+        if not mute:
+            self.inner = []
+        self.push(name, outside, inside, max(mute, 2 if name == "template" else 1))
+
+    def unmute(self) -> None:
+        self.cut(next(k for k, x in enumerate(self.open) if x[3]))
+
     def start(self, name: str, attributes: str) -> None:
+        _, outside, inside, mute = self.open[-1]
+        if mute == 1 and (name == "body" or name in MAIN and outside < 2):
+            self.unmute()  # the element was left open
+        elif mute:
+            if name in HOLDERS and not attributes.endswith("/"):
+                self.push(name, outside, inside, mute)
+            elif name in BLOCKS and name != "hr":
+                self.inner.append(name)
+            return
         if name == "br":
             self.breaks += 1
             self.text.append(" ")
@@ -153,7 +205,7 @@ class Blocks:
             self.count["p"] -= 1
         if name not in HOLDERS or attributes.endswith("/"):
             return
-        _, outside, inside = self.open[-1]
+        _, outside, inside, _ = self.open[-1]
         words, hidden = named(attributes)
         if words & COMMENT_NAMES:
             outside = 2
@@ -163,20 +215,32 @@ class Blocks:
             outside = max(outside, 1)
         elif not inside and (name == "header" or words & HEADER_NAMES and name != "body"):
             outside = max(outside, 1)
-        self.open.append((name, outside, inside))
-        self.count[name] = self.count.get(name, 0) + 1
+        self.push(name, outside, inside, 0)
 
     def end(self, name: str) -> None:
+        if self.open[-1][3]:
+            if name in HOLDERS:
+                self.close(name)
+            elif name in self.inner:
+                self.inner.remove(name)
+            elif name in BLOCKS:
+                self.unmute()  # the block around it ends
+            if name in BLOCKS and not self.open[-1][3]:
+                self.flush()
+                self.links = 0
+            return
         if name == "a":
             self.links = max(0, self.links - 1)
         if name in BLOCKS:
             self.flush()
-        if name in HOLDERS and self.count.get(name):
+        if name in HOLDERS:
+            self.close(name)
+
+    def close(self, name: str) -> None:
+        if self.count.get(name):
             for k in range(len(self.open) - 1, 0, -1):
                 if self.open[k][0] == name:
-                    for gone, _, _ in self.open[k:]:
-                        self.count[gone] -= 1
-                    del self.open[k:]
+                    self.cut(k)
                     break
                 if self.open[k][0] in MAIN and name not in MAIN and name not in ("body", "html"):
                     break  # a stray end tag doesn't end the article

@@ -148,6 +148,17 @@ def test_main_text(page, text):
     assert html_extract.main_text(page) == text
 
 
+@pytest.mark.parametrize("name", sorted(html_extract.MUTE))
+def test_unclosed_elements_keep_the_article(name):
+    start, end = f"<{name} class=x>", f"</{name}>"
+    for page in (f"<div>{start}Go</div><article><p>{LONG}</p></article>", f"<body>{start}<div><p>{LONG}</p></div>",
+                 f"<body>{start}<p>{LONG}</p><p>{start}gone{end}</p>", f"<h1>{start}Go</h1><p>{LONG}</p>{end}"):
+        assert LONG in html_extract.main_text(page), page
+    assert html_extract.main_text(f"<article><p>{LONG} {start}gone<p>gone</p><hr>{end}and on</p></article>") == f"{LONG} and on"
+    assert html_extract.main_text(f"<div>{start}{LONG}</div><article>{LONG}</article>{end}") == LONG or name == "template"
+    assert html_extract.main_text(f"<article><p>{LONG}</p><script>'{start}'</script>{start}<h2>{LONG}</h2>{end}</article>") == LONG
+
+
 def test_extract_whole_table(spark):
     """The pages' own template: everything inside the article, block by block."""
     from html import unescape
