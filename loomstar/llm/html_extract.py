@@ -9,6 +9,11 @@ are out, in if the nearest one on either side is in.  If a page marks its articl
 only blocks inside it can be in, an undecided one looks for neighbours inside it
 only, and without any it is in.
 
+A page without a marked article in which known stop words are next to none (another
+language) is decided by length and link density.  In other such pages, blocks of
+low stop-word density (code, tables) are in if the nearest decided blocks of the
+flow on both sides are in.
+
 Defined results: NULL and empty pages give an empty text; unclosed and stray tags,
 comments and references never end the extraction; NULL urls stay NULL; every row
 gives one row; other columns of the table are not looked at.
@@ -29,6 +34,8 @@ ship(__name__)
 
 MAX_LINK_DENSITY = 0.5
 SHORT, LONG = 70, 200            # characters
+FEW_LINKS = 0.25                 # link density of text in a language without known stop words
+KNOWN_STOP = 0.05                # share of stop words in a page's letters below which its language is unknown
 STOP_LOW, STOP_HIGH = 0.15, 0.30
 
 # Frequent function words of four languages.
@@ -246,20 +253,56 @@ class Blocks:
                     break  # a stray end tag doesn't end the article
 
 
-def first_pass(text: str, linked: int, outside: bool, inside: bool, article: bool) -> bool | None:
-    """In, out or undecided."""
+def _width(text: str) -> int:
+    """Characters; those of East Asian scripts count twice."""
+    return len(text) + sum(c >= "\u2e80" for c in text)
+
+
+def known_language(blocks: list[tuple[str, int, bool, bool]]) -> bool:
+    """Whether the text outside named parts and link lists has stop words of the four languages."""
+    stop = letters = 0
+    for text, linked, outside, _ in blocks:
+        if not outside and linked <= MAX_LINK_DENSITY * len("".join(text.split())):
+            for w in _WORD.findall(text.lower()):
+                n = _width(w)
+                letters += n
+                stop += n if w in STOP_WORDS else 0
+    return stop >= KNOWN_STOP * letters
+
+
+def between(labels: list[bool | None], low: list[bool], flow: list[bool]) -> list[bool]:
+    """Blocks of ``low`` whose nearest decided blocks of the flow on both sides, other low ones aside, are in."""
+    def near(order) -> dict[int, bool]:
+        out, last = {}, False
+        for i in order:
+            if low[i]:
+                out[i] = last
+            elif flow[i] and labels[i] is not None:
+                last = labels[i]
+        return out
+
+    ahead, after = near(range(len(labels))), near(range(len(labels) - 1, -1, -1))
+    return [low[i] and ahead[i] and after[i] for i in range(len(labels))]
+
+
+def first_pass(text: str, linked: int, outside: bool, inside: bool, article: bool, known: bool = True) -> bool | None:
+    """In, out or undecided; ``known``: the page is in a language with known stop words."""
     if outside or article and not inside:
         return False
     chars = max(1, len("".join(text.split())))
     if linked / chars > MAX_LINK_DENSITY:
         return False
-    if len(text) < SHORT:
+    if (len(text) if known else _width(text)) < SHORT:
         return None
     words = _WORD.findall(text.lower())
     stop = sum(w in STOP_WORDS for w in words) / max(1, len(words))
     if stop >= STOP_HIGH or stop >= STOP_LOW and len(text) > LONG:
         return True
-    return None if inside or stop >= STOP_LOW else False
+    if inside or stop >= STOP_LOW:
+        return None
+    if known:
+        return False
+    return True if linked / chars <= FEW_LINKS else None
 
 
 def main_text(page: str | None) -> str:
@@ -268,7 +311,13 @@ def main_text(page: str | None) -> str:
         return ""
     blocks = Blocks(page).out
     article = any(inside and not outside for _, _, outside, inside in blocks)
-    labels = [first_pass(*b, article) for b in blocks]
+    known = article or known_language(blocks)
+    labels = [first_pass(*b, article, known) for b in blocks]
+    if not article and True in labels:
+        flow = [not outside for _, _, outside, _ in blocks]
+        low = [x is False and here and linked <= MAX_LINK_DENSITY * len("".join(text.split()))
+               for x, here, (text, linked, _, _) in zip(labels, flow, blocks)]
+        labels = [True if kept else x for x, kept in zip(labels, between(labels, low, flow))]
     own = [inside or not article for _, _, _, inside in blocks]
     ahead: list[bool | None] = []
     last: bool | None = None

@@ -159,6 +159,24 @@ def test_unclosed_elements_keep_the_article(name):
     assert html_extract.main_text(f"<article><p>{LONG}</p><script>'{start}'</script>{start}<h2>{LONG}</h2>{end}</article>") == LONG
 
 
+RUSSIAN = "Вчера вечером учёные института сообщили, что новая станция на севере острова впервые передала данные о погоде."
+CHINESE = "昨天晚上研究所的科学家宣布，北岛的新气象站首次传回了完整的观测数据，未来几个月将继续测试设备。"
+CODE = "while (k < n) { total[k] = base[k] * factor + offset[k]; emit(total[k], k, channel); k = next(k, step); }"
+
+
+@pytest.mark.parametrize("text", [RUSSIAN, CHINESE])
+def test_other_languages_without_article_tags(text):
+    page = (f"<div><ul><li><a href=x>{text}</a></li></ul></div><div class=sidebar><p>{text}</p></div>"
+            f"<div><p>{text}</p><p>{text[:20]}</p><p>{text}</p></div><div id=footer>{text} All rights reserved by the owner.</div>")
+    assert html_extract.main_text(page) == f"{text}\n{text[:20]}\n{text}"
+
+
+def test_code_between_accepted_blocks():
+    code = CODE.replace("<", "&lt;")
+    page = f"<div><p>{LONG}</p><pre>{code}</pre><div class=ad>{LONG}</div><pre>{code}</pre><p>{LONG}</p></div><div>{code}</div><div>End.</div>"
+    assert html_extract.main_text(page) == f"{LONG}\n{CODE}\n{CODE}\n{LONG}"
+
+
 def test_extract_whole_table(spark):
     """The pages' own template: everything inside the article, block by block."""
     from html import unescape
