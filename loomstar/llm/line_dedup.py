@@ -25,6 +25,7 @@ document.  Other columns stay, whatever their names.
 
 from __future__ import annotations
 
+import re
 from functools import partial
 
 import numpy as np
@@ -42,6 +43,7 @@ NEAR_WORDS = 8      # lines from this length on may differ by one word
 BITS = 26           # of the bitmap of shared halves: 8 MB
 Q = 0xD1342543DE82EF95
 Q_INVERSE = pow(Q, -1, 1 << 64)
+_GAP = re.compile(r"[\x20\x09-\x0D]+")
 
 
 class Lines:
@@ -163,7 +165,7 @@ def edit_at_most_one(x: list[str], y: list[str]) -> bool:
 
 def _verify(batches):
     for batch in batches:
-        ok = [edit_at_most_one(x.split(), y.split()) for x, y in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+        ok = [edit_at_most_one(_GAP.split(x), _GAP.split(y)) for x, y in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
         yield pa.RecordBatch.from_arrays([batch.column(0)], names=["h"]).filter(pa.array(ok, pa.bool_()))
 
 

@@ -95,6 +95,13 @@ def test_line_dedup_edges(spark):
     assert line_dedup.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_near_lines_split_words_at_ascii_white_space_only(spark):
+    rows = [(1, "a b c d e f g\u3000h\u00a0i j"), (2, "a b c d e f x\u3000y\u00a0z j")]
+    df = spark.createDataFrame([(i, t) for i, t in rows], "doc_id long, text string")
+    got = {r["doc_id"]: (r["_n_lines"], r["_n_dropped"], r["text"]) for r in line_dedup.dedup_lines(df).collect()}
+    assert got == helpers.line_dedup(rows) and got[2][1] == 1
+
+
 @pytest.mark.parametrize("x,y,near", [("a b c", "a b c", True), ("a b c", "a x c", True), ("a b c", "a c", True),
                                       ("a b c", "c b a", False), ("a b", "a b c d", False), ("a b c d", "b c d a", False)])
 def test_edit_distance(x, y, near):
