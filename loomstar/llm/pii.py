@@ -39,7 +39,8 @@ SAMPLE_DOCS = 20_000       # documents looked at for training, about
 SAMPLE_REGIONS = 300       # regions that the CRF is trained on, at most
 EPOCHS = 6
 MAX_ATOMS = 24             # atoms of an entity
-MAX_REGION = 400           # atoms decoded at a time; longer regions are cut at white space or here
+BEFORE = 24                # characters ahead of a span in which a key word counts
+MAX_REGION = 400           # atoms whose candidate spans are held at a time; the dynamic program runs on across them
 KEYWORDS = ("token", "password", "passwd", "secret", "key", "apikey", "auth")
 
 # The base patterns, anchored so that no start is tried twice.
@@ -161,7 +162,7 @@ def features(text: str, a: int, b: int, before: str) -> tuple[str, ...]:
             out.append("loose")
         return tuple(out)
     dense = not any(c.isspace() for c in s) and len(s) >= 8
-    word = re.findall(r"[A-Za-z]+", before[-24:])
+    word = re.findall(r"[A-Za-z]+", before[-BEFORE:])
     key = bool(word) and word[-1].lower() in KEYWORDS and bool(re.search(r"[=:]\s*[\"']?$", before))
     if dense and letters and digits:
         out.append("mixed" + (" long" if len(s) >= 16 else ""))
@@ -173,13 +174,18 @@ def features(text: str, a: int, b: int, before: str) -> tuple[str, ...]:
     return tuple(out)
 
 
-def candidates(text: str, at: list[tuple[int, int]]) -> list[tuple[int, int, tuple[str, ...]]]:
-    """Candidate spans (first atom, end atom, features): begin and end on no white space, hold a digit or an at-sign."""
+def candidates(text: str, at: list[tuple[int, int]], lo: int = 0, hi: int | None = None) -> list[tuple[int, int, tuple[str, ...]]]:
+    """Candidate spans (first atom, end atom, features): begin and end on no white space, hold a digit or an at-sign.
+
+    Those that begin at atoms ``lo`` to ``hi``; features look at up to ``BEFORE`` characters ahead of a span.
+    """
     out = []
-    marked = [any(c.isdigit() or c == "@" for c in text[a:b]) for a, b in at]
-    blank = [text[a].isspace() for a, _ in at]
+    hi = len(at) if hi is None else min(hi, len(at))
+    some = range(lo, min(len(at), hi + MAX_ATOMS))
+    marked = {i: any(c.isdigit() or c == "@" for c in text[at[i][0]:at[i][1]]) for i in some}
+    blank = {i: text[at[i][0]].isspace() for i in some}
     start = at[0][0] if at else 0
-    for i in range(len(at)):
+    for i in range(lo, hi):
         if blank[i] or text[at[i][0]] in ",;:!?\"'=)":
             continue
         seen = False
@@ -192,7 +198,7 @@ def candidates(text: str, at: list[tuple[int, int]]) -> list[tuple[int, int, tup
                 continue
             seen = seen or marked[j]
             if seen and text[at[j][1] - 1] not in ",;:!?\"'=(":
-                out.append((i, j + 1, features(text, at[i][0], at[j][1], text[start:at[i][0]])))
+                out.append((i, j + 1, features(text, at[i][0], at[j][1], text[max(start, at[i][0] - BEFORE):at[i][0]])))
     return out
 
 
@@ -209,21 +215,27 @@ def scores(feats: tuple[str, ...], weights: Weights) -> list[float]:
     return total
 
 
-def decode(n: int, spans: list[tuple[int, int, tuple[str, ...]]], weights: Weights) -> list[tuple[int, int, int]]:
-    """The best set of disjoint spans with kinds: an atom outside scores 0, a span its features' weights."""
-    ending: dict[int, list[tuple[int, float, int]]] = {}
+def _add(ending: dict[int, list[tuple[int, float, int]]], spans, weights: Weights) -> None:
+    """The best kind of each span that scores above 0, under the span's end."""
     for i, j, feats in spans:
         s = scores(feats, weights)
         k = max(range(len(KINDS)), key=s.__getitem__)
         if s[k] > 0:
             ending.setdefault(j, []).append((i, s[k], k))
-    best, back = [0.0] * (n + 1), [None] * (n + 1)
-    for j in range(1, n + 1):
-        best[j] = best[j - 1]
-        for i, s, k in ending.get(j, ()):
+
+
+def _advance(best: list[float], back: list, ending: dict[int, list[tuple[int, float, int]]], hi: int) -> None:
+    """Carry the dynamic program on to atom ``hi``."""
+    for j in range(len(best), hi + 1):
+        best.append(best[j - 1])
+        back.append(None)
+        for i, s, k in ending.pop(j, ()):
             if best[i] + s > best[j]:
                 best[j], back[j] = best[i] + s, (i, j, k)
-    out, j = [], n
+
+
+def _chosen(back: list) -> list[tuple[int, int, int]]:
+    out, j = [], len(back) - 1
     while j > 0:
         if back[j]:
             out.append(back[j])
@@ -233,6 +245,25 @@ def decode(n: int, spans: list[tuple[int, int, tuple[str, ...]]], weights: Weigh
     return out[::-1]
 
 
+def decode(n: int, spans: list[tuple[int, int, tuple[str, ...]]], weights: Weights) -> list[tuple[int, int, int]]:
+    """The best set of disjoint spans with kinds: an atom outside scores 0, a span its features' weights."""
+    ending: dict[int, list[tuple[int, float, int]]] = {}
+    best, back = [0.0], [None]
+    _add(ending, spans, weights)
+    _advance(best, back, ending, n)
+    return _chosen(back)
+
+
+def decode_region(text: str, at: list[tuple[int, int]], weights: Weights) -> list[tuple[int, int, int]]:
+    """``decode`` over all candidates of a region, of which ``MAX_REGION`` atoms' are held at a time."""
+    ending: dict[int, list[tuple[int, float, int]]] = {}
+    best, back = [0.0], [None]
+    for lo in range(0, len(at), MAX_REGION):
+        _add(ending, candidates(text, at, lo, lo + MAX_REGION), weights)
+        _advance(best, back, ending, min(len(at), lo + MAX_REGION))
+    return _chosen(back)
+
+
 # ---- training ----------------------------------------------------------------
 
 #: Made-up regions, one of each kind, that training always sees.
@@ -322,12 +353,10 @@ def find_spans(text: str, weights: Weights) -> tuple[list[Span], list[Span]]:
     taken = sorted((a, b) for a, b, _ in base)
     for start, end in regions(text):
         at = atoms(text, start, end)
-        for lo in range(0, len(at), MAX_REGION):
-            part = at[lo:lo + MAX_REGION]
-            for i, j, k in decode(len(part), candidates(text, part), weights):
-                a, b = part[i][0], part[j - 1][1]
-                if all(b <= x or a >= y for x, y in taken):
-                    added.append((a, b, KINDS[k]))
+        for i, j, k in decode_region(text, at, weights):
+            a, b = at[i][0], at[j - 1][1]
+            if all(b <= x or a >= y for x, y in taken):
+                added.append((a, b, KINDS[k]))
     return base, added
 
 

@@ -78,6 +78,20 @@ def test_decode_is_the_best_segmentation():
         assert got == pytest.approx(best(0))
 
 
+def test_spans_do_not_depend_on_where_a_region_is_cut(monkeypatch):
+    weights = pii.train(list(pii.EXAMPLES) * 3)
+    lines = [f"{i} call (202) 555-0{100 + i} or password=hunter{i}hunter{i} or 4111 1111 1111 {1000 + i}" for i in range(60)]
+    text = "\n".join(lines)
+    (start, end), = pii.regions(text)
+    at = pii.atoms(text, start, end)
+    whole = [(at[i][0], at[j - 1][1], pii.KINDS[k]) for i, j, k in pii.decode(len(at), pii.candidates(text, at), weights)]
+    assert len(at) > 3 * pii.MAX_REGION and sum(k == "secret" for _, _, k in whole) >= 60
+    for size in (pii.MAX_REGION, 1, 7, 50, 10**6):
+        monkeypatch.setattr(pii, "MAX_REGION", size)
+        base, added = pii.find_spans(text, weights)
+        assert added == [s for s in whole if all(s[1] <= a or s[0] >= b for a, b, _ in base)]
+
+
 def test_personal_data_rows(spark):
     rows = [(1, None), (2, ""), (3, "a@b.co and 1.2.3.4"), (3, "a@b.co and 1.2.3.4"), (4, "9" * 200_000), (5, "x@" * 50_000), (6, "é +1 (202) 555-0143")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
