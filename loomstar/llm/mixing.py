@@ -1,6 +1,6 @@
 """Mixing sources to target weights (7): hash-random order, prefix sums, exact budget cuts.
 
-Every document gets a hash-random key.  Within a source, keys are cut into
+Every document gets a hash-random key of its id and text.  Within a source, keys are cut into
 ranges of equal width, which random keys fill evenly, so a hot source spreads
 over many ranges without sampling.  Sizes are summed per (source, range), a
 prefix sum over a source's ranges finds the range in which its budget ends, and
@@ -12,8 +12,8 @@ The target of a source is its weight's share of ``SHARE`` of all words, at most
 ``MAX_EPOCHS`` times its own words; what is cut off goes to the others by weight.
 
 Defined results: NULL texts have size 0 and take 0; NULL sources are one source,
-ordered last; rows with one id share a key, and those at the cut take the same
-number of words each; documents with a NULL id share a key.  Other columns stay
+ordered last; rows that share id and text share a key, and those at the cut are
+taken one after the other, so a budget ends in one row at most.  Other columns stay
 as they are, unless they are called ``epoch`` or ``taken``: those are replaced.
 """
 
@@ -50,12 +50,12 @@ def targets(sizes: list[int], weights: list[int], share: float = SHARE, most: fl
     return out
 
 
-def random_key(id_col: str, seed: int = SEED) -> Column:
-    return F.xxhash64(F.col(id_col), F.lit(seed))
+def random_key(id_col: str, text_col: str, seed: int = SEED) -> Column:
+    return F.xxhash64(F.col(id_col), F.col(text_col), F.lit(seed))
 
 
 def plan(rows: DataFrame) -> DataFrame:
-    """A row for each source: size, target, whole epochs, and the key and words where its last epoch ends.
+    """A row for each source: size, target, whole epochs, and the key, its words and rows where its last epoch ends.
 
     ``rows`` has ``source, size, key``.  The driver sees one row per source.
     """
@@ -91,25 +91,33 @@ def plan(rows: DataFrame) -> DataFrame:
     # ranges follow the unsigned order of keys
     cut = inside.withColumn("key_order", F.col("key").bitwiseXOR(F.lit(-(1 << 63)))).withColumn("ahead", ahead) \
         .where((F.col("ahead") < F.col("rest")) & (F.col("rest") <= F.col("ahead") + F.col("words"))) \
-        .select("sid", F.col("key_order").alias("cut"), F.floor((F.col("rest") - F.col("ahead")) / F.col("copies")).alias("part"))
-    return saved(sources.join(cut, "sid", "left").select("source", "source_size", "target", "epochs", "cut", "part"), "plan")
+        .select("sid", F.col("key_order").alias("cut"), (F.col("rest") - F.col("ahead")).alias("part"), "copies")
+    return saved(sources.join(cut, "sid", "left").select("source", "source_size", "target", "epochs", "cut", "part", "copies"), "plan")
 
 
 def with_taken(rows: DataFrame, sources: DataFrame, source_col: str, size_col: str, key_col: str) -> DataFrame:
     """``rows`` with ``source_size``, ``target`` and ``taken``: the words that the mix takes of each."""
     own = broadcast_bounded(sources, MAX_BROADCAST_SOURCES).withColumnRenamed("source", "_source")
     order = F.col(key_col).bitwiseXOR(F.lit(-(1 << 63)))
-    last = F.when(order < F.col("cut"), F.col(size_col)).when(order == F.col("cut"), F.least(size_col, "part")).otherwise(F.lit(0))
-    return rows.join(own, rows[source_col].eqNullSafe(F.col("_source"))) \
-        .withColumn("taken", F.col("epochs") * F.col(size_col) + F.when(F.col("cut").isNull(), F.lit(0)).otherwise(last)) \
-        .drop("_source", "epochs", "cut", "part")
+    out = rows.join(own, rows[source_col].eqNullSafe(F.col("_source")))
+    size, left = F.col(size_col), F.col("part")
+    if not sources.where("copies > 1").isEmpty():
+        # equal rows at a cut, one after the other; there is no window over any other row
+        shared = F.coalesce((F.col("copies") > 1) & (order == F.col("cut")), F.lit(False))
+        before = F.sum(size).over(Window.partitionBy("_source").orderBy(size_col).rowsBetween(Window.unboundedPreceding, -1))
+        out = out.where(~shared).withColumn("_left", left).unionByName(
+            out.where(shared).withColumn("_left", F.greatest(F.lit(0), left - F.coalesce(before, F.lit(0)))))
+        left = F.col("_left")
+    last = F.when(order < F.col("cut"), size).when(order == F.col("cut"), F.least(size, left)).otherwise(F.lit(0))
+    return out.withColumn("taken", F.col("epochs") * size + F.when(F.col("cut").isNull(), F.lit(0)).otherwise(last)) \
+        .drop("_source", "epochs", "cut", "part", "copies", "_left")
 
 
 def mix_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """What the mix takes of every document."""
     rows = saved(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
                              F.size(words_of(F.col(text_col))).cast("long").alias("size"),
-                             random_key(id_col).alias("key")), "sizes")
+                             random_key(id_col, text_col).alias("key")), "sizes")
     return with_taken(rows, plan(rows), "source", "size", "key") \
         .select("doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"))
 
@@ -120,10 +128,10 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     The document in which a budget ends keeps its first ``taken`` words, joined by
     single spaces; every other row has its whole text.
     """
-    rows = saved(docs.select(F.col(source_col).cast("string").alias("source"), random_key(id_col).alias("key"),
+    rows = saved(docs.select(F.col(source_col).cast("string").alias("source"), random_key(id_col, text_col).alias("key"),
                              F.size(words_of(F.col(text_col))).cast("long").alias("size")), "sizes")
     size = F.size(words_of(F.col(text_col))).cast("long")
-    own = docs.drop("epoch", "taken").withColumns({"_size": size, "_key": random_key(id_col), "_s": F.col(source_col).cast("string")})
+    own = docs.drop("epoch", "taken").withColumns({"_size": size, "_key": random_key(id_col, text_col), "_s": F.col(source_col).cast("string")})
     out = with_taken(own, plan(rows).withColumnsRenamed({"source_size": "_ss", "target": "_t"}), "_s", "_size", "_key") \
         .where("taken > 0").withColumn("epoch", F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("_size")).cast("int"))))
     words = F.least(F.col("_size"), F.col("taken") - (F.col("epoch") - 1) * F.col("_size"))

@@ -292,6 +292,22 @@ def test_mix(spark, docs):
     assert mixing.mix_report(df.limit(0)).count() == 0
 
 
+def test_mix_without_ids(spark):
+    """Rows without an id, and equal ones, are taken one by one: a source's budget ends in one row."""
+    rows = [(i if i % 3 else None, " ".join(f"w{i}x{k}" for k in range(1 + i * 7 % 90)), "abc"[i % 5 % 3]) for i in range(900)]
+    rows += [(None, "one two three four five", "d")] * 40 + [(None, "six", "e")] * 1000
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    size = {s: sum(len(t.split()) for _, t, x in rows if x == s) for s in "abcde"}
+    goal = dict(zip("abcde", mixing.targets([size[s] for s in "abcde"], [5, 2, 1, 5, 2])))
+    mix = mixing.mixed(df).collect()
+    whole = {t for _, t, _ in rows}
+    for s in "abcde":
+        assert abs(sum(r["taken"] for r in mix if r["source"] == s) - goal[s]) <= 1
+        assert sum(r["text"] not in whole for r in mix if r["source"] == s) <= 1
+    report = mixing.mix_report(df).groupBy("source_size").agg(F.sum("taken").alias("t")).collect()
+    assert {r["source_size"]: r["t"] for r in report} == {size[s]: sum(r["taken"] for r in mix if r["source"] == s) for s in "abcde"}
+
+
 # ---- classifier --------------------------------------------------------------
 
 def test_classifier(spark):
