@@ -16,7 +16,8 @@ shingles, so its rarest one is a sufficient prefix:
 Defined results: NULL and blank texts have no words and no hits; repeated rows get
 equal results; items without words have no windows; equal windows of several
 items count for each of them; items with a NULL id hit words but are not listed.
-``keep_clean`` takes documents with a hit out by their id, so rows with a NULL id stay.
+``keep_clean`` takes texts with a hit out by id and fingerprint, so rows with a NULL id
+are decided like all others, and so is each text of an id that has several.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomstar.llm.shared import broadcast_bounded, saved, ship
-from loomstar.llm.wordhash import ALNUM, mix, shingles, words
+from loomstar.llm.wordhash import ALNUM, shingles, words
 
 ship(__name__)
 
@@ -104,11 +105,8 @@ def _places(batches, bitmap, lengths: list[int], size: int = WINDOW):
         places = pa.StructArray.from_arrays(
             [pa.array(pos, pa.int32()), pa.array(key, pa.int64()), pa.array(before, pa.int32()),
              pa.array(around, pa.list_(pa.string()))], names=["pos", "key", "before", "around"]).take(pa.array(order))
-        sums = np.concatenate([[0], np.cumsum(mix(found.hash + mix(np.arange(len(found.hash), dtype=np.uint64)
-              - np.repeat(found.first[:-1], np.diff(found.first)).astype(np.uint64))), dtype=np.uint64)]).astype(np.uint64)
-        print_ = sums[found.first[1:]] - sums[found.first[:-1]]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(np.diff(found.first)), pa.array(print_.view(np.int64)),
+            [batch.column(0), pa.array(np.diff(found.first)), batch.column(2),
              pa.ListArray.from_arrays(pa.array(ends), places)], names=["doc_id", "n_words", "print", "places"])
 
 
@@ -141,7 +139,12 @@ def prefix_windows(texts: DataFrame, items: DataFrame) -> tuple[DataFrame, list[
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """For each document: words, words inside occurrences of windows, and the items that these are from."""
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return _judged(docs, benchmark, id_col, text_col, item_col, item_text_col).drop("print")
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text_col: str) -> DataFrame:
+    """``contamination`` with ``print``, the fingerprint of each text."""
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("print"))
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).alias("text"))
     prefixes, lengths = prefix_windows(texts, items)
     rows = saved(texts.mapInArrow(partial(_places, bitmap=_bitmap(prefixes), lengths=lengths), PLACES), "places")
@@ -163,7 +166,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     all_ = rows.select("doc_id", "n_words", "print").join(
         found, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("print") == F.col("_p")), "left")
     return all_.select(
-        "doc_id", "n_words", F.coalesce("hit", F.lit(0)).cast("long").alias("n_hit"),
+        "doc_id", "print", "n_words", F.coalesce("hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("n", F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.coalesce("names", F.lit("")), 256).alias("items_sha256"),
         (F.coalesce("hit", F.lit(0)) > 0).alias("contaminated"))
@@ -171,6 +174,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without any benchmark window, with all their columns."""
-    gone = saved(contamination(docs, benchmark, id_col, text_col).where("contaminated AND doc_id IS NOT NULL")
-                 .select(F.col("doc_id").alias("_gone_id")).distinct(), "leaks")
-    return docs.join(broadcast_bounded(gone, MAX_BROADCAST_IDS), docs[id_col].cast("long") == F.col("_gone_id"), "left_anti")
+    gone = saved(_judged(docs, benchmark, id_col, text_col, "item_id", "text").where("contaminated")
+                 .select(F.col("doc_id").alias("_gone_id"), F.col("print").alias("_gone_print")).distinct(), "leaks")
+    same = docs[id_col].cast("long").eqNullSafe(F.col("_gone_id")) & (F.xxhash64(docs[text_col]) == F.col("_gone_print"))
+    return docs.join(broadcast_bounded(gone, MAX_BROADCAST_IDS), same, "left_anti")

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomstar.llm.components import components
-from loomstar.llm.shared import broadcast_bounded, saved, ship
+from loomstar.llm.shared import SPACES, broadcast_bounded, saved, ship
 from loomstar.llm.wordhash import BASE, NOT_SPACE, doc_shingles, mix, shingles, words
 
 ship(__name__)
@@ -56,6 +56,7 @@ CENTRES = 16                # of each list in a round, else
 SHINGLE = 5                 # words of a shingle
 SIM_NUM, SIM_DEN = 75, 100  # link when 100 * intersection >= 75 * union
 MISS = 1e-9                 # chance that the overlap bound loses one linked pair
+LAST = 1 << 62              # stand-ins of NULL ids start here
 MAX_BROADCAST_IDS = 500_000  # ids of 8 bytes: a broadcast of a few MB at most
 SKETCH = "doc_id long, n_shingles long, f1 long, f2 long, sketch array<long>"
 
@@ -247,9 +248,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without those whose near-duplicate class has a smaller id; all columns stay.
 
-    Rows with a NULL id cannot be named, so they stay.
+    Rows with a NULL id come after all others, in the order of a fingerprint of the text; of those that
+    share a text with words, one is kept at most.
     """
-    gone = saved(near_duplicates(docs, id_col, text_col)
-                 .where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct(), "gone")
+    own = F.col(id_col).cast("long")
+    keyed = docs.withColumn("_near_key", F.coalesce(own, F.xxhash64(text_col).bitwiseAND(F.lit(LAST - 1)).bitwiseOR(F.lit(LAST))))
+    if not docs.where(own.isNull()).isEmpty():
+        copies = own.isNull() & (F.translate(text_col, SPACES, "") != "")
+        copies = F.coalesce(copies, F.lit(False))
+        keyed = keyed.where(~copies).unionByName(keyed.where(copies).dropDuplicates(["_near_key"]))
+    gone = saved(near_duplicates(keyed, "_near_key", text_col).where("NOT kept").select("doc_id").distinct(), "gone")
     gone = broadcast_bounded(gone, MAX_BROADCAST_IDS).withColumnRenamed("doc_id", "_gone_id")
-    return docs.join(gone, docs[id_col].cast("long") == F.col("_gone_id"), "left_anti")
+    return keyed.join(gone, F.col("_near_key") == F.col("_gone_id"), "left_anti").drop("_near_key")

@@ -73,6 +73,15 @@ def test_near_duplicates_edges(spark):
     assert near_dedup.keep_one(empty).count() == 0
 
 
+def test_keep_one_decides_rows_without_id(spark):
+    """Rows without an id come last; one of several copies stays if no copy has an id."""
+    rows = [(None, base_text(60), "a"), (3, edited(60, 30), "b"), (None, base_text(60, "q"), "c"), (None, base_text(60, "q"), "c"),
+            (None, base_text(60, "q") + " end", "c"), (None, base_text(60, "z"), "d"), (None, " ", "e"), (None, " ", "e"), (None, None, "f")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, v string")
+    out = near_dedup.keep_one(df)
+    assert out.columns == df.columns and sorted(r["v"] for r in out.collect()) == ["b", "c", "d", "e", "e", "f"]
+
+
 def test_keep_one_keeps_columns(hard):
     out = near_dedup.keep_one(hard)
     want = {i for i, (_, c) in helpers.components(HARD).items() if c == i}
@@ -126,6 +135,15 @@ def test_contamination(spark, hard, docs):
     assert {r[0] for r in left.collect()} == {r[0] for r in got if not r[-1]}
 
 
+def test_keep_clean_decides_every_text(spark):
+    """Rows without an id and several texts of one id are decided by their own text."""
+    rows = [(None, "x one y", "a"), (None, "clean", "b"), (None, "clean", "c"), (7, "ONE", "d"), (7, "also clean", "e"), (8, None, "f")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, v string")
+    own = spark.createDataFrame(ITEMS, "item_id long, text string")
+    left = decontaminate.keep_clean(df, own)
+    assert left.columns == df.columns and {r["v"] for r in left.collect()} == {"b", "c", "e", "f"}
+
+
 def test_contamination_edges(spark, hard):
     none = spark.createDataFrame([], "item_id long, text string")
     assert not any(r["contaminated"] for r in decontaminate.contamination(hard, none).collect())
