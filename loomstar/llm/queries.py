@@ -1,11 +1,12 @@
-"""Registered queries of the ten operators, with DuckDB SQL where SQL can express them."""
+"""Registered queries of the operators, with DuckDB SQL where SQL can express them."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from loomstar.llm import (
-    chat, decontaminate, html_extract, line_dedup, mixing, near_dedup, pii, quality_classifier, quality_rules, token_counts,
+    chat, decontaminate, hard_negatives, html_extract, line_dedup, mixing, near_dedup, pii, quality_classifier, quality_rules,
+    token_counts,
 )
 from loomstar.llm.shared import table
 
@@ -61,6 +62,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.windows(rows))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -72,6 +77,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_html_extraction": op9_html_extraction,
     "op10_chat_formatting": op10_chat_formatting,
+    "op12_hard_negatives": op12_hard_negatives,
 }
 
 # ---- DuckDB SQL: line by line, pair by pair, window by window --------------------
@@ -132,10 +138,27 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(COALESCE(n_hit, 0) AS BIG
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+#: Every anchor against every row.
+_OP12 = """
+WITH worded AS (SELECT CAST(vec_id AS BIGINT) AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                       list_transform(embedding, x -> CAST(x AS DOUBLE)) AS x FROM embeddings),
+rows AS (SELECT id, label, list_transform(x, c -> floor(256 * c)) AS v FROM worded
+         WHERE label IS NOT NULL AND x IS NOT NULL AND len(list_filter(x, c -> c IS NULL OR NOT isfinite(c))) = 0),
+scored AS (SELECT a.id AS anchor_id, a.label = r.label AS same, r.id, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+           FROM rows a JOIN rows r ON a.id % 100 = 0 AND a.id <> r.id),
+positives AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY row_number() OVER w <= 5 WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+"""
+
 #: The other operators have no SQL form (learned models, random order, tokenizers, markup,
 #: windows of the formatter): tests/llm holds them against plain Python, libraries and round trips.
 ORACLE: dict[str, str] = {
     "op1_line_dedup": _OP1,
     "op2_minhash_near_dedup": _OP2,
     "op3_decontamination": _OP3,
+    "op12_hard_negatives": _OP12,
 }
