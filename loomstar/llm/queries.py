@@ -151,7 +151,7 @@ positives AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM
 SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, id AS negative_id, positive_score, score AS negative_score
 FROM positives JOIN scored USING (anchor_id)
 WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
-QUALIFY row_number() OVER w <= 5 WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) QUALIFY row_number() OVER w <= 5
 """
 
 #: The other operators have no SQL form (learned models, random order, tokenizers, markup,
