@@ -73,7 +73,9 @@ class Packed:
         self.bias = -min(0, int(rows.min(initial=0)))
         self.anchor_bias = -min(0, lowest)
         biased = rows + self.bias
-        bits = (max(1, d) * max(1, int(biased.max(initial=0))) * max(1, highest + self.anchor_bias)).bit_length()
+        # wide enough for the biased sums and for every term that takes the biases off again
+        width = (max(1, d), max(1, int(biased.max(initial=0)), self.bias), max(1, highest + self.anchor_bias, -lowest))
+        bits = (width[0] * width[1] * width[2]).bit_length()
         self.field = 4 if bits <= 32 else 8 if bits <= 62 else (bits + 7) // 8
         if self.field <= 8:
             columns = np.ascontiguousarray(biased.T).astype("<u4" if self.field == 4 else "<u8")

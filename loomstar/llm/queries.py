@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loomstar.llm import (
     chat, decontaminate, hard_negatives, html_extract, line_dedup, mixing, near_dedup, pii, quality_classifier, quality_rules,
-    token_counts,
+    token_align, token_counts,
 )
 from loomstar.llm.shared import table
 
@@ -66,6 +66,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
 
 
+def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.alignment(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path())
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -78,6 +82,7 @@ QUERIES = {
     "op9_html_extraction": op9_html_extraction,
     "op10_chat_formatting": op10_chat_formatting,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_cross_tokenizer_alignment": op13_cross_tokenizer_alignment,
 }
 
 # ---- DuckDB SQL: line by line, pair by pair, window by window --------------------
@@ -141,9 +146,9 @@ FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 #: Every anchor against every row.
 _OP12 = """
 WITH worded AS (SELECT CAST(vec_id AS BIGINT) AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-                       list_transform(embedding, x -> CAST(x AS DOUBLE)) AS x FROM embeddings),
-rows AS (SELECT id, label, list_transform(x, c -> floor(256 * c)) AS v FROM worded
-         WHERE label IS NOT NULL AND x IS NOT NULL AND len(list_filter(x, c -> c IS NULL OR NOT isfinite(c))) = 0),
+                       [CAST(c AS DOUBLE) FOR c IN embedding] AS x FROM embeddings),
+rows AS (SELECT id, label, [floor(256 * c) FOR c IN x] AS v FROM worded
+         WHERE label IS NOT NULL AND x IS NOT NULL AND len([c FOR c IN x IF c IS NULL OR NOT isfinite(c)]) = 0),
 scored AS (SELECT a.id AS anchor_id, a.label = r.label AS same, r.id, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
            FROM rows a JOIN rows r ON a.id % 100 = 0 AND a.id <> r.id),
 positives AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
