@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from loomstar.llm import (
     chat, decontaminate, hard_negatives, html_extract, line_dedup, mixing, near_dedup, pii, quality_classifier, quality_rules,
-    token_align, token_counts,
+    spot_signatures, token_align, token_counts,
 )
 from loomstar.llm.shared import table
 
@@ -62,6 +62,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.windows(rows))
 
 
+def op11_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spot_signatures.edited_report(table(spark, sf_dir, "documents"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
 
@@ -81,6 +85,7 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_html_extraction": op9_html_extraction,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_document_fingerprints": op11_document_fingerprints,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_cross_tokenizer_alignment": op13_cross_tokenizer_alignment,
 }
