@@ -29,6 +29,8 @@ from loomstar.operators.reshape import add_column_if_absent, rename_column
 # optional, both braces or none, any case); output is the lower-case hyphenated form.
 _UUID_BODY = r"[0-9a-fA-F]{8}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{4}-?[0-9a-fA-F]{12}"
 UUID_PATTERN = rf"^(?:{_UUID_BODY}|\{{{_UUID_BODY}\}})\z"
+_UUID_CANONICAL = r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}\z"
+_UUID_PARTS = r"^\{?([0-9a-f]{8})-?([0-9a-f]{4})-?([0-9a-f]{4})-?([0-9a-f]{4})-?([0-9a-f]{12})\}?\z"
 
 # A date text must have all three parts: the engine's own cast would read ``2020-01`` as 1 January.
 DATE_PATTERN = r"^\s*[0-9]{4,}-[0-9]{1,2}-[0-9]{1,2}([ T].*)?\s*\z"
@@ -80,11 +82,10 @@ def _conform_sql(c: str, declared: str) -> str:
     """Strict conformance of one column as SQL: ANSI cast, or ``raise_error``."""
     col, txt = ident(c), f"CAST({ident(c)} AS STRING)"
     if declared == "uuid":
-        hex32 = f"lower(regexp_replace({txt}, '[{{}}-]', ''))"
-        canonical = (f"concat_ws('-', substr({hex32}, 1, 8), substr({hex32}, 9, 4), "
-                     f"substr({hex32}, 13, 4), substr({hex32}, 17, 4), substr({hex32}, 21, 12))")
-        return (f"CASE WHEN {txt} IS NULL THEN CAST(NULL AS STRING) "
-                f"WHEN {txt} RLIKE {text(UUID_PATTERN)} THEN {canonical} "
+        # canonical text, the usual case, takes one test; other accepted forms one more test and one rewrite
+        rewritten = f"regexp_replace(lower({txt}), {text(_UUID_PARTS)}, '$1-$2-$3-$4-$5')"
+        return (f"CASE WHEN {txt} IS NULL OR {txt} RLIKE {text(_UUID_CANONICAL)} THEN {txt} "
+                f"WHEN {txt} RLIKE {text(UUID_PATTERN)} THEN {rewritten} "
                 f"ELSE raise_error(concat({text(f'invalid uuid in {c}: ')}, {txt})) END")
     m = _VARCHAR.fullmatch(declared)
     if m:
