@@ -11,10 +11,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from loomstar.operators import cleaning as C
 from loomstar.operators import conform as D
@@ -89,6 +87,7 @@ def load_star_tables(spark: SparkSession, sources: dict[str, DataFrame], prefix:
 def key_report(spark: SparkSession, tables: dict[str, str | DataFrame]) -> DataFrame:
     """PK and FK violations over the loaded tables: (check, table, column, key, n_rows).
 
+    One job scans every table once (``constraints.stacked_key_report``).
     ``tables`` maps table names to written Parquet folders or to DataFrames
     (for example catalog tables from ``load_star_tables``).  A table that is not
     given is not checked; a given table without a declared key column is an error.
@@ -101,19 +100,8 @@ def key_report(spark: SparkSession, tables: dict[str, str | DataFrame]) -> DataF
     absent = sorted({f"{t}.{c}" for t, c in declared if c not in read[t].columns})
     if absent:
         raise ValueError(f"declared key columns are absent: {', '.join(absent)}")
-    parts = []
-    for table, key in PRIMARY_KEYS.items():
-        if table in read:
-            parts.append(K.pk_violations(read[table], [key]).select(
-                F.lit("primary_key").alias("check"), F.lit(table).alias("table"),
-                F.lit(key).alias("column"), F.col(key).cast("string").alias("key"), "n_rows"))
-    fact = read.get("orders_table")
-    for column, dim in FOREIGN_KEYS:
-        if fact is not None and dim in read:
-            bad = K.fk_violations(fact, read[dim], column)
-            parts.append(bad.groupBy(column).agg(F.count(F.lit(1)).alias("n_rows")).select(
-                F.lit("foreign_key").alias("check"), F.lit("orders_table").alias("table"),
-                F.lit(column).alias("column"), F.col(column).cast("string").alias("key"), "n_rows"))
-    if not parts:
+    primary = [(t, k) for t, k in PRIMARY_KEYS.items() if t in read]
+    foreign = [("orders_table", c, d, c) for c, d in FOREIGN_KEYS if "orders_table" in read and d in read]
+    if not primary:
         return spark.createDataFrame([], "check string, table string, column string, key string, n_rows long")
-    return reduce(DataFrame.unionByName, parts)
+    return K.stacked_key_report(read, primary, foreign)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import SF_SMALL
+from loomstar.operators import constraints as K
 from loomstar.plans import analytics as A
 from loomstar.plans.etl import PRIMARY_KEYS, key_report, load_star, load_star_tables
 from loomstar.plans.fixtures import view
@@ -36,6 +37,35 @@ def test_load_star_and_key_report(spark, tmp_dir):
     assert report.where("check = 'foreign_key' AND column = 'store_code'").agg(F.sum("n_rows")).first()[0] < fact.count()
 
 
+def test_key_report_scans_each_table_once_and_lazily(spark, tmp_dir):
+    written = load_star(spark, etl_sources(spark, SF_SMALL), os.path.join(tmp_dir, "star"))
+    read = {name: spark.read.parquet(path) for name, path in written.items()}
+    spark.sparkContext.setJobGroup("key-report", "building the report")
+    report = key_report(spark, read)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("key-report") == []
+    spark.sparkContext.setJobGroup("", "")
+    for name in read:
+        assert plan.count(f"/star/{name}]") == 1
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_stacked_key_report_agrees_with_single_checks(spark):
+    """NULL and repeated keys, a hot dangling key, two columns that use one key, a reference to a key that is not primary."""
+    fact = spark.createDataFrame(
+        [(1, "a", 10)] * 40 + [(2, None, 11), (None, "b", None), (9, "zz", 10), (9, "a", 12), (1, "c", 99)], "k int, code string, alt int")
+    dim = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "d"), (None, "a")], "k int, code string")
+    other = spark.createDataFrame([(10,), (10,), (11,), (None,)], "alt int")
+    foreign = [("fact", "k", "dim", "k"), ("fact", "alt", "dim", "k"), ("fact", "code", "dim", "code"), ("fact", "alt", "other", "alt")]
+    got = sorted(map(tuple, K.stacked_key_report({"fact": fact, "dim": dim, "other": other}, [("dim", "k")], foreign).collect()), key=str)
+    tables = {"dim": dim, "other": other}
+    want = [("primary_key", "dim", "k", None if r.k is None else str(r.k), r.n_rows) for r in K.pk_violations(dim, ["k"]).collect()]
+    for _, column, d, key in foreign:
+        rows = K.fk_violations(fact, tables[d], column, key).groupBy(column).count().collect()
+        want += [("foreign_key", "fact", column, str(r[0]), r[1]) for r in rows]
+    assert got == sorted(want, key=str) and len(want) > 6
+
+
 def test_absent_key_column_is_an_error(spark):
     sources = etl_sources(spark, SF_SMALL)
     with pytest.raises(ValueError, match="dim_users_table.user_uuid"):
