@@ -45,7 +45,7 @@ FROM {orders}""",
 SELECT c_custkey AS index,
        c_name AS first_name,
        CASE WHEN c_custkey % 13 = 0 THEN 'AB12CD34EF' ELSE c_mktsegment END AS last_name,
-       CASE c_custkey % 20
+       CASE c_custkey % 31
          WHEN 0 THEN concat(1950 + c_custkey % 50, '-', lpad(CAST(1 + c_custkey % 12 AS STRING), 2, '0'), '-', lpad(CAST(1 + c_custkey % 28 AS STRING), 2, '0'))
          WHEN 1 THEN concat(1950 + c_custkey % 50, '/', lpad(CAST(1 + c_custkey % 12 AS STRING), 2, '0'), '/', lpad(CAST(1 + c_custkey % 28 AS STRING), 2, '0'))
          WHEN 2 THEN concat(1950 + c_custkey % 50, ' October ', lpad(CAST(1 + c_custkey % 28 AS STRING), 2, '0'))
@@ -65,6 +65,17 @@ SELECT c_custkey AS index,
          WHEN 16 THEN concat(1950 + c_custkey % 50, '-', lpad(CAST(1 + c_custkey % 12 AS STRING), 2, '0'))
          WHEN 17 THEN concat('October ', 1950 + c_custkey % 50)
          WHEN 18 THEN concat(lpad(CAST(1 + c_custkey % 28 AS STRING), 2, '0'), '/', lpad(CAST(1 + c_custkey % 12 AS STRING), 2, '0'), '/', 1950 + c_custkey % 50)
+         WHEN 19 THEN concat('October ', 1 + c_custkey % 28, ', ', 1950 + c_custkey % 50)
+         WHEN 20 THEN concat('Oct ', 1 + c_custkey % 28, ', ', 1950 + c_custkey % 50)
+         WHEN 21 THEN concat(1 + c_custkey % 28, '-Oct-', 1950 + c_custkey % 50)
+         WHEN 22 THEN concat(1950 + c_custkey % 50, '-', lpad(CAST(1 + c_custkey % 12 AS STRING), 2, '0'), '-', lpad(CAST(1 + c_custkey % 28 AS STRING), 2, '0'), ' 10:11:12.123')
+         WHEN 23 THEN concat(1950 + c_custkey % 50, '-', lpad(CAST(1 + c_custkey % 12 AS STRING), 2, '0'), '-', lpad(CAST(1 + c_custkey % 28 AS STRING), 2, '0'), 'T10:11:12+00:00')
+         WHEN 24 THEN concat(1950 + c_custkey % 50, '-', lpad(CAST(1 + c_custkey % 12 AS STRING), 2, '0'), '-', lpad(CAST(1 + c_custkey % 28 AS STRING), 2, '0'), 'T10:11')
+         WHEN 25 THEN concat('Sept ', 1 + c_custkey % 28, ' ', 1950 + c_custkey % 50)
+         WHEN 26 THEN concat('2nd October ', 1950 + c_custkey % 50)
+         WHEN 27 THEN concat('Thu ', 1 + c_custkey % 28, ' Oct ', 1950 + c_custkey % 50)
+         WHEN 28 THEN concat(lpad(CAST(1 + c_custkey % 12 AS STRING), 2, '0'), '.', lpad(CAST(1 + c_custkey % 28 AS STRING), 2, '0'), '.', 1950 + c_custkey % 50)
+         WHEN 29 THEN concat(13 + c_custkey % 15, '.', lpad(CAST(1 + c_custkey % 12 AS STRING), 2, '0'), '.', 1950 + c_custkey % 50)
          ELSE 'ZX90CV81BN' END AS date_of_birth,
        CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE concat(c_custkey, ' High Street', chr(10), 'Town ', c_nationkey) END AS address,
        CASE WHEN c_custkey % 7 = 0 THEN 'GGB' ELSE 'GB' END AS country_code

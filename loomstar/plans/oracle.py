@@ -122,7 +122,8 @@ _TOKENS = ", ".join("'" + t.replace("'", "''") + "'" for t in (
     "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"))
 _DATE_FORMATS = ("%Y-%m-%d %H:%M:%S", "%Y-%m-%d %H:%M", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%dT%H:%M:%SZ", "%Y-%m-%d", "%Y-%m", "%Y%m%d",
                  "%Y.%m.%d", "%Y/%m/%d", "%m/%d/%Y", "%d/%m/%Y", "%m-%d-%Y", "%d-%m-%Y", "%Y %B %d", "%Y %b %d", "%B %Y %d", "%b %Y %d",
-                 "%B %d %Y", "%b %d %Y", "%d %B %Y", "%d %b %Y", "%B %Y", "%b %Y", "%Y")
+                 "%B %d %Y", "%b %d %Y", "%d %B %Y", "%d %b %Y", "%B %Y", "%b %Y", "%Y", "%B %d, %Y", "%b %d, %Y", "%d-%b-%Y",
+                 "%Y-%m-%d %H:%M:%S.%g", "%Y-%m-%dT%H:%M:%S%z", "%Y-%m-%dT%H:%M", "%a %d %b %Y", "%m.%d.%Y", "%d.%m.%Y")
 
 
 def _junk(c: str) -> str:
@@ -130,7 +131,8 @@ def _junk(c: str) -> str:
 
 
 def _mixed_date(c: str) -> str:
-    t = "COALESCE(" + ", ".join(f"try_strptime(trim({c}), '{f}')" for f in _DATE_FORMATS) + ")"
+    plain = f"regexp_replace(replace(trim({c}), 'Sept ', 'Sep '), '([0-9])(st|nd|rd|th) ', '\\1 ')"
+    t = "COALESCE(" + ", ".join(f"CAST(try_strptime({plain}, '{f}') AS TIMESTAMP)" for f in _DATE_FORMATS) + ")"
     return f"CASE WHEN year({t}) BETWEEN 1677 AND 2262 THEN CAST({t} AS DATE) END"
 
 

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from loomstar.functions.dates import datetime_from_parts, parse_mixed_date
+from loomstar.functions.dates import datetime_from_parts, parse_mixed_date, parse_mixed_timestamp
 from loomstar.functions.text import (
     equals_flag,
     is_junk_code,
@@ -122,3 +122,34 @@ def test_mixed_date_layouts(spark, value, want):
     df = spark.createDataFrame([(value,)], "d string")
     got = df.select(parse_mixed_date("d").cast("string")).first()[0]
     assert got == want
+
+
+#: The two-digit years of these texts are read in the 100 years that end 49 years from now, as below.
+DATE_TEXTS = """October 2, 1975|Oct 2, 1975|2-Oct-1975|1975-10-02 10:11:12.123|1975-10-02T10:11:12+00:00|1975-10-02T10:11|Sept 2 1975
+2nd October 1975|Thu 2 Oct 1975|02.10.1975|13.10.1975|10.13.1975|1975|75|197510|751002|19751002|19751002101112|197510021011
+19751002T101112|1975Q4|1975-Q4|Q4 1975|Oct 75|2 Oct 75|75 Oct 2|Oct 1975|2 October|October|10/75|10/1975|1975/10|31/12|12/31/1975
+31/12/1975|31-12-75|75-12-31|12-31-75|32/12/75|12/32/75|2/3/75|10am 2 Oct 1975|2 Oct 1975 10am|2 Oct 1975 10:11 pm|2 Oct 1975 12:11 am
+2 Oct 1975 12:11 pm|10:11 2 Oct 1975|Thursday, October 2nd, 1975 at 10:11|2 of October 1975|2Oct1975|02Oct75|October-2-1975|Oct.2.1975
+Oct. 2, 1975|2. Oct 1975|1975-10-02 25:00|1975-13-02|1975-02-30|2 Foo 1975|1975 10 02|10 2 1975|1975-10-02T10:11:12Z
+1975-10-02 10:11:12 UTC|1975-10-02 10:11:12+02:00|1975-10-02 10:11:12 -0500|1975-10-02T10|1975-10-02 10|5 1975|1675-01-01|2300-01-01
+1975-10-2|1975-1-2 1:2:3|2-Oct-75|49-10-02|Oct/2/1975|1975/Oct/02|1975-Oct-02|2;10;1975|tomorrow|nan||1975-275|1975-W40-4|10-1975
+1975.10|10.1975|1975.5|1e5|-1975|+1975|1975-10-02T10:11:12.123456789|2 10 75|99/1/2|1/99/2|1/2/99|0/1/1975|1975-00-01|123|1234|12345
+123456|1234567|12345678|02/29/1900|02/29/2000|Fri|Oct 2 1975 AD|October2,1975|2.10.75|2.10|1975 Oct|1975 Oct 2|75 October|Oct 32
+MAY 5 2001|5 mAy 2001|Mai 5 2001|01 01 01|010101|20010101 10:11|2001-01-01 10:11:60|2001-01-01T24:00|2001/13|13/2001|1 2 3 4|Jan Feb 2001
+a 1 2001|2 sep 1975 7:08|sept. 3, 1975 7:8:9|1975-10-02 10:11:12.5 PM|13:00 pm 2 Oct 1975|00:10 am 2 Oct 1975|Sun, 05 Oct 1975 10:11:12 GMT"""
+
+
+def test_mixed_dates_agree_with_pandas(spark):
+    """Every text is read as the original tool reads it; a zone is kept off, the clock time stays."""
+    import warnings
+
+    import pandas as pd
+
+    texts = [t for line in DATE_TEXTS.split("\n") for t in line.split("|")]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = [r.x for r in df.select("i", parse_mixed_timestamp("t").alias("x")).orderBy("i").collect()]
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        want = [pd.to_datetime(pd.Series([t]), errors="coerce", format="mixed")[0] for t in texts]
+    want = [None if pd.isna(x) else x.replace(tzinfo=None).floor("us").to_pydatetime() for x in want]
+    assert dict(zip(texts, got)) == dict(zip(texts, want))

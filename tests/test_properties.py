@@ -5,7 +5,7 @@ import datetime as dt
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from loomstar.functions.dates import parse_mixed_date
+from loomstar.functions.dates import parse_mixed_date, parse_mixed_timestamp
 from loomstar.functions.weights import UNIT_TO_KG, weight_kg
 
 MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August",
@@ -33,6 +33,21 @@ def test_mixed_dates_round_trip(spark, values):
     assert got == [d for _, _, d in rows]
 
 
+@settings(max_examples=20, deadline=None)
+@given(st.lists(st.datetimes(min_value=dt.datetime(1700, 1, 1), max_value=dt.datetime(2200, 12, 31)), min_size=1, max_size=10))
+def test_mixed_timestamps_round_trip(spark, values):
+    def texts(t: dt.datetime):
+        dates = [f"{MONTHS[t.month - 1]} {t.day}, {t.year}", f"{t.day}-{MONTHS[t.month - 1][:3]}-{t.year}", f"{t:%Y.%m.%d}", f"{t:%Y%m%d}",
+                 f"{t:%A} {t.day} {MONTHS[t.month - 1].upper()} {t.year}", f"{t.month}/{t.day}/{t.year}"]
+        times = [f"{t:%H:%M:%S}.{t.microsecond:06d}", f"{t.hour % 12 or 12}:{t:%M:%S}.{t.microsecond:06d} {'pm' if t.hour > 11 else 'AM'}",
+                 f"{t:%H:%M:%S},{t.microsecond:06d} +01:30"]
+        return [f"{d} {c}" for d in dates for c in times] + [f"{t.isoformat()}Z"]
+
+    rows = [(i, text, t) for i, t in enumerate(values) for text in texts(t)]
+    df = spark.createDataFrame([(i, t) for i, t, _ in rows], "i int, t string")
+    assert [r[0] for r in df.select(parse_mixed_timestamp("t")).collect()] == [t for _, _, t in rows]
+
+
 @settings(max_examples=25, deadline=None)
 @given(st.lists(st.tuples(st.integers(1, 999), st.integers(1, 99), st.sampled_from(sorted(UNIT_TO_KG)),
                           st.booleans()), min_size=1, max_size=20))
