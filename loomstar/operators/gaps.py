@@ -3,9 +3,10 @@
 ``next_event_gap`` is ``LEAD(ts) OVER (PARTITION BY part ORDER BY ts, key)``.
 A plain window would send each partition (a year: only a handful exist) to a
 single task, and equal timestamps (day-precision dates) would pile up in it.
-Instead rows are counted per (part, ts, key), only the distinct times are
-ordered, and they are ordered in balanced range buckets whose boundaries are
-stitched through a table of one row per bucket.
+Instead equal rows are counted, the distinct rows are ordered in balanced range
+buckets of (part, ts, key), so that one hot time spreads over buckets too, and
+bucket boundaries are stitched through a table of one row per bucket.  No row is
+joined to another one.
 
 ``avg_gap_telescoped`` gives the same yearly mean without any ordering: for the
 non-null times of a group the successor differences telescope,
@@ -30,79 +31,74 @@ def micros_between(start: Column, end: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", start, end)
 
 
-def _next_distinct(times: DataFrame, part: str, ts: str, buckets: int | None = None) -> DataFrame:
-    """For unique (part, ts) rows: the next larger ts in the same part (``_next``).
-
-    The rows are range-partitioned on (part, ts) into ``buckets`` contiguous
-    ranges and written once, with their bucket, to the shared checkpoint folder:
-    range bounds are sampled, so the window and the stitch must read the same
-    buckets and never range-partition anew.  The keys are unique, so the bounds
-    balance the buckets even when one part or one day holds most of the times.  The
-    successor is taken inside each bucket, and the last time of a bucket is
-    stitched to the first time of the next non-empty bucket through a table
-    of one row per bucket (bounded by the bucket count, so broadcast).
+def _ranged(rows: DataFrame, part: str, ts: str, key: str | None = None, buckets: int | None = None) -> DataFrame:
+    """Distinct rows in ``buckets`` contiguous ranges of (part, ts, key), written once with their range ``_b``.
+
+    Range bounds are sampled, so whoever orders and stitches must read the same ranges
+    and never range-partition anew.  The rows are distinct, so the bounds balance the
+    buckets even when one part or one time holds most of them.
     """
-    spark = times.sparkSession
+    spark = rows.sparkSession
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, "ranged")
-    (times.repartitionByRange(n, F.col(part).asc_nulls_first(), F.col(ts).asc())
+    order = [F.col(part).asc_nulls_first(), F.col(ts).asc()] + ([F.col(key).asc_nulls_last()] if key else [])
+    (rows.repartitionByRange(n, *order)
      .withColumn("_b", F.spark_partition_id()).write.mode("errorifexists").parquet(path))
-    ranged = spark.read.parquet(path)
-    local = ranged.withColumn(
-        "_next", F.lead(ts).over(Window.partitionBy("_b", part).orderBy(F.col(ts))))
-    key = F.struct(F.col(part).alias("p"), F.col(ts).alias("t"))
-    ends = ranged.groupBy("_b").agg(F.min(key).alias("_first"), F.max(key).alias("_last"))
-    # one row per non-empty bucket: a single ordered pass over at most n rows
+    return spark.read.parquet(path)
+
+
+def _followed(ranged: DataFrame, part: str, ts: str, key: str | None = None) -> DataFrame:
+    """``_next``: the ts of the following row of the same part, over all ranges.
+
+    Inside a range it is a window.  Only the last row of a range's last part finds no
+    successor there although its part may go on: it takes the first row of the next
+    non-empty range, from a table of one row per range (bounded by their number, so broadcast).
+    """
+    order = [F.col(ts).asc()] + ([F.col(key).asc_nulls_last()] if key else [])
+    local = ranged.withColumn("_next", F.lead(ts).over(Window.partitionBy("_b", part).orderBy(*order)))
+    at = F.struct(F.col(part).alias("p"), F.col(ts).alias("t"))
+    ends = ranged.groupBy("_b").agg(F.min(at).alias("_first"), F.max(at).alias("_last"))
+    # one row per non-empty range: a single ordered pass over at most that many rows
     follow = ends.withColumn("_nf", F.lead("_first").over(Window.orderBy("_b")))
     stitch = follow.select(
-        F.col("_b").alias("_sb"), F.col("_last.p").alias("_lp"), F.col("_last.t").alias("_lt"),
+        F.col("_b").alias("_sb"), F.col("_last.p").alias("_lp"),
         F.when(F.col("_nf.p").eqNullSafe(F.col("_last.p")), F.col("_nf.t")).alias("_stitch"))
     joined = local.join(F.broadcast(stitch), local["_b"] == stitch["_sb"], "left")
-    is_bucket_last = F.col(part).eqNullSafe(F.col("_lp")) & (F.col(ts) == F.col("_lt"))
-    nxt = F.coalesce(F.col("_next"), F.when(is_bucket_last, F.col("_stitch")))
-    return joined.select(*times.columns, nxt.alias("_next"))
+    nxt = F.coalesce(F.col("_next"), F.when(F.col(part).eqNullSafe(F.col("_lp")), F.col("_stitch")))
+    return joined.select(*ranged.columns, nxt.alias("_next"))
+
+
+def _next_distinct(times: DataFrame, part: str, ts: str, buckets: int | None = None) -> DataFrame:
+    """For unique (part, ts) rows: the next larger ts in the same part (``_next``)."""
+    return _followed(_ranged(times, part, ts, buckets=buckets), part, ts).select(*times.columns, "_next")
 
 
 def next_event_gap(df: DataFrame, key: str = "date_key", part: str = "year",
                    ts: str = "datetime", buckets: int | None = None) -> DataFrame:
     """Each row with the next time in its ``part`` and the gap in microseconds.
 
-    Same rows as ``LEAD(ts) OVER (PARTITION BY part ORDER BY ts NULLS LAST, key)``.
-    Within a group of equal times every row's successor is that same time,
-    except the row with the largest key (NULL keys sort last), whose successor
-    is the next distinct time.  So only distinct times are ordered (in balanced
-    range buckets, see ``_next_distinct``) and joined back to the rows, and only
-    the last-key rows are aggregated (collapsing exact duplicates, of which
-    exactly one takes the next time).  A key repeated more than ``REPEAT_CHUNK``
-    times at one time is written out again in chunks, spread over tasks, so a
-    NULL key that holds a third of the rows is never one array or one task.
+    Same rows as ``LEAD(ts) OVER (PARTITION BY part ORDER BY ts NULLS LAST, key NULLS LAST)``.
+    Equal rows are counted before anything is ordered (partial counts before the
+    shuffle); of ``n`` of them, one takes the following row's time and the others
+    their own.  Copies beyond ``REPEAT_CHUNK`` are written out again in chunks spread
+    over tasks, so a row that comes a billion times is never one array or one task.
+    Rows without a time come last in their part: they have no next time.
     Output: key, part, ts, ``next_<ts>``, ``gap_us``.
     """
     nxt = f"next_{ts}"
-    rows = df.select(key, part, ts)
-    times = (rows.where(F.col(ts).isNotNull())
-             .groupBy(part, ts)
-             .agg(F.max(key).alias("_last_key"),
-                  F.max(F.col(key).isNull().cast("int")).alias("_null_key")))
-    succ = _next_distinct(times, part, ts, buckets).select(
-        F.col(part).alias("_s_part"), F.col(ts).alias("_s_ts"), "_last_key", "_null_key", "_next")
-    joined = rows.join(
-        succ, rows[part].eqNullSafe(succ["_s_part"]) & (rows[ts] == succ["_s_ts"]), "left")
-    # NULL keys sort last among equal times, so they take the next time when present
-    is_last = F.coalesce(
-        F.when(F.col("_null_key") == 1, F.col(key).isNull())
-         .otherwise(F.col(key).eqNullSafe(F.col("_last_key"))), F.lit(False))
-    others = joined.where(~is_last).select(key, part, ts, F.col(ts).alias(nxt))
-    lasts = joined.where(is_last).groupBy(key, part, ts, "_next").agg(F.count(F.lit(1)).alias("_n"))
-    chunk = F.lit(REPEAT_CHUNK)
-    few = lasts.where(F.col("_n") <= chunk).withColumn("_c", F.lit(0).cast("bigint"))
-    many = (lasts.where(F.col("_n") > chunk)
-            .withColumn("_c", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1, chunk.cast("bigint"))))
-            .repartition(F.col("_c"), F.col(part), F.col(ts)))
-    lasts = (few.unionByName(many)
-             .withColumn("_i", F.explode(F.sequence(F.col("_c"), F.least(F.col("_c") + chunk, F.col("_n")) - 1)))
-             .select(key, part, ts, F.when(F.col("_i") == 0, F.col("_next")).otherwise(F.col(ts)).alias(nxt)))
-    out = others.unionByName(lasts)
+    counted = df.groupBy(key, part, ts).agg(F.count(F.lit(1)).alias("_n"))
+    ranged = _ranged(counted, part, ts, key, buckets)
+    timed, untimed = ranged.where(F.col(ts).isNotNull()), ranged.where(F.col(ts).isNull())
+    rows = _followed(timed, part, ts, key).unionByName(untimed.withColumn("_next", F.col(ts)))
+    chunk = F.lit(REPEAT_CHUNK).cast("bigint")
+    copy = F.explode(F.sequence(F.lit(0).cast("bigint"), F.least(F.col("_n"), chunk) - 1))
+    first = rows.withColumn("_i", copy).select(key, part, ts, F.when(F.col("_i") == 0, F.col("_next")).otherwise(F.col(ts)).alias(nxt))
+    more = (ranged.where(F.col("_n") > chunk)
+            .withColumn("_c", F.explode(F.sequence(chunk, F.col("_n") - 1, chunk)))
+            .repartition(F.col("_c"), F.col(part), F.col(ts), F.col(key))
+            .withColumn("_i", F.explode(F.sequence(F.col("_c"), F.least(F.col("_c") + chunk, F.col("_n")) - 1)))
+            .select(key, part, ts, F.col(ts).alias(nxt)))
+    out = first.unionByName(more)
     return out.select(key, part, ts, nxt, micros_between(F.col(ts), F.col(nxt)).alias("gap_us"))
 
 

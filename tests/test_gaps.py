@@ -111,3 +111,24 @@ def test_null_key_with_a_third_of_the_rows(spark):
     assert got.count() == 90_000
     hot = got.where("date_key IS NULL").groupBy("next_datetime").count().collect()
     assert sorted(r["count"] for r in hot) == [1, 29_999]
+
+
+def test_rows_of_a_hot_time_spread_over_tasks(spark):
+    """A third of the rows at one time, in one year: no range, hence no task, gets more than its share, and no row is joined."""
+    from loomstar.operators.gaps import _ranged
+
+    rows = spark.range(60_000).selectExpr(
+        "id AS date_key", "2020 AS year",
+        "CASE WHEN id % 3 = 0 THEN timestamp_ntz'2020-05-01 00:00:00' ELSE "
+        "timestamp_ntz'2020-01-01 00:00:00' + make_dt_interval(0, 0, 0, cast(id as int) * 7) END AS datetime")
+    ranged = _ranged(rows.withColumn("_n", F.lit(1).cast("long")), "year", "datetime", "date_key", buckets=12)
+    sizes = [r["count"] for r in ranged.groupBy("_b").count().collect()]
+    assert len(sizes) == 12 and max(sizes) < 2 * 60_000 / 12
+    hot = ranged.where("datetime = timestamp_ntz'2020-05-01 00:00:00'").select("_b").distinct().count()
+    assert hot >= 4
+    gaps = next_event_gap(rows, buckets=12)
+    w = Window.partitionBy("year").orderBy("datetime", "date_key")
+    want = rows.withColumn("next_datetime", F.lead("datetime").over(w))
+    assert gaps.select(*want.columns).exceptAll(want).count() == 0 and gaps.count() == 60_000
+    plan = gaps._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 1  # the one row per range
