@@ -103,22 +103,22 @@ def read_columnar_json(spark: SparkSession, path: str, columns: list[str],
     beginning on a line of its own; with ``whole_file=False`` every line is one
     document, and large files are split across tasks.  A document that does not parse fails the job
     (``broken_documents`` lists such ones).  The row keys of a document are the
-    union of the keys of its columns.  Columns are merged key by key with
-    ``map_zip_with``, which hashes the keys, so the work grows with the document.
+    union of the keys of its columns.
+
+    A document is parsed where it is read and then taken apart: every cell becomes an
+    entry (document, row key, column, value), entries are dealt over tasks by document and
+    row key, and rows are put together there.  So the rows of one large document are
+    built by all tasks, and no row ever holds more than its own cells.
     """
-    docs = _columnar_documents(spark, path, whole_file)
+    docs = _columnar_documents(spark, path, whole_file).withColumn("_doc", F.monotonically_increasing_id())
     doc = F.coalesce(F.col("doc"), F.raise_error(F.concat(
         F.lit("not a column-oriented JSON document: "), F.substring("value", 1, 200))).cast(_COLUMNAR))
-    parsed = docs.select(doc.alias("doc"))
-    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
-    of = lambda c: F.coalesce(F.try_element_at("doc", F.lit(c)), none)
-    # every key of any column first, then the asked columns one after another
-    keys = F.array_distinct(F.flatten(F.transform(F.map_values("doc"), lambda m: F.map_keys(m))))
-    merged = F.map_from_arrays(keys, F.transform(keys, lambda _: F.array().cast("array<string>")))
-    for c in columns:
-        merged = F.map_zip_with(merged, of(c), lambda k, row, v: F.array_append(row, v))
-    exploded = parsed.select(F.explode(merged).alias(key, "_row"))
-    return exploded.select(F.col(key), *[F.get("_row", i).alias(c) for i, c in enumerate(columns)])
+    cells = docs.select("_doc", F.explode(doc).alias("_column", "_cells")).select(
+        "_doc", "_column", F.explode("_cells").alias("_key", "_value"))
+    # entries meet their row before they are grouped: the grouping needs no second shuffle
+    rows = cells.repartition("_doc", "_key").groupBy("_doc", "_key").agg(*[
+        F.max(F.when(F.col("_column") == c, F.col("_value"))).alias(f"_c{i}") for i, c in enumerate(columns)])
+    return rows.select(F.col("_key").alias(key), *[F.col(f"_c{i}").alias(c) for i, c in enumerate(columns)])
 
 
 def write_columnar_json(df: DataFrame, path: str, key: str, rows_per_doc: int = 50_000) -> int:

@@ -66,6 +66,26 @@ def test_columnar_json_time_follows_the_document(spark, tmp_dir):
     assert large < 24 * small + 1  # a quadratic read takes 64 times as long
 
 
+def test_one_large_document_is_spread_over_tasks(spark, tmp_dir):
+    """One document of a million rows in one file: its rows come from many tasks, in about equal parts."""
+    n = 1_000_000
+    path = os.path.join(tmp_dir, "large.json")
+    with open(path, "w") as f:
+        f.write('{"a": {%s}, "b": {%s}}' % (", ".join(f'"{i}": "x{i}"' for i in range(n)), ", ".join(f'"{i}": null' for i in range(n, n + 5))))
+    rows = S.read_columnar_json(spark, path, ["a", "b"], key="k")
+    assert rows.agg(F.count("k"), F.count("a"), F.count("b")).first() == (n + 5, n, 0)
+    parts = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(parts) >= 4 and max(parts) < 2 * (n + 5) / len(parts)
+
+
+def test_same_row_key_in_two_documents(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "two.json")
+    with open(path, "w") as f:
+        f.write('{"a": {"0": "x"}, "a b": {"0": "s", "1": "t"}}\n{"a": {"0": "y", "2": null}, "b": {}}\n')
+    got = sorted((tuple(r) for r in S.read_columnar_json(spark, path, ["a", "a b", "none"], whole_file=False).collect()), key=str)
+    assert got == [("0", "x", "s", None), ("0", "y", None, None), ("1", None, "t", None), ("2", None, None, None)]
+
+
 def test_csv_rows_of_other_lengths_are_errors(spark, tmp_dir):
     path = os.path.join(tmp_dir, "odd.csv")
     with open(path, "w") as f:
