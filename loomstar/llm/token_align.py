@@ -27,6 +27,7 @@ from __future__ import annotations
 import re
 import sys
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,15 +41,12 @@ ship(__name__)
 
 CHUNK = 1 << 16          # characters of a chunk
 FAN = 8                  # neighbouring fragments that one composition takes
-AT_A_TIME = 1 << 21      # characters whose new segments are encoded together
-MAX_SEGMENTS = 120_000   # segments in each of two generations whose groups a worker remembers
+AT_A_TIME = 1 << 18      # characters whose new segments are encoded together
+MAX_SEGMENTS = 100_000   # segments beyond which a worker forgets what it has encoded, before its next texts
+TOGETHER = 100           # segments in one call text of the tokenizers
 SMALL_GROUP = 64         # links of a group that are listed one by one
 MAX_BROADCAST = 4_000_000  # rows (24 bytes each) of the pair counts that may be broadcast
 
-#: n_a, n_b, n_groups, groups as text, links as codes, links of large groups as (codes, times), whether the bytes agree
-Segment = tuple[int, int, int, str, bytes, "list | None", bool]
-NOTHING: Segment = (0, 0, 0, "", b"", None, True)
-
 
 def byte_table() -> dict[str, int]:
     """Which byte each character of a byte-level vocabulary stands for."""
@@ -80,9 +78,14 @@ class Aligner:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(pieces)]
         self.n_b = len(pieces)
+        self.span = len(self.a_bytes) * self.n_b
+        self.a_size = np.array([len(x) for x in self.a_bytes], np.int64)
+        self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
+        # ids as text with what follows them: inside a group, at the end of its A part, of the group, of the segment
+        self.a_shown = [np.array([f"{i}{c}" for i in range(len(self.a_bytes))], object) for c in ",|"]
+        self.b_shown = [np.array([f"{i}{c}" for i in range(self.n_b)], object) for c in (",", ";", "")]
         self.cut = self._safe_cut([p for i, p in enumerate(pieces) if not self.b.is_byte(i)])
-        self.known: dict[str, Segment] = {}
-        self.older: dict[str, Segment] = {}
+        self.forget()
 
     @staticmethod
     def _safe_cut(pieces: list[str]) -> re.Pattern:
@@ -100,40 +103,113 @@ class Aligner:
 
     # -- segments ------------------------------------------------------------
 
-    def _encoded(self, segments: list[str]) -> None:
-        """Remember these segments, encoded together."""
-        lists_a = [e.ids for e in self.a.encode_batch_fast(segments, add_special_tokens=False)]
-        # B puts a space before a text: it stands for a word's own, otherwise a line break keeps it apart
-        plain = [s[0] == " " and s[1:2] not in ("", " ", "\n") for s in segments]
-        lists_b = self.b.encode([s[1:] if p else "\n" + s for s, p in zip(segments, plain)], num_threads=1)
-        for s, p, ids_a, ids_b in zip(segments, plain, lists_a, lists_b):
-            if len(self.known) >= MAX_SEGMENTS:
-                self.known, self.older = {}, self.known
-            self.known[s] = self._grouped(s.encode(), ids_a, ids_b if p else ids_b[2:])
-
-    def _grouped(self, raw: bytes, ids_a: list[int], ids_b: list[int]) -> Segment:
+    def forget(self) -> None:
+        self.index: dict[str, int] = {}
+        self.texts: list[str] = []                            # the groups of each segment
+        self.numbers = np.zeros((0, 4), np.int64)             # its A tokens, B tokens, groups, 1 if the bytes differ
+        self.ends = np.zeros(1, np.int64)                     # where its links end
+        self.codes, self.times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _keep(self, segments: list[str], texts: list[str], numbers: np.ndarray, links: np.ndarray, codes: np.ndarray, times: np.ndarray):
+        self.index.update(zip(segments, range(len(self.index), len(self.index) + len(segments))))
+        self.texts += texts
+        self.numbers = np.concatenate((self.numbers, numbers))
+        self.ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(links)))
+        self.codes, self.times = np.concatenate((self.codes, codes)), np.concatenate((self.times, times))
+
+    def _ids(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        # B puts a space before a text: a line break keeps it apart
+        b = self.b.encode(["\n" + t for t in texts], num_threads=1)
+        return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)], [x[2:] for x in b]
+
+    def learn(self, lists: list[list[str]]) -> None:
+        """Have the segments of these texts at hand."""
+        if len(self.index) > MAX_SEGMENTS:
+            self.forget()
+        new = [s for s in set().union(*lists) if s not in self.index]
+        # segments that stand together in any text are encoded in one
+        odd = [s for s in new if s[0] not in " \n" or s[-1].isspace() or "▁" in s]
+        if odd:
+            kept = set(odd)
+            new = [s for s in new if s not in kept]
+        for at in range(0, len(new), 64 * TOGETHER):
+            part = new[at:at + 64 * TOGETHER]
+            odd += self._together(part)
+        if odd:
+            ids = self._ids(odd)
+            for s, x, y in zip(odd, *ids):
+                self._keep([s], *self._one(s.encode(), x, y))
+
+    def _together(self, segments: list[str]) -> list[str]:
+        """Groups of many segments in a few array operations; those that need another look are returned."""
+        texts = ["".join(segments[i:i + TOGETHER]) for i in range(0, len(segments), TOGETHER)]
+        lists_a, lists_b = self._ids(texts)
+        ids_a, ids_b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (lists_a, lists_b))
+        raw = "".join(texts).encode()
+        if b"".join(map(self.a_bytes.__getitem__, ids_a.tolist())) != raw or b"".join(map(self.b_bytes.__getitem__, ids_b.tolist())) != raw:
+            return segments
+        ends = np.cumsum(np.fromiter((len(s) if s.isascii() else len(s.encode()) for s in segments), np.int64, len(segments)))
+        end_a, end_b = np.cumsum(self.a_size[ids_a]), np.cumsum(self.b_size[ids_b])
+        at = np.searchsorted(end_b, end_a)
+        last_a = np.flatnonzero(end_b[at] == end_a)
+        last_b, end = at[last_a], end_a[last_a]
+        of_group = np.searchsorted(ends, end)                     # the segment of each group
+        if not np.array_equal(end[np.searchsorted(end, ends)], ends):
+            return segments
+        first_a, first_b = np.append(0, last_a[:-1] + 1), np.append(0, last_b[:-1] + 1)
+        n_a, n_b = last_a - first_a + 1, last_b - first_b + 1
+        links = n_a * n_b
+        large = np.unique(of_group[links > SMALL_GROUP])
+        # links: every A token of a group with every B token
+        group = np.repeat(np.arange(len(end)), links)
+        k = np.arange(len(group)) - np.repeat(np.cumsum(links) - links, links)
+        codes = ids_a[first_a[group] + k // n_b[group]] * self.n_b + ids_b[first_b[group] + k % n_b[group]]
+        # the ids as text, A before B in each group
+        final = np.append(of_group[1:] != of_group[:-1], True)
+        shown = np.empty(len(ids_a) + len(ids_b), object)
+        of_a, of_b = np.repeat(np.arange(len(end)), n_a), np.repeat(np.arange(len(end)), n_b)
+        x = self.a_shown[0][ids_a]
+        x[last_a] = self.a_shown[1][ids_a[last_a]]
+        shown[np.arange(len(ids_a)) + first_b[of_a]] = x
+        x = self.b_shown[0][ids_b]
+        x[last_b] = np.where(final, self.b_shown[2][ids_b[last_b]], self.b_shown[1][ids_b[last_b]])
+        shown[np.arange(len(ids_b)) + last_a[of_b] + 1] = x
+        per = np.bincount(of_group, weights=n_a + n_b, minlength=len(segments)).astype(np.int64)
+        stop = np.cumsum(per).tolist()
+        shown = shown.tolist()
+        texts = ["".join(shown[i:j]) for i, j in zip([0, *stop], stop)]
+        of_segment = [np.bincount(of_group, weights=w, minlength=len(segments)).astype(np.int64) for w in (n_a, n_b, np.ones(len(end)), links)]
+        numbers = np.stack([*of_segment[:3], np.zeros(len(segments), np.int64)], axis=1)
+        if len(large):
+            keep = np.ones(len(segments), bool)
+            keep[large] = False
+            codes = codes[np.repeat(keep, of_segment[3])]
+            again = [segments[i] for i in large]
+            segments, texts = ([x for x, k in zip(v, keep) if k] for v in (segments, texts))
+            self._keep(segments, texts, numbers[keep], of_segment[3][keep], codes, np.ones(len(codes), np.int64))
+            return again
+        self._keep(segments, texts, numbers, of_segment[3], codes, np.ones(len(codes), np.int64))
+        return []
+
+    def _one(self, raw: bytes, ids_a: list[int], ids_b: list[int]):
+        """Groups of one segment, large ones by their distinct ids; what ``_keep`` takes."""
         bytes_a, bytes_b = [self.a_bytes[i] for i in ids_a], [self.b_bytes[i] for i in ids_b]
+        none = np.zeros(0, np.int64)
         if b"".join(bytes_a) != raw or b"".join(bytes_b) != raw:
-            return (0, 0, 0, "", b"", None, False)
-        groups, codes, large = [], [], []
-        at_a = at_b = from_a = from_b = end_a = end_b = 0
-        while at_a < len(ids_a) or at_b < len(ids_b):
-            if end_a <= end_b and at_a < len(ids_a):
-                end_a += len(bytes_a[at_a])
-                at_a += 1
-            else:
-                end_b += len(bytes_b[at_b])
-                at_b += 1
-            if end_a == end_b:
-                in_a, in_b = ids_a[from_a:at_a], ids_b[from_b:at_b]
-                from_a, from_b = at_a, at_b
+            return [""], np.array([[0, 0, 0, 1]]), np.zeros(1, np.int64), none, none
+        end_a, end_b = (np.cumsum([len(x) for x in v]).tolist() for v in (bytes_a, bytes_b))
+        groups, codes, times, from_a, from_b = [], [none], [none], 0, 0
+        place_a, place_b = ({e: k + 1 for k, e in enumerate(v)} for v in (end_a, end_b))
+        for e in end_a:
+            if e in place_b:
+                in_a, in_b = ids_a[from_a:place_a[e]], ids_b[from_b:place_b[e]]
+                from_a, from_b = place_a[e], place_b[e]
                 groups.append(f"{','.join(map(str, in_a))}|{','.join(map(str, in_b))}")
-                if len(in_a) * len(in_b) <= SMALL_GROUP:
-                    codes += [x * self.n_b + y for x in in_a for y in in_b]
-                else:
-                    (x, n), (y, m) = np.unique(in_a, return_counts=True), np.unique(in_b, return_counts=True)
-                    large.append((np.add.outer(x.astype(np.int64) * self.n_b, y).ravel(), np.outer(n, m).ravel()))
-        return (len(ids_a), len(ids_b), len(groups), ";".join(groups), np.array(codes, np.int64).tobytes(), large or None, True)
+                (x, n), (y, m) = np.unique(in_a, return_counts=True), np.unique(in_b, return_counts=True)
+                codes.append(np.add.outer(x.astype(np.int64) * self.n_b, y).ravel())
+                times.append(np.outer(n, m).ravel())
+        codes, times = summed(np.concatenate(codes), np.concatenate(times))
+        return [";".join(groups)], np.array([[len(ids_a), len(ids_b), len(groups), 0]]), np.array([len(codes)]), codes, times
 
     def segments_of(self, text: str) -> list[str]:
         """The segments of a text that begins and ends at a safe cut: each begins with a space or line break.
@@ -151,49 +227,26 @@ class Aligner:
             at = m.start()
         return [*out, text[at:]]
 
-    def learn(self, lists: list[list[str]]) -> None:
-        """Have the segments of these texts at hand."""
-        new = set().union(*lists) if lists else set()
-        new.difference_update(self.known)
-        back = [s for s in new if s in self.older]
-        for s in back:
-            self.known[s] = self.older[s]
-        new.difference_update(back)
-        if new:
-            self._encoded(list(new))
-
-    def groups(self, segments: list[str]) -> "Groups":
-        out = Groups()
-        known, older = self.known, self.older
-        found = [known.get(s) or older.get(s) for s in segments]
-        if None in found:  # forgotten meanwhile
-            for i, f in enumerate(found):
-                if f is None:
-                    self.learn([[segments[i]]])
-                    found[i] = self.known[segments[i]]
-        if not found:
-            return out
-        n_a, n_b, n_groups, texts, codes, large, same = zip(*found)
-        out.same = all(same)
-        out.n_a, out.n_b, out.n_groups = sum(n_a), sum(n_b), sum(n_groups)
-        out.text = ";".join(texts)
-        listed = [np.frombuffer(b"".join(codes), np.int64)]
-        more = [x for x in large if x is not None]
-        if not more:
-            out.codes, out.times = np.unique(listed[0], return_counts=True)
-        else:
-            times = [np.ones(len(listed[0]), np.int64)]
-            for pairs in more:
-                for c, n in pairs:
-                    listed.append(c)
-                    times.append(n)
-            out.codes, out.times = summed(np.concatenate(listed), np.concatenate(times))
-        return out
+    def groups(self, lists: list[list[str]]) -> list["Groups"]:
+        """The groups of texts, each given by its segments."""
+        self.learn(lists)
+        sizes = np.array([len(x) for x in lists], np.int64)
+        ends = np.cumsum(sizes)
+        at = np.fromiter(map(self.index.__getitem__, chain.from_iterable(lists)), np.int64, int(sizes.sum()))
+        sums = np.concatenate((np.zeros((1, 4), np.int64), np.cumsum(self.numbers[at], axis=0)))
+        numbers = (sums[ends] - sums[ends - sizes]).tolist()
+        # links: those of all segments, sorted within each text
+        links = self.ends[at + 1] - self.ends[at]
+        place = np.arange(int(links.sum())) + np.repeat(self.ends[at] - (np.cumsum(links) - links), links)
+        doc = np.repeat(np.repeat(np.arange(len(lists)), sizes), links)
+        codes, times = summed(doc * self.span + self.codes[place], self.times[place])
+        cuts = np.searchsorted(codes, np.arange(len(lists) + 1) * self.span)
+        at, texts = at.tolist(), self.texts
+        return [Groups(n[0], n[1], n[2], ";".join([texts[k] for k in at[e - m:e]]), codes[x:y] - d * self.span, times[x:y], not n[3])
+                for d, (n, e, m, x, y) in enumerate(zip(numbers, ends.tolist(), sizes.tolist(), cuts[:-1].tolist(), cuts[1:].tolist()))]
 
     def closed(self, text: str) -> "Groups":
-        segments = self.segments_of(text)
-        self.learn([segments])
-        return self.groups(segments)
+        return self.groups([self.segments_of(text)])[0]
 
     # -- fragments -----------------------------------------------------------
 
@@ -232,6 +285,10 @@ def summed(codes: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """Distinct codes with the sums of their times."""
     if not len(codes):
         return codes, times
+    if (times == 1).all():
+        codes = np.sort(codes)
+        begin = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
+        return codes[begin], np.diff(np.append(begin, len(codes)))
     order = np.argsort(codes, kind="stable")
     codes, times = codes[order], times[order]
     begin = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
@@ -308,10 +365,8 @@ def _read(batches, a_file: str, b_file: str, chunk: int):
             doc_ids = ids[begin].to_pylist()
             values = texts[begin].to_pylist()
             short = [" " + t if t and len(t) < chunk else "" for t in values]
-            split = [aligner.segments_of(t) for t in short]
-            aligner.learn(split)
-            rows = [(i, 0, 1, None, finished(aligner.groups(s))) for i, s, t in zip(doc_ids, split, values) if not t or len(t) < chunk]
-            yield read_batch(rows)
+            found = aligner.groups([aligner.segments_of(t) for t in short])
+            yield read_batch([(i, 0, 1, None, finished(g)) for i, g, t in zip(doc_ids, found, values) if not t or len(t) < chunk])
             for i, t in zip(doc_ids, values):
                 if t and len(t) >= chunk:
                     n = -(-(len(t) + 1) // chunk)
@@ -388,14 +443,21 @@ def _wholes(batches, a_file: str, b_file: str):
 
 # -- the operator ------------------------------------------------------------
 
-def aligned(docs: DataFrame, a_file: str, b_file: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
-    """``(row, doc_id, n_a, n_b, n_groups, n_links, groups, codes, times)`` of every whole text.
+def aligned(docs: DataFrame, a_file: str, b_file: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK,
+            groups: bool = True) -> DataFrame:
+    """``(row, doc_id, n_a, n_b, n_groups, n_links, groups, groups_sha256, codes, times)`` of every whole text.
 
     ``codes`` are the text's distinct links, ``a * pieces of B + b``, ``times`` their occurrences.
+    Without ``groups``, only their digest is written.
     """
+    def digested(df: DataFrame) -> DataFrame:
+        digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise(F.lit(""))
+        df = df.withColumn("groups_sha256", digest)
+        return df if groups else df.drop("groups")
+
     tools = {"a_file": a_file, "b_file": b_file}
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    read = saved(rows.mapInArrow(partial(_read, chunk=chunk, **tools), READ)
+    read = saved(digested(rows.mapInArrow(partial(_read, chunk=chunk, **tools), READ))
                  .withColumn("row", F.monotonically_increasing_id()), "aligned")
     short = read.where("n_chunks = 1").drop("chunk", "n_chunks", "part")
     # the rows of a text's chunks are consecutive: the first one's number stands for the text
@@ -411,7 +473,7 @@ def aligned(docs: DataFrame, a_file: str, b_file: str, id_col: str = "doc_id", t
         most = -(-most // FAN)
     whole = level.mapInArrow(partial(_wholes, **tools), READ).drop("chunk", "n_chunks", "part")
     # a text's row number is -1 - its place among the composed ones: no other row has it
-    long = saved(whole.withColumn("row", -1 - F.monotonically_increasing_id()), "aligned-long")
+    long = saved(digested(whole).withColumn("row", -1 - F.monotonically_increasing_id()), "aligned-long")
     return short.unionByName(long)
 
 
@@ -428,15 +490,14 @@ def alignment(docs: DataFrame, a_file: str, b_file: str, chunk: int = CHUNK) ->
     """The registered query: counts of tokens, groups and links, and of the links' corpus-wide counts."""
     import sentencepiece
 
-    found = aligned(docs, a_file, b_file, chunk=chunk)
+    found = aligned(docs, a_file, b_file, chunk=chunk, groups=False)
     n_b = sentencepiece.SentencePieceProcessor(model_file=b_file).get_piece_size()
     counts = saved(pair_counts(found, n_b), "pair-bests", narrow=True)
     links = found.select("row", F.explode(F.arrays_zip("codes", "times")).alias("x")).select("row", "x.codes", "x.times")
     held = links.join(broadcast_bounded(counts, MAX_BROADCAST), F.col("codes") == F.col("code"))
     sums = held.groupBy(F.col("row").alias("_row")).agg(
         F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"), F.sum(F.col("times") * F.col("n")).alias("count_sum"))
-    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise(F.lit(""))
-    narrow = found.select("row", "doc_id", "n_a", "n_b", "n_groups", "n_links", digest.alias("groups_sha256"))
+    narrow = found.select("row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")
     return narrow.join(sums, F.col("row") == F.col("_row"), "left").select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links", F.coalesce("n_best", F.lit(0)).alias("n_best"),
         F.coalesce("count_sum", F.lit(0)).alias("count_sum"), "groups_sha256")

@@ -179,5 +179,6 @@ def test_fragments_are_associative(files, whole_text_groups):
 def test_forgotten_segments_are_encoded_again(files, whole_text_groups, monkeypatch):
     monkeypatch.setattr(token_align, "MAX_SEGMENTS", 4)
     aligner = token_align.Aligner(*files)
-    text = " ".join(f"word{i % 23}" for i in range(200))
-    assert aligner.closed(" " + text).text == text_of(whole_text_groups(text))
+    for k in range(3):
+        text = " ".join(f"word{i % 23 + k}" for i in range(200))
+        assert aligner.closed(" " + text).text == text_of(whole_text_groups(text))
