@@ -8,6 +8,7 @@ JDBC tables can be read in parallel ranges.  Nothing is fetched to the driver.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,33 +49,87 @@ def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
 
 # --- S-02 / S-04: CSV objects ---------------------------------------------------------
 
+HEADER_BYTES = 1 << 20
+HEADER_THREADS = 32
+
+
+def files_by_header(spark: SparkSession, path: str, quoted_newlines: bool = False) -> dict[str, list[str]]:
+    """The files under ``path`` by their header text, in the order of their names; empty files are left out.
+
+    Only headers are read (the first line, with ``quoted_newlines`` up to where its quotes close), over the file system that Spark reads the path with; like the
+    file listing itself this is work per file, not per row.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def header(name: str) -> str | None:
+        at = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        stream = at.getFileSystem(conf).open(at)
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(at)
+        if codec is not None:
+            stream = codec.createInputStream(stream)
+        try:
+            lines, out, text = jvm.org.apache.hadoop.util.LineReader(stream), jvm.org.apache.hadoop.io.Text(), None
+            while lines.readLine(out, HEADER_BYTES, HEADER_BYTES):
+                text = out.toString() if text is None else f"{text}\n{out.toString()}"
+                if not quoted_newlines or text.count('"') % 2 == 0:
+                    break
+            return None if text is None else text.removeprefix("\ufeff")
+        finally:
+            stream.close()
+
+    names = sorted(spark.read.text(path).inputFiles())
+    groups: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(max_workers=HEADER_THREADS) as pool:
+        for name, line in zip(names, pool.map(header, names)):
+            if line is not None:
+                groups.setdefault(line, []).append(name)
+    return groups
+
+
+def _csv_reader(spark: SparkSession, quoted_newlines: bool):
+    return (spark.read.option("header", "true").option("inferSchema", "false").option("escape", '"')
+            .option("multiLine", str(quoted_newlines).lower()))
+
+
 def read_csv_strings(spark: SparkSession, path: str, na_tokens: bool = True,
                      quoted_newlines: bool = False, strict: bool = True) -> DataFrame:
-    """CSV with a header row, every column as text; NA tokens become NULL.
+    """CSV with header rows, every column as text; NA tokens become NULL.
 
+    Every file is read by its own header: files are grouped by header, each group is
+    read by name, and the groups are stacked (a column that a file lacks is NULL there).
     A leading column with an empty header (a written row index) keeps Spark's
     positional name ``_c0`` until a reshape drops it.  A row with more or fewer
-    fields than the header fails the job; ``strict=False`` keeps it, cut or filled
+    fields than its header fails the job; ``strict=False`` keeps it, cut or filled
     up, and ``malformed_csv_rows`` lists such rows.  Files are split across tasks
     unless ``quoted_newlines`` says that values can hold line breaks.
     """
-    reader = (spark.read.option("header", "true").option("inferSchema", "false").option("escape", '"')
-              .option("multiLine", str(quoted_newlines).lower()))
-    df = reader.csv(path)
-    if strict:  # every column is asked for, so no field of a row goes unread
-        df = reader.schema(df.schema).option("mode", "FAILFAST").option("columnPruning", "false").csv(path)
+    def group(files: list[str]) -> DataFrame:
+        reader = _csv_reader(spark, quoted_newlines)
+        df = reader.csv(files)
+        if strict:  # every column is asked for, so no field of a row goes unread
+            df = reader.schema(df.schema).option("mode", "FAILFAST").option("columnPruning", "false").csv(files)
+        return df
+
+    groups = files_by_header(spark, path, quoted_newlines)
+    df = union_frames([group(files) for files in groups.values()]) if groups else _csv_reader(spark, quoted_newlines).csv(path)
     return na_tokens_to_null(df) if na_tokens else df
 
 
 def malformed_csv_rows(spark: SparkSession, path: str, quoted_newlines: bool = False) -> DataFrame:
-    """``row`` texts of a CSV file with more or fewer fields than its header."""
-    reader = (spark.read.option("header", "true").option("inferSchema", "false").option("escape", '"')
-              .option("multiLine", str(quoted_newlines).lower()))
-    schema = T.StructType([*reader.csv(path).schema.fields, T.StructField("_malformed", T.StringType())])
-    rows = (reader.schema(schema).option("columnNameOfCorruptRecord", "_malformed")
-            .option("columnPruning", "false").csv(path))
-    # a column beside the corrupt one must be asked for, too
-    return rows.where(F.col("_malformed").isNotNull()).select(F.coalesce("_malformed", rows.columns[0]).alias("row"))
+    """``row`` texts of CSV files with more or fewer fields than their file's header."""
+    def group(files: list[str]) -> DataFrame:
+        reader = _csv_reader(spark, quoted_newlines)
+        fields = reader.csv(files).schema.fields
+        schema = T.StructType([*fields, T.StructField("_malformed", T.StringType())])
+        rows = (reader.schema(schema).option("columnNameOfCorruptRecord", "_malformed")
+                .option("columnPruning", "false").csv(files))
+        # the corrupt column can't be asked for alone, whatever is selected later
+        first = F.col(f"`{fields[0].name}`")
+        return rows.where(F.col("_malformed").isNotNull() & (F.length(F.coalesce(first, F.lit(""))) >= 0)).select(
+            F.coalesce("_malformed", first).alias("row"))
+
+    found = [group(files) for files in files_by_header(spark, path, quoted_newlines).values()]
+    return union_frames(found) if found else spark.createDataFrame([], "row string")
 
 
 # --- S-03: column-oriented JSON documents --------------------------------------------
@@ -156,14 +211,59 @@ def load(spark: SparkSession, path: str, content_type: str, **options) -> DataFr
 
 # --- S-07 / S-08: numbered JSON documents ----------------------------------------------
 
+def json_documents(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
+                   one_per_file: bool = False) -> DataFrame:
+    """Every document of a directory, parsed or not, in one read: ``document``, ``path``, ``text``, ``reason``.
+
+    ``reason`` is NULL for a document that parsed; else ``document`` is NULL and ``text`` holds what was read.
+    Reasons: ``empty document``, ``not JSON``, ``not an object``, ``a value does not fit the schema``.
+    JSON lines have one document per line (blank lines are none); with ``one_per_file`` a file is one document.
+    """
+    text = spark.read.text(path, wholetext=one_per_file).select("value", F.col("_metadata.file_path").alias("path"))
+    if not one_per_file:
+        text = text.where(~F.col("value").rlike(r"^\s*$"))
+    if schema is None:
+        schema = spark.read.option("multiLine", str(one_per_file).lower()).option("mode", "DROPMALFORMED").json(path).schema
+    elif isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    broken = "_broken_document"
+    parsed = F.from_json("value", T.StructType([*schema.fields, T.StructField(broken, T.StringType())]),
+                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken})
+    rows = text.select("path", F.col("value").alias("text"), parsed.alias("_parsed"))
+    whole = F.try_variant_get(F.try_parse_json("text"), "$", "variant")
+    kind = F.schema_of_variant(whole)
+    reason = (F.when(F.col("text").rlike(r"^\s*$"), "empty document").when(whole.isNull(), "not JSON")
+              .when(~kind.startswith("OBJECT"), "not an object").otherwise("a value does not fit the schema"))
+    bad = F.col("_parsed").isNull() | F.col(f"_parsed.{broken}").isNotNull() | ~F.col("text").rlike(r"^\s*\{")
+    document = F.struct(*[F.col("_parsed").getField(f.name).alias(f.name) for f in schema.fields])
+    return rows.select(F.when(~bad, document).alias("document"), "path", F.when(bad, F.col("text")).alias("text"),
+                       F.when(bad, reason).alias("reason"))
+
+
 def read_json_documents(spark: SparkSession, path: str,
                         schema: T.StructType | str | None = None,
-                        one_per_file: bool = False) -> DataFrame:
-    """A directory of JSON documents (JSON lines, or one pretty document per file)."""
-    reader = spark.read.option("multiLine", "true" if one_per_file else "false")
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.json(path)
+                        one_per_file: bool = False, strict: bool = True) -> DataFrame:
+    """A directory of JSON documents (JSON lines, or one pretty document per file) as columns.
+
+    A document that does not parse fails the job, naming its file; ``strict=False`` leaves it out.
+    ``broken_json_documents`` lists such documents.
+    """
+    docs = json_documents(spark, path, schema, one_per_file)
+    if strict:
+        kind = docs.schema["document"].dataType
+        failed = F.raise_error(F.concat(F.lit("broken document in "), "path", F.lit(": "), "reason")).cast(kind)
+        docs = docs.select(F.when(F.col("reason").isNull(), F.col("document")).otherwise(failed).alias("document"))
+    else:
+        docs = docs.where(F.col("reason").isNull())
+    names = docs.schema["document"].dataType.names
+    return docs.select(*[F.col("document").getField(n).alias(n) for n in names])
+
+
+def broken_json_documents(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
+                          one_per_file: bool = False) -> DataFrame:
+    """The reject channel of ``read_json_documents``: ``path``, ``reason`` and ``text`` of broken documents."""
+    docs = json_documents(spark, path, schema, one_per_file)
+    return docs.where(F.col("reason").isNotNull()).select("path", "reason", "text")
 
 
 def missing_document_ids(docs: DataFrame, id_col: str, expected: int) -> DataFrame:

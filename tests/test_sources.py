@@ -100,11 +100,77 @@ def test_csv_rows_of_other_lengths_are_errors(spark, tmp_dir):
         S.read_pages(spark, path, ["a", "b"]).collect()
 
 
+def write(path, *files):
+    os.makedirs(path)
+    for i, text in enumerate(files):
+        with open(os.path.join(path, f"part-{i}.csv"), "w") as f:
+            f.write(text)
+
+
+@pytest.mark.parametrize("strict", [True, False])
+def test_every_csv_file_is_read_by_its_own_header(spark, tmp_dir, strict):
+    path = os.path.join(tmp_dir, "several")
+    write(path, "a,b\n1,2\n", "b,a\n20,10\n", "a,b\n3,\n", "a,c\n5,NULL\n6,7\n", "", '"b","a"\n"x, y",8\n')
+    df = S.read_csv_strings(spark, path, strict=strict)
+    assert df.columns == ["a", "b", "c"]
+    assert sorted((tuple(r) for r in df.collect()), key=str) == sorted(
+        [("1", "2", None), ("10", "20", None), ("3", None, None), ("5", None, None), ("6", None, "7"), ("8", "x, y", None)], key=str)
+    assert sorted(r.a for r in df.select("a").collect()) == sorted(["1", "10", "3", "5", "6", "8"])
+    assert set(S.files_by_header(spark, path)) == {"a,b", "b,a", "a,c", '"b","a"'}
+
+
+def test_malformed_rows_are_counted_by_their_own_header(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "several")
+    write(path, "a,b\n1,2\n3\n", "b,a,c\n20,10,5\n1,2\n")
+    found = S.malformed_csv_rows(spark, path)
+    assert found.count() == 2 and sorted(r.row for r in found.collect()) == ["1,2", "3"]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        S.read_csv_strings(spark, path).collect()
+
+
+def test_broken_json_documents_are_rejected_with_path_and_reason(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "stores")
+    os.makedirs(path)
+    texts = {"good": '{"index": 1,\n "geo": {"lat": 1.5}}', "cut": '{"index": 2, "geo": ', "empty": " \n", "list": "[1, 2]",
+             "kind": '{"index": "many", "geo": {"lat": 2}}', "null": "null", "less": '{"index": 5}'}
+    for name, text in texts.items():
+        with open(os.path.join(path, f"{name}.json"), "w") as f:
+            f.write(text)
+    schema = "index BIGINT, geo STRUCT<lat: DOUBLE>"
+    bad = S.broken_json_documents(spark, path, schema, one_per_file=True)
+    got = {os.path.basename(r.path).split(".")[0]: (r.reason, r.text) for r in bad.collect()}
+    assert got == {"cut": ("not JSON", texts["cut"]), "empty": ("empty document", texts["empty"]), "list": ("not an object", texts["list"]),
+                   "kind": ("a value does not fit the schema", texts["kind"]), "null": ("not an object", "null")}
+    assert bad.count() == 5
+    with pytest.raises(Exception, match="broken document in .*json"):
+        S.read_json_documents(spark, path, schema, one_per_file=True).collect()
+    kept = S.flatten(S.read_json_documents(spark, path, schema, one_per_file=True, strict=False))
+    assert sorted(tuple(r) for r in kept.collect()) == [(1, 1.5), (5, None)]
+    one_read = S.json_documents(spark, path, schema, one_per_file=True)
+    assert one_read.groupBy(F.col("reason").isNull()).count().count() == 2
+
+
+def test_broken_json_lines(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "lines.json")
+    with open(path, "w") as f:
+        f.write('{"a": 1}\n\n{"a": \n{"a": 3, "b": "x"}\n')
+    assert [(r.reason, r.text) for r in S.broken_json_documents(spark, path).collect()] == [("not JSON", '{"a": ')]
+    assert S.read_json_documents(spark, path, strict=False).columns == ["a", "b"]
+    assert sorted(r.a for r in S.read_json_documents(spark, path, strict=False).select("a").collect()) == [1, 3]
+    with pytest.raises(Exception, match="not JSON"):
+        S.read_json_documents(spark, path).select("a").collect()
+
+
 def test_csv_quoted_newlines(spark, tmp_dir):
     path = os.path.join(tmp_dir, "lines.csv")
     with open(path, "w") as f:
         f.write('a,b\n"1\n2",3\n')
     assert [tuple(r) for r in S.read_csv_strings(spark, path, quoted_newlines=True).collect()] == [("1\n2", "3")]
+    path = os.path.join(tmp_dir, "headers")
+    write(path, '"a\nx",b\n"1\n2",3\n', '"a\ny",b\n4,5\n', 'b,"a\nx"\n7,6\n')
+    df = S.read_csv_strings(spark, path, quoted_newlines=True)
+    assert df.columns == ["a\nx", "b", "a\ny"]
+    assert sorted((tuple(r) for r in df.collect()), key=str) == sorted([("1\n2", "3", None), (None, "5", "4"), ("6", "7", None)], key=str)
 
 
 def test_store_documents_gap_report_and_flatten(spark, tmp_dir):
