@@ -244,6 +244,28 @@ def test_jdbc_round_trip_in_process_derby(spark):
     assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in nation.collect())
 
 
+def test_jdbc_splits_of_skewed_ids(spark):
+    """Dense ids, far outliers, a hot value and NULLs: every row once, in parts of about equal size."""
+    url = "jdbc:derby:memory:loomstar_skew;create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    ids = [*range(2000), *(10**15 + 10**12 * k for k in range(10)), *[700] * 600, *(-(10**9) - k for k in range(100)), *[None] * 50]
+    df = spark.createDataFrame([(x, f"v{i}") for i, x in enumerate(ids)], "ID long, V string")
+    assert K.create_jdbc_table(df.coalesce(1), url, "SKEWED", props)
+    parts = S.scan_jdbc_balanced(spark, url, "SKEWED", "ID", 8, props)
+    assert sorted(map(tuple, parts.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+    sizes = [r["count"] for r in parts.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    share = -(-(len(ids) - 50) // 8)
+    assert parts.rdd.getNumPartitions() <= 20 and sorted(sizes)[-2] <= share and max(sizes) < 601 + share
+    even = S.scan_jdbc(spark, url, "SKEWED", partition_column="ID", lower_bound=-(10**9) - 99, upper_bound=10**15 + 10**13,
+                       num_partitions=8, properties=props)
+    assert max(r["count"] for r in even.groupBy(F.spark_partition_id()).count().collect()) > 2000  # what equal ranges give
+    for rows in ([], [(None, "x")], [(5, "x")], [(5, "x"), (5, "y"), (None, "z")]):
+        name = f"SMALL{len(rows)}{rows[0][0] is None if rows else ''}".upper()
+        small = spark.createDataFrame(rows, "ID long, V string")
+        assert K.create_jdbc_table(small, url, name, props)
+        assert sorted(map(tuple, S.scan_jdbc_balanced(spark, url, name, "ID", 4, props).collect()), key=str) == sorted(rows, key=str)
+
+
 def test_preview_is_ordered(spark):
     df = spark.range(100).withColumn("v", F.col("id") * 2)
     assert [r.id for r in K.preview(df, 3, order_by=["id"]).collect()] == [0, 1, 2]
