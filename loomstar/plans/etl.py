@@ -18,6 +18,7 @@ from loomstar.operators import cleaning as C
 from loomstar.operators import conform as D
 from loomstar.operators import constraints as K
 from loomstar.operators.reshape import reindex_columns
+from loomstar.sources.manifest import LoadManifest, source_fingerprint
 from loomstar.sources.sinks import create_table, write_files
 
 # Column lists the original run keeps for two sources.
@@ -48,19 +49,36 @@ PIPELINES: dict[str, Pipeline] = {
 }
 
 
-def load_star(spark: SparkSession, sources: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
+def load_star(spark: SparkSession, sources: dict[str, DataFrame], out_dir: str, resume: bool = False) -> dict[str, str]:
     """Clean, conform and write every dataset present in ``sources``; returns table -> path.
 
     The datasets are independent, so their write jobs are submitted together
     (one driver thread each) and the cluster works on all of them at once.
     Each write is create-only: an existing folder is an error, never replaced.
+
+    Every finished dataset is entered in the load's manifest (``sources.manifest``).  With ``resume`` a load
+    that was cut off goes on: a dataset whose entry has the fingerprint of the present source and whose folder
+    has the entry's rows is taken as it is, all others are written, into a new folder beside an unfinished one.
     """
-    todo = {name: (pipeline(sources[name]), f"{out_dir.rstrip('/')}/{name}")
-            for name, pipeline in PIPELINES.items() if name in sources}
+    out_dir = out_dir.rstrip("/")
+    manifest = LoadManifest(spark, f"{out_dir}/_manifest")
+    known = manifest.finished() if resume else {}
+
+    def one(name: str, pipeline: Pipeline) -> str:
+        fingerprint = source_fingerprint(sources[name])
+        entry = known.get(name)
+        if entry and fingerprint and entry["fingerprint"] == fingerprint and manifest.intact(entry):
+            return entry["folder"]
+        path = manifest.new_folder(f"{out_dir}/{name}") if resume else f"{out_dir}/{name}"
+        write_files(pipeline(sources[name]), path)
+        manifest.enter(name, fingerprint, path)
+        return path
+
+    todo = {name: pipeline for name, pipeline in PIPELINES.items() if name in sources}
     if not todo:
         return {}
     with ThreadPoolExecutor(max_workers=len(todo)) as pool:
-        futures = {name: pool.submit(write_files, df, path) for name, (df, path) in todo.items()}
+        futures = {name: pool.submit(one, name, pipeline) for name, pipeline in todo.items()}
         return {name: f.result() for name, f in futures.items()}
 
 

@@ -9,10 +9,12 @@ from pyspark.sql import types as T
 from conftest import SF_SMALL
 from loomstar.operators import constraints as K
 from loomstar.plans import analytics as A
+from loomstar.plans import etl
 from loomstar.plans.etl import PRIMARY_KEYS, key_report, load_star, load_star_tables
 from loomstar.plans.fixtures import view
 from loomstar.plans.queries import etl_sources
 from loomstar.session import scratch_path, scratch_scope
+from loomstar.sources.sinks import write_files
 
 
 def test_load_star_and_key_report(spark, tmp_dir):
@@ -50,6 +52,54 @@ def test_key_report_scans_each_table_once_and_lazily(spark, tmp_dir):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_a_killed_load_resumes(spark, tmp_dir, monkeypatch):
+    """The load dies while writing the third dataset: the two finished ones are kept, the others written once."""
+    sources = etl_sources(spark, SF_SMALL)
+    out = os.path.join(tmp_dir, "star")
+    written = []
+
+    def dies(df, path):
+        if len(written) == 2:
+            os.makedirs(os.path.join(path, "_temporary"))  # what a killed job leaves
+            raise RuntimeError("killed")
+        written.append(os.path.basename(path))
+        return write_files(df, path)
+
+    class OneByOne(etl.ThreadPoolExecutor):
+        def __init__(self, max_workers):
+            super().__init__(max_workers=1)
+
+    monkeypatch.setattr(etl, "ThreadPoolExecutor", OneByOne)
+    monkeypatch.setattr(etl, "write_files", dies)
+    with pytest.raises(RuntimeError, match="killed"):
+        load_star(spark, sources, out)
+    assert len(written) == 2
+    again = []
+    monkeypatch.setattr(etl, "write_files", lambda df, path: (again.append(os.path.basename(path)), write_files(df, path))[1])
+    with pytest.raises(Exception, match="(?i)already exists"):
+        load_star(spark, sources, out)  # without resume an existing folder is an error
+    again.clear()
+    tables = load_star(spark, sources, out, resume=True)
+    assert set(tables) == set(sources) and {os.path.basename(p) for p in tables.values()} == set(written) | set(again)
+    assert len(again) == 4 and not set(again) & set(written)
+    assert sum(name.endswith("-2") for name in again) >= 1  # beside the folder of the killed job
+    expected = {n: etl.PIPELINES[n](sources[n]).count() for n in sources}
+    assert {n: spark.read.parquet(p).count() for n, p in tables.items()} == expected
+    again.clear()
+    assert load_star(spark, sources, out, resume=True) == tables and again == []
+    # another source is loaded anew, and so is a folder that has lost rows
+    copy = os.path.join(tmp_dir, "users")
+    sources["dim_users_table"].limit(10).write.parquet(copy)
+    changed = load_star(spark, {**sources, "dim_users_table": spark.read.parquet(copy)}, out, resume=True)
+    assert len(again) == 1 and [n for n in tables if changed[n] != tables[n]] == ["dim_users_table"]
+    for f in os.listdir(tables["dim_products"]):
+        if "part-" in f:
+            os.remove(os.path.join(tables["dim_products"], f))
+    again.clear()
+    renewed = load_star(spark, {**sources, "dim_users_table": spark.read.parquet(copy)}, out, resume=True)
+    assert len(again) == 1 and [n for n in tables if renewed[n] != changed[n]] == ["dim_products"]
+
+
 def test_stacked_key_report_agrees_with_single_checks(spark):
     """NULL and repeated keys, a hot dangling key, two columns that use one key, a reference to a key that is not primary."""
     fact = spark.createDataFrame(
