@@ -505,3 +505,33 @@ FROM dirty_users
 WHERE date_of_birth IS NOT NULL AND ({_mixed_date('date_of_birth')}) IS NULL
 GROUP BY date_of_birth
 """
+
+ORACLE["scan_csv_several_headers"] = oracle_cte("dirty_cards") + """
+SELECT card_number, expiry_date, CASE WHEN ascii(right(card_number, 1)) % 3 < 2 THEN date_payment_confirmed END AS date_payment_confirmed
+FROM dirty_cards WHERE card_number IS NOT NULL
+"""
+
+ORACLE["broken_documents"] = oracle_cte("dirty_stores") + """
+, texts AS (
+  SELECT index, concat('{"index":', index, CASE WHEN store_code IS NULL THEN '' ELSE concat(',"store_code":"', store_code, '"') END, '}') AS j
+  FROM dirty_stores),
+bad AS (
+  SELECT CASE WHEN index % 5 = 0 THEN 'not JSON' WHEN index % 7 = 0 THEN 'not an object' ELSE 'a value does not fit the schema' END AS reason,
+         CASE WHEN index % 5 = 0 THEN j[1:9] WHEN index % 7 = 0 THEN '[' || j || ']' ELSE '{"index":"x' || index || '"}' END AS text
+  FROM texts WHERE index % 5 = 0 OR index % 7 = 0 OR index % 11 = 0)
+SELECT reason, COUNT(*) AS n_documents, MIN(text) AS first_text FROM bad GROUP BY reason
+"""
+
+ORACLE["load_by_content_type"] = """
+SELECT CAST(n_nationkey AS VARCHAR) AS k, n_name AS name, 'csv' AS source FROM nation
+UNION ALL SELECT CAST(c_custkey AS VARCHAR), c_name, 'json' FROM customer
+"""
+
+ORACLE["create_only_table"] = """
+SELECT n_nationkey, n_name, n_regionkey, true AS created, false AS created_again FROM nation
+"""
+
+ORACLE["list_tables"] = """
+SELECT 'region' AS table_name, COUNT(*) AS n_rows FROM region UNION ALL SELECT 'nation', COUNT(*) FROM nation
+UNION ALL SELECT 'supplier', COUNT(*) FROM supplier
+"""

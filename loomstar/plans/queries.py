@@ -9,6 +9,7 @@ The library functions themselves return the real types.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +37,7 @@ from loomstar.plans.etl import PRODUCT_COLUMNS, STORE_COLUMNS
 from loomstar.plans.fixtures import table, view, views
 from loomstar.session import scratch_path
 from loomstar.sources import readers as S
-from loomstar.sources.sinks import preview
+from loomstar.sources.sinks import create_table, preview
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -454,6 +455,66 @@ def q_union_pages(spark, sf_dir):
     return S.union_frames([S.read_csv_strings(spark, late, na_tokens=False), S.read_csv_strings(spark, early, na_tokens=False)])
 
 
+@register("scan_csv_several_headers")
+def q_scan_csv_several_headers(spark, sf_dir):
+    """One folder, three kinds of file: columns in another order, and without the last column."""
+    src = view(spark, sf_dir, "dirty_cards").where("card_number IS NOT NULL")
+    path = scratch_path(spark, "cards-several")
+    for i, columns in enumerate((CARD_COLUMNS, CARD_COLUMNS[::-1], CARD_COLUMNS[:2])):
+        rows = src.where(F.ascii(F.right("card_number", F.lit(1))) % 3 == i).select(*columns)
+        rows.write.option("header", "true").mode("append").csv(path)
+    return S.read_csv_strings(spark, path, na_tokens=False)
+
+
+@register("broken_documents")
+def q_broken_documents(spark, sf_dir):
+    """Store documents of which some were cut off, are lists, or hold text for a number."""
+    docs = view(spark, sf_dir, "dirty_stores").select("index", F.to_json(F.struct("index", "store_code")).alias("j"))
+    text = (F.when(F.col("index") % 5 == 0, F.substring("j", 1, 9)).when(F.col("index") % 7 == 0, F.concat(F.lit("["), "j", F.lit("]")))
+            .when(F.col("index") % 11 == 0, F.concat(F.lit('{"index":"x'), F.col("index").cast("string"), F.lit('"}'))).otherwise(F.col("j")))
+    path = scratch_path(spark, "store-lines")
+    docs.select(text.alias("value")).write.mode("errorifexists").text(path)
+    return S.broken_json_documents(spark, path, "index BIGINT, store_code STRING").groupBy("reason").agg(
+        F.count(F.lit(1)).alias("n_documents"), F.min("text").alias("first_text"))
+
+
+@register("load_by_content_type")
+def q_load_by_content_type(spark, sf_dir):
+    """S-06: one source as CSV, one as column-oriented JSON, both through the dispatch."""
+    nations = table(spark, sf_dir, "nation").selectExpr("CAST(n_nationkey AS STRING) AS k", "n_name AS name")
+    csv, columnar = scratch_path(spark, "nations-csv"), scratch_path(spark, "customers-json")
+    nations.write.option("header", "true").mode("errorifexists").csv(csv)
+    customers = table(spark, sf_dir, "customer").selectExpr("c_custkey AS k", "c_name AS name")
+    S.write_columnar_json(customers, columnar, key="k", rows_per_doc=1_000)
+    a = S.load(spark, csv, "text/csv; charset=utf-8").withColumn("source", F.lit("csv"))
+    b = S.load(spark, columnar, "application/json", columns=["name"], key="k", whole_file=False).withColumn("source", F.lit("json"))
+    return a.unionByName(b)
+
+
+@register("create_only_table")
+def q_create_only_table(spark, sf_dir):
+    """K-01: a table is created once; a second load of other rows changes nothing."""
+    nation = table(spark, sf_dir, "nation")
+    name = f"loomstar_nation_{uuid.uuid4().hex}"
+    first = create_table(nation, name, path=scratch_path(spark, "nation-table"))
+    second = create_table(nation.where("n_regionkey = 0"), name, path=scratch_path(spark, "nation-again"))
+    return spark.table(name).select("n_nationkey", "n_name", "n_regionkey", F.lit(first).alias("created"), F.lit(second).alias("created_again"))
+
+
+@register("list_tables")
+def q_list_tables(spark, sf_dir):
+    """S-10: the tables of a catalog database, with their rows."""
+    database = f"loomstar_{uuid.uuid4().hex}"
+    location = scratch_path(spark, "catalog")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{location}'")
+    for name in ("region", "nation", "supplier"):
+        create_table(table(spark, sf_dir, name), f"{database}.{name}", path=f"{location}/{name}")
+    counts = S.union_frames([spark.table(f"{database}.{n}").groupBy().agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit(n).alias("table_name"), "n_rows") for n in ("region", "nation", "supplier")])
+    listed = S.list_tables(spark, database).select(F.col("tableName").alias("table_name"))
+    return listed.join(counts, "table_name")
+
+
 # --- end-to-end: the ETL job and the key checks over what it loaded ------------
 
 
