@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomstar.llm.shared import broadcast_bounded, saved, ship
+from loomstar.llm.shared import broadcast_bounded, hidden, saved, ship, shown
 from loomstar.llm.wordhash import ALNUM, shingles, words
 
 ship(__name__)
@@ -174,7 +174,9 @@ def _judged(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, i
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without any benchmark window, with all their columns."""
-    gone = saved(_judged(docs, benchmark, id_col, text_col, "item_id", "text").where("contaminated")
+    docs, names = hidden(docs)
+    own, text = names[id_col], names[text_col]
+    gone = saved(_judged(docs, benchmark, own, text, "item_id", "text").where("contaminated")
                  .select(F.col("doc_id").alias("_gone_id"), F.col("print").alias("_gone_print")).distinct(), "leaks")
-    same = docs[id_col].cast("long").eqNullSafe(F.col("_gone_id")) & (F.xxhash64(docs[text_col]) == F.col("_gone_print"))
-    return docs.join(broadcast_bounded(gone, MAX_BROADCAST_IDS), same, "left_anti")
+    same = docs[own].cast("long").eqNullSafe(F.col("_gone_id")) & (F.xxhash64(docs[text]) == F.col("_gone_print"))
+    return shown(docs.join(broadcast_bounded(gone, MAX_BROADCAST_IDS), same, "left_anti"), names)

@@ -5,7 +5,8 @@ earlier line (by document id, then line number) is equal, or, for lines of
 ``NEAR_WORDS`` words or more, is within one word edit of it (a word replaced,
 inserted or left out).
 
-* Equal lines: one grouping by a 64-bit sequence hash.
+* Equal lines: one grouping by a 64-bit sequence hash.  Lines that occur very often meet
+  their first occurrence where they are read, the others in a shuffle.
 * Near lines, by the deletion neighbourhood: two lines are one edit apart just if
   they are equal after leaving out one word at the same place, or if one equals
   the other without one of its words.  Every line emits these variants as hashed
@@ -20,7 +21,8 @@ inserted or left out).
 Defined results: NULL and blank texts have no lines with words and stay as they
 are; lines of fewer than ``MIN_WORDS`` words are never dropped; rows with a NULL
 id keep all lines and are not compared; rows that share an id count as one
-document.  Other columns stay, whatever their names.
+document.  Other columns stay, whatever their names; the counts of ``dedup_lines``
+replace columns of their names.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomstar.llm.shared import SPACES, saved, ship
+from loomstar.llm.shared import SPACES, hidden, saved, ship, shown
 from loomstar.llm.wordhash import BASE, NOT_SPACE, mix, powers, words
 
 ship(__name__)
@@ -41,6 +43,8 @@ ship(__name__)
 MIN_WORDS = 4       # shorter lines stay
 NEAR_WORDS = 8      # lines from this length on may differ by one word
 BITS = 26           # of the bitmap of shared halves: 8 MB
+MOST_HOT = 20_000   # lines that may count as very frequent: those with more than this part of all lines
+MARKS = 26          # bits of the hash by which documents that lose lines are marked
 Q = 0xD1342543DE82EF95
 Q_INVERSE = pow(Q, -1, 1 << 64)
 _GAP = re.compile(r"[\x20\x09-\x0D]+")
@@ -98,13 +102,17 @@ def _line_rows(batches):
     for batch in batches:
         lines = Lines(batch.column(1))
         use = np.flatnonzero(lines.n >= MIN_WORDS)
-        near = lines.n[use] >= NEAR_WORDS
+        whole = lines.run(lines.first, lines.last)[use]
+        # the halves of a line that comes again in this batch are the same
+        near = np.zeros(len(use), bool)
+        near[np.unique(whole, return_index=True)[1]] = True
+        near &= lines.n[use] >= NEAR_WORDS
         keys = lines.halves()[use][near].reshape(-1)
         ends = np.concatenate([[0], np.cumsum(np.where(near, 4, 0))]).astype(np.int32)
         docs = batch.column(0).to_numpy(zero_copy_only=False)
         yield pa.RecordBatch.from_arrays(
             [pa.array(docs[lines.row[use]], pa.int64()), pa.array(lines.no[use].astype(np.int32)),
-             pa.array(lines.n[use].astype(np.int32)), _long(lines.run(lines.first, lines.last)[use]),
+             pa.array(lines.n[use].astype(np.int32)), _long(whole),
              pa.ListArray.from_arrays(pa.array(ends), _long(keys))],
             names=["doc", "line", "n", "h", "halves"])
 
@@ -207,26 +215,62 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = saved(texts.mapInArrow(_line_rows, "doc long, line int, n int, h long, halves array<long>"), "rows")
     near = saved(near_lines(texts, rows), "near").select("h", F.lit(True).alias("near"))
     place = F.struct("doc", "line")
-    firsts = rows.groupBy("h", "n").agg(F.min(place).alias("f"), F.max(place).alias("l")).join(near, "h", "left") \
-        .where("f < l OR near").select("h", "n", "f", "near")
-    gone = rows.select("doc", "line", "n", "h").join(firsts, ["h", "n"]).where(F.col("near") | (place > F.col("f")))
+    firsts = rows.groupBy("h", "n").agg(F.min(place).alias("f"), F.max(place).alias("l"), F.count(F.lit(1)).alias("times")) \
+        .join(near, "h", "left").where("f < l OR near")
+    firsts = saved(firsts.select("h", "n", "f", "near", "times"), "firsts", narrow=True)
+    often = max(1, rows.count() // MOST_HOT)
+    place_of = rows.select("doc", "line", "n", "h")
+    # at most MOST_HOT lines occur more often than that: their rows are decided before the shuffle
+    hot = firsts.where(F.col("times") > often).select("h", "n", F.col("f").alias("hf"), F.col("near").alias("hnear"), F.lit(True).alias("hot"))
+    split = place_of.join(F.broadcast(hot), ["h", "n"], "left")
+    decided = split.where(F.col("hot") & (F.col("hnear") | (place > F.col("hf")))).select("doc", "line")
+    rest = split.where(F.col("hot").isNull()).select("doc", "line", "n", "h").join(firsts.where(F.col("times") <= often), ["h", "n"])
+    gone = decided.unionByName(rest.where(F.col("near") | (place > F.col("f"))).select("doc", "line"))
     return saved(gone.groupBy("doc").agg(F.array_sort(F.collect_set("line")).alias("drop")), "gone")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the duplicate lines taken out of the text, and ``_n_lines`` and ``_n_dropped``."""
+def marked(docs: DataFrame, gone: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
+    """``docs`` in two parts: those that may be in ``gone`` by the hash of their id, and the others.
+
+    The marks are ``2 ** MARKS`` bits in rows of 64, so at most ``2 ** (MARKS - 6)`` rows are broadcast; where they fill
+    up, more documents than needed are in the first part.
+    """
+    def place(c):
+        return F.pmod(F.xxhash64(c.cast("long")), F.lit(1 << MARKS))
+
+    bits = gone.select(place(F.col("doc")).alias("b")).groupBy(F.shiftright("b", 6).alias("mark word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("mark bits"))
+    bits = saved(bits, "marks", narrow=True)
+    at = docs.withColumn("mark place", place(F.col(id_col)))
+    at = at.join(F.broadcast(bits), F.shiftright("mark place", 6) == F.col("mark word"), "left")
+    hit = F.coalesce(F.expr("shiftright(`mark bits`, cast(`mark place` & 63 as int)) & 1"), F.lit(0)) == 1
+    both = [at.where(hit), at.where(~hit)]
+    return tuple(x.drop("mark place", "mark word", "mark bits") for x in both)
+
+
+def _deduplicated(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` (``hidden``) with the duplicate lines taken out, and the two counts."""
     gone = duplicate_lines(docs, id_col, text_col).select(F.col("doc").alias("_gone_doc"), F.col("drop").alias("_drop"))
-    rows = docs.join(gone, docs[id_col].cast("long") == F.col("_gone_doc"), "left")
+    # only documents that lose lines meet their lists: the others stay where they are read
+    losing, whole = marked(docs, gone.withColumnRenamed("_gone_doc", "doc"), id_col)
+    rows = losing.join(gone, F.col(id_col).cast("long") == F.col("_gone_doc"), "left").drop("_gone_doc") \
+        .unionByName(whole.withColumn("_drop", F.lit(None).cast("array<int>")))
     lines = F.split(F.col(text_col), "\n", -1)
     kept = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_drop")),
                                     lambda i: F.get(lines, i)), "\n")
     return rows.withColumn("_n_lines", F.coalesce(F.size(lines), F.lit(0)).cast("long")) \
         .withColumn("_n_dropped", F.coalesce(F.size("_drop"), F.lit(0)).cast("long")) \
-        .withColumn(text_col, F.when(F.col("_drop").isNull(), F.col(text_col)).otherwise(kept)) \
-        .drop("_gone_doc", "_drop")
+        .withColumn(text_col, F.when(F.col("_drop").isNull(), F.col(text_col)).otherwise(kept))
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with the duplicate lines taken out of the text, and ``_n_lines`` and ``_n_dropped``."""
+    rows, names = hidden(docs)
+    return shown(_deduplicated(rows, names[id_col], names[text_col]), names, "_n_lines", "_n_dropped")
 
 
 def keep_first_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without duplicate lines; documents that lost lines and have no word left go."""
-    rows = dedup_lines(docs, id_col, text_col)
-    return rows.where((F.col("_n_dropped") == 0) | (F.translate(text_col, SPACES, "") != "")).drop("_n_lines", "_n_dropped")
+    rows, names = hidden(docs)
+    rows = _deduplicated(rows, names[id_col], names[text_col])
+    return shown(rows.where((F.col("_n_dropped") == 0) | (F.translate(names[text_col], SPACES, "") != "")), names)

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomstar.llm.shared import broadcast_bounded, saved, words_of
+from loomstar.llm.shared import broadcast_bounded, hidden, saved, shown, words_of
 
 WEIGHTS = (5, 2, 1)      # by source in code point order, repeating
 SHARE = 1.5              # of all words
@@ -128,14 +128,17 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     The document in which a budget ends keeps its first ``taken`` words, joined by
     single spaces; every other row has its whole text.
     """
+    docs, names = hidden(docs)
+    id_col, text_col, source_col = names[id_col], names[text_col], names[source_col]
     rows = saved(docs.select(F.col(source_col).cast("string").alias("source"), random_key(id_col, text_col).alias("key"),
                              F.size(words_of(F.col(text_col))).cast("long").alias("size")), "sizes")
     size = F.size(words_of(F.col(text_col))).cast("long")
-    own = docs.drop("epoch", "taken").withColumns({"_size": size, "_key": random_key(id_col, text_col), "_s": F.col(source_col).cast("string")})
+    own = docs.withColumns({"_size": size, "_key": random_key(id_col, text_col), "_s": F.col(source_col).cast("string")})
     out = with_taken(own, plan(rows).withColumnsRenamed({"source_size": "_ss", "target": "_t"}), "_s", "_size", "_key") \
         .where("taken > 0").withColumn("epoch", F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("_size")).cast("int"))))
     words = F.least(F.col("_size"), F.col("taken") - (F.col("epoch") - 1) * F.col("_size"))
-    return out.withColumn("taken", words.cast("long")) \
+    out = out.withColumn("taken", words.cast("long")) \
         .withColumn(text_col, F.when(F.col("taken") < F.col("_size"),
                                      F.array_join(F.slice(words_of(F.col(text_col)), 1, F.col("taken").cast("int")), " "))
-                    .otherwise(F.col(text_col))).drop("_size", "_key", "_s", "_ss", "_t")
+                    .otherwise(F.col(text_col)))
+    return shown(out, names, "taken", "epoch")

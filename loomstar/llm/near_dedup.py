@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomstar.llm.components import components
-from loomstar.llm.shared import SPACES, broadcast_bounded, saved, ship
+from loomstar.llm.shared import SPACES, broadcast_bounded, hidden, saved, ship, shown
 from loomstar.llm.wordhash import BASE, NOT_SPACE, doc_shingles, mix, shingles, words
 
 ship(__name__)
@@ -232,6 +232,10 @@ def link_components(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row's set size, component (smallest id reachable) and whether it is the one kept."""
     base = saved(sketches(docs, id_col, text_col), "sketches")
+    differ = F.struct("n_shingles", "f1", "f2")
+    if not base.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(differ).alias("lo"), F.max(differ).alias("hi")) \
+            .where("lo <> hi").isEmpty():
+        return _with_several_texts(docs, id_col, text_col)
     full = base.where("n_shingles > 0")
     sets = saved(full.groupBy("n_shingles", "f1", "f2").agg(F.min("doc_id").alias("rep")), "sets")
     reps = saved(full.join(sets.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
@@ -245,18 +249,42 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                          F.coalesce(F.col("doc_id") == own, F.lit(False)).alias("kept"))
 
 
+def _with_several_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``near_duplicates`` where an id stands for several texts: every text is linked by a number of its own.
+
+    The texts of an id are one class, so components that share an id are put together.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("print"), F.col(text_col).alias("text"))
+    known = rows.where("id IS NOT NULL")
+    numbers = saved(known.select("id", "print").distinct().withColumn("doc_id", F.monotonically_increasing_id()), "text-numbers")
+    single = known.join(numbers, ["id", "print"]).select("doc_id", "text") \
+        .unionByName(rows.where("id IS NULL").select(F.lit(None).cast("long").alias("doc_id"), "text"))
+    found = saved(near_duplicates(single), "text-components")
+    of_id = found.join(numbers.select("doc_id", "id"), "doc_id", "left")
+    least = of_id.where("id IS NOT NULL").groupBy("id").agg(F.min("component_id").alias("a"))
+    edges = saved(of_id.join(least, "id").where("a <> component_id").select("a", F.col("component_id").alias("b")).distinct(),
+                  "shared-ids", narrow=True)
+    merged = components(edges).select(F.col("doc").alias("component_id"), "comp")
+    whole = of_id.join(merged, "component_id", "left").withColumn("comp", F.coalesce("comp", "component_id"))
+    names = whole.where("comp IS NOT NULL").groupBy("comp").agg(F.min("id").alias("component"))
+    return whole.join(names, "comp", "left").select(
+        F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"),
+        F.coalesce(F.col("id") == F.col("component"), F.lit(False)).alias("kept"))
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without those whose near-duplicate class has a smaller id; all columns stay.
 
     Rows with a NULL id come after all others, in the order of a fingerprint of the text; of those that
     share a text with words, one is kept at most.
     """
-    own = F.col(id_col).cast("long")
-    keyed = docs.withColumn("_near_key", F.coalesce(own, F.xxhash64(text_col).bitwiseAND(F.lit(LAST - 1)).bitwiseOR(F.lit(LAST))))
+    docs, names = hidden(docs)
+    own, text = F.col(names[id_col]).cast("long"), names[text_col]
+    keyed = docs.withColumn("_near_key", F.coalesce(own, F.xxhash64(text).bitwiseAND(F.lit(LAST - 1)).bitwiseOR(F.lit(LAST))))
     if not docs.where(own.isNull()).isEmpty():
-        copies = own.isNull() & (F.translate(text_col, SPACES, "") != "")
+        copies = own.isNull() & (F.translate(text, SPACES, "") != "")
         copies = F.coalesce(copies, F.lit(False))
         keyed = keyed.where(~copies).unionByName(keyed.where(copies).dropDuplicates(["_near_key"]))
-    gone = saved(near_duplicates(keyed, "_near_key", text_col).where("NOT kept").select("doc_id").distinct(), "gone")
+    gone = saved(near_duplicates(keyed, "_near_key", text).where("NOT kept").select("doc_id").distinct(), "gone")
     gone = broadcast_bounded(gone, MAX_BROADCAST_IDS).withColumnRenamed("doc_id", "_gone_id")
-    return keyed.join(gone, F.col("_near_key") == F.col("_gone_id"), "left_anti").drop("_near_key")
+    return shown(keyed.join(gone, F.col("_near_key") == F.col("_gone_id"), "left_anti"), names)

@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomstar.llm.shared import SPACES, let, saved, words_of
+from loomstar.llm.shared import SPACES, hidden, let, saved, shown, words_of
 
 MAX_LABELLED = 20_000      # labelled documents that the rules are learned from, at most about
 MIN_WORDS = 50             # base rule: fewer words fail
@@ -320,4 +320,5 @@ def quality_report(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the rules keep, with the columns of ``docs``."""
     rules = learn_rules(labelled_sample(docs, labels, id_col, text_col))
-    return judge(docs, rules, text_col, "_quality").where("_quality.kept").drop("_quality")
+    docs, names = hidden(docs)
+    return shown(judge(docs, rules, names[text_col], "_quality").where("_quality.kept"), names)

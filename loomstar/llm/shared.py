@@ -58,3 +58,15 @@ def let(value: Column, body) -> Column:
 def broadcast_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast a table of narrow rows if a distributed count proves it has ``max_rows`` at most."""
     return F.broadcast(df) if df.count() <= max_rows else df
+
+
+def hidden(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` under column names that no operator uses, and those names by the caller's."""
+    names = {c: f"caller column {i}" for i, c in enumerate(docs.columns)}
+    return docs.select([F.col(f"`{c.replace('`', '``')}`").alias(n) for c, n in names.items()]), names
+
+
+def shown(df: DataFrame, names: dict[str, str], *more: str) -> DataFrame:
+    """The caller's columns under their own names again, and columns of the operator, which replace such names."""
+    own = [F.col(n).alias(c) for c, n in names.items() if c not in more]
+    return df.select(*own, *more)

@@ -45,21 +45,33 @@ _SINGLE = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}"
 WORDS = rf"[{_SINGLE}]|[\p{{L}}\p{{M}}\p{{N}}&&[^{_SINGLE}]]{{1,{MAX_WORD}}}"
 
 
+def words_of(text: Column) -> Column:
+    """Words in lower case.  Where none is longer than a word may be and no character is a word of its own, a split gives them."""
+    def found(low: Column) -> Column:
+        plain = F.split(low, r"[^\p{L}\p{M}\p{N}]+")
+        return let(plain, lambda w: F.when(
+            low.rlike(r"[^\x{0}-\x{DFF}]") | F.exists(w, lambda x: F.length(x) > MAX_WORD),
+            F.regexp_extract_all(low, F.lit(WORDS), F.lit(0))).otherwise(F.filter(w, lambda x: x != "")))
+
+    return let(F.lower(text), found)
+
+
 def signatures(text: Column) -> Column:
     """The sorted set of a text's signatures (32-bit numbers)."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(WORDS), F.lit(0))
+    words = words_of(text)
 
     def chain(anchor: Column, content: Column, first: Column) -> Column:
         return F.hash(anchor, *(F.get(content, first + k) for k in range(CHAIN)))
 
     def found(w: Column, content: Column) -> Column:
-        placed = F.filter(F.transform(w, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda p: p["x"].isin(*COMMON))
+        def places(of: Column, chosen) -> Column:
+            return F.filter(F.transform(of, lambda x, i: F.when(chosen(x), i)), lambda i: i.isNotNull())
+
         # of the words before the j-th common word, j are common: i - j content words came before it
-        after_common = F.transform(placed, lambda p, j: chain(p["x"], content, p["i"] - j))
-        chosen = F.filter(F.transform(content, lambda x, k: F.when(F.pmod(F.hash(x), F.lit(SHARE)) == 0, F.struct(x.alias("x"), k.alias("k")))),
-                          lambda p: p.isNotNull())
-        after_chosen = F.transform(chosen, lambda p: chain(p["x"], content, p["k"] + 1))
-        return F.array_sort(F.array_distinct(F.concat(after_common, after_chosen, F.array(chain(F.lit(""), content, F.lit(0))))))
+        after_common = F.transform(places(w, lambda x: x.isin(*COMMON)), lambda i, j: chain(F.get(w, i), content, i - j))
+        after_chosen = F.transform(places(content, lambda x: F.pmod(F.hash(x), F.lit(SHARE)) == 0),
+                                   lambda k: chain(F.get(content, k), content, k + 1))
+        return F.sort_array(F.array_distinct(F.concat(after_common, after_chosen, F.array(chain(F.lit(""), content, F.lit(0))))))
 
     of_words = let(words, lambda w: let(F.filter(w, lambda x: ~x.isin(*COMMON)), lambda content: F.when(
         F.size(w) > 0, found(w, content)).when(F.length(text) > 0, F.array(F.hash(text))).otherwise(F.array().cast("array<int>"))))
@@ -113,8 +125,11 @@ def near_sets(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                    "spot-probes", narrow=True)
     posted = sets.select("c1", "c2", F.size("sigs").alias("m"), F.explode("sigs").alias("sig")) \
         .withColumn("part", length_partition(F.col("m"), threshold))
+    # a signature that is looked up lists each set once, however many documents have it
+    keys = saved(probes.select("sig", "part").distinct(), "spot-keys", narrow=True)
+    posted = posted.join(broadcast_bounded(keys, MAX_BROADCAST), ["sig", "part"], "left_semi").distinct()
     shorter, longer = F.least("n", "m"), F.greatest("n", "m")
-    pairs = posted.join(broadcast_bounded(probes, MAX_BROADCAST), ["sig", "part"]) \
+    pairs = posted.join(probes, ["sig", "part"]) \
         .where(shorter >= F.lit(threshold) * longer - F.lit(1e-9)).select("q1", "q2", "c1", "c2").distinct()
     pairs = saved(pairs, "spot-pairs", narrow=True)
     met = saved(pairs.select("c1", "c2").distinct(), "spot-met", narrow=True)
