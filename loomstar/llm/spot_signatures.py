@@ -27,6 +27,7 @@ CHAIN = 3
 SHARE = 8
 THRESHOLD = 0.75
 MAX_WORD = 24            # code points; longer runs of letters are several words
+QUERY_BLOCK = 256        # queries in a block, about
 MAX_BROADCAST = 500_000  # rows of looked-up signatures that may be broadcast
 
 # Frequent function words of four languages.
@@ -126,11 +127,17 @@ def near_sets(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     posted = sets.select("c1", "c2", F.size("sigs").alias("m"), F.explode("sigs").alias("sig")) \
         .withColumn("part", length_partition(F.col("m"), threshold))
     # a signature that is looked up lists each set once, however many documents have it
-    keys = saved(probes.select("sig", "part").distinct(), "spot-keys", narrow=True)
-    posted = posted.join(broadcast_bounded(keys, MAX_BROADCAST), ["sig", "part"], "left_semi").distinct()
+    asking = saved(probes.groupBy("sig", "part").agg(F.count(F.lit(1)).alias("queries")), "spot-keys", narrow=True)
+    posted = posted.join(broadcast_bounded(asking.select("sig", "part"), MAX_BROADCAST), ["sig", "part"], "left_semi").distinct()
+    # and meets blocks of the queries that look it up: sets of one group ask for the same signatures, so a set
+    # and a block meet once for all the signatures they share, and then give each pair once
+    blocks = max(1, -(-(asking.agg(F.max("queries")).first()[0] or 0) // QUERY_BLOCK))
+    listed = probes.groupBy("sig", "part", F.pmod(F.xxhash64("q1", "q2"), F.lit(blocks)).alias("block")).agg(
+        F.sort_array(F.collect_list(F.struct("q1", "q2", "n"))).alias("queries"))
+    met = posted.join(listed, ["sig", "part"]).groupBy("c1", "c2", "m", "block").agg(F.collect_set("queries").alias("queries"))
     shorter, longer = F.least("n", "m"), F.greatest("n", "m")
-    pairs = posted.join(probes, ["sig", "part"]) \
-        .where(shorter >= F.lit(threshold) * longer - F.lit(1e-9)).select("q1", "q2", "c1", "c2").distinct()
+    pairs = met.select("c1", "c2", "m", F.explode(F.array_distinct(F.flatten("queries"))).alias("q")).select("c1", "c2", "m", "q.*") \
+        .where(shorter >= F.lit(threshold) * longer - F.lit(1e-9)).select("q1", "q2", "c1", "c2")
     pairs = saved(pairs, "spot-pairs", narrow=True)
     met = saved(pairs.select("c1", "c2").distinct(), "spot-met", narrow=True)
     found = distinct_sets(sets.join(broadcast_bounded(met, MAX_BROADCAST), ["c1", "c2"]))
