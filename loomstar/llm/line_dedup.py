@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomstar.llm.shared import SPACES, hidden, saved, ship, shown
+from loomstar.llm.shared import SPACES, hidden, marked, saved, ship, shown
 from loomstar.llm.wordhash import BASE, NOT_SPACE, mix, powers, words
 
 ship(__name__)
@@ -44,7 +44,7 @@ MIN_WORDS = 4       # shorter lines stay
 NEAR_WORDS = 8      # lines from this length on may differ by one word
 BITS = 26           # of the bitmap of shared halves: 8 MB
 MOST_HOT = 20_000   # lines that may count as very frequent: those with more than this part of all lines
-MARKS = 26          # bits of the hash by which documents that lose lines are marked
+MARKS = 26          # bits of the hashes by which documents, lines and variants are marked before a shuffle
 Q = 0xD1342543DE82EF95
 Q_INVERSE = pow(Q, -1, 1 << 64)
 _GAP = re.compile(r"[\x20\x09-\x0D]+")
@@ -198,6 +198,9 @@ def near_lines(docs: DataFrame, rows: DataFrame) -> DataFrame:
                                              F.min_by("words", F.struct("doc", "line")).alias("words")), "lines")
     keys = saved(lines.select("words", "mask", "f.doc", "f.line", "h").mapInArrow(
         _variants, "key long, kind byte, doc long, line int, h long"), "variants")
+    # most variants are of one line only: of the others, which are marked, the earliest of each kind is sought
+    often = keys.groupBy("key").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("key")
+    keys = saved(marked(keys, F.col("key"), often, MARKS).where("marked").drop("marked"), "shared-variants")
     me = F.struct("doc", "line", "h")
     best = keys.groupBy("key").agg(*[F.min(F.when(F.col("kind") == k, me)).alias(f"m{k}") for k in range(3)],
                                    F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi")
@@ -215,44 +218,28 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = saved(texts.mapInArrow(_line_rows, "doc long, line int, n int, h long, halves array<long>"), "rows")
     near = saved(near_lines(texts, rows), "near").select("h", F.lit(True).alias("near"))
     place = F.struct("doc", "line")
-    firsts = rows.groupBy("h", "n").agg(F.min(place).alias("f"), F.max(place).alias("l"), F.count(F.lit(1)).alias("times")) \
+    firsts = rows.groupBy("h").agg(F.min(place).alias("f"), F.max(place).alias("l"), F.count(F.lit(1)).alias("times")) \
         .join(near, "h", "left").where("f < l OR near")
-    firsts = saved(firsts.select("h", "n", "f", "near", "times"), "firsts", narrow=True)
+    firsts = saved(firsts.select("h", "f", "near", "times"), "firsts", narrow=True)
     often = max(1, rows.count() // MOST_HOT)
-    place_of = rows.select("doc", "line", "n", "h")
+    place_of = rows.select("doc", "line", "h")
     # at most MOST_HOT lines occur more often than that: their rows are decided before the shuffle
-    hot = firsts.where(F.col("times") > often).select("h", "n", F.col("f").alias("hf"), F.col("near").alias("hnear"), F.lit(True).alias("hot"))
-    split = place_of.join(F.broadcast(hot), ["h", "n"], "left")
+    hot = firsts.where(F.col("times") > often).select("h", F.col("f").alias("hf"), F.col("near").alias("hnear"), F.lit(True).alias("hot"))
+    split = place_of.join(F.broadcast(hot), "h", "left")
     decided = split.where(F.col("hot") & (F.col("hnear") | (place > F.col("hf")))).select("doc", "line")
-    rest = split.where(F.col("hot").isNull()).select("doc", "line", "n", "h").join(firsts.where(F.col("times") <= often), ["h", "n"])
+    few = firsts.where(F.col("times") <= often)
+    rest = marked(split.where(F.col("hot").isNull()).select("doc", "line", "h"), F.col("h"), few.select("h"), MARKS) \
+        .where("marked").drop("marked").join(few, "h")
     gone = decided.unionByName(rest.where(F.col("near") | (place > F.col("f"))).select("doc", "line"))
     return saved(gone.groupBy("doc").agg(F.array_sort(F.collect_set("line")).alias("drop")), "gone")
 
 
-def marked(docs: DataFrame, gone: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
-    """``docs`` in two parts: those that may be in ``gone`` by the hash of their id, and the others.
-
-    The marks are ``2 ** MARKS`` bits in rows of 64, so at most ``2 ** (MARKS - 6)`` rows are broadcast; where they fill
-    up, more documents than needed are in the first part.
-    """
-    def place(c):
-        return F.pmod(F.xxhash64(c.cast("long")), F.lit(1 << MARKS))
-
-    bits = gone.select(place(F.col("doc")).alias("b")).groupBy(F.shiftright("b", 6).alias("mark word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("mark bits"))
-    bits = saved(bits, "marks", narrow=True)
-    at = docs.withColumn("mark place", place(F.col(id_col)))
-    at = at.join(F.broadcast(bits), F.shiftright("mark place", 6) == F.col("mark word"), "left")
-    hit = F.coalesce(F.expr("shiftright(`mark bits`, cast(`mark place` & 63 as int)) & 1"), F.lit(0)) == 1
-    both = [at.where(hit), at.where(~hit)]
-    return tuple(x.drop("mark place", "mark word", "mark bits") for x in both)
-
-
 def _deduplicated(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``docs`` (``hidden``) with the duplicate lines taken out, and the two counts."""
     gone = duplicate_lines(docs, id_col, text_col).select(F.col("doc").alias("_gone_doc"), F.col("drop").alias("_drop"))
     # only documents that lose lines meet their lists: the others stay where they are read
-    losing, whole = marked(docs, gone.withColumnRenamed("_gone_doc", "doc"), id_col)
+    docs = marked(docs, F.col(id_col), gone.select("_gone_doc"), MARKS)
+    losing, whole = (docs.where(m).drop("marked") for m in ("marked", "NOT marked"))
     rows = losing.join(gone, F.col(id_col).cast("long") == F.col("_gone_doc"), "left").drop("_gone_doc") \
         .unionByName(whole.withColumn("_drop", F.lit(None).cast("array<int>")))
     lines = F.split(F.col(text_col), "\n", -1)

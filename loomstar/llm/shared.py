@@ -60,6 +60,23 @@ def broadcast_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+def marked(df: DataFrame, value: Column, keys: DataFrame, bits: int) -> DataFrame:
+    """``df`` with ``marked``: false only where ``value`` (a long) is not in the one column of ``keys``.
+
+    The marks are ``2 ** bits`` bits by a hash, in rows of 64, so at most ``2 ** (bits - 6)`` narrow rows are broadcast;
+    where they fill up, more rows than needed are marked.
+    """
+    def place(c: Column) -> Column:
+        return F.pmod(F.xxhash64(c.cast("long")), F.lit(1 << bits))
+
+    found = keys.select(place(F.col(keys.columns[0])).alias("b")).groupBy(F.shiftright("b", 6).alias("mark word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("mark bits"))
+    at = df.withColumn("mark place", place(value))
+    at = at.join(F.broadcast(saved(found, "marks", narrow=True)), F.shiftright("mark place", 6) == F.col("mark word"), "left")
+    hit = F.coalesce(F.expr("shiftright(`mark bits`, cast(`mark place` & 63 as int)) & 1"), F.lit(0)) == 1
+    return at.withColumn("marked", hit).drop("mark place", "mark word", "mark bits")
+
+
 def hidden(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` under column names that no operator uses, and those names by the caller's."""
     names = {c: f"caller column {i}" for i, c in enumerate(docs.columns)}
