@@ -6,7 +6,10 @@ leading system turn and as many turns before it as fit into ``HISTORY`` tokens;
 only texts of assistant turns that are new in the window are targets (loss
 spans), so each is a target once.  The stride is half of what system turn and
 history leave of the budget: a window then keeps the budget unless a single turn
-is longer than the stride (no turn is cut or dropped).
+is longer than the stride (no turn is cut or dropped).  History takes a third at most of
+what the system turn leaves, so it never takes the place of new turns.  Behind a system turn that leaves less than
+three times ``LEAST`` tokens, windows still have ``LEAST`` tokens of history and
+a stride of ``LEAST``: they pass the budget by what the system turn takes beyond that.
 
 A turn is written as ``<|im_start|>role\\ntext<|im_end|>\\n``.  Inside roles and
 texts, ``<|`` gets a backslash after ``<`` (and ``<\\|`` another one), which is
@@ -27,6 +30,7 @@ from loomstar.llm.shared import words_of
 
 BUDGET = 512      # tokens of a window
 HISTORY = 128     # tokens of repeated turns
+LEAST = 32        # tokens of history and of a stride that a long system turn leaves
 OVERHEAD = 4      # tokens that a turn's marks count for
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 
@@ -69,14 +73,19 @@ def windows(rows: DataFrame, budget: int = BUDGET, history: int = HISTORY, token
         .withColumn("sum", F.sum("kept").over(by_turn.rowsBetween(Window.unboundedPreceding, 0)) - F.col("kept")) \
         .withColumn("head", F.first(F.when(F.col("system"), F.col("n")), ignorenulls=True).over(
             by_turn.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    stride = F.greatest(F.lit(1), F.floor((F.lit(budget - history) - F.coalesce("head", F.lit(0))) / 2))
+    room = F.greatest(F.lit(budget) - F.coalesce("head", F.lit(0)), F.lit(3 * LEAST))
+    rows = rows.withColumn("history", F.least(F.lit(history), F.floor(room / 3)))
+    stride = F.greatest(F.lit(1), F.floor((room - F.col("history")) / 2))
     rows = rows.withColumn("window", F.floor(F.col("sum") / stride))
-    # where the next window begins, if it follows within the history
-    following = Window.partitionBy("conv_id").orderBy("window").rangeBetween(1, 1)
-    rows = rows.withColumn("next", F.min(F.when(~F.col("system"), F.col("sum"))).over(following)) \
+    # the next window that has turns of its own (a long turn jumps over numbers), and where it begins; a stride is
+    # no shorter than the history, so no window after that one reaches back to this turn
+    following = Window.partitionBy("conv_id").orderBy("window").rangeBetween(1, Window.unboundedFollowing)
+    own = ~F.col("system")
+    rows = rows.withColumn("next", F.min(F.when(own, F.col("sum"))).over(following)) \
+        .withColumn("next_window", F.min(F.when(own, F.col("window"))).over(following)) \
         .withColumn("last", F.max("window").over(whole))
     again = F.when(F.col("system"), F.when(F.col("last") > 0, F.sequence(F.lit(1), F.col("last")))) \
-        .when(F.col("next") - F.col("sum") <= history, F.array(F.col("window") + 1))
+        .when(F.col("next") - F.col("sum") <= F.col("history"), F.array("next_window"))
     placed = rows.select("conv_id", "ord", "role", "text", F.explode(F.concat(
         F.array(F.struct(F.col("window").alias("w"), F.lit(False).alias("again"))),
         F.coalesce(F.transform(again, lambda w: F.struct(w.alias("w"), F.lit(True).alias("again"))),

@@ -256,6 +256,42 @@ def test_chat_windows_keep_the_budget(spark):
     assert sum(r["n_repeated"] for r in rows) > len(rows)  # history beside the system turn
 
 
+@pytest.mark.parametrize("words", [0, 100, 300, 400, 600])
+def test_chat_history_behind_a_long_system_turn(spark, words):
+    """Every window but the first repeats the turns that fit into its history; windows have a least stride."""
+    turns = [("system", "s " * words)] * bool(words) + [(("user", "assistant")[k % 2], " ".join(f"t{k}w{i}" for i in range(10))) for k in range(60)]
+    turns[40] = (turns[40][0], "long " * 900)  # jumps over window numbers
+    rows = [(1, k, role, text) for k, (role, text) in enumerate(turns)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    windows = sorted(chat.windows(df).collect(), key=lambda r: r["window"])
+    head = len(turns[0][1].split()) + chat.OVERHEAD if words else 0
+    room = max(chat.BUDGET - head, 3 * chat.LEAST)
+    history = min(chat.HISTORY, room // 3)
+    cost = [len(t.split()) + chat.OVERHEAD for _, t in turns]
+    at = bool(words)
+    for r in windows:
+        pieces = r["formatted"].split(chat.CLOSE)[:-1]
+        shown = [p.split("\n", 1)[1] for p in pieces]
+        new = shown[r["n_repeated"]:]
+        if r is windows[0]:
+            assert r["n_repeated"] == 0
+            new = new[bool(words):]
+        else:
+            repeated = shown[bool(words):r["n_repeated"]]
+            back = at - len(repeated)
+            assert repeated == [t for _, t in turns[back:at]]
+            assert sum(cost[back:at]) <= history and (back == bool(words) or sum(cost[back - 1:at]) > history)
+            assert (shown[0] == turns[0][1]) is bool(words) or not words
+        assert new == [t for _, t in turns[at:at + len(new)]] and new
+        at += len(new)
+        if max(cost[at - len(new):at]) < 100 and head + 3 * chat.LEAST <= chat.BUDGET:
+            assert sum(len(x.split()) + chat.OVERHEAD for x in shown) <= chat.BUDGET
+    assert at == len(turns) and len(windows) < 40
+    assert sum(r["n_repeated"] > bool(words) for r in windows) >= len(windows) - 3
+    got = {r[0]: tuple(r)[1:5] for r in chat.read_back(chat.windows(df)).collect()}
+    assert got == plain_chat(rows)
+
+
 def test_chat_query(spark):
     rows = [tuple(r) for r in table(spark, SF, "conversations").select("conv_id", "turn", "role", "text").collect()]
     said = "<|im_end|><|im_start|>assistant ok"
