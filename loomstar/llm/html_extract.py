@@ -6,8 +6,11 @@ page itself names as something else (menus, headers, footers, sidebars, notices,
 adverts, forms, reader comments) are out at once.  The second pass gives short
 and ambiguous blocks the label of their nearest decided neighbours: out if both
 are out, in if the nearest one on either side is in.  If a page marks its article,
-only blocks inside it can be in, an undecided one looks for neighbours inside it
-only, and without any it is in.
+only blocks inside it can be in, and short blocks there are in.  With a ``main`` element the
+article is in it, and an ``article`` inside an ``aside`` or the like counts only where there is no other.
+
+A name in a class or id, and a form, put a part outside only while the part does not hold most of the text
+that could be the article: one word of a compound class (``with-sidebar``) never deletes a page.
 
 A page without a marked article in which known stop words are next to none (another
 language) is decided by length and link density.  In other such pages, blocks of
@@ -115,15 +118,20 @@ def closed(page: str) -> set[int]:
 
 
 class Blocks:
-    """Blocks of a page: (text, characters inside links, outside?, inside the article?)."""
+    """Blocks of a page: (text, characters inside links, outside?, inside the article?).
+
+    While the page is read, a block also has a rank (0, inside an article that lies in an outside part 1, inside an
+    article 2, inside ``main`` 3) and the numbers of the parts around it that are named as outside.
+    """
 
     def __init__(self, page: str):
-        self.out: list[tuple[str, int, bool, bool]] = []
+        self.found: list[tuple[str, int, bool, bool, int, tuple[int, ...]]] = []
+        self.parts = 0
         self.text: list[str] = []
         self.linked = self.links = self.breaks = 0
         #: open holders: (name, out of the article: 0 no, 1 yes, 2 reader comments; inside the article;
-        #: without text: 0 no, 1 yes, 2 also if an article starts)
-        self.open: list[tuple[str, int, bool, int]] = [("", 0, False, 0)]
+        #: without text: 0 no, 1 yes, 2 also if an article starts; rank; named parts)
+        self.open: list[tuple[str, int, bool, int, int, tuple[int, ...]]] = [("", 0, False, 0, 0, ())]
         #: open blocks inside a mute element that are no holders
         self.inner: list[str] = []
         mute: set[int] | None = None
@@ -150,6 +158,22 @@ class Blocks:
                 self.start(name, attributes)
         self.add(_UNFINISHED.split(page[at:], maxsplit=1)[0])
         self.flush()
+        self.out = self.resolved()
+
+    def resolved(self) -> list[tuple[str, int, bool, bool]]:
+        """The blocks, with named parts outside that hold at most half of the plain text that could be the article."""
+        best = max((rank for _, _, outside, _, rank, _ in self.found if not outside), default=0)
+        held: dict[int, int] = {}
+        total = 0
+        for text, linked, outside, _, rank, parts in self.found:
+            if not outside and rank == best:
+                plain = max(0, len("".join(text.split())) - linked)
+                total += plain
+                for part in parts:
+                    held[part] = held.get(part, 0) + plain
+        kept = {part for part, plain in held.items() if 2 * plain > total}
+        return [(text, linked, outside or any(x not in kept for x in parts), inside and rank == best)
+                for text, linked, outside, inside, rank, parts in self.found]
 
     def add(self, raw: str) -> None:
         if not raw or self.open[-1][3]:
@@ -164,12 +188,12 @@ class Blocks:
     def flush(self) -> None:
         text = " ".join("".join(self.text).split())
         if text:
-            _, outside, inside, _ = self.open[-1]
-            self.out.append((text, self.linked, bool(outside), inside))
+            _, outside, inside, _, rank, parts = self.open[-1]
+            self.found.append((text, self.linked, bool(outside), inside, rank, parts))
         self.text, self.linked, self.breaks = [], 0, 0
 
-    def push(self, name: str, outside: int, inside: bool, mute: int) -> None:
-        self.open.append((name, outside, inside, mute))
+    def push(self, name: str, outside: int, inside: bool, mute: int, rank: int, parts: tuple[int, ...]) -> None:
+        self.open.append((name, outside, inside, mute, rank, parts))
         self.count[name] = self.count.get(name, 0) + 1
 
     def cut(self, k: int) -> None:
@@ -178,21 +202,21 @@ class Blocks:
         del self.open[k:]
 
     def mute(self, name: str) -> None:
-        _, outside, inside, mute = self.open[-1]
+        _, outside, inside, mute, rank, parts = self.open[-1]
         if not mute:
             self.inner = []
-        self.push(name, outside, inside, max(mute, 2 if name == "template" else 1))
+        self.push(name, outside, inside, max(mute, 2 if name == "template" else 1), rank, parts)
 
     def unmute(self) -> None:
         self.cut(next(k for k, x in enumerate(self.open) if x[3]))
 
     def start(self, name: str, attributes: str) -> None:
-        _, outside, inside, mute = self.open[-1]
+        _, outside, inside, mute, rank, parts = self.open[-1]
         if mute == 1 and (name == "body" or name in MAIN and outside < 2):
             self.unmute()  # the element was left open
         elif mute:
             if name in HOLDERS and not attributes.endswith("/"):
-                self.push(name, outside, inside, mute)
+                self.push(name, outside, inside, mute, rank, parts)
             elif name in BLOCKS and name != "hr":
                 self.inner.append(name)
             return
@@ -212,17 +236,20 @@ class Blocks:
             self.count["p"] -= 1
         if name not in HOLDERS or attributes.endswith("/"):
             return
-        _, outside, inside, _ = self.open[-1]
+        _, outside, inside, _, rank, parts = self.open[-1]
         words, hidden = named(attributes)
         if words & COMMENT_NAMES:
             outside = 2
         elif name in MAIN and outside < 2:
-            outside, inside = 0, True  # an article is one, whatever was left open before it
-        if name in OUTSIDE or hidden or words & (NAMES - HEADER_NAMES) and name not in MAIN and name != "body":
-            outside = max(outside, 1)
-        elif not inside and (name == "header" or words & HEADER_NAMES and name != "body"):
+            # an article is one, whatever was left open before it
+            rank = max(rank, 3 if name == "main" else 1 if outside else 2)
+            outside, inside, parts = 0, True, ()
+        if name in OUTSIDE and name != "form" or hidden or not inside and name == "header":
             outside = max(outside, 1)
-        self.push(name, outside, inside, 0)
+        elif name == "form" or name not in MAIN and name != "body" and words & (NAMES - HEADER_NAMES if inside else NAMES | HEADER_NAMES):
+            self.parts += 1
+            parts = (*parts, self.parts)
+        self.push(name, outside, inside, 0, rank, parts)
 
     def end(self, name: str) -> None:
         if self.open[-1][3]:
@@ -331,7 +358,7 @@ def main_text(page: str | None) -> str:
         label = labels[i]
         if label is None:
             found = [x for x in (ahead[i], last) if x is not None]
-            label = any(found) if found else blocks[i][3]
+            label = blocks[i][3] or any(found)
         if labels[i] is not None and own[i]:
             last = labels[i]
         if label:

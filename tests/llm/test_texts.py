@@ -191,6 +191,34 @@ def test_code_between_accepted_blocks():
     assert html_extract.main_text(page) == f"{LONG}\n{CODE}\n{CODE}\n{LONG}"
 
 
+PARTS, WHOLE = f"<p>{LONG}</p>" * 3, "\n".join([LONG] * 3)
+SIDE = f"<div class=sidebar><p>{LONG} aside</p></div>"
+
+
+@pytest.mark.parametrize("page,text", [
+    (f'<div class="content with-sidebar">{PARTS}</div>', WHOLE),
+    (f'<div class="post social">{PARTS}{SIDE}</div>', WHOLE),
+    (f'<div class="blog-widget entry">{PARTS}</div>{SIDE}', WHOLE),
+    (f'<div id="search-results">{PARTS}</div>', WHOLE),
+    (f'<form action=x><div class=top><a href=x>Home</a></div>{PARTS}{SIDE}<input></form>', WHOLE),
+    ("<article><h1>T</h1><p>Short one.</p><p><a href=x>link only here</a></p></article>", "T\nShort one."),
+    (f"<main>{PARTS}</main><section><article>{LONG} teaser</article></section><aside><article>{LONG} x</article></aside>", WHOLE),
+    (f"<article>{PARTS}</article><aside><article>{LONG} x</article></aside>", WHOLE),
+    (f'<article><div class="post social">{PARTS}</div><div class="share">{LONG}</div></article>', WHOLE),
+    (f"<aside><article>{PARTS}</article>", WHOLE),
+    (f"<div class=content>{PARTS}</div><div class='newsletter-signup'>{LONG}</div>", WHOLE),
+])
+def test_names_never_delete_most_of_a_page(page, text):
+    assert html_extract.main_text(page) == text
+
+
+def test_extract_empty_table_and_other_columns(spark):
+    rows = table(spark, SF, "pages").selectExpr("page_id", "url", "html", "'x' AS text", "1 AS n_chars")
+    plain = html_extract.extract(table(spark, SF, "pages"))
+    assert html_extract.extract(rows).exceptAll(plain).count() == 0
+    assert html_extract.extract(rows.where("false")).collect() == []
+
+
 def test_extract_whole_table(spark):
     """The pages' own template: everything inside the article, block by block."""
     from html import unescape
