@@ -8,6 +8,7 @@ a prefix sum inside that one range finds the document and word where it ends.
 Whole epochs come first; the cut of the last epoch is thus a key per source,
 and whether a document is in is decided row by row, without a join of documents.
 
+Sources are numbered, weighed and given their targets by grouped sums: there may be as many as there are hosts.
 The target of a source is its weight's share of ``SHARE`` of all words, at most
 ``MAX_EPOCHS`` times its own words; what is cut off goes to the others by weight.
 
@@ -54,24 +55,59 @@ def random_key(id_col: str, text_col: str, seed: int = SEED) -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col), F.lit(seed))
 
 
+def ordered_sources(rows: DataFrame) -> DataFrame:
+    """``(source, source_size, docs, sid, weight)``: ``sid`` numbers the sources in code point order, NULL last.
+
+    Sources are range-partitioned and written once with their range; a range's numbers follow those of the ranges before it.
+    """
+    spark = rows.sparkSession
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("docs"))
+    order = F.col("source").asc_nulls_last()
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = saved(sizes.repartitionByRange(n, order).withColumn("range", F.spark_partition_id()), "sources")
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
+    starts = ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n")).withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    numbered = ranged.withColumn("no", F.row_number().over(Window.partitionBy("range").orderBy(order))) \
+        .join(F.broadcast(starts.select("range", "start")), "range").withColumn("sid", F.col("start") + F.col("no") - 1)
+    weight = F.get(F.array(*map(F.lit, WEIGHTS)), (F.col("sid") % len(WEIGHTS)).cast("int"))
+    return numbered.select("source", F.coalesce("source_size", F.lit(0)).alias("source_size"), "docs", "sid", weight.alias("weight"))
+
+
+def with_targets(sources: DataFrame, share: float = SHARE, most: float = MAX_EPOCHS) -> DataFrame:
+    """``sources`` with their ``target``, as ``targets`` has it.
+
+    A source is cut off at ``most`` times its size if the level (words for each unit of weight) is above that. Cutting off
+    raises the level for the others, so a few rounds of two sums find the last level; no source comes to the driver.
+    """
+    size, weight = F.col("source_size"), F.col("weight")
+    first = sources.agg(F.sum(size).alias("size"), F.sum(weight).alias("weight")).first()
+    total, whole = share * (first["size"] or 0), first["weight"] or 0
+    left, open_, cut = total, whole, 0
+    over = F.lit(False)
+    while open_:
+        over = F.lit(left) * weight / F.lit(open_) > F.lit(float(most)) * size
+        found = sources.where(over).agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("size"), F.sum(weight).alias("weight")).first()
+        if found["n"] == cut:
+            break
+        cut = found["n"]
+        left, open_ = max(0.0, total - float(most * found["size"])), whole - found["weight"]
+    if not open_:
+        return sources.withColumn("target", F.lit(float(most)) * size)
+    return sources.withColumn("target", F.when(over, F.lit(float(most)) * size).otherwise(F.lit(float(left)) * weight / F.lit(open_)))
+
+
 def plan(rows: DataFrame) -> DataFrame:
     """A row for each source: size, target, whole epochs, and the key, its words and rows where its last epoch ends.
 
-    ``rows`` has ``source, size, key``.  The driver sees one row per source.
+    ``rows`` has ``source, size, key``.
     """
-    spark = rows.sparkSession
-    found = rows.groupBy("source").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("docs")).collect()
-    found.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
-    sizes = [int(r["size"] or 0) for r in found]
-    goal = targets(sizes, [WEIGHTS[i % len(WEIGHTS)] for i in range(len(found))])
-    table = []
-    for i, r in enumerate(found):
-        epochs = min(int(goal[i] // sizes[i]), MAX_EPOCHS) if sizes[i] else 0
-        rest = max(0, min(sizes[i], round(goal[i]) - epochs * sizes[i]))
-        ranges = max(1, int(r["docs"] / max(LEAST_RANGE, r["docs"] ** 0.5)))
-        table.append((r["source"], i, sizes[i], goal[i], epochs, rest, ranges))
-    sources = spark.createDataFrame(table, "source string, sid int, source_size long, target double, epochs int, "
-                                           "rest long, ranges long")
+    size, goal = F.col("source_size"), F.col("target")
+    sources = with_targets(saved(ordered_sources(rows), "numbered"))
+    epochs = F.when(size > 0, F.least(F.floor(goal / size), F.lit(MAX_EPOCHS))).otherwise(0).cast("int")
+    sources = sources.withColumn("epochs", epochs)
+    rest = F.greatest(F.lit(0), F.least(size, F.rint(goal).cast("long") - F.col("epochs") * size)).cast("long")
+    ranges = F.greatest(F.lit(1), F.floor(F.col("docs") / F.greatest(F.lit(float(LEAST_RANGE)), F.sqrt("docs")))).cast("long")
+    sources = saved(sources.select("source", "sid", "source_size", "target", "epochs", rest.alias("rest"), ranges.alias("ranges")), "goals")
     sources = broadcast_bounded(sources, MAX_BROADCAST_SOURCES)
 
     # the range of a key: its upper 32 bits, scaled to the number of ranges

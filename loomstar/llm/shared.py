@@ -55,9 +55,14 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+MAX_BROADCAST_TEXT = 1 << 25     # bytes of text in a table that is broadcast
+
+
 def broadcast_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast a table of narrow rows if a distributed count proves it has ``max_rows`` at most."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+    """Broadcast a table of narrow rows if a distributed count proves it has ``max_rows`` and 32 MB of text at most."""
+    texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in df.dtypes if kind == "string"]
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.sum(sum(texts, F.lit(0))).alias("bytes")).first()
+    return F.broadcast(df) if found["n"] <= max_rows and (found["bytes"] or 0) <= MAX_BROADCAST_TEXT else df
 
 
 def marked(df: DataFrame, value: Column, keys: DataFrame, bits: int) -> DataFrame:

@@ -372,6 +372,20 @@ def test_mix_without_ids(spark):
     assert {r["source_size"]: r["t"] for r in report} == {size[s]: sum(r["taken"] for r in mix if r["source"] == s) for s in "abcde"}
 
 
+@pytest.mark.parametrize("n", [0, 1, 8, 20_000])
+def test_targets_of_many_sources(spark, n):
+    """Numbers, weights and targets of any number of sources, without a driver row each."""
+    rnd = random.Random(n)
+    rows = [(f"host{i}.example" if i else None, rnd.choice([0, 1, 5, 1000, rnd.randrange(10**6)]), rnd.getrandbits(60)) for i in range(n)]
+    df = spark.createDataFrame(rows, "source string, size long, key long")
+    got = {r["source"]: (r["sid"], r["source_size"], r["target"]) for r in mixing.with_targets(mixing.ordered_sources(df)).collect()}
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or ""))
+    goal = mixing.targets([r[1] for r in order], [mixing.WEIGHTS[i % 3] for i in range(n)])
+    assert got == {r[0]: (i, r[1], goal[i]) for i, r in enumerate(order)}
+    spent = mixing.plan(df).selectExpr("sum(epochs * source_size) AS w", "count(1) AS n").first()
+    assert spent["n"] == n and (spent["w"] or 0) <= sum(goal) + 1
+
+
 # ---- classifier --------------------------------------------------------------
 
 def test_classifier(spark):
