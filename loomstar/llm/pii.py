@@ -1,11 +1,12 @@
 """Personal data (6): patterns, and a semi-Markov conditional random field that adds spans.
 
-Four patterns give the base spans.  Around digits and at-signs, a semi-Markov CRF
-looks at whole candidate spans (their characters, digit groups, checksum, the
+Four patterns give the base spans.  Around digits, at-signs and what follows a key word (``password:``), a
+semi-Markov CRF looks at whole candidate spans (their characters, digit groups, checksum, the
 word before, what touches their ends), scores each as one entity of one kind, and
 a dynamic program over spans of up to ``MAX_ATOMS`` atoms picks the best set of
 boundaries and kinds at once.  Spans that it finds beside the base ones are
-added: numbers without their prefix, cards that fail the checksum, secrets.
+added: numbers without their prefix, cards that fail the checksum, secrets (those without a digit
+after ``=``, or with signs or mixed case inside).
 
 The CRF is trained here by the gradient of its log-likelihood, on regions of a
 bounded hash sample of the documents (``SAMPLE_DOCS``, ``SAMPLE_REGIONS``).  Its
@@ -43,6 +44,11 @@ BEFORE = 24                # characters ahead of a span in which a key word coun
 MAX_REGION = 400           # atoms whose candidate spans are held at a time; the dynamic program runs on across them
 KEYWORDS = ("token", "password", "passwd", "secret", "key", "apikey", "auth")
 
+#: A key word and its sign, ahead of what may be a secret without a digit.
+_KEYED = re.compile(r"(?i)\b(?:%s)\b[\"']?\s*[=:]\s*[\"']?(?=[A-Za-z_+/.-]{8})" % "|".join(KEYWORDS))
+_AFTER_KEY = re.compile(r"(?i)\b(?:%s)\b[\"']?\s*([=:])\s*[\"']?$" % "|".join(KEYWORDS))
+_SIGNS = re.compile(r"[A-Za-z][_+/.-]+[A-Za-z]|[a-z][A-Z]")
+
 # The base patterns, anchored so that no start is tried twice.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
@@ -102,19 +108,32 @@ _ATOM = re.compile(r"[A-Za-z0-9]+|\s+|.", re.S)
 _SECRET = re.compile(r"(?i)\b(?:%s)\b[\"']?\s*[=:]\s*[\"']?([A-Za-z0-9_+/.-]{8,})" % "|".join(KEYWORDS))
 
 
+def has_sign(text: str) -> bool:
+    """Whether a key word may be followed by its sign."""
+    return "=" in text or ":" in text
+
+
 def regions(text: str) -> list[tuple[int, int]]:
-    """Stretches around tokens with a digit or an at-sign: a few words before, one after, merged."""
+    """Stretches around tokens with a digit or an at-sign, or after a key word: a few words before, one after, merged."""
     out: list[list[int]] = []
     at, n = 0, len(text)
     hit = re.compile("[0-9@]")
-    while m := hit.search(text, at):
-        start, end = m.start(), m.end()
+    keyed = (m.end() for m in _KEYED.finditer(text)) if has_sign(text) else iter(())
+    key = next(keyed, n)
+    while at < n:
+        m = hit.search(text, at)
+        while key < at:
+            key = next(keyed, n)
+        place = min(m.start() if m else n, key)
+        if place == n:
+            break
+        start, end = place, place + 1
         floor = out[-1][1] if out else 0
         gaps = 0
-        while start > floor and gaps < 4 and m.start() - start < 200:  # back over the token and three words
+        while start > floor and gaps < 4 and place - start < 200:  # back over the token and three words
             start -= 1
             gaps += text[start].isspace() and not text[start - 1:start].isspace()
-        while end < n and not text[end].isspace() and end - m.start() < 400:
+        while end < n and not text[end].isspace() and end - place < 400:
             end += 1
         if out and start <= out[-1][1] + 1:
             out[-1][1] = end
@@ -168,6 +187,11 @@ def features(text: str, a: int, b: int, before: str) -> tuple[str, ...]:
         out.append("mixed" + (" long" if len(s) >= 16 else ""))
         if key:
             out.append("keyed")
+    elif dense and letters and key:
+        # a word may follow a key word in any sentence
+        out.append("keyed " + ("assigned" if "=" in before[-3:] else "signs" if _SIGNS.search(s) else "word"))
+        if text[b:b + 1] in ("-", "_", "/", "+", ".") and text[b + 1:b + 2].isalnum():
+            out.append("cut")
     out.append("text" if not dense else "dense")
     if not s.replace("_", "").replace("-", "").isalnum():
         out.append("signs")
@@ -188,6 +212,9 @@ def candidates(text: str, at: list[tuple[int, int]], lo: int = 0, hi: int | None
     for i in range(lo, hi):
         if blank[i] or text[at[i][0]] in ",;:!?\"'=)":
             continue
+        a = at[i][0]
+        # after a key word, a token without a digit counts from eight characters on
+        keyed = a > start and text[a - 1] in "=: \"'" and _AFTER_KEY.search(text[max(start, a - BEFORE):a]) is not None
         seen = False
         gaps = 0
         for j in range(i, min(len(at), i + MAX_ATOMS)):
@@ -196,7 +223,7 @@ def candidates(text: str, at: list[tuple[int, int]], lo: int = 0, hi: int | None
                 if "\n" in text[at[j][0]:at[j][1]] or gaps > 5:
                     break
                 continue
-            seen = seen or marked[j]
+            seen = seen or marked[j] or keyed and not gaps and at[j][1] - a >= 8
             if seen and text[at[j][1] - 1] not in ",;:!?\"'=(":
                 out.append((i, j + 1, features(text, at[i][0], at[j][1], text[max(start, at[i][0] - BEFORE):at[i][0]])))
     return out
@@ -270,12 +297,15 @@ def decode_region(text: str, at: list[tuple[int, int]], weights: Weights) -> lis
 EXAMPLES = ("write to some.one@mail.example.com or", "from 10.20.30.40 came", "card 4111 1111 1111 1111 paid",
             "card 4111111111111111 paid", "call +1 (202) 555-0143 now", "call +44 20 7946 0958 now",
             "the token = \"9f86d081884c7d659a2feaa0c55ad015\" is", "in password=hunter2hunter2 there",
+            "password: correct-horse-battery is", "token=abcdefghijklmnop now", "the key: something that opens", "auth: NotForEveryone here",
+            "secret: blue-river-stone and", "passwd=openthegate then", "a token: remember that one", "apikey = \"qwertyuiopas\" is",
             "in 1999 there were 12 of 300 left", "version 2.10 and 3.5 of", "room 12-14 at 10 pm", "sum 1,200.50 due")
 
 
 def gold_spans(text: str) -> list[Span]:
     out = [(a, b, k) for a, b, k in base_spans(text)]
-    out += [(*m.span(1), "secret") for m in _SECRET.finditer(text) if _DIGIT.search(m[1])]
+    out += [(*m.span(1), "secret") for m in _SECRET.finditer(text)
+            if _DIGIT.search(m[1]) or _SIGNS.search(m[1]) or "=" in text[max(0, m.start(1) - 3):m.start(1)]]
     chosen: list[Span] = []
     for s in sorted(out, key=lambda s: (s[0] - s[1], s[0])):
         if all(s[1] <= c[0] or s[0] >= c[1] for c in chosen):
@@ -369,13 +399,13 @@ def _report(batches, weights: Weights):
     for batch in batches:
         rows = []
         for text in batch.column(1).to_pylist():
-            base, added = find_spans(text, weights) if text and mark.search(text) else ([], [])
-            rows.append((*(sum(k == s[2] for s in base) for k in BASE_KINDS),
+            base, added = find_spans(text, weights) if text and (mark.search(text) or has_sign(text)) else ([], [])
+            rows.append((*(sum(k == s[2] for s in base) for k in BASE_KINDS), sum(s[2] == "secret" for s in added), len(base) + len(added),
                          hashlib.sha256(_named(base).encode()).hexdigest(), _named(base + added)))
-        cols = list(zip(*rows)) or [()] * 6
+        cols = list(zip(*rows)) or [()] * 8
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), *(pa.array(c, pa.int64()) for c in cols[:4]), *(pa.array(c, pa.string()) for c in cols[4:])],
-            names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
+            [batch.column(0), *(pa.array(c, pa.int64()) for c in cols[:6]), *(pa.array(c, pa.string()) for c in cols[6:])],
+            names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "n_secret", "n_spans", "base_sha256", "spans"])
 
 
 def _sample(batches):
@@ -393,8 +423,8 @@ def learn(docs: DataFrame, text_col: str = "text") -> Weights:
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", weights: Weights | None = None) -> DataFrame:
-    """Counts and hash of the base spans and the names of all spans, for every whole text."""
+    """Counts and hash of the base spans, the secrets and spans found in all, and the names of all spans, for every whole text."""
     weights = learn(docs, text_col) if weights is None else weights
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
         partial(_report, weights=weights),
-        "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+        "doc_id long, n_email long, n_ip long, n_card long, n_phone long, n_secret long, n_spans long, base_sha256 string, spans string")

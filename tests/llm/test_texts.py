@@ -92,6 +92,31 @@ def test_spans_do_not_depend_on_where_a_region_is_cut(monkeypatch):
         assert added == [s for s in whole if all(s[1] <= a or s[0] >= b for a, b, _ in base)]
 
 
+def test_secrets_are_found_with_and_without_digits(spark, docs):
+    """Recall of planted secrets in the documents' own words, and no secret in the words themselves."""
+    weights = pii.learn(docs)
+    rnd = random.Random(11)
+    words = [w for r in docs.limit(50).collect() for w in helpers.space_words(r["text"]) if w.isalpha()]
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    kinds = {
+        "digits": lambda: "".join(rnd.choice(letters + "0123456789") for _ in range(rnd.randint(12, 40))) + "7",
+        "assigned": lambda: "".join(rnd.choice(letters[:26]) for _ in range(rnd.randint(10, 30))),
+        "signs": lambda: "-".join("".join(rnd.choice(letters[:26]) for _ in range(rnd.randint(4, 8))) for _ in range(3)),
+    }
+    for kind, secret in kinds.items():
+        found = 0
+        for _ in range(100):
+            value, key = secret(), rnd.choice(pii.KEYWORDS)
+            sign = "=" if kind == "assigned" else rnd.choice(["=", ": ", ' = "'])
+            text = f"{' '.join(rnd.choices(words, k=12))} {key}{sign}{value}{'\"' if sign.endswith(chr(34)) else ''} {' '.join(rnd.choices(words, k=12))}"
+            base, added = pii.find_spans(text, weights)
+            found += (text.index(value), text.index(value) + len(value), "secret") in added
+        assert found >= 90, (kind, found)
+    for _ in range(100):
+        text = f"{' '.join(rnd.choices(words, k=12))} the key: something {' '.join(rnd.choices(words, k=12))}: {' '.join(rnd.choices(words, k=3))}"
+        assert pii.find_spans(text, weights) == ([], []), text
+
+
 def test_personal_data_rows(spark):
     rows = [(1, None), (2, ""), (3, "a@b.co and 1.2.3.4"), (3, "a@b.co and 1.2.3.4"), (4, "9" * 200_000), (5, "x@" * 50_000), (6, "é +1 (202) 555-0143")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
