@@ -44,6 +44,7 @@ MIN_WORDS = 4       # shorter lines stay
 NEAR_WORDS = 8      # lines from this length on may differ by one word
 BITS = 26           # of the bitmap of shared halves: 8 MB
 MOST_HOT = 20_000   # lines that may count as very frequent: those with more than this part of all lines
+MAX_LISTS = 500_000 # documents whose lists of lines may be broadcast, with four lines each on average (20 MB)
 MARKS = 26          # bits of the hashes by which documents, lines and variants are marked before a shuffle
 Q = 0xD1342543DE82EF95
 Q_INVERSE = pow(Q, -1, 1 << 64)
@@ -237,11 +238,16 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _deduplicated(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``docs`` (``hidden``) with the duplicate lines taken out, and the two counts."""
     gone = duplicate_lines(docs, id_col, text_col).select(F.col("doc").alias("_gone_doc"), F.col("drop").alias("_drop"))
-    # only documents that lose lines meet their lists: the others stay where they are read
-    docs = marked(docs, F.col(id_col), gone.select("_gone_doc"), MARKS)
-    losing, whole = (docs.where(m).drop("marked") for m in ("marked", "NOT marked"))
-    rows = losing.join(gone, F.col(id_col).cast("long") == F.col("_gone_doc"), "left").drop("_gone_doc") \
-        .unionByName(whole.withColumn("_drop", F.lit(None).cast("array<int>")))
+    same = F.col(id_col).cast("long") == F.col("_gone_doc")
+    size = gone.agg(F.count(F.lit(1)).alias("docs"), F.sum(F.size("_drop")).alias("lines")).first()
+    if size["docs"] <= MAX_LISTS and (size["lines"] or 0) <= 4 * MAX_LISTS:
+        rows = docs.join(F.broadcast(gone), same, "left").drop("_gone_doc")
+    else:
+        # only documents that lose lines meet their lists in a shuffle: the others stay where they are read
+        docs = marked(docs, F.col(id_col), gone.select("_gone_doc"), MARKS)
+        losing, whole = (docs.where(m).drop("marked") for m in ("marked", "NOT marked"))
+        rows = losing.join(gone, same, "left").drop("_gone_doc") \
+            .unionByName(whole.withColumn("_drop", F.lit(None).cast("array<int>")))
     lines = F.split(F.col(text_col), "\n", -1)
     kept = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_drop")),
                                     lambda i: F.get(lines, i)), "\n")

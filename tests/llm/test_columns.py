@@ -59,7 +59,8 @@ def test_hot_lines_and_marks(spark, monkeypatch):
     rows += [(1000 + i, edited(60, i % 7)) for i in range(30)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     want = helpers.line_dedup(rows)
-    for marks, hot in ((line_dedup.MARKS, line_dedup.MOST_HOT), (7, 3), (6, 1)):
+    for lists, marks, hot in ((line_dedup.MAX_LISTS, line_dedup.MARKS, line_dedup.MOST_HOT), (0, line_dedup.MARKS, 3), (0, 7, 3), (10, 6, 1)):
+        monkeypatch.setattr(line_dedup, "MAX_LISTS", lists)
         monkeypatch.setattr(line_dedup, "MARKS", marks)
         monkeypatch.setattr(line_dedup, "MOST_HOT", hot)
         got = {r["doc_id"]: (r["_n_lines"], r["_n_dropped"], r["text"]) for r in line_dedup.dedup_lines(df).collect()}
