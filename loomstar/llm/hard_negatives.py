@@ -38,7 +38,8 @@ ship(__name__)
 SCALE = 256
 K_POSITIVES, K_NEGATIVES = 5, 5
 LOW, HIGH = 80, 100              # per cent of the positive's score
-ANCHOR_BLOCK, SLICE = 1024, 32_768
+ANCHOR_BLOCK, SLICE = 1024, 32_768   # rows of a block and of a slice, at most about
+VALUES = 1 << 22                 # components of a block or slice, at most about (32 MB)
 LARGEST = 1 << 53
 LONG = (1 << 63) - 1
 
@@ -158,11 +159,12 @@ def negatives_of_block(k: int, low: int, high: int):
     return run
 
 
-def in_blocks(rows: DataFrame, anchors: DataFrame, n_rows: int, n_anchors: int, run, schema: str) -> DataFrame:
-    """``run`` over every pair of a slice of all rows and a block of anchors."""
+def in_blocks(rows: DataFrame, anchors: DataFrame, n_rows: int, n_anchors: int, width: int, run, schema: str) -> DataFrame:
+    """``run`` over every pair of a slice of all rows and a block of anchors; vectors have ``width`` components at most."""
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    blocks = -(-max(1, n_anchors) // ANCHOR_BLOCK)
-    slices = max(-(-max(1, n_rows) // SLICE), -(-2 * cores // blocks))
+    most = max(1, VALUES // max(1, width))
+    blocks = -(-max(1, n_anchors) // min(ANCHOR_BLOCK, most))
+    slices = max(-(-max(1, n_rows) // min(SLICE, most)), -(-2 * cores // blocks))
     number = F.xxhash64("row")
     left = rows.withColumn("slice", F.pmod(number, F.lit(slices)).cast("int")) \
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
@@ -186,13 +188,14 @@ def mine(rows: DataFrame, is_anchor: Column, k_positives: int = K_POSITIVES, k_n
     cent of the positive's.
     """
     anchors = rows.where(is_anchor)
-    n_rows, n_anchors = rows.count(), anchors.count()
-    found = in_blocks(rows, anchors, n_rows, n_anchors, positives_of_block(k_positives), POSITIVES)
+    size = rows.agg(F.count(F.lit(1)).alias("rows"), F.count_if(is_anchor).alias("anchors"), F.max(F.size("v")).alias("width")).first()
+    counts = size["rows"], size["anchors"], size["width"] or 0
+    found = in_blocks(rows, anchors, *counts, positives_of_block(k_positives), POSITIVES)
     near = saved(first_rows(found, k_positives, "anchor"), "positives", narrow=True)
     listed = near.groupBy("anchor").agg(F.array_sort(F.collect_list(F.struct("rank", "score"))).alias("p"))
     held = anchors.join(listed.withColumnRenamed("anchor", "row"), "row") \
         .withColumn("positives", F.transform("p", lambda p: p["score"])).drop("p")
-    found = in_blocks(rows, held, n_rows, n_anchors, negatives_of_block(k_negatives, low, high), NEGATIVES)
+    found = in_blocks(rows, held, *counts, negatives_of_block(k_negatives, low, high), NEGATIVES)
     negatives = first_rows(found, k_negatives, "anchor", "place").select(
         "anchor", (F.col("place") + 1).alias("nth"), "rank", F.col("id").alias("negative_id"), F.col("score").alias("negative_score"))
     positive = near.select("anchor", F.col("rank").alias("nth"), F.col("id").alias("positive_id"), F.col("score").alias("positive_score"))

@@ -48,7 +48,9 @@ def test_hard_negatives_whole_table(spark):
     assert got == mined(rows) and got
 
 
-def test_hard_negatives_edges(spark):
+@pytest.mark.parametrize("values", [hard_negatives.VALUES, 200])
+def test_hard_negatives_edges(spark, monkeypatch, values):
+    monkeypatch.setattr(hard_negatives, "VALUES", values)  # few components: many blocks and slices
     rnd = random.Random(7)
     vec = lambda: [rnd.choice([0.0, 0.25, -0.25, 0.5, 1.0]) for _ in range(4)]
     rows = [(i, vec(), rnd.randrange(3)) for i in range(0, 400, 4)]
