@@ -6,7 +6,7 @@ ordinal endings, commas) go, and what is left are one to three tokens, numbers a
 at most one month word.  Which number is the year, the month and the day follows from
 their widths, sizes and places: ``03/04/2005`` is month first (4 March), ``13/04/2005``
 can only be day first (13 April).  The work for a value does not depend on how
-many layouts there are.  Plain ISO dates take a short way of one test and one cast.
+many layouts there are.  ISO dates and times take a short way of one test and one cast.
 
 A time zone is accepted and the time kept as written.  Values outside 1677-2262 (the
 range a nanosecond timestamp can hold in the original tool chain) are treated as
@@ -45,7 +45,7 @@ _TIME = "|".join((
 _MARKED = "@$1$6$8$11$14:$2$9$12:$3$10$13:$4:$5$7@"
 _NOISE = (rf"(?<![a-z])(?:{'|'.join(WEEKDAYS + FILLERS)})(?![a-z])[.]?|(?<=[0-9])(?:st|nd|rd|th)(?![a-z])|[,;]")
 _TOKENS = r"^\s*[0-9a-z]+(?:[\s./-]*[0-9a-z]+)*[\s.]*$"
-_ISO = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
+_ISO = "^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(?:[ T][0-9]{1,2}:[0-9]{1,2}(?::[0-9]{1,2}(?:[.][0-9]+)?)?Z?)?$"
 
 
 def _let(name: str, value: str, body: str) -> str:
