@@ -42,13 +42,20 @@ def date_columns(df: DataFrame) -> list[str]:
 
 
 def parse_mixed_dates(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """C-01: parse every ``*date*`` column as mixed text into DATE; drop rows that fail."""
+    """C-01: parse every ``*date*`` column as mixed text into DATE; drop rows that fail.
+
+    The parsed values come out of a generator, which emits no row where one is missing: a
+    filter on them would be pushed below the projection, and every text be parsed twice.
+    """
     cols = date_columns(df) if columns is None else columns
     if not cols:
         return df
-    parsed = df.selectExpr(*[as_col(mixed_date_sql(c), c) if c in cols else ident(c)
-                             for c in df.columns])
-    return parsed.na.drop(how="any", subset=cols)
+    found = {c: f"d{i}" for i, c in enumerate(dict.fromkeys(cols))}
+    values = ", ".join(f"{text(d)}, {mixed_date_sql(c)}" for c, d in found.items())
+    whole = " AND ".join(f"x.{d} IS NOT NULL" for d in found.values())
+    parsed = df.selectExpr(*[as_col(ident(c), f"c{i}") for i, c in enumerate(df.columns)],
+                           f"inline(filter(array(named_struct({values})), x -> {whole})) AS ({', '.join(found.values())})")
+    return parsed.selectExpr(*[as_col(found.get(c, f"c{i}"), c) for i, c in enumerate(df.columns)])
 
 
 def unparsed_date_values(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -53,8 +53,8 @@ def stacked_key_report(tables: dict[str, DataFrame], primary: list[tuple[str, st
 
     ``primary`` lists (table, key); ``foreign`` lists (table, column, referenced table, its key).
     A row of a table is stacked into one entry (domain, side, key text) for each key column it
-    has a part in; a domain is a referenced or primary key, a side is the row that defines a key
-    or one of the foreign keys that use it.  Entries are counted by (domain, key), and
+    has a part in; a domain is a referenced or primary key, a side is the row that defines a key (0)
+    or one of the foreign keys that use it (from 1 in each domain).  Entries are counted by (domain, key), and
     the counts decide both kinds: a primary key is violated where the key is NULL or defined
     more than once, a foreign key where a non-NULL key is used and nowhere defined.
     Partial counts are formed before the shuffle, so a key that holds a third of the fact costs
@@ -65,14 +65,17 @@ def stacked_key_report(tables: dict[str, DataFrame], primary: list[tuple[str, st
     entries: dict[str, list[str]] = {}
     for i, (table, key) in enumerate(domains):
         entries.setdefault(table, []).append(f"{i}, 0, CAST({ident(key)} AS STRING)")
-    for j, (table, column, dim, key) in enumerate(foreign, 1):
-        entries.setdefault(table, []).append(f"{domains.index((dim, key))}, {j}, CAST({ident(column)} AS STRING)")
+    uses, sides = dict.fromkeys(domains, 0), []
+    for table, column, dim, key in foreign:
+        uses[dim, key] += 1
+        sides.append(uses[dim, key])
+        entries.setdefault(table, []).append(f"{domains.index((dim, key))}, {sides[-1]}, CAST({ident(column)} AS STRING)")
     stacked = reduce(DataFrame.unionByName, [
         tables[t].selectExpr(f"stack({len(e)}, {', '.join(e)}) AS (domain, side, key)") for t, e in entries.items()])
     defining = ", ".join(str(i) for i, d in enumerate(domains) if d in primary) or "-1"
     counts = stacked.where(f"key IS NOT NULL OR (side = 0 AND domain IN ({defining}))").groupBy("domain", "key").agg(
         F.count_if(F.col("side") == 0).alias("defined"),
-        *(F.count_if(F.col("side") == j).alias(f"used{j}") for j in range(1, len(foreign) + 1)))
+        *(F.count_if(F.col("side") == j).alias(f"used{j}") for j in range(1, max(sides, default=0) + 1)))
 
     def found(when: str, check: str, table: str, column: str, n: str) -> str:
         return (f"CASE WHEN {when} THEN named_struct('check', {text(check)}, 'table', {text(table)}, "
@@ -81,6 +84,6 @@ def stacked_key_report(tables: dict[str, DataFrame], primary: list[tuple[str, st
     checks = [found(f"domain = {domains.index((t, k))} AND (defined > 1 OR (key IS NULL AND defined > 0))", "primary_key", t, k, "defined")
               for t, k in primary]
     checks += [found(f"domain = {domains.index((d, k))} AND used{j} > 0 AND defined = 0", "foreign_key", t, c, f"used{j}")
-               for j, (t, c, d, k) in enumerate(foreign, 1)]
+               for j, (t, c, d, k) in zip(sides, foreign)]
     bad = counts.selectExpr("key", f"explode(filter(array({', '.join(checks)}), x -> x IS NOT NULL)) AS v")
     return bad.selectExpr("v.check AS check", "v.table AS `table`", "v.column AS `column`", "key", "v.n_rows AS n_rows")

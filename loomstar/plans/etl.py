@@ -18,7 +18,7 @@ from loomstar.operators import cleaning as C
 from loomstar.operators import conform as D
 from loomstar.operators import constraints as K
 from loomstar.operators.reshape import reindex_columns
-from loomstar.sources.manifest import LoadManifest, source_fingerprint
+from loomstar.sources.manifest import LoadManifest, source_files, source_fingerprint
 from loomstar.sources.sinks import create_table, write_files
 
 # Column lists the original run keeps for two sources.
@@ -35,6 +35,11 @@ FOREIGN_KEYS = [("card_number", "dim_card_details"), ("date_uuid", "dim_date_tim
                 ("product_code", "dim_products"), ("store_code", "dim_store_details"),
                 ("user_uuid", "dim_users_table")]
 
+# Pipelines that parse free-form dates: tens of microseconds a row, so few tasks would hold up the load.
+PARSING = frozenset({"dim_users_table", "dim_store_details", "dim_products"})
+ROWS_A_TASK = 25_000          # rows of such a source that a task cleans in about a second
+SMALL_FILES = 32 << 20        # bytes a core: of larger sources, a scan makes tasks enough by itself
+
 Pipeline = Callable[[DataFrame], DataFrame]
 
 PIPELINES: dict[str, Pipeline] = {
@@ -49,6 +54,20 @@ PIPELINES: dict[str, Pipeline] = {
 }
 
 
+def spread(df: DataFrame, n_bytes: int) -> DataFrame:
+    """A source of few bytes (``n_bytes``, of its files) but many rows, dealt out to all cores.
+
+    Millions of rows may come in a few megabytes of Parquet, which a scan gives to one task, but
+    what parsing costs goes by rows.  Their count comes from the files' footers.  Only for
+    ``PARSING``: dealing out the fact would cost more than it saves, and tear its runs of equal keys apart.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if not 0 < n_bytes < cores * SMALL_FILES:
+        return df
+    parts = min(df.count() // ROWS_A_TASK, 3 * cores)
+    return df.repartition(parts) if parts > 1 else df
+
+
 def load_star(spark: SparkSession, sources: dict[str, DataFrame], out_dir: str, resume: bool = False) -> dict[str, str]:
     """Clean, conform and write every dataset present in ``sources``; returns table -> path.
 
@@ -65,12 +84,14 @@ def load_star(spark: SparkSession, sources: dict[str, DataFrame], out_dir: str,
     known = manifest.finished() if resume else {}
 
     def one(name: str, pipeline: Pipeline) -> str:
-        fingerprint = source_fingerprint(sources[name])
+        files = source_files(sources[name])
+        fingerprint = source_fingerprint(sources[name], files)
         entry = known.get(name)
         if entry and fingerprint and entry["fingerprint"] == fingerprint and manifest.intact(entry):
             return entry["folder"]
         path = manifest.new_folder(f"{out_dir}/{name}") if resume else f"{out_dir}/{name}"
-        write_files(pipeline(sources[name]), path)
+        source = spread(sources[name], sum(n for _, n, _ in files)) if name in PARSING else sources[name]
+        write_files(pipeline(source), path)
         manifest.enter(name, fingerprint, path)
         return path
 

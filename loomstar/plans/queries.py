@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -522,7 +523,8 @@ def etl_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """One source for each dataset of the star, with all declared columns, some repeated and some dangling keys."""
     names = {"dim_users_table": "etl_users", "dim_card_details": "etl_cards", "dim_store_details": "etl_stores",
              "dim_products": "etl_products", "orders_table": "etl_orders", "dim_date_times": "etl_dates"}
-    found = {table_: view(spark, sf_dir, name) for table_, name in names.items()}
+    with ThreadPoolExecutor(max_workers=len(names)) as pool:  # landed together, so no small table holds up the cluster
+        found = dict(zip(names, pool.map(lambda name: view(spark, sf_dir, name), names.values())))
     # the fixture's ``one`` stands for the column literally named ``1``
     return {**found, "orders_table": found["orders_table"].withColumnRenamed("one", "1")}
 

@@ -18,18 +18,26 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def source_fingerprint(df: DataFrame) -> str | None:
-    """A digest of the files that ``df`` reads (names, lengths, times) and of its columns; None without files."""
+def source_files(df: DataFrame) -> list[tuple[str, int, int]]:
+    """(name, bytes, time) of the files that ``df`` reads."""
     spark = df.sparkSession
-    files = sorted(df.inputFiles())
-    if not files:
-        return None
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    digest = hashlib.sha256(json.dumps(df.schema.jsonValue()).encode())
-    for name in files:
+    found = []
+    for name in sorted(df.inputFiles()):
         path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
         status = path.getFileSystem(conf).getFileStatus(path)
-        digest.update(f"{name}|{status.getLen()}|{status.getModificationTime()}\n".encode())
+        found.append((name, status.getLen(), status.getModificationTime()))
+    return found
+
+
+def source_fingerprint(df: DataFrame, files: list[tuple[str, int, int]] | None = None) -> str | None:
+    """A digest of the files that ``df`` reads (names, lengths, times) and of its columns; None without files."""
+    files = source_files(df) if files is None else files
+    if not files:
+        return None
+    digest = hashlib.sha256(json.dumps(df.schema.jsonValue()).encode())
+    for name, length, modified in files:
+        digest.update(f"{name}|{length}|{modified}\n".encode())
     return digest.hexdigest()
 
 

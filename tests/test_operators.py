@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from loomstar.functions.dates import mixed_date_sql
 from loomstar.operators import cleaning as C
 from loomstar.operators import conform as D
 from loomstar.operators import constraints as K
@@ -182,3 +183,18 @@ def test_strict_uuid_and_date_shapes(spark):
         with pytest.raises(Exception):
             D.conform(bad, spec).collect()
         assert D.conform_violations(bad.withColumn("k", F.lit(1)), spec, "k", "t").count() == 1
+
+
+def test_mixed_dates_are_parsed_once(spark):
+    """The filter on parsed dates does not parse them again; rows and column order stay as they were."""
+    rows = [("a", "2 October 1990", 1, "2001-02-03"), ("b", "no date", 2, "2001-02-03"), ("c", None, 3, "2001-02-03"),
+            ("d", "1991-05-06", 4, "Oct 2 1999"), ("e", "1991-05-06", 5, None)]
+    df = spark.createDataFrame(rows, "d0 string, date_a string, x int, `the date` string")
+    out = C.parse_mixed_dates(df)
+    assert out.dtypes == [("d0", "string"), ("date_a", "date"), ("x", "int"), ("the date", "date")]
+    assert sorted((r[0], str(r[1]), r[2], str(r[3])) for r in out.collect()) == [
+        ("a", "1990-10-02", 1, "2001-02-03"), ("d", "1991-05-06", 4, "1999-10-02")]
+    assert C.parse_mixed_dates(df, ["date_a"]).count() == 3
+    stored = spark.range(5).selectExpr("cast(id AS string) AS date_a", "id")
+    plan = C.parse_mixed_dates(stored)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("october") == mixed_date_sql("date_a").count("october")
