@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from loomstar.llm.components import components
 from loomstar.llm.shared import SPACES, broadcast_bounded, hidden, saved, ship, shown
-from loomstar.llm.wordhash import BASE, NOT_SPACE, doc_shingles, mix, shingles, words
+from loomstar.llm.wordhash import BASE, NOT_SPACE, doc_shingles, mix, pieces, shingles, words
 
 ship(__name__)
 
@@ -72,7 +72,7 @@ def overlap_bound(k: int = K, num: int = SIM_NUM, den: int = SIM_DEN, miss: floa
 
 
 def _sketch_batches(batches, k: int = K, q: int = SHINGLE):
-    for batch in batches:
+    for batch in pieces(batches, 1):
         n = batch.num_rows
         found = words(batch.column(1), NOT_SPACE)
         sizes, f1, f2 = np.zeros(n, np.int64), np.zeros(n, np.uint64), np.zeros(n, np.uint64)
@@ -102,7 +102,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
 
 def _linked(batches, q: int = SHINGLE, num: int = SIM_NUM, den: int = SIM_DEN):
     """Pairs whose full shingle sets have the asked Jaccard similarity."""
-    for batch in batches:
+    for batch in pieces(batches, 2, 3):
         left, right = words(batch.column(2), NOT_SPACE), words(batch.column(3), NOT_SPACE)
         keep = np.zeros(batch.num_rows, bool)
         for i in range(batch.num_rows):

@@ -11,12 +11,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from loomstar.llm.shared import ship
 
 ship(__name__)
 
 PIECE = 1 << 20                       # bytes handled at a time: keeps the temporaries in cache
+PIECE_TEXT = 4 << 20                  # bytes of text in the rows that are worked on at once
 BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -91,6 +93,23 @@ def column_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buf, offsets - offsets[0]
 
 
+def pieces(batches, *texts: int, most: int = PIECE_TEXT):
+    """The rows of ``batches``, as many at a time as have ``most`` bytes in the columns ``texts``, one at least.
+
+    Word arrays take some ten times the text's bytes, so what a worker holds depends on neither the rows of an
+    Arrow batch nor the length of their texts.
+    """
+    for batch in batches:
+        ends = sum(np.cumsum(pc.fill_null(pc.binary_length(batch.column(c)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+                   for c in texts)
+        lo = 0
+        while lo < batch.num_rows:
+            before = ends[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(ends, before + most, side="right")))
+            yield batch.slice(lo, hi - lo)
+            lo = hi
+
+
 def words(col: pa.Array, is_word: np.ndarray, lower: bool = True) -> Words:
     """All words of a string column, by whole texts."""
     buf, offsets = column_bytes(col)

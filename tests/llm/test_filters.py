@@ -1,5 +1,9 @@
 """Line dedup, near-dedup, decontamination and quality rules against plain Python."""
 
+import random
+import tracemalloc
+
+import pyarrow as pa
 import pytest
 
 from loomstar.llm import decontaminate, line_dedup, near_dedup, quality_rules
@@ -191,3 +195,31 @@ def test_rules_find_toxic_rows(spark):
     assert kept == {i for i, _ in rows if i % 4} | {i for i, _ in new if i % 2 == 0}
     plan = judged._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan
+
+
+def memory_of(run):
+    """What ``run`` returns and the bytes that Python and numpy held at most meanwhile."""
+    tracemalloc.start()
+    try:
+        out = run()
+        return out, tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_sketches_and_links_hold_pieces_of_a_batch():
+    """A worker's memory does not grow with the rows of an Arrow batch or the length of their texts."""
+    r = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    texts = [None, "", "a b"] + [" ".join(r.choices(vocabulary, k=900)) for _ in range(4000)] + [" ".join(r.choices(vocabulary, k=10 ** 6)), "a b"]
+    docs = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc", "text"])
+    kept = []
+
+    _, most = memory_of(lambda: [kept.extend(b.column(1).to_pylist()) for b in near_dedup._sketch_batches([docs])])
+    assert docs.get_total_buffer_size() > 25 << 20 and most < 180 << 20
+    assert kept[:3] == [0, 0, 1] and kept[-1] == 1 and kept[3] == len({tuple(w) for w in zip(*(texts[3].split()[i:] for i in range(5)))})
+    n = 2000
+    pairs = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(range(n)), pa.array(texts[3:n + 3]),
+                                        pa.array(texts[3:n + 2] + ["other words"])], names=["a", "b", "ta", "tb"])
+    got, most = memory_of(lambda: [a for b in near_dedup._linked([pairs]) for a in b.column(0).to_pylist()])
+    assert got == list(range(n - 1)) and most < 120 << 20
