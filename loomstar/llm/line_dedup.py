@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomstar.llm.shared import SPACES, hidden, marked, saved, ship, shown
-from loomstar.llm.wordhash import BASE, NOT_SPACE, mix, powers, words
+from loomstar.llm.wordhash import BASE, NOT_SPACE, mix, pieces, powers, words
 
 ship(__name__)
 
@@ -46,6 +46,7 @@ BITS = 26           # of the bitmap of shared halves: 8 MB
 MOST_HOT = 20_000   # lines that may count as very frequent: those with more than this part of all lines
 MAX_LISTS = 500_000 # documents whose lists of lines may be broadcast, with four lines each on average (20 MB)
 MARKS = 26          # bits of the hashes by which documents, lines and variants are marked before a shuffle
+PIECE_LINES = 1 << 20   # bytes of lines whose variants are made at once: those take some forty times the lines' bytes
 Q = 0xD1342543DE82EF95
 Q_INVERSE = pow(Q, -1, 1 << 64)
 _GAP = re.compile(r"[\x20\x09-\x0D]+")
@@ -100,11 +101,11 @@ def _long(x: np.ndarray) -> pa.Array:
 
 
 def _line_rows(batches):
-    for batch in batches:
+    for batch in pieces(batches, 1):
         lines = Lines(batch.column(1))
         use = np.flatnonzero(lines.n >= MIN_WORDS)
         whole = lines.run(lines.first, lines.last)[use]
-        # the halves of a line that comes again in this batch are the same
+        # the halves of a line that comes again in this piece are the same
         near = np.zeros(len(use), bool)
         near[np.unique(whole, return_index=True)[1]] = True
         near &= lines.n[use] >= NEAR_WORDS
@@ -121,7 +122,7 @@ def _line_rows(batches):
 def _candidates(batches, bitmap):
     """Lines that share a half with another one: their words, and which of the four halves."""
     bits = bitmap.value
-    for batch in batches:
+    for batch in pieces(batches, 1):
         lines = Lines(batch.column(1))
         keys = lines.halves() & np.uint64((1 << BITS) - 1)
         hit = (bits[(keys >> np.uint64(6)).astype(np.int64)] >> (keys & np.uint64(63))) & np.uint64(1)
@@ -139,7 +140,7 @@ def _candidates(batches, bitmap):
 
 def _variants(batches):
     """Keys of each line's variants; kind 0: one word left out at a place, 1: whole line, 2: one word left out."""
-    for batch in batches:
+    for batch in pieces(batches, 0, most=PIECE_LINES):
         lines = Lines(batch.column(0))
         n, mask = lines.n, batch.column(1).to_numpy()
         a, b = lines.first, lines.last
@@ -173,7 +174,7 @@ def edit_at_most_one(x: list[str], y: list[str]) -> bool:
 
 
 def _verify(batches):
-    for batch in batches:
+    for batch in pieces(batches, 1, 2):
         ok = [edit_at_most_one(_GAP.split(x), _GAP.split(y)) for x, y in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
         yield pa.RecordBatch.from_arrays([batch.column(0)], names=["h"]).filter(pa.array(ok, pa.bool_()))
 

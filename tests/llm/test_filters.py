@@ -3,6 +3,7 @@
 import random
 import tracemalloc
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -223,3 +224,32 @@ def test_sketches_and_links_hold_pieces_of_a_batch():
                                         pa.array(texts[3:n + 2] + ["other words"])], names=["a", "b", "ta", "tb"])
     got, most = memory_of(lambda: [a for b in near_dedup._linked([pairs]) for a in b.column(0).to_pylist()])
     assert got == list(range(n - 1)) and most < 120 << 20
+
+
+def test_lines_hold_pieces_of_a_batch():
+    """Neither the rows of an Arrow batch nor the length of their texts decide what a worker of line dedup holds."""
+    r = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    line = lambda k: " ".join(r.choices(vocabulary, k=k))
+    long = line(10 ** 6)
+    texts = [None, "", "a b"] + ["\n".join(line(30) for _ in range(30)) for _ in range(4000)] + [long, "a b"]
+    docs = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc", "text"])
+    every = type("Broadcast", (), {"value": np.full(1 << (line_dedup.BITS - 6), (1 << 64) - 1, np.uint64)})
+    rows, found = [], []
+
+    _, most = memory_of(lambda: [rows.append(b.select(["doc", "line", "h"])) for b in line_dedup._line_rows([docs])])
+    assert docs.get_total_buffer_size() > 20 << 20 and most < 180 << 20
+    _, held = memory_of(lambda: [found.append(b.select(["doc", "line", "h"])) for b in line_dedup._candidates([docs], every)])
+    assert held < 180 << 20
+    rows, found = (pa.Table.from_batches(x) for x in (rows, found))
+    assert rows.num_rows == 4000 * 30 + 1 and rows.equals(found)
+    assert rows.column("doc").to_pylist()[::30] == [*range(3, 4003), 4003] and rows.column("line").to_pylist()[:30] == list(range(30))
+    n = 10_000
+    texts = [line(100) for _ in range(n)]
+    lines = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([15] * n, pa.int32()), pa.array(range(n)), pa.array([0] * n, pa.int32()),
+                                        pa.array(range(n))], names=["words", "mask", "doc", "line", "h"])
+    sizes, most = memory_of(lambda: [(b.num_rows, b.column(2)[0].as_py(), b.column(2)[-1].as_py()) for b in line_dedup._variants([lines])])
+    # a line of 100 words: 100 with one left out at a place, itself, 100 and one of both halves without a word
+    assert most < 80 << 20 and sum(x for x, _, _ in sizes) == n * 201 and sizes[0][1] == 0 and sizes[-1][2] == n - 1
+    pairs = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(texts), pa.array(texts[:-1] + ["other words"])], names=["h", "a", "b"])
+    assert [h for b in line_dedup._verify([pairs]) for h in b.column(0).to_pylist()] == list(range(n - 1))
